@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions import fixed_values as V
 
@@ -77,7 +78,7 @@ def char_entropy(df: DataFrame, key: str, text: str, name: str = "char_entropy")
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd(texts: pd.Series) -> pd.Series:
     """Unicode NFKD form; Spark has no built-in for it."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t))
