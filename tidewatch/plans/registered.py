@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from tidewatch.plans import telemetry, text  # noqa: F401
+from tidewatch.plans import telemetry, text, traces  # noqa: F401
 from tidewatch.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
