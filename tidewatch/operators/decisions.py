@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
@@ -180,9 +180,19 @@ def first_decisions(decisions: DataFrame, key: str, order: Sequence[str]) -> Dat
     return decisions.groupBy(key).agg(first, F.count("*").alias("n_decisions")).select(key, "_d.*", "n_decisions")
 
 
-def outcomes(requests: DataFrame, decisions: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def known_decisions(requests: DataFrame, decisions: DataFrame, key: str, requested_at: str, decided_at: str) -> DataFrame:
+    """Decisions with ``_known``: whether their thread had been requested by then."""
+    opened = requests.select(key, F.col(requested_at).alias("_requested"))
+    known = F.coalesce(F.col(decided_at) >= F.col("_requested"), F.lit(False))
+    return decisions.join(opened, key, "left").withColumn("_known", known).drop("_requested")
+
+
+def outcomes(
+    requests: DataFrame, decisions: DataFrame, key: str, order: Sequence[str], requested_at: str, decided_at: str
+) -> DataFrame:
     """Requests with the outcome of their first decision: approved, rejected, or still pending."""
-    first = first_decisions(decisions, key, order)
+    marked = known_decisions(requests, decisions, key, requested_at, decided_at)
+    first = first_decisions(marked.filter("_known").drop("_known"), key, order)
     outcome = (
         F.when(F.col("approved").isNull(), "pending_human_approval")
         .when(F.col("approved"), "approved")
@@ -193,13 +203,18 @@ def outcomes(requests: DataFrame, decisions: DataFrame, key: str, order: Sequenc
     )
 
 
-def refused_decisions(requests: DataFrame, decisions: DataFrame, key: str, order: Sequence[str], ident: Sequence[str]) -> DataFrame:
-    """Decisions on a thread that does not exist, and all but the first on one that does."""
-    orphans = decisions.join(requests.select(key), key, "left_anti").withColumn("reason", F.lit("unknown_thread"))
-    known = decisions.join(requests.select(key), key, "left_semi")
-    first = first_decisions(known.select(key, *dict.fromkeys([*order, *ident])), key, order).select(key, *ident)
-    late = known.join(first, [key, *ident], "left_anti").withColumn("reason", F.lit("inactive_thread"))
-    return orphans.unionByName(late)
+def refused_decisions(
+    requests: DataFrame, decisions: DataFrame, key: str, order: Sequence[str], requested_at: str, decided_at: str
+) -> DataFrame:
+    """Decisions on a thread that did not exist by then, and all but the first on one that did.
+    ``order`` identifies a decision within its thread."""
+    marked = known_decisions(requests, decisions, key, requested_at, decided_at)
+    first = first_decisions(marked.filter("_known").select(key, *order), key, order).select(
+        key, F.struct(*order).alias("_first")
+    )
+    judged = marked.join(first, key, "left")
+    reason = F.when(~F.col("_known"), "unknown_thread").when(F.struct(*order) != F.col("_first"), "inactive_thread")
+    return judged.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_known", "_first")
 
 
 def latest_states(audit: DataFrame, key: str, order: Sequence[str], state: str) -> DataFrame:
