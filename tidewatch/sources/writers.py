@@ -22,9 +22,18 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """CSV that reads back as it was: quoted where needed, blanks kept."""
+    (
+        df.write.mode("overwrite").partitionBy(*partition_by)
+        .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """One CSV folder per split, read back with the split as a column."""
-    df.write.mode("overwrite").partitionBy(split).option("header", True).option("escape", '"').csv(path)
+    write_csv(df, path, [split])
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
