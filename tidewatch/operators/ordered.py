@@ -18,7 +18,8 @@ from tidewatch.session import shared_dir
 
 MAX_GROUP_ROWS = 4_000_000
 
-_CHUNK, _COPY, _AT, _SLICE = "_chunk", "_copy", "_at", "_slice"
+_CHUNK, _COPY, _AT = "_chunk", "_copy", "_at"
+_PLACED, _SLICE = "_placed", "_slice"
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -39,17 +40,17 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     checkpointed once: slice numbers must not move if a lost executor makes Spark sort again.
     """
     shared_dir(df.sparkSession)
-    placed = df.orderBy(*order).withColumn(_AT, F.monotonically_increasing_id()).checkpoint()
-    slices = placed.groupBy(F.shiftright(_AT, 33).alias(_SLICE)).agg(F.count("*").alias("_n"))
+    placed = df.orderBy(*order).withColumn(_PLACED, F.monotonically_increasing_id()).checkpoint()
+    slices = placed.groupBy(F.shiftright(_PLACED, 33).alias(_SLICE)).agg(F.count("*").alias("_n"))
     before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     # one row per sort partition
     offsets = slices.select(_SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = F.col(_AT) - F.shiftleft(F.col(_SLICE), 33)
+    within = F.col(_PLACED) - F.shiftleft(F.col(_SLICE), 33)
     return (
-        placed.withColumn(_SLICE, F.shiftright(_AT, 33))
+        placed.withColumn(_SLICE, F.shiftright(_PLACED, 33))
         .join(F.broadcast(offsets), _SLICE)
         .withColumn(name, F.col("_first") + within)
-        .drop(_SLICE, _AT, "_first")
+        .drop(_SLICE, _PLACED, "_first")
     )
 
 
@@ -117,24 +118,23 @@ def running_sums(
     )
     local = chunked.withColumns({name: F.sum(value).over(window) for name, value in sums.items()})
     totals = chunked.groupBy(_CHUNK, *keys).agg(
-        *[F.sum(value).alias(f"_{name}") for name, value in sums.items()]
+        *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()]
     )
     # one row per (chunk, key): a hot key has group_rows / limit of them
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        F.col(_CHUNK).alias("_c"),
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        *[F.sum(f"_{name}").over(earlier).alias(f"_{name}") for name in sums],
+        F.col(_CHUNK).alias("_sum_chunk_"),
+        *[F.col(k).alias(f"_sum_key_{i}") for i, k in enumerate(keys)],
+        *[F.sum(f"_sum_{name}").over(earlier).alias(f"_sum_{name}") for name in sums],
     )
-    same = F.col(_CHUNK) == F.col("_c")
+    same = F.col(_CHUNK) == F.col("_sum_chunk_")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_sum_key_{i}"))
     joined = local.join(carried, same).withColumns(
-        {name: F.col(name) + F.coalesce(F.col(f"_{name}"), F.lit(0)) for name in sums}
-    )
-    return joined.drop(
-        _CHUNK, _AT, "_c", *[f"_k{i}" for i in range(len(keys))], *[f"_{name}" for name in sums]
+        {name: F.col(name) + F.coalesce(F.col(f"_sum_{name}"), F.lit(0)) for name in sums}
     )
+    made = [f"_sum_key_{i}" for i in range(len(keys))] + [f"_sum_{name}" for name in sums]
+    return joined.drop(_CHUNK, _AT, "_sum_chunk_", *made)
 
 
 def exact_quantiles(

@@ -94,12 +94,12 @@ def append_audit(df: DataFrame, path: str, account: str, node: str, details: Seq
     ).write.mode("append").parquet(path)
 
 
-def route(df: DataFrame, alarm: Column, alert_path: str, pass_path: str) -> None:
+def route(df: DataFrame, alarm: Column, alert_path: str, pass_path: str, mode: str = "append") -> None:
     """Rows where ``alarm`` holds go to the alert table, the others (also where it is null) to the
     pass-through table. The input is stored once and read twice."""
     kept = df.withColumn("_alarm", F.coalesce(alarm, F.lit(False))).persist()
     try:
-        kept.filter("_alarm").drop("_alarm").write.mode("append").parquet(alert_path)
-        kept.filter("NOT _alarm").drop("_alarm").write.mode("append").parquet(pass_path)
+        kept.filter("_alarm").drop("_alarm").write.mode(mode).parquet(alert_path)
+        kept.filter("NOT _alarm").drop("_alarm").write.mode(mode).parquet(pass_path)
     finally:
         kept.unpersist()

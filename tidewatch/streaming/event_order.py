@@ -3,42 +3,32 @@
 A micro-batch holds a key's rows in no particular order. Rows are therefore kept in the key's state
 until the watermark has passed them, and are then handed on sorted; a key without new rows is woken
 by its event-time timeout. What has been handed on can not be preceded by anything later, because
-rows at or behind the watermark are late (see ``late``).
+rows at or behind the watermark are late (see ``mark_late``).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATE = "waiting binary, carry string"
+STATE = "waiting string, carry string"
 DELAY = "10 minutes"
+# event time in microseconds since the epoch, whatever the session's time zone
+AT = "_at"
 
-# rows in event order, what was carried so far -> output rows, what to carry on
-Handler = Callable[[tuple, pd.DataFrame, dict], tuple[pd.DataFrame, dict]]
+# key, columns of the rows in event order, what was carried so far -> output columns, what to carry
+Handler = Callable[[tuple, Mapping[str, list], dict], tuple[Mapping[str, Sequence], dict]]
 
 
-def _pack(rows: pd.DataFrame) -> bytes:
-    batch = pa.Table.from_pandas(rows, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_table(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpack(data: bytes) -> pd.DataFrame:
-    with pa.ipc.open_stream(data) as reader:
-        return reader.read_all().to_pandas()
-
-
-def micros(times: pd.Series) -> pd.Series:
-    return times.astype("datetime64[us]").astype("int64")
+def zoned(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need a zoned timestamp."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
 def in_event_order(
@@ -46,46 +36,52 @@ def in_event_order(
     keys: Sequence[str],
     ts: str,
     tie: Sequence[str],
+    values: Sequence[str],
     handle: Handler,
     output: str,
     delay: str = DELAY,
 ) -> DataFrame:
-    """Runs ``handle`` per key over rows released in (ts, tie) order; ``output`` is its schema."""
-    order = [ts, *tie]
+    """Runs ``handle`` per key over the columns ``_at``, ``tie`` and ``values`` of its rows, released
+    in (ts, tie) order. ``output`` is the schema of what it returns, without keys and time; each
+    output row belongs to the input row at its place."""
+    names = [AT, *tie, *values]
+    types = dict(stream.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"{AT} long", output])
+    ranked = 1 + len(tie)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, carry = (state.get if state.exists else (None, "{}"))
-        parts = [_unpack(waiting)] if waiting else []
-        parts.extend(b for b in batches if len(b))
+        waiting, carry = state.get if state.exists else ("[]", "{}")
+        rows = json.loads(waiting)
+        for batch in batches:
+            rows.extend(zip(*[batch[n].tolist() for n in names]))
+        rows.sort(key=lambda r: tuple(r[:ranked]))
         mark = state.getCurrentWatermarkMs()
-        if parts:
-            rows = pd.concat(parts, ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-            passed = micros(rows[ts]) <= mark * 1000
-            ready, kept = rows[passed], rows[~passed]
-        else:
-            ready, kept = None, None
-        if ready is not None and len(ready):
-            out, carried = handle(key, ready.reset_index(drop=True), json.loads(carry))
+        passed = bisect_right(rows, mark * 1000, key=lambda r: r[0])
+        if passed:
+            columns = dict(zip(names, map(list, zip(*rows[:passed]))))
+            out, carried = handle(key, columns, json.loads(carry))
             carry = json.dumps(carried)
-            if len(out):
-                yield out
-        has_rows = kept is not None and len(kept) > 0
-        state.update((_pack(kept) if has_rows else None, carry))
-        if has_rows:
-            first = int(micros(kept[ts]).iloc[0] // 1000)
-            state.setTimeoutTimestamp(max(first, mark) + 1)
-
-    return (
-        stream.withWatermark(ts, delay)
+            fixed = {k: [v] * passed for k, v in zip(keys, key)}
+            yield pd.DataFrame({**fixed, AT: columns[AT], **out})
+        kept = rows[passed:]
+        state.update((json.dumps(kept), carry))
+        if kept:
+            state.setTimeoutTimestamp(max(kept[0][0] // 1000, mark) + 1)
+
+    timed = zoned(stream, ts).withWatermark(ts, delay).withColumn(AT, F.unix_micros(ts))
+    done = (
+        timed.select(ts, *dict.fromkeys([*keys, *names]))
         .groupBy(*keys)
-        .applyInPandasWithState(step, output, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        .applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
+    return done.withColumn(ts, F.timestamp_micros(AT)).drop(AT)
 
 
 def mark_late(stream: DataFrame, keys: Sequence[str], ts: str, delay_seconds: int = 600) -> DataFrame:
     """Adds ``is_late``: the row lies more than the delay behind the newest row that its key had in
     earlier micro-batches. Late rows are kept, so that a sink can put them into a side table."""
-    schema = ", ".join(f"`{n}` {t}" for n, t in stream.dtypes) + ", is_late boolean"
+    timed = zoned(stream, ts).withColumn(AT, F.unix_micros(ts))
+    schema = ", ".join(f"`{n}` {t}" for n, t in timed.dtypes) + ", is_late boolean"
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         newest = state.get[0] if state.exists else None
@@ -93,18 +89,15 @@ def mark_late(stream: DataFrame, keys: Sequence[str], ts: str, delay_seconds: in
         for batch in batches:
             if not len(batch):
                 continue
-            at = micros(batch[ts])
-            late = at < newest - delay_seconds * 1_000_000 if newest is not None else at < at
-            seen = int(at.max()) if seen is None else max(seen, int(at.max()))
-            yield batch.assign(is_late=late)
+            edge = -(2**62) if newest is None else newest - delay_seconds * 1_000_000
+            latest = int(batch[AT].max())
+            seen = latest if seen is None else max(seen, latest)
+            yield batch.assign(is_late=batch[AT] < edge)
         if seen is not None:
             state.update((seen,))
 
-    return stream.groupBy(*keys).applyInPandasWithState(
-        step, schema, "newest long", "append", GroupStateTimeout.NoTimeout
+    return (
+        timed.groupBy(*keys)
+        .applyInPandasWithState(step, schema, "newest long", "append", GroupStateTimeout.NoTimeout)
+        .drop(AT)
     )
-
-
-def zoned(df: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need a zoned timestamp."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,7 +14,7 @@ from tidewatch.operators import decisions as D
 from tidewatch.operators import rollup as R
 from tidewatch.session import new_table_path
 from tidewatch.sources import writers
-from tidewatch.streaming.event_order import DELAY, in_event_order, mark_late, micros, zoned
+from tidewatch.streaming.event_order import AT, DELAY, in_event_order, mark_late, zoned
 
 # --- replay --------------------------------------------------------------------------------------
 
@@ -57,35 +56,32 @@ def rolling_stream(
 ) -> DataFrame:
     """Rolling mean, sample deviation, z-score and change of each metric; the last ``before`` rows
     per key are carried across micro-batches, so windows do not break at their edges."""
-    types = dict(stream.dtypes)
     made = [f"{m}_{n} double" for m in metrics for n in ("roll_mean", "roll_std", "zscore", "change")]
-    output = f"{row_id} {types[row_id]}, {key} {types[key]}, {ts} timestamp, " + ", ".join(made)
+    output = ", ".join([f"{row_id} {dict(stream.dtypes)[row_id]}", *made])
 
-    def handle(group: tuple, rows: pd.DataFrame, carry: dict) -> tuple[pd.DataFrame, dict]:
-        out = {row_id: rows[row_id], key: group[0], ts: rows[ts]}
-        kept = {}
+    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
+        out, kept = {row_id: rows[row_id]}, {}
         for m in metrics:
-            past = [np.nan if v is None else v for v in carry.get(m, [])]
-            values = np.concatenate([past, rows[m].to_numpy(dtype=np.float64)])
+            past = carry.get(m, [])
+            values = np.array([*past, *rows[m]], dtype=np.float64)
             padded = np.concatenate([np.full(before, np.nan), values])
             frames = np.lib.stride_tricks.sliding_window_view(padded, before + 1)[len(past) :]
             there = ~np.isnan(frames)
             n = there.sum(axis=1)
-            filled = np.where(there, frames, 0.0)
-            mean = np.divide(filled.sum(axis=1), n, out=np.full(len(n), np.nan), where=n > 0)
+            missing = np.full(len(n), np.nan)
+            mean = np.divide(np.where(there, frames, 0.0).sum(axis=1), n, out=missing.copy(), where=n > 0)
             spread = np.where(there, frames - mean[:, None], 0.0)
-            std = np.sqrt(np.divide((spread**2).sum(axis=1), n - 1, out=np.full(len(n), np.nan), where=n > 1))
+            std = np.sqrt(np.divide((spread**2).sum(axis=1), n - 1, out=missing.copy(), where=n > 1))
             now = values[len(past) :]
             previous = np.concatenate([[np.nan], values])[len(past) : len(values)]
             out[f"{m}_roll_mean"] = mean
             out[f"{m}_roll_std"] = std
-            out[f"{m}_zscore"] = np.divide(now - mean, std, out=np.full(len(n), np.nan), where=std > 0)
+            out[f"{m}_zscore"] = np.divide(now - mean, std, out=missing.copy(), where=std > 0)
             out[f"{m}_change"] = now - previous
             kept[m] = [None if np.isnan(v) else float(v) for v in values[-before:]]
-        return pd.DataFrame(out), kept
+        return out, kept
 
-    slim = zoned(stream.select(row_id, key, ts, *metrics), ts)
-    return in_event_order(slim, [key], ts, [row_id], handle, output, delay)
+    return in_event_order(stream, [key], ts, [row_id], metrics, handle, output, delay)
 
 
 # --- incidents -----------------------------------------------------------------------------------
@@ -95,21 +91,19 @@ def incident_stream(
     anomalies: DataFrame, key: str, ts: str, row_id: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS, delay: str = DELAY
 ) -> DataFrame:
     """Anomalous rows with ``opens`` and ``incident_no``; the last time per key is carried on."""
-    types = dict(anomalies.dtypes)
-    output = f"{row_id} {types[row_id]}, {key} {types[key]}, {ts} timestamp, opens int, incident_no long"
+    output = f"{row_id} {dict(anomalies.dtypes)[row_id]}, opens int, incident_no long"
 
-    def handle(group: tuple, rows: pd.DataFrame, carry: dict) -> tuple[pd.DataFrame, dict]:
-        at = micros(rows[ts]).to_numpy()
-        last = carry.get("last")
-        gaps = np.diff(at, prepend=at[0] if last is None else last)
-        opens = (gaps > gap_seconds * 1_000_000).astype("int32")
-        if last is None:
-            opens[0] = 1
-        numbers = carry.get("incidents", 0) + np.cumsum(opens)
-        out = pd.DataFrame({row_id: rows[row_id], key: group[0], ts: rows[ts], "opens": opens, "incident_no": numbers})
-        return out, {"last": int(at[-1]), "incidents": int(numbers[-1])}
+    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
+        last, number = carry.get("last"), carry.get("incidents", 0)
+        opens, numbers = [], []
+        for at in rows[AT]:
+            fresh = last is None or at - last > gap_seconds * 1_000_000
+            last, number = at, number + fresh
+            opens.append(int(fresh))
+            numbers.append(number)
+        return {row_id: rows[row_id], "opens": opens, "incident_no": numbers}, {"last": last, "incidents": number}
 
-    return in_event_order(zoned(anomalies.select(row_id, key, ts), ts), [key], ts, [row_id], handle, output, delay)
+    return in_event_order(anomalies, [key], ts, [row_id], [], handle, output, delay)
 
 
 def closed_incidents(anomalies: DataFrame, key: str, ts: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS, delay: str = DELAY) -> DataFrame:
@@ -146,15 +140,15 @@ def approval_stream(events: DataFrame, key: str, ts: str, tie: Sequence[str], ex
     ``expire_seconds`` a decision that comes later than that is refused as inactive, too.
     """
     types = dict(events.dtypes)
-    output = f"{key} {types[key]}, {ts} timestamp, " + "".join(f"{c} {types[c]}, " for c in tie) + "status string"
+    output = "".join(f"{c} {types[c]}, " for c in tie) + "status string"
 
-    def handle(group: tuple, rows: pd.DataFrame, carry: dict) -> tuple[pd.DataFrame, dict]:
+    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
         status, since = carry.get("status"), carry.get("since")
         told = []
-        for at, approved in zip(micros(rows[ts]), rows["approved"]):
-            if pd.isna(approved):
+        for at, approved in zip(rows[AT], rows["approved"]):
+            if approved is None:
                 if status is None:
-                    status, since = "pending_human_approval", int(at)
+                    status, since = "pending_human_approval", at
                 told.append(status)
             elif status is None:
                 told.append("unknown_thread")
@@ -163,12 +157,11 @@ def approval_stream(events: DataFrame, key: str, ts: str, tie: Sequence[str], ex
             else:
                 status = "approved" if approved else "rejected"
                 told.append(status)
-        out = rows[[key, ts, *tie]].assign(status=told)
-        return out, {"status": status, "since": since}
+        return {**{c: rows[c] for c in tie}, "status": told}, {"status": status, "since": since}
 
     # of the same instant, a request comes first
-    keyed = zoned(events.select(key, ts, *tie, "approved"), ts).withColumn("_rank", F.when(F.col("approved").isNull(), 0).otherwise(1))
-    return in_event_order(keyed, [key], ts, ["_rank", *tie], handle, output, delay)
+    ranked = events.withColumn("_rank", F.when(F.col("approved").isNull(), 0).otherwise(1))
+    return in_event_order(ranked, [key], ts, ["_rank", *tie], ["approved"], handle, output, delay)
 
 
 # --- trace ingest and late rows ------------------------------------------------------------------
@@ -195,9 +188,11 @@ def ingest_traces(traces: DataFrame, facts_path: str, rollup_path: str) -> None:
 
 
 def split_late(stream: DataFrame, keys: Sequence[str], ts: str, late_path: str, on_time_path: str, delay_seconds: int = 600) -> None:
-    """Late rows to a side table, the others to the main one."""
+    """Late rows to a side table, the others to the main one. Each micro-batch has its own folder,
+    so that one which is run again replaces what it wrote before."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        writers.route(batch, F.col("is_late"), late_path, on_time_path)
+        part = f"batch={batch_id}"
+        writers.route(batch, F.col("is_late"), f"{late_path}/{part}", f"{on_time_path}/{part}", mode="overwrite")
 
     run_batches(mark_late(stream, keys, ts, delay_seconds), "late", each)
