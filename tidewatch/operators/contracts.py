@@ -58,10 +58,6 @@ def extract_object(text: Column) -> Column:
     return F.coalesce(parse_object(clean), parse_object(inner), parse_object(recovered_text(clean)))
 
 
-def object_keys(doc: Column) -> Column:
-    return F.json_object_keys(F.to_json(doc))
-
-
 # --- rules ---------------------------------------------------------------------------------------
 
 
@@ -97,34 +93,31 @@ class Contract:
 NUMBERS = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def _raw(doc: Column, name: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", "variant")
+def _typed_value(variant: Column, kind: str) -> Column:
+    """Value of a field's VARIANT, null where it has no such value."""
+    if kind == "number":
+        return F.try_variant_get(variant, "$", "double")
+    if kind == "strings":
+        return F.try_variant_get(variant, "$", "array<string>")
+    if kind == "record":
+        return variant
+    text = F.try_variant_get(variant, "$", "string")
+    if kind == "boolean":
+        word = F.lower(text)
+        return F.when(word.isin(TRUE_WORDS), True).when(word.isin(FALSE_WORDS), False)
+    if kind == "time":
+        return text.try_cast("timestamp")
+    return text
 
 
 def read_field(doc: Column, f: Field) -> Column:
-    """Typed value of a field, null where it is absent or has no such value."""
-    path = f"$.{f.name}"
-    as_text = F.try_variant_get(doc, path, "string")
-    if f.kind == "number":
-        return F.try_variant_get(doc, path, "double")
-    if f.kind == "boolean":
-        word = F.lower(as_text)
-        return F.when(word.isin(TRUE_WORDS), True).when(word.isin(FALSE_WORDS), False)
-    if f.kind == "strings":
-        return F.try_variant_get(doc, path, "array<string>")
-    if f.kind == "record":
-        return _raw(doc, f.name)
-    if f.kind == "time":
-        return as_text.try_cast("timestamp")
-    return as_text
-
-
-def _broken(doc: Column, f: Field) -> list[tuple[str, Column]]:
-    kind = F.schema_of_variant(_raw(doc, f.name))
-    absent = kind.isNull()
+    return _typed_value(F.try_variant_get(doc, f"$.{f.name}", "variant"), f.kind)
+
+
+def _field_rules(f: Field, kind: Column, value: Column) -> list[tuple[str, Column]]:
+    """``(name, broken)`` of one field, from the JSON type it came with and its typed value."""
     null = kind == "VOID"
-    there = ~absent & ~null
-    value = read_field(doc, f)
+    there = kind.isNotNull() & ~null
     fits = {
         "string": kind == "STRING",
         "number": F.regexp_like(kind, F.lit(NUMBERS)),
@@ -137,18 +130,20 @@ def _broken(doc: Column, f: Field) -> list[tuple[str, Column]]:
         fits = fits | (F.regexp_like(kind, F.lit(NUMBERS + "|^STRING$|^BOOLEAN$")) & value.isNotNull())
     rules: list[tuple[str, Column]] = []
     if f.required:
-        rules.append((f"missing:{f.name}", absent))
+        rules.append((f"missing:{f.name}", kind.isNull()))
     rules.append((f"type:{f.name}", (there & ~fits) if f.nullable else (null | (there & ~fits))))
     usable = there & fits
-    if f.kind == "number":
-        limits = [
-            value < f.at_least if f.at_least is not None else None,
-            value > f.at_most if f.at_most is not None else None,
-            value <= f.above if f.above is not None else None,
-        ]
-        for limit in limits:
-            if limit is not None:
-                rules.append((f"range:{f.name}", usable & (limit | F.isnan(value))))
+    limits = [
+        value < f.at_least if f.at_least is not None else None,
+        value > f.at_most if f.at_most is not None else None,
+        value <= f.above if f.above is not None else None,
+    ]
+    outside = [limit for limit in limits if limit is not None]
+    if outside:
+        beyond = F.isnan(value)
+        for limit in outside:
+            beyond = beyond | limit
+        rules.append((f"range:{f.name}", usable & beyond))
     if f.kind in ("string", "strings"):
         size = F.length(value) if f.kind == "string" else F.size(value)
         if f.min_length is not None:
@@ -162,41 +157,40 @@ def _broken(doc: Column, f: Field) -> list[tuple[str, Column]]:
     return rules
 
 
-def violations(doc: Column, contract: Contract, prefix: str = "") -> Column:
-    """Names of the broken rules of one record, in rule order; null record -> ``not_an_object``."""
+def _with_rules(df: DataFrame, doc: str, contract: Contract, prefix: str, tag: str) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """Adds columns for each field's VARIANT, type and value, so that each is taken out of the record
+    once however many rules look at it; returns the rules on those columns."""
+    spots = {f.name: i for i, f in enumerate(contract.fields)}
+    column = lambda what, name: F.col(f"{tag}{what}{spots[name]}")
+    df = df.withColumns({f"{tag}v{i}": F.try_variant_get(doc, f"$.{n}", "variant") for n, i in spots.items()})
+    df = df.withColumns({f"{tag}k{i}": F.schema_of_variant(f"{tag}v{i}") for i in spots.values()})
+    df = df.withColumns({f"{tag}x{spots[f.name]}": _typed_value(column("v", f.name), f.kind) for f in contract.fields})
     rules: list[tuple[str, Column]] = []
     if contract.closed:
-        extra = F.array_except(object_keys(doc), F.array(*[F.lit(f.name) for f in contract.fields]))
-        rules.append(("extra_keys", F.size(extra) > 0))
-    nested = []
+        keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
+        rules.append(("extra_keys", F.size(F.array_except(keys, F.array(*[F.lit(n) for n in spots]))) > 0))
     for f in contract.fields:
-        rules.extend(_broken(doc, f))
-        if f.record is not None:
-            inner = _raw(doc, f.name)
-            is_object = F.coalesce(F.schema_of_variant(inner).startswith("OBJECT"), F.lit(False))
-            nested.append(
-                F.when(is_object, violations(inner, f.record, f"{prefix}{f.name}.")).otherwise(
-                    F.array().cast("array<string>")
-                )
-            )
-    by_name = {f.name: f for f in contract.fields}
-    reader = lambda name: read_field(doc, by_name[name])
+        rules.extend(_field_rules(f, column("k", f.name), column("x", f.name)))
     for name, rule in contract.across.items():
-        rules.append((name, rule(reader)))
-    marks = F.array_compact(F.array(*[F.when(broken, F.lit(prefix + name)) for name, broken in rules]))
-    marks = F.array_distinct(marks)
-    if nested:
-        marks = F.concat(marks, *nested)
-    if prefix:
-        return marks
-    return F.when(doc.isNull(), F.array(F.lit("not_an_object"))).otherwise(marks)
+        rules.append((name, rule(lambda n: column("x", n))))
+    rules = [(prefix + name, broken) for name, broken in rules]
+    for f in contract.fields:
+        if f.record is not None:
+            is_object = column("k", f.name).startswith("OBJECT")
+            df, inner = _with_rules(df, f"{tag}v{spots[f.name]}", f.record, f"{prefix}{f.name}.", f"{tag}{spots[f.name]}_")
+            rules.extend((name, is_object & broken) for name, broken in inner)
+    return df, rules
 
 
 def check(df: DataFrame, raw: str, contract: Contract, repair: bool = False) -> DataFrame:
-    """Adds ``doc`` (VARIANT or null) and ``violations``."""
+    """Adds ``doc`` (VARIANT or null) and ``violations``, the names of the broken rules in order; a
+    text that is no JSON object has the one violation ``not_an_object``."""
     text = F.col(raw)
     parsed = df.withColumn("doc", extract_object(text) if repair else parse_object(text))
-    return parsed.withColumn("violations", violations(F.col("doc"), contract))
+    staged, rules = _with_rules(parsed, "doc", contract, "", "_r")
+    marks = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
+    found = F.when(F.col("doc").isNull(), F.array(F.lit("not_an_object"))).otherwise(marks)
+    return staged.select(*parsed.columns, found.alias("violations"))
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
 from tidewatch.functions import text as X
-from tidewatch.operators.ordered import MAX_GROUP_ROWS, largest_group
+from tidewatch.operators.ordered import MAX_GROUP_ROWS, fits, largest_group
 
 LIST_ROWS = 10_000
 
@@ -163,12 +163,11 @@ def hash_rank(
     A stratum larger than ``limit`` is cut by the leading hash digits, which spread evenly: ranks
     within a cut plus the sizes of the earlier cuts.
     """
-    rows = largest_group(df, strata) if group_rows is None else group_rows
     hashed = df.withColumn("_h", seeded_hash(seed, F.col(key)))
-    if rows <= limit:
+    if fits(df, strata, limit, group_rows):
         order = Window.partitionBy(*strata).orderBy("_h", key)
         return hashed.withColumn(name, F.row_number().over(order)).drop("_h")
-    digits = max(1, math.ceil(math.log(4 * rows / limit, 16)))
+    digits = max(1, math.ceil(math.log(4 * largest_group(df, strata) / limit, 16)))
     cut = hashed.withColumn("_cut", F.substring("_h", 1, digits))
     local = cut.withColumn("_rn", F.row_number().over(Window.partitionBy("_cut", *strata).orderBy("_h", key)))
     sizes = cut.groupBy("_cut", *strata).agg(F.count("*").alias("_n"))
@@ -193,9 +192,10 @@ def stratified_split(
     test_percent_of_held: int = 50,
     seed: int = 42,
     limit: int = MAX_GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``split`` (train/val/test), exact shares per stratum, the same on every run."""
-    ranked = hash_rank(df, [stratum], key, seed, "_rank", limit)
+    ranked = hash_rank(df, [stratum], key, seed, "_rank", limit, group_rows)
     sizes = df.groupBy(stratum).agg(F.count("*").alias("_n")).withColumnRenamed(stratum, "_s")
     percent = lambda n, p: F.floor((n * p + 99) / 100)
     held = percent(F.col("_n"), held_percent)

@@ -47,36 +47,40 @@ def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> D
     )
 
 
-def curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (), limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def curve(
+    df: DataFrame, y: str, score: str, by: Sequence[str] = (), limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """One row per distinct score, from high to low: ``tp`` and ``fp`` when everything at or above
     it is predicted positive."""
     counts = score_counts(df, y, score, by)
     return running_sums(
-        counts, list(by), [F.col(score).desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, limit
+        counts, list(by), [F.col(score).desc()], {"tp": F.col("pos"), "fp": F.col("neg")}, limit, group_rows
     )
 
 
-def roc_points(df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def roc_points(df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None) -> DataFrame:
     totals = df.agg(F.struct(F.count_if(F.col(y) == 1).alias("p"), F.count_if(F.col(y) != 1).alias("n"))).scalar()
-    return curve(df, y, score, limit=limit).select(
+    return curve(df, y, score, limit=limit, group_rows=group_rows).select(
         F.col(score).alias("threshold"),
         F.try_divide(F.col("fp"), totals.getField("n")).alias("fpr"),
         F.try_divide(F.col("tp"), totals.getField("p")).alias("tpr"),
     )
 
 
-def pr_points(df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def pr_points(df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None) -> DataFrame:
     positives = df.agg(F.count_if(F.col(y) == 1)).scalar()
-    return curve(df, y, score, limit=limit).select(
+    return curve(df, y, score, limit=limit, group_rows=group_rows).select(
         F.col(score).alias("threshold"),
         ratio0(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.try_divide(F.col("tp"), positives).alias("recall"),
     )
 
 
-def areas(df: DataFrame, y: str, score: str, by: Sequence[str] = (), limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def areas(
+    df: DataFrame, y: str, score: str, by: Sequence[str] = (), limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """ROC area (ties count half) and average precision; null where a class is missing."""
-    steps = curve(df, y, score, by, limit)
+    steps = curve(df, y, score, by, limit, group_rows)
     above = F.col("tp") - F.col("pos")
     summed = steps.groupBy(*by).agg(
         F.sum(F.col("neg") * (above + F.col("pos") / 2.0)).alias("_pairs"),
@@ -121,15 +125,25 @@ def counts_at(df: DataFrame, y: str, score: str, thresholds: Sequence[float]) ->
     ).agg(F.collect_list(F.struct("_level", "n", "pos")).alias("_gaps"))
     grid = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(cuts.index(t) + 1.0).alias("level")) for t in thresholds])
     zero = F.lit(0).cast("long")
-    total = lambda at_least, name: F.aggregate(
-        F.filter("_gaps", lambda g: g["_level"] >= at_least), zero, lambda acc, g: acc + g[name]
+    start = F.struct(zero.alias("hits"), zero.alias("predicted"), zero.alias("pos"))
+
+    def add(acc: Column, g: Column) -> Column:
+        above = g["_level"] >= F.col("_t.level")
+        return F.struct(
+            (acc["hits"] + F.when(above, g["pos"]).otherwise(0)).alias("hits"),
+            (acc["predicted"] + F.when(above, g["n"]).otherwise(0)).alias("predicted"),
+            (acc["pos"] + g["pos"]).alias("pos"),
+        )
+
+    summed = gaps.select("_gaps", F.posexplode(grid).alias("step", "_t")).select(
+        "step", F.col("_t.t").alias("threshold"), F.aggregate("_gaps", start, add).alias("_s")
     )
-    swept = gaps.select("_gaps", F.posexplode(grid).alias("step", "_t")).select(
+    swept = summed.select(
         "step",
-        F.col("_t.t").alias("threshold"),
-        total(F.col("_t.level"), "pos").alias("tp"),
-        (total(F.col("_t.level"), "n") - total(F.col("_t.level"), "pos")).alias("fp"),
-        (total(F.lit(0.0), "pos") - total(F.col("_t.level"), "pos")).alias("fn"),
+        "threshold",
+        F.col("_s.hits").alias("tp"),
+        (F.col("_s.predicted") - F.col("_s.hits")).alias("fp"),
+        (F.col("_s.pos") - F.col("_s.hits")).alias("fn"),
     )
     return swept.withColumns(with_scores())
 
@@ -138,11 +152,13 @@ def percentile_grid(first: float = 80.0, stop: float = 99.5, step: float = 0.5)
     return [first + i * step for i in range(round((stop - first) / step))]
 
 
-def percentile_sweep(df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def percentile_sweep(
+    df: DataFrame, y: str, score: str, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """Metrics at the score's percentiles 80, 80.5, … 99. The thresholds are numbers the caller
     keeps with the model, so they are read to the driver."""
     percentiles = percentile_grid()
-    values = exact_quantiles(df, [], score, [p / 100 for p in percentiles], limit).first()
+    values = exact_quantiles(df, [], score, [p / 100 for p in percentiles], limit, group_rows).first()
     swept = counts_at(df, y, score, [float(v) for v in values])
     names = F.array(*[F.lit(p) for p in percentiles])
     return swept.withColumn("percentile", F.get(names, F.col("step"))).drop("step")
@@ -237,11 +253,13 @@ def long_scores(df: DataFrame, y: str, models: Mapping[str, tuple[str, float]])
     return df.select(F.col(y).alias("y"), F.explode(cells).alias("m")).select("y", "m.*")
 
 
-def model_comparison(df: DataFrame, y: str, models: Mapping[str, tuple[str, float]], limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def model_comparison(
+    df: DataFrame, y: str, models: Mapping[str, tuple[str, float]], limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """Precision, recall, F1 and ROC area per model, four places."""
     long = long_scores(df, y, models)
     scored = binary_metrics(long, "y", F.col("predicted"), by=["model", "place"])
-    joined = scored.join(areas(long, "y", "score", ["model"], limit), "model")
+    joined = scored.join(areas(long, "y", "score", ["model"], limit, group_rows), "model")
     return joined.select("model", "place", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1", "roc_auc")])
 
 

@@ -12,8 +12,10 @@ from tidewatch.functions import fixed_values as V
 from tidewatch.operators.ordered import (
     MAX_GROUP_ROWS,
     exact_quantiles,
+    fits,
     global_index,
     over_rows,
+    with_row_index,
 )
 
 
@@ -125,10 +127,11 @@ def batch_local_features(
     rolled: Sequence[Rolled],
     batch_rows: int = V.REPLAY_BATCH_ROWS,
     limit: int = MAX_GROUP_ROWS,
+    table_rows: int | None = None,
     **options,
 ) -> DataFrame:
     """Rolling features that restart with every replay batch of ``batch_rows`` rows in time order."""
-    batched = replay_batches(df, order, batch_rows, limit)
+    batched = replay_batches(df, order, batch_rows, limit, table_rows)
     # a group is at most one batch
     return rolling_features(
         batched, ["batch_id", *keys], order, rolled, limit=limit, group_rows=batch_rows, **options
@@ -136,9 +139,13 @@ def batch_local_features(
 
 
 def replay_batches(
-    df: DataFrame, order: Sequence[str], batch_rows: int = V.REPLAY_BATCH_ROWS, limit: int = MAX_GROUP_ROWS
+    df: DataFrame,
+    order: Sequence[str],
+    batch_rows: int = V.REPLAY_BATCH_ROWS,
+    limit: int = MAX_GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
-    indexed = global_index(df, order, "row_index", limit)
+    indexed = global_index(df, order, "row_index", limit, group_rows)
     return indexed.withColumn("batch_id", F.floor(F.col("row_index") / batch_rows).cast("long")).drop("row_index")
 
 
@@ -156,11 +163,10 @@ def ntile(
     group_rows: int | None = None,
 ) -> DataFrame:
     """Equal-count buckets over the whole table, the first ones one row larger when uneven."""
-    rows = df.count() if group_rows is None else group_rows
-    if rows <= limit:
+    if fits(df, [], limit, group_rows):
         return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)))
-    small, larger = divmod(df.count() if group_rows is not None else rows, buckets)
-    indexed = global_index(df, order, "_i", limit, rows)
+    small, larger = divmod(df.count(), buckets)
+    indexed = with_row_index(df, order, "_i")
     edge = larger * (small + 1)
     bucket = F.when(F.col("_i") < edge, F.floor(F.col("_i") / (small + 1))).otherwise(
         larger + F.floor((F.col("_i") - edge) / max(small, 1))
@@ -168,9 +174,11 @@ def ntile(
     return indexed.withColumn(name, (bucket + 1).cast("int")).drop("_i")
 
 
-def account_features(df: DataFrame, limit: int = MAX_GROUP_ROWS, tie: str = "account_id") -> DataFrame:
+def account_features(
+    df: DataFrame, limit: int = MAX_GROUP_ROWS, tie: str = "account_id", group_rows: int | None = None
+) -> DataFrame:
     """Revenue quartile (1 = largest), threshold flags and monthly sessions of an account table."""
-    ranked = ntile(df, [F.col("arr").desc(), F.col(tie)], 4, "arr_quartile", limit)
+    ranked = ntile(df, [F.col("arr").desc(), F.col(tie)], 4, "arr_quartile", limit, group_rows)
     return ranked.withColumns(
         {
             "high_discount_flag": F.when(F.col("discount_pct") > 0.2, 1).otherwise(0),
@@ -227,9 +235,11 @@ def standard_scaled(df: DataFrame, fit_on: DataFrame, columns: Mapping[str, str]
     return df.withColumns(scaled)
 
 
-def top_share_cutoff(df: DataFrame, column: str, share: float = 0.9, limit: int = MAX_GROUP_ROWS) -> Column:
+def top_share_cutoff(
+    df: DataFrame, column: str, share: float = 0.9, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> Column:
     """Linear-interpolated quantile of the table as a scalar subquery."""
-    return exact_quantiles(df, [], column, [share], limit).scalar()
+    return exact_quantiles(df, [], column, [share], limit, group_rows).scalar()
 
 
 # --- schema-driven projections -------------------------------------------------------------------

@@ -29,8 +29,13 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def _resolve(df: DataFrame, keys: Sequence[str], group_rows: int | None) -> int:
-    return largest_group(df, keys) if group_rows is None else group_rows
+def fits(df: DataFrame, keys: Sequence[str], limit: int, group_rows: int | None = None) -> bool:
+    """Whether every group is small enough for one task. ``group_rows`` is an upper bound the caller
+    knows, such as the row count in the footers of the base table; it saves the counting pass as
+    long as it is within the limit."""
+    if group_rows is not None and group_rows <= limit:
+        return True
+    return largest_group(df, keys) <= limit
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index") -> DataFrame:
@@ -62,7 +67,7 @@ def global_index(
     group_rows: int | None = None,
 ) -> DataFrame:
     """``with_row_index``, or a plain ``row_number`` while the whole table fits one task."""
-    if _resolve(df, [], group_rows) <= limit:
+    if fits(df, [], limit, group_rows):
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
     return with_row_index(df, order, name)
 
@@ -81,7 +86,7 @@ def over_rows(
     ``compute`` gets the frame and an ordered window. In the chunked form the last ``before`` rows
     of a chunk are also handed to the next chunk as context and dropped again afterwards.
     """
-    if _resolve(df, keys, group_rows) <= limit:
+    if fits(df, keys, limit, group_rows):
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
     size = max(limit, before + 1)
     indexed = with_row_index(df, [*keys, *order], _AT)
@@ -108,7 +113,7 @@ def running_sums(
     group_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running totals per key, added as the columns named in ``sums``."""
-    if _resolve(df, keys, group_rows) <= limit:
+    if fits(df, keys, limit, group_rows):
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(window) for name, value in sums.items()})
     ascending = [*keys, *order]
@@ -151,10 +156,10 @@ def exact_quantiles(
     are counted first, the counts are accumulated in order, and the ranks are read off.
     """
     known = df.filter(F.col(value).isNotNull())
-    if _resolve(known, keys, group_rows) <= limit:
-        return known.groupBy(*keys).agg(
-            *[F.percentile(value, F.lit(float(f))).alias(f"q{i}") for i, f in enumerate(fractions)]
-        )
+    if fits(known, keys, limit, group_rows):
+        wanted = F.array(*[F.lit(float(f)) for f in fractions])
+        together = known.groupBy(*keys).agg(F.percentile(value, wanted).alias("_q"))
+        return together.select(*keys, *[F.get("_q", F.lit(i)).alias(f"q{i}") for i in range(len(fractions))])
     counted = known.groupBy(*keys, value).agg(F.count("*").alias("_c"))
     ranked = running_sums(counted, keys, [value], {"_upto": F.col("_c")}, limit=limit)
     totals = known.groupBy(*keys).agg(F.count("*").alias("_n")).select(

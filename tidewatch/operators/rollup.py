@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import fixed_values as V
-from tidewatch.operators.ordered import MAX_GROUP_ROWS, exact_quantiles, largest_group
+from tidewatch.operators.ordered import MAX_GROUP_ROWS, exact_quantiles, fits
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -113,19 +113,18 @@ def _counts() -> list[Column]:
     ]
 
 
-def daily_rollup(facts: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def daily_rollup(facts: DataFrame, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None) -> DataFrame:
     """One row per date, category and tier. The 95th percentile is exact; a group too large for one
     buffer gets it from value counts instead."""
     keys = ["rollup_date", "attack_category", "risk_tier"]
     rows = facts.withColumns({"rollup_date": event_date(), "risk_tier": F.col("classifier_risk_tier")}).withColumn(
         "_latency", F.col("total_latency_ms").cast("double")
     )
-    biggest = largest_group(rows, keys)
     two = lambda c: F.round(c.cast("decimal(20,6)"), 2).cast("decimal(12,2)")
-    if biggest <= limit:
+    if fits(rows, keys, limit, group_rows):
         rolled = rows.groupBy(*keys).agg(*_counts(), two(F.percentile("_latency", F.lit(0.95))).alias("p95_latency_ms"))
     else:
-        tails = exact_quantiles(rows, keys, "_latency", [0.95], limit, biggest)
+        tails = exact_quantiles(rows, keys, "_latency", [0.95], limit)
         rolled = (
             rows.groupBy(*keys)
             .agg(*_counts())
@@ -135,10 +134,12 @@ def daily_rollup(facts: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
     return rolled.withColumn("sla_breach_rate", F.round(share, 4).cast("decimal(5,4)"))
 
 
-def rollup_of_dates(facts: DataFrame, dates: DataFrame, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def rollup_of_dates(
+    facts: DataFrame, dates: DataFrame, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """Rollup rows of the touched dates only, recomputed from all of their facts."""
     dated = facts.withColumn("rollup_date", event_date())
-    return daily_rollup(dated.join(dates, "rollup_date", "left_semi").drop("rollup_date"), limit)
+    return daily_rollup(dated.join(dates, "rollup_date", "left_semi").drop("rollup_date"), limit, group_rows)
 
 
 def day_snapshot(facts: DataFrame, day: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from tidewatch.operators import decisions as D
 from tidewatch.operators import evaluate as E
 from tidewatch.operators import metrics as M
 from tidewatch.operators import models as Mo
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, spread, table
 from tidewatch.session import shared_dir
 
 # Customers as accounts: revenue from orders, usage and support signals from line items.
@@ -71,7 +71,7 @@ SELECT account_id, weekly_active_sessions, feature_adoption_counts, seat_utiliza
 FROM acc""",
 )
 def account_features(spark, sf):
-    return M.account_features(accounts(spark, sf))
+    return M.account_features(accounts(spark, sf), group_rows=bound(spark, sf, "customer"))
 
 
 MODEL_COLUMNS = [
@@ -126,7 +126,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, coalesce(string_agg(d.n, ',' ORDER B
 FROM r GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice""",
 )
 def topk_array_drivers(spark, sf):
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"))
     terms = F.array(
         F.col("l_quantity") - 25.0, 100.0 * F.col("l_discount") - 5.0, 4.0 - 100.0 * F.col("l_tax"), 20.0 - F.col("l_extendedprice") / 2000.0
     )
@@ -199,7 +199,10 @@ def thread_states(spark, sf):
 
 
 def boosted_rows(spark, sf):
-    rows = C.stratified_split(M.account_features(accounts(spark, sf)), "churn", "account_id")
+    at_most = bound(spark, sf, "customer")
+    rows = C.stratified_split(
+        M.account_features(accounts(spark, sf), group_rows=at_most), "churn", "account_id", group_rows=at_most
+    )
     ready = Mo.with_vector(rows.withColumn("label", F.col("churn").cast("double")), MODEL_COLUMNS)
     train = Mo.pos_weight(ready.filter(F.col("split") == "train"))
     return ready, train

@@ -8,7 +8,7 @@ from tidewatch.operators import decisions as D
 from tidewatch.operators import evaluate as E
 from tidewatch.operators import metrics as M
 from tidewatch.operators.ordered import over_rows
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, table
 
 LABELLED_SQL = """
 lab AS (
@@ -56,7 +56,7 @@ n AS (SELECT count(*) FILTER (WHERE quality = 1) AS np, count(*) FILTER (WHERE q
 SELECT round((sr - np * (np + 1) / 2.0) / (np * nn), 9) AS roc_auc FROM n""",
 )
 def roc_auc(spark, sf):
-    return E.areas(labelled(spark, sf), "quality", "p").select(F.round("roc_auc", 9).alias("roc_auc"))
+    return E.areas(labelled(spark, sf), "quality", "p", group_rows=bound(spark, sf, "labels")).select(F.round("roc_auc", 9).alias("roc_auc"))
 
 
 CURVE_SQL = f"""{LABELLED_SQL}, s AS (
@@ -67,17 +67,17 @@ n AS (SELECT sum(pos) AS np, sum(neg) AS nn FROM s)"""
 
 @query("pr_ap", f"WITH {CURVE_SQL} SELECT round(sum(pos / np * tp / (tp + fp)), 9) AS average_precision FROM c, n")
 def pr_ap(spark, sf):
-    return E.areas(labelled(spark, sf), "quality", "p").select(F.round("average_precision", 9).alias("average_precision"))
+    return E.areas(labelled(spark, sf), "quality", "p", group_rows=bound(spark, sf, "labels")).select(F.round("average_precision", 9).alias("average_precision"))
 
 
 @query("roc_curve", f"WITH {CURVE_SQL} SELECT p AS threshold, fp / nn AS fpr, tp / np AS tpr FROM c, n")
 def roc_curve(spark, sf):
-    return E.roc_points(labelled(spark, sf), "quality", "p")
+    return E.roc_points(labelled(spark, sf), "quality", "p", group_rows=bound(spark, sf, "labels"))
 
 
 @query("pr_curve", f"WITH {CURVE_SQL} SELECT p AS threshold, tp / (tp + fp) AS precision, tp / np AS recall FROM c, n")
 def pr_curve(spark, sf):
-    return E.pr_points(labelled(spark, sf), "quality", "p")
+    return E.pr_points(labelled(spark, sf), "quality", "p", group_rows=bound(spark, sf, "labels"))
 
 
 @query(
@@ -117,7 +117,7 @@ swept AS (SELECT *, {score_sql()} FROM c)"""
     f"WITH {PERCENTILES_SQL} SELECT percentile, round(threshold, 6) AS threshold, tp, fp, fn, precision, recall, f1 FROM swept",
 )
 def percentile_sweep(spark, sf):
-    done = E.percentile_sweep(labelled(spark, sf), "toxic", "n_chars")
+    done = E.percentile_sweep(labelled(spark, sf), "toxic", "n_chars", group_rows=bound(spark, sf, "labels"))
     return done.withColumn("threshold", F.round("threshold", 6))
 
 
@@ -127,7 +127,7 @@ def percentile_sweep(spark, sf):
 FROM swept ORDER BY f1 DESC, percentile LIMIT 1""",
 )
 def calibrated_threshold(spark, sf):
-    swept = E.percentile_sweep(labelled(spark, sf), "toxic", "n_chars")
+    swept = E.percentile_sweep(labelled(spark, sf), "toxic", "n_chars", group_rows=bound(spark, sf, "labels"))
     return E.best_percentile(swept).withColumn("threshold", F.round("threshold", 6))
 
 
@@ -150,7 +150,7 @@ def accounts(spark, sf):
 @query("top_decile_segment", f"WITH {ACCOUNT_SQL} SELECT c_custkey, arr FROM top")
 def top_decile_segment(spark, sf):
     rows = accounts(spark, sf)
-    return rows.filter(F.col("arr") >= M.top_share_cutoff(rows, "arr")).select("c_custkey", "arr")
+    return rows.filter(F.col("arr") >= M.top_share_cutoff(rows, "arr", group_rows=bound(spark, sf, "customer"))).select("c_custkey", "arr")
 
 
 @query(
@@ -161,7 +161,7 @@ SELECT threshold, recall FROM c ORDER BY recall DESC, threshold DESC LIMIT 1""",
 )
 def segment_recall_sweep(spark, sf):
     rows = accounts(spark, sf)
-    segment = rows.filter(F.col("arr") >= M.top_share_cutoff(rows, "arr"))
+    segment = rows.filter(F.col("arr") >= M.top_share_cutoff(rows, "arr", group_rows=bound(spark, sf, "customer")))
     return E.best_segment_threshold(E.segment_sweep(segment, "y", "p"))
 
 
@@ -173,7 +173,10 @@ pair AS (SELECT * FROM pred WHERE predicted IS NOT NULL)"""
 
 def previous_type(spark, sf):
     events = table(spark, sf, "events").select("user_id", "ts", "event_id", F.col("event_type").alias("truth"))
-    done = over_rows(events, ["user_id"], ["ts", "event_id"], 1, lambda f, w: f.withColumn("predicted", F.lag("truth").over(w)))
+    done = over_rows(
+        events, ["user_id"], ["ts", "event_id"], 1, lambda f, w: f.withColumn("predicted", F.lag("truth").over(w)),
+        group_rows=bound(spark, sf, "events"),
+    )
     return done.filter(F.col("predicted").isNotNull())
 
 
@@ -232,12 +235,12 @@ board AS (
 
 @query("model_leaderboard", f"WITH {LEADER_SQL} SELECT model, place, precision, recall, f1, roc_auc FROM board")
 def model_leaderboard(spark, sf):
-    return E.model_comparison(labelled(spark, sf), "toxic", MODELS)
+    return E.model_comparison(labelled(spark, sf), "toxic", MODELS, group_rows=bound(spark, sf, "labels"))
 
 
 @query("best_model", f"WITH {LEADER_SQL} SELECT model AS best_model FROM board ORDER BY f1 DESC, place LIMIT 1")
 def best_model(spark, sf):
-    return E.best_model(E.model_comparison(labelled(spark, sf), "toxic", MODELS))
+    return E.best_model(E.model_comparison(labelled(spark, sf), "toxic", MODELS, group_rows=bound(spark, sf, "labels")))
 
 
 @query(

@@ -22,3 +22,15 @@ def query(name: str, check: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bound(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Rows of a table, read from its footers: an upper bound on any group of its rows."""
+    return table(spark, sf_dir, name).count()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """For work that is heavy per row: a table with fewer file splits than cores is dealt out to all
+    of them. A table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

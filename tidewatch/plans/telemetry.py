@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import incidents as I
 from tidewatch.operators import metrics as M
-from tidewatch.operators.ordered import largest_group
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, table
 
 ORDER = ["ts", "event_id"]
 # the test events are sparse, so the gap is wider than the operator's default
@@ -21,9 +20,9 @@ def metric_events(spark, sf):
 
 
 def scored(spark, sf, key="event_type"):
-    """Events with their rolling z-score, and the size of the largest key."""
+    """Events with their rolling z-score, and a bound on the rows of a key."""
     events = table(spark, sf, "events").select("event_id", "ts", key, "value")
-    rows = largest_group(events, [key])
+    rows = bound(spark, sf, "events")
     done = M.rolling_features(events, [key], ORDER, [M.Rolled("value", "value", "value")], group_rows=rows)
     return done, rows
 
@@ -106,7 +105,9 @@ def rounded(df, ids, columns, places=6):
 
 @query("rolling_features", f"WITH base AS ({BASE_SQL})" + ROLL_SQL.format(keys="event_type"))
 def rolling_features(spark, sf):
-    done = M.rolling_features(metric_events(spark, sf), ["event_type"], ORDER, ROLLED, **EXTRA)
+    done = M.rolling_features(
+        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events"), **EXTRA
+    )
     return rounded(M.fill_gaps(done), ["event_id", "event_type", "value_per_k"], FEATURES)
 
 
@@ -117,7 +118,9 @@ base AS (SELECT *, CAST(floor(i / 50) AS BIGINT) AS batch_id FROM numbered)"""
     + ROLL_SQL.format(keys="batch_id, event_type").replace("event_type,\n", "event_type, batch_id,\n", 1),
 )
 def batch_local_features(spark, sf):
-    done = M.batch_local_features(metric_events(spark, sf), ["event_type"], ORDER, ROLLED, **EXTRA)
+    done = M.batch_local_features(
+        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, table_rows=bound(spark, sf, "events"), **EXTRA
+    )
     return rounded(M.fill_gaps(done), ["event_id", "event_type", "batch_id", "value_per_k"], FEATURES)
 
 
@@ -240,7 +243,9 @@ LEFT JOIN idx f ON f.event_type = x.event_type AND f.i = eff.fs""",
 def inject_spike_drift_flat(spark, sf):
     from tidewatch.operators.ordered import running_sums
 
-    numbered = running_sums(metric_events(spark, sf), ["event_type"], ORDER, {"i": F.lit(1)})
+    numbered = running_sums(
+        metric_events(spark, sf), ["event_type"], ORDER, {"i": F.lit(1)}, group_rows=bound(spark, sf, "events")
+    )
     rows = numbered.select("event_id", "event_type", "value", "k", F.col("value").alias("v2"), (F.col("i") - 1).alias("i"))
     kind = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("event_type")]
     windows = rows.filter(F.col("value") >= 250).select(

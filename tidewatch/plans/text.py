@@ -8,7 +8,7 @@ from tidewatch.functions import fixed_values as V
 from tidewatch.functions import text as X
 from tidewatch.operators import corpus as C
 from tidewatch.operators import metrics as M
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, spread, table
 
 # The role-play lexicon and the keyword lists hit no row of the test tables, so these queries pass
 # lists with words that occur there.
@@ -55,7 +55,7 @@ entropy AS (
 FROM documents""",
 )
 def text_features(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     text = F.col("text")
     raw = docs.select(
         "doc_id",
@@ -76,7 +76,7 @@ SELECT doc_id, round(h, 6) AS char_entropy,
 FROM entropy""",
 )
 def char_entropy_z(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     done = M.corpus_zscore(X.char_entropy(docs, "doc_id", "text"), {"char_entropy": "char_entropy_anomaly_score"})
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("char_entropy", "char_entropy_anomaly_score")])
 
@@ -96,7 +96,7 @@ SELECT d.doc_id, CAST({hits_sql('lower(text)', V.SPECIAL_TOKENS)} AS BIGINT) AS
 FROM documents d JOIN entropy e ON d.doc_id = e.doc_id""",
 )
 def served_text_features(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     done = C.numeric_text_features(docs, "doc_id", "text", LEXICON)
     places = ("imperative_verb_density", "roleplay_lexicon_score", "char_entropy")
     return done.withColumns({c: F.round(c, 4) for c in places}).withColumns(
@@ -122,7 +122,7 @@ OBFUSCATED_SQL = "(" + " OR ".join(SIGNALS_SQL.values()) + ")"
     + f", {OBFUSCATED_SQL}::INT AS obfuscated FROM documents",
 )
 def obfuscation_flags(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     signals = X.obfuscation_signals(F.col("text"))
     return docs.select(
         "doc_id",
@@ -141,7 +141,7 @@ raw AS (
 
 
 def corpus(spark, sf):
-    docs = table(spark, sf, "documents").withColumns({"rid": F.col("doc_id"), "part": F.lit(0)})
+    docs = spread(table(spark, sf, "documents")).withColumns({"rid": F.col("doc_id"), "part": F.lit(0)})
     talk = table(spark, sf, "conversations").withColumns(
         {"rid": F.col("conv_id") * 1000 + F.col("turn"), "part": F.lit(1)}
     )
@@ -259,7 +259,7 @@ split AS (SELECT *, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - test THEN
 
 def split_documents(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
-    return C.stratified_split(docs, "lang", "doc_id")
+    return C.stratified_split(docs, "lang", "doc_id", group_rows=bound(spark, sf, "documents"))
 
 
 @query("stratified_split", f"WITH {SPLIT_SQL} SELECT doc_id, lang, split FROM split")

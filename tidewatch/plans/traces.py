@@ -9,7 +9,7 @@ from tidewatch.operators import decisions as D
 from tidewatch.operators import incidents as I
 from tidewatch.operators import metrics as M
 from tidewatch.operators import rollup as R
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, spread, table
 from tidewatch.session import new_table_path
 from tidewatch.sources import readers, writers
 
@@ -217,7 +217,7 @@ def rollup_output(df):
 
 @query("daily_rollup", f"WITH {FACT_SQL} {ROLLUP_SQL}")
 def daily_rollup(spark, sf):
-    return rollup_output(R.daily_rollup(facts(spark, sf)))
+    return rollup_output(R.daily_rollup(facts(spark, sf), group_rows=bound(spark, sf, "events")))
 
 
 @query(
@@ -227,7 +227,7 @@ def daily_rollup(spark, sf):
 def rollup_touched(spark, sf):
     every = facts(spark, sf)
     late = table(spark, sf, "events").filter(F.col("value") >= 300).select(F.to_date("ts").alias("rollup_date")).distinct()
-    return rollup_output(R.rollup_of_dates(every, late))
+    return rollup_output(R.rollup_of_dates(every, late, group_rows=bound(spark, sf, "events")))
 
 
 @query(
@@ -392,7 +392,7 @@ NUM_TYPES = "('UBIGINT', 'BIGINT', 'DOUBLE')"
 
 
 def contract_query(spark, sf, raw, contract):
-    rows = base_events(spark, sf).select("event_id", F.expr(raw).alias("raw"))
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(raw).alias("raw"))
     checked = K.check(rows, "raw", contract)
     return checked.select("event_id", F.array_join("violations", ";").alias("violations"))
 
@@ -484,7 +484,7 @@ def contract_trace(spark, sf):
         F.lit('{"prompt_id":"p'), "event_id", F.lit('","triage":'), F.expr(TRIAGE_RAW), F.lit(',"sanitizer":null,"judge":'),
         F.expr(JUDGE_RAW), F.lit(',"final_disposition":"allow","total_latency_ms":'), F.col("value") - 20, F.lit("}"),
     )
-    checked = K.check(base_events(spark, sf).select("event_id", raw.alias("raw")), "raw", K.TRACE)
+    checked = K.check(spread(base_events(spark, sf)).select("event_id", raw.alias("raw")), "raw", K.TRACE)
     return checked.select("event_id", F.array_join("violations", ";").alias("violations"))
 
 
@@ -507,7 +507,7 @@ MESSY_RAW = """CASE
   SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
 )
 def messy_json(spark, sf):
-    rows = base_events(spark, sf).select("event_id", F.expr(MESSY_RAW).alias("raw"))
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(MESSY_RAW).alias("raw"))
     doc = K.extract_object(F.col("raw"))
     return rows.select("event_id", F.try_variant_get(doc, "$.n", "bigint").alias("n"))
 
@@ -528,7 +528,7 @@ SELECT event_id, CASE WHEN bad THEN 'validation_failed' ELSE 'success' END AS ag
 FROM seen""",
 )
 def failclosed_fill(spark, sf):
-    rows = base_events(spark, sf).select("event_id", F.expr(TRIAGE_RAW).alias("raw"))
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(TRIAGE_RAW).alias("raw"))
     checked = K.check(rows, "raw", K.TRIAGE, repair=True)
     triage = K.typed(F.col("doc"), K.TRIAGE, {"agent_status": F.lit("success")})
     safe = K.triage_or_escalation(

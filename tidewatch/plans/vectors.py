@@ -11,7 +11,7 @@ from tidewatch.operators import metrics as M
 from tidewatch.operators import models as Mo
 from tidewatch.operators import similarity as S
 from tidewatch.plans.evaluation import four
-from tidewatch.plans.registry import query, table
+from tidewatch.plans.registry import bound, query, table
 from tidewatch.plans.telemetry import EXTRA, ORDER, ROLLED, metric_events, truth_windows
 from tidewatch.session import new_table_path, shared_dir
 from tidewatch.sources import readers, writers
@@ -195,7 +195,9 @@ def labelled_features(spark, sf):
     """Rolling features of the events, labelled by the truth windows."""
     from tidewatch.operators import incidents as I
 
-    done = M.fill_gaps(M.rolling_features(metric_events(spark, sf), ["event_type"], ORDER, ROLLED, **EXTRA))
+    done = M.fill_gaps(M.rolling_features(
+        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events"), **EXTRA
+    ))
     return I.label_by_windows(done, truth_windows(spark, sf), "event_type", "ts", "event_id")
 
 
@@ -234,7 +236,7 @@ def ensemble_metrics(spark, sf):
 
 def labelled_vectors(spark, sf):
     rows = table(spark, sf, "embeddings").withColumn("category", F.concat(F.lit("label-"), "label"))
-    split = C.stratified_split(rows, "category", "vec_id")
+    split = C.stratified_split(rows, "category", "vec_id", group_rows=bound(spark, sf, "embeddings"))
     columns = [f"x{i}" for i in range(64)]
     flat = split.select("vec_id", "category", "split", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(columns)])
     scaled = M.standard_scaled(flat, flat.filter(F.col("split") == "train"), {c: f"{c}_s" for c in columns})
