@@ -68,14 +68,12 @@ def char_entropy(df: DataFrame, key: str, text: str, name: str = "char_entropy")
     distinct character of a text, not the texts.
     """
     chars = df.select(key, F.explode_outer(F.split(text, "")).alias("_ch"))
-    counted = chars.filter(F.col("_ch") != "").groupBy(key, "_ch").agg(F.count("*").alias("_c"))
-    per_text = counted.groupBy(key).agg(
-        F.sum("_c").alias("_n"), F.sum(F.col("_c") * F.log2("_c")).alias("_s")
-    )
-    bits = per_text.select(key, (F.log2("_n") - F.col("_s") / F.col("_n")).alias("_bits"))
-    return df.select(key).join(bits, key, "left").select(
-        key, F.coalesce("_bits", F.lit(0.0)).alias(name)
-    )
+    counted = chars.groupBy(key, "_ch").agg(F.count("*").alias("_c"))
+    # an empty or absent text has one row without a character
+    real = F.when(F.col("_ch") != "", F.col("_c"))
+    per_text = counted.groupBy(key).agg(F.sum(real).alias("_n"), F.sum(real * F.log2(real)).alias("_s"))
+    bits = F.log2("_n") - F.col("_s") / F.col("_n")
+    return per_text.select(key, F.coalesce(bits, F.lit(0.0)).alias(name))
 
 
 @F.pandas_udf(T.StringType())

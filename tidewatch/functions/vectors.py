@@ -30,20 +30,22 @@ def distances(queries: np.ndarray, known: np.ndarray, metric: str) -> np.ndarray
 def nearest_rows(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, known: np.ndarray, k: int, metric: str, skip_same: bool
 ) -> pd.DataFrame:
-    """The ``k`` nearest known vectors of each query as ``q, id, distance``; ``ids`` ascend."""
+    """The ``k`` nearest known vectors of each query as ``q, id, distance, rank``; ``ids`` ascend."""
     if not len(queries) or not len(known):
-        return pd.DataFrame({"q": query_ids[:0], "id": ids[:0], "distance": np.zeros(0)})
+        return pd.DataFrame({"q": query_ids[:0], "id": ids[:0], "distance": np.zeros(0), "rank": np.zeros(0, dtype=int)})
     exact = distances(queries, known, metric)
     left = np.round(exact, TIE_PLACES)
     if skip_same:
         left[query_ids[:, None] == ids[None, :]] = np.inf
     rows = np.arange(len(queries))
     found = []
-    for _ in range(min(k, len(known))):
+    for rank in range(1, min(k, len(known)) + 1):
         best = left.argmin(axis=1)  # the first of equals, so the smallest id
         real = np.isfinite(left[rows, best])
         found.append(
-            pd.DataFrame({"q": query_ids[real], "id": ids[best[real]], "distance": exact[rows[real], best[real]]})
+            pd.DataFrame(
+                {"q": query_ids[real], "id": ids[best[real]], "distance": exact[rows[real], best[real]], "rank": rank}
+            )
         )
         left[rows, best] = np.inf
     return pd.concat(found, ignore_index=True)

@@ -155,33 +155,37 @@ def hash_rank(
     key: str,
     seed: int = 42,
     name: str = "rank",
+    size: str | None = None,
     limit: int = MAX_GROUP_ROWS,
     group_rows: int | None = None,
 ) -> DataFrame:
-    """1-based rank by a seeded hash of the key within each stratum.
+    """1-based rank by a seeded hash of the key within each stratum, and the stratum's size if named.
 
     A stratum larger than ``limit`` is cut by the leading hash digits, which spread evenly: ranks
     within a cut plus the sizes of the earlier cuts.
     """
     hashed = df.withColumn("_h", seeded_hash(seed, F.col(key)))
     if fits(df, strata, limit, group_rows):
-        order = Window.partitionBy(*strata).orderBy("_h", key)
-        return hashed.withColumn(name, F.row_number().over(order)).drop("_h")
+        whole = Window.partitionBy(*strata)
+        ranked = hashed.withColumn(name, F.row_number().over(whole.orderBy("_h", key)))
+        return (ranked.withColumn(size, F.count("*").over(whole)) if size else ranked).drop("_h")
     digits = max(1, math.ceil(math.log(4 * largest_group(df, strata) / limit, 16)))
     cut = hashed.withColumn("_cut", F.substring("_h", 1, digits))
     local = cut.withColumn("_rn", F.row_number().over(Window.partitionBy("_cut", *strata).orderBy("_h", key)))
+    # at most 16 ** digits rows per stratum
     sizes = cut.groupBy("_cut", *strata).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*strata).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    start = sizes.select("_cut", *strata, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    renamed = start.toDF("_c", *[f"_s{i}" for i in range(len(strata))], "_before")
+    start = sizes.select(
+        "_cut", *strata, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*strata)).alias("_size"),
+    ).toDF("_c", *[f"_s{i}" for i in range(len(strata))], "_before", "_size")
     same = F.col("_cut") == F.col("_c")
     for i, stratum in enumerate(strata):
         same = same & F.col(stratum).eqNullSafe(F.col(f"_s{i}"))
-    return (
-        local.join(renamed, same)
-        .withColumn(name, F.col("_rn") + F.col("_before"))
-        .drop("_rn", "_before", "_cut", "_c", "_h", *[f"_s{i}" for i in range(len(strata))])
-    )
+    joined = local.join(start, same).withColumn(name, F.col("_rn") + F.col("_before"))
+    if size:
+        joined = joined.withColumn(size, F.col("_size"))
+    return joined.drop("_rn", "_before", "_size", "_cut", "_c", "_h", *[f"_s{i}" for i in range(len(strata))])
 
 
 def stratified_split(
@@ -195,8 +199,7 @@ def stratified_split(
     group_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``split`` (train/val/test), exact shares per stratum, the same on every run."""
-    ranked = hash_rank(df, [stratum], key, seed, "_rank", limit, group_rows)
-    sizes = df.groupBy(stratum).agg(F.count("*").alias("_n")).withColumnRenamed(stratum, "_s")
+    ranked = hash_rank(df, [stratum], key, seed, "_rank", "_n", limit, group_rows)
     percent = lambda n, p: F.floor((n * p + 99) / 100)
     held = percent(F.col("_n"), held_percent)
     test = percent(held, test_percent_of_held)
@@ -205,14 +208,15 @@ def stratified_split(
         .when(F.col("_rank") <= F.col("_n") - test, "val")
         .otherwise("test")
     )
-    joined = ranked.join(sizes, F.col(stratum).eqNullSafe(F.col("_s")))
-    return joined.withColumn("split", label).drop("_rank", "_n", "_s")
+    return ranked.withColumn("split", label).drop("_rank", "_n")
 
 
-def match_counts(attacks: DataFrame, benign: DataFrame, key: str, seed: int = 42, limit: int = MAX_GROUP_ROWS) -> DataFrame:
+def match_counts(
+    attacks: DataFrame, benign: DataFrame, key: str, seed: int = 42, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
     """Attacks and an equally large repeatable sample of the benign rows, labelled."""
     wanted = attacks.agg(F.count("*")).scalar()
-    sample = hash_rank(benign, [], key, seed, "_rank", limit).filter(F.col("_rank") <= wanted).drop("_rank")
+    sample = hash_rank(benign, [], key, seed, "_rank", None, limit, group_rows).filter(F.col("_rank") <= wanted).drop("_rank")
     return attacks.withColumn("label", F.lit("attack")).unionByName(
         sample.withColumns({"label": F.lit("benign"), "category": F.lit("benign")})
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
-from tidewatch.operators.ordered import MAX_GROUP_ROWS, over_rows, running_sums
+from tidewatch.operators.ordered import MAX_GROUP_ROWS, over_rows_then_sums
 
 BROADCAST_ROWS = 10_000
 
@@ -34,9 +34,8 @@ def mark_incidents(
         fresh = previous.isNull() | (F.col(ts) - previous > seconds(gap_seconds))
         return frame.withColumn("opens", F.when(fresh, 1).otherwise(0))
 
-    flagged = over_rows(anomalies, [key], [ts, *tie], 1, compute, limit, group_rows)
-    return running_sums(
-        flagged, [key], [ts, *tie], {"incident_no": F.col("opens")}, limit, group_rows
+    return over_rows_then_sums(
+        anomalies, [key], [ts, *tie], 1, compute, {"incident_no": F.col("opens")}, limit, group_rows
     )
 
 
@@ -58,10 +57,10 @@ def incident_counts(marked: DataFrame, *keys: str) -> DataFrame:
 # --- interval matching ---------------------------------------------------------------------------
 
 
-def epoch_seconds(df: DataFrame, ts: str) -> Column:
+def epoch_micros(df: DataFrame, ts: str) -> Column:
     if dict(df.dtypes)[ts] == "timestamp_ntz":
-        return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
-    return F.unix_seconds(F.col(ts))
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
+    return F.unix_micros(F.col(ts))
 
 
 def interval_pairs(
@@ -73,6 +72,7 @@ def interval_pairs(
     high: str,
     cell: int,
     broadcast_rows: int = BROADCAST_ROWS,
+    how: str = "inner",
 ) -> DataFrame:
     """Pairs of equal ``key`` with ``low <= at <= high``; all three are whole numbers.
 
@@ -82,11 +82,11 @@ def interval_pairs(
     spans = spans.withColumnRenamed(key, "_k")
     inside = (rows[key] == F.col("_k")) & (F.col(at) >= F.col(low)) & (F.col(at) <= F.col(high))
     if spans.count() <= broadcast_rows:
-        return rows.join(F.broadcast(spans), inside).drop("_k")
+        return rows.join(F.broadcast(spans), inside, how).drop("_k")
     touched = F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
     listed = spans.withColumn("_span_cell", F.explode(touched))
     placed = rows.withColumn("_cell", F.floor(F.col(at) / cell))
-    return placed.join(listed, (F.col("_cell") == F.col("_span_cell")) & inside).drop(
+    return placed.join(listed, (F.col("_cell") == F.col("_span_cell")) & inside, how).drop(
         "_k", "_cell", "_span_cell"
     )
 
@@ -106,28 +106,45 @@ def match_windows(
 ) -> DataFrame:
     """``(row_id, window_no)`` of the first window, by ``window_no``, whose interval, padded by the
     tolerance on both sides and closed, holds the row's time. Other rows are left out."""
-    pad = seconds(tolerance)
+    pad = tolerance * 1_000_000
     spans = windows.select(
-        key, F.col(rank), (F.col(start) - pad).alias("_from"), (F.col(end) + pad).alias("_to")
+        key,
+        F.col(rank),
+        (epoch_micros(windows, start) - pad).alias("_low"),
+        (epoch_micros(windows, end) + pad).alias("_high"),
     )
-    # whole seconds find the candidates, the exact times decide
-    spans = spans.withColumns(
-        {"_low": epoch_seconds(spans, "_from"), "_high": epoch_seconds(spans, "_to") + 1}
-    )
-    slim = rows.select(row_id, key, ts).withColumn("_sec", epoch_seconds(rows, ts))
-    pairs = interval_pairs(slim, spans, key, "_sec", "_low", "_high", cell_seconds, broadcast_rows)
-    held = pairs.filter((F.col(ts) >= F.col("_from")) & (F.col(ts) <= F.col("_to")))
-    return held.groupBy(row_id).agg(F.min(rank).alias(rank))
+    slim = rows.select(row_id, key, epoch_micros(rows, ts).alias("_at"))
+    pairs = interval_pairs(slim, spans, key, "_at", "_low", "_high", cell_seconds * 1_000_000, broadcast_rows)
+    return pairs.groupBy(row_id).agg(F.min(rank).alias(rank))
+
+
+def merged_windows(windows: DataFrame, key: str, start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """The windows of each key with overlapping ones joined into one."""
+    order = Window.partitionBy(key).orderBy(start, end)
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)
+    numbered = windows.withColumn("_fresh", fresh).withColumn("_block", F.sum("_fresh").over(order))
+    return numbered.groupBy(key, "_block").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_block")
 
 
 def label_by_windows(
-    rows: DataFrame, windows: DataFrame, key: str, ts: str, row_id: str, name: str = "is_anomaly", **options
+    rows: DataFrame,
+    windows: DataFrame,
+    key: str,
+    ts: str,
+    name: str = "is_anomaly",
+    start: str = "start_ts",
+    end: str = "end_ts",
+    broadcast_rows: int = BROADCAST_ROWS,
+    cell_micros: int = 3_600_000_000,
 ) -> DataFrame:
-    """1 for rows inside any window, else 0."""
-    hit = match_windows(rows, windows, key, ts, row_id, tolerance=0, **options)
-    return rows.join(hit.select(row_id, F.lit(1).alias(name)), row_id, "left").withColumn(
-        name, F.coalesce(name, F.lit(0))
-    )
+    """1 for rows inside any window, bounds included, else 0. Merged windows hold a row at most once,
+    so one outer join does it and the rows are not aggregated."""
+    spans = merged_windows(windows, key, start, end)
+    spans = spans.select(key, epoch_micros(spans, start).alias("_low"), epoch_micros(spans, end).alias("_high"))
+    timed = rows.withColumn("_at", epoch_micros(rows, ts))
+    held = interval_pairs(timed, spans, key, "_at", "_low", "_high", cell_micros, broadcast_rows, "left")
+    return held.withColumn(name, F.when(F.col("_low").isNotNull(), 1).otherwise(0)).drop("_at", "_low", "_high")
 
 
 def window_recall(
@@ -196,7 +213,9 @@ def inject(
         )
         .select(key, F.col(index).alias("_start"), *[F.col(c).alias(f"_first_{c}") for c in flat])
     )
-    sigma = rows.groupBy(key).agg(*[F.stddev_pop(c).alias(f"_sd_{c}") for c in {*spike, *drift}])
+    sigma = rows.groupBy(key).agg(*[F.stddev_pop(c).alias(f"_sd_{c}") for c in sorted({*spike, *drift})])
+    if rows.select(key).distinct().count() <= broadcast_rows:
+        sigma = F.broadcast(sigma)
     joined = (
         rows.join(effects, [key, index], "left")
         .withColumn("_start", F.col("_flat.start_idx"))

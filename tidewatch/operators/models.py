@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import metrics as M
-from tidewatch.session import shared_dir
+from tidewatch.session import stored
 
 # --- inputs --------------------------------------------------------------------------------------
 
@@ -322,9 +322,8 @@ def ensemble_scores(df: DataFrame, columns: Sequence[str], key: str, label: str,
     the reconstruction on normal rows only."""
     names = [f"_s{i}" for i in range(len(columns))]
     filled = M.fill_gaps(df, list(columns))
-    shared_dir(df.sparkSession)
     # the fits pass over the inputs many times
-    rows = M.standard_scaled(filled, filled, dict(zip(columns, names))).withColumn("_x", F.array(*names)).checkpoint()
+    rows = stored(M.standard_scaled(filled, filled, dict(zip(columns, names))).withColumn("_x", F.array(*names)), "inputs")
     rate = float(rows.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0)
     forest = fit_isolation_forest(rows, "_x", key, trees=trees, seed=seed)
     boundary = fit_one_class(rows, "_x", key, rate, steps=steps, seed=seed)

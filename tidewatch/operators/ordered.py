@@ -14,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidewatch.session import shared_dir
+from tidewatch.session import stored
 
 MAX_GROUP_ROWS = 4_000_000
 
@@ -42,10 +42,9 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     """Zero-based position of each row in the total order ``order``.
 
     The range sort balances slices whatever the skew of the leading column. The sorted rows are
-    checkpointed once: slice numbers must not move if a lost executor makes Spark sort again.
+    stored once: slice numbers must not move if a lost executor makes Spark sort again.
     """
-    shared_dir(df.sparkSession)
-    placed = df.orderBy(*order).withColumn(_PLACED, F.monotonically_increasing_id()).checkpoint()
+    placed = stored(df.orderBy(*order).withColumn(_PLACED, F.monotonically_increasing_id()), "sorted")
     slices = placed.groupBy(F.shiftright(_PLACED, 33).alias(_SLICE)).agg(F.count("*").alias("_n"))
     before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     # one row per sort partition
@@ -88,20 +87,8 @@ def over_rows(
     """
     if fits(df, keys, limit, group_rows):
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
-    size = max(limit, before + 1)
-    indexed = with_row_index(df, [*keys, *order], _AT)
-    chunk = F.floor(F.col(_AT) / size)
-    own = F.struct(chunk.alias("c"), F.lit(False).alias("copy"))
-    context = F.struct((chunk + 1).alias("c"), F.lit(True).alias("copy"))
-    places = F.when(F.col(_AT) % size >= size - before, F.array(own, context)).otherwise(F.array(own))
-    spread = (
-        indexed.withColumn("_place", F.explode(places))
-        .withColumn(_CHUNK, F.col("_place.c"))
-        .withColumn(_COPY, F.col("_place.copy"))
-        .drop("_place")
-    )
-    done = compute(spread, Window.partitionBy(_CHUNK, *keys).orderBy(_AT))
-    return done.filter(~F.col(_COPY)).drop(_CHUNK, _COPY, _AT)
+    chunked = _chunks(df, [*keys, *order], max(limit, before + 1))
+    return _over_chunks(chunked, keys, before, compute, max(limit, before + 1)).drop(_CHUNK, _AT)
 
 
 def running_sums(
@@ -116,16 +103,54 @@ def running_sums(
     if fits(df, keys, limit, group_rows):
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(window) for name, value in sums.items()})
-    ascending = [*keys, *order]
-    chunked = with_row_index(df, ascending, _AT).withColumn(_CHUNK, F.floor(F.col(_AT) / limit))
-    window = (
-        Window.partitionBy(_CHUNK, *keys).orderBy(_AT).rowsBetween(Window.unboundedPreceding, 0)
+    return _sum_chunks(_chunks(df, [*keys, *order], limit), keys, sums).drop(_CHUNK, _AT)
+
+
+def over_rows_then_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    before: int,
+    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    sums: Mapping[str, Column],
+    limit: int = MAX_GROUP_ROWS,
+    group_rows: int | None = None,
+) -> DataFrame:
+    """``over_rows`` followed by ``running_sums`` of its results, in one order."""
+    if fits(df, keys, limit, group_rows):
+        window = Window.partitionBy(*keys).orderBy(*order)
+        running = window.rowsBetween(Window.unboundedPreceding, 0)
+        return compute(df, window).withColumns({name: F.sum(v).over(running) for name, v in sums.items()})
+    size = max(limit, before + 1)
+    done = _over_chunks(_chunks(df, [*keys, *order], size), keys, before, compute, size)
+    return _sum_chunks(done, keys, sums).drop(_CHUNK, _AT)
+
+
+def _chunks(df: DataFrame, order: Sequence[str | Column], size: int) -> DataFrame:
+    return with_row_index(df, order, _AT).withColumn(_CHUNK, F.floor(F.col(_AT) / size))
+
+
+def _over_chunks(chunked: DataFrame, keys: Sequence[str], before: int, compute, size: int) -> DataFrame:
+    own = F.struct(F.col(_CHUNK).alias("c"), F.lit(False).alias("copy"))
+    context = F.struct((F.col(_CHUNK) + 1).alias("c"), F.lit(True).alias("copy"))
+    places = F.when(F.col(_AT) % size >= size - before, F.array(own, context)).otherwise(F.array(own))
+    dealt = (
+        chunked.withColumn("_place", F.explode(places))
+        .withColumns({_CHUNK: F.col("_place.c"), _COPY: F.col("_place.copy")})
+        .drop("_place")
     )
+    done = compute(dealt, Window.partitionBy(_CHUNK, *keys).orderBy(_AT))
+    return done.filter(~F.col(_COPY)).drop(_COPY)
+
+
+def _sum_chunks(chunked: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Running totals within each chunk plus the totals of the key's earlier chunks."""
+    window = Window.partitionBy(_CHUNK, *keys).orderBy(_AT).rowsBetween(Window.unboundedPreceding, 0)
     local = chunked.withColumns({name: F.sum(value).over(window) for name, value in sums.items()})
     totals = chunked.groupBy(_CHUNK, *keys).agg(
         *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()]
     )
-    # one row per (chunk, key): a hot key has group_rows / limit of them
+    # one row per (chunk, key): a hot key has its rows / limit of them
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         F.col(_CHUNK).alias("_sum_chunk_"),
@@ -139,7 +164,7 @@ def running_sums(
         {name: F.col(name) + F.coalesce(F.col(f"_sum_{name}"), F.lit(0)) for name in sums}
     )
     made = [f"_sum_key_{i}" for i in range(len(keys))] + [f"_sum_{name}" for name in sums]
-    return joined.drop(_CHUNK, _AT, "_sum_chunk_", *made)
+    return joined.drop("_sum_chunk_", *made)
 
 
 def exact_quantiles(

@@ -20,6 +20,7 @@ from tidewatch.operators import decisions as D
 BLOCK_BYTES = 64 * 1024 * 1024
 QUERY_ROWS = 100_000
 BATCH_ROWS = 2048
+BROADCAST_ROWS = 100_000
 
 
 def nearest(
@@ -46,21 +47,18 @@ def nearest(
     i = known.select(F.col(known_id).alias("_i"), F.col(known_vector).alias("_iv")).filter("_iv IS NOT NULL")
     size = i.agg(F.count("*").alias("n"), F.max(F.size("_iv")).alias("dim")).first()
     types = {"q": dict(q.dtypes)["_q"], "id": dict(i.dtypes)["_i"]}
-    schema = f"q {types['q']}, id {types['id']}, distance double"
+    schema = f"q {types['q']}, id {types['id']}, distance double, rank int"
     if not size.n:
         found = queries.sparkSession.createDataFrame([], schema)
     elif size.n * size.dim * 8 <= block_bytes:
         found = _against_broadcast(q, i, k, metric, skip_same, schema)
     else:
         blocks = math.ceil(size.n * size.dim * 8 / block_bytes)
-        found = _against_blocks(q, i, k, metric, skip_same, schema, blocks, query_rows)
-    ranked = found.select(
-        F.col("q").alias(query_id if query_id != known_id else f"query_{query_id}"),
-        F.col("id").alias(known_id),
-        "distance",
-        F.row_number().over(Window.partitionBy("q").orderBy(F.round("distance", 9), "id")).alias("rank"),
-    )
-    return ranked.filter(F.col("rank") <= k)
+        each = _against_blocks(q, i, k, metric, skip_same, schema, blocks, query_rows)
+        best = Window.partitionBy("q").orderBy(F.round("distance", 9), "id")
+        found = each.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    name = query_id if query_id != known_id else f"query_{query_id}"
+    return found.select(F.col("q").alias(name), F.col("id").alias(known_id), "distance", "rank")
 
 
 def _against_broadcast(q, i, k, metric, skip_same, schema):
@@ -92,7 +90,7 @@ def _against_blocks(q, i, k, metric, skip_same, schema, blocks, query_rows):
             for p in (part.iloc[at : at + BATCH_ROWS] for at in range(0, len(part), BATCH_ROWS))
         ]
         if not found:
-            return pd.DataFrame({"q": [], "id": [], "distance": []})
+            return pd.DataFrame({"q": [], "id": [], "distance": [], "rank": []})
         return pd.concat(found, ignore_index=True)
 
     return (
@@ -116,6 +114,9 @@ def near_duplicates(
     best = nearest(queries, known, query_id, known_id, **options)
     name = query_id if query_id != known_id else f"query_{query_id}"
     kinds = known.select(F.col(known_id), F.col(category).alias("nearest_category"))
+    # one known attack may be the nearest of a third of the queries
+    if known.count() <= BROADCAST_ROWS:
+        kinds = F.broadcast(kinds)
     hit = best.join(kinds, known_id).select(F.col(name).alias("_hit"), "nearest_category", "distance")
     joined = queries.join(hit, queries[query_id] == F.col("_hit"), "left").drop("_hit")
     return joined.withColumns(

@@ -11,7 +11,7 @@ from tidewatch.operators import evaluate as E
 from tidewatch.operators import metrics as M
 from tidewatch.operators import models as Mo
 from tidewatch.plans.registry import bound, query, spread, table
-from tidewatch.session import shared_dir
+from tidewatch.session import stored
 
 # Customers as accounts: revenue from orders, usage and support signals from line items.
 ACCOUNT_SQL = """
@@ -203,7 +203,8 @@ def boosted_rows(spark, sf):
     rows = C.stratified_split(
         M.account_features(accounts(spark, sf), group_rows=at_most), "churn", "account_id", group_rows=at_most
     )
-    ready = Mo.with_vector(rows.withColumn("label", F.col("churn").cast("double")), MODEL_COLUMNS)
+    # every boosting round passes over these rows
+    ready = stored(Mo.with_vector(rows.withColumn("label", F.col("churn").cast("double")), MODEL_COLUMNS))
     train = Mo.pos_weight(ready.filter(F.col("split") == "train"))
     return ready, train
 
@@ -230,9 +231,8 @@ def gbt_test_metrics(spark, sf):
     """Quality on the held-out split at 0.5, and at the threshold tuned on high-revenue accounts."""
     ready, train = boosted_rows(spark, sf)
     model = Mo.boosted(depth=3, rounds=10).fit(train)
-    shared_dir(spark)
     # scored once, read by every metric
-    test = Mo.scored(model, ready.filter(F.col("split") == "test")).select("churn", "arr", "churn_probability").checkpoint()
+    test = stored(Mo.scored(model, ready.filter(F.col("split") == "test")).select("churn", "arr", "churn_probability"))
     segment = test.filter(F.col("arr") >= M.top_share_cutoff(test, "arr"))
     tuned = E.best_segment_threshold(E.segment_sweep(segment, "churn", "churn_probability")).first()["threshold"]
     default = E.binary_metrics(test, "churn", F.col("churn_probability") >= 0.5).withColumn("rule", F.lit("default"))

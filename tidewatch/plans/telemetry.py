@@ -202,7 +202,7 @@ SELECT event_id, CASE WHEN EXISTS (
 )
 def label_by_window(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    done = I.label_by_windows(events, truth_windows(spark, sf), "event_type", "ts", "event_id")
+    done = I.label_by_windows(events, truth_windows(spark, sf), "event_type", "ts")
     return done.select("event_id", "is_anomaly")
 
 

@@ -289,4 +289,4 @@ UNION ALL SELECT rid, 'benign', 'benign' FROM benign WHERE r <= (SELECT count(*)
 def balanced_corpus(spark, sf):
     attack = table(spark, sf, "benchmark").select(F.col("item_id").alias("rid"), "text", F.lit("benchmark").alias("category"))
     benign = table(spark, sf, "documents").select(F.col("doc_id").alias("rid"), "text")
-    return C.match_counts(attack, benign, "rid").select("rid", "category", "label")
+    return C.match_counts(attack, benign, "rid", group_rows=bound(spark, sf, "documents")).select("rid", "category", "label")

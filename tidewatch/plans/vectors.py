@@ -13,8 +13,8 @@ from tidewatch.operators import similarity as S
 from tidewatch.plans.evaluation import four
 from tidewatch.plans.registry import bound, query, table
 from tidewatch.plans.telemetry import EXTRA, ORDER, ROLLED, metric_events, truth_windows
-from tidewatch.session import new_table_path, shared_dir
-from tidewatch.sources import readers, writers
+from tidewatch.session import stored
+from tidewatch.sources import readers
 
 # Every vector is a query against all the others.
 RANKED_SQL = """
@@ -167,9 +167,8 @@ def section_refresh(spark, sf):
     """Sections that an index of the English pages does not hold yet, one per content."""
     every = page_sections(spark, sf).select("page_id", "section_no", "content_hash")
     english = table(spark, sf, "pages").filter(F.col("url").contains("/en/")).select("page_id")
-    path = new_table_path(spark, "sections")
-    writers.write_table(every.join(english, "page_id", "left_semi"), path)
-    fresh = S.refresh_index(spark.read.parquet(path), every)
+    index = stored(every.join(english, "page_id", "left_semi"), "sections")
+    fresh = S.refresh_index(index, every)
     return fresh.select("content_hash", (F.col("page_id") * 100000 + F.col("section_no")).alias("first_place"))
 
 
@@ -198,16 +197,14 @@ def labelled_features(spark, sf):
     done = M.fill_gaps(M.rolling_features(
         metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events"), **EXTRA
     ))
-    return I.label_by_windows(done, truth_windows(spark, sf), "event_type", "ts", "event_id")
+    return I.label_by_windows(done, truth_windows(spark, sf), "event_type", "ts")
 
 
 def stored_scores(spark, sf, trees=100):
     """The ensemble's score table, written once."""
     rows = Mo.ensemble_scores(labelled_features(spark, sf), INPUTS, "event_id", "is_anomaly", trees=trees, steps=10)
-    path = new_table_path(spark, "scores")
     columns = ["event_id", "event_type", "ts", "is_anomaly", "iso_score", "svm_score", "ae_rmse"]
-    writers.write_table(rows.select(*columns), path)
-    return spark.read.parquet(path)
+    return stored(rows.select(*columns), "scores")
 
 
 @query("ensemble_scores")
@@ -241,9 +238,8 @@ def labelled_vectors(spark, sf):
     flat = split.select("vec_id", "category", "split", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(columns)])
     scaled = M.standard_scaled(flat, flat.filter(F.col("split") == "train"), {c: f"{c}_s" for c in columns})
     ready = Mo.with_vector(scaled, [f"{c}_s" for c in columns])
-    # both models pass over these rows many times
-    shared_dir(spark)
-    return Mo.label_index(ready, "category").select("vec_id", "category", "split", "label", "features").checkpoint()
+    # the fits pass over these rows many times
+    return stored(Mo.label_index(ready, "category").select("vec_id", "category", "split", "label", "features"))
 
 
 @query("logistic_report")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -43,6 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The frame written to the shared folder once and read back: its lineage is cut, it survives
+    the loss of an executor, and readers only fetch the columns they use."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     import uuid
