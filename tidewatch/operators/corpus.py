@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
 from tidewatch.functions import text as X
+from tidewatch.operators.metrics import corpus_zscore
 from tidewatch.operators.ordered import MAX_GROUP_ROWS, fits, largest_group
+from tidewatch.session import stored
 
 LIST_ROWS = 10_000
 
@@ -237,9 +239,8 @@ def numeric_text_features(df: DataFrame, key: str, text: str, lexicon: Sequence[
 
 def training_text_features(df: DataFrame, key: str, text: str, lexicon: Sequence[str] = V.ROLEPLAY_LEXICON) -> DataFrame:
     """The feature table of a corpus: entropy and length as z-scores over the corpus."""
-    from tidewatch.operators.metrics import corpus_zscore
-
-    raw = numeric_text_features(df, key, text, lexicon)
+    # numbers only: the texts are read once, the statistics and the scores come from this table
+    raw = stored(numeric_text_features(df, key, text, lexicon), "text-features")
     scored = corpus_zscore(
         raw, {"char_entropy": "char_entropy_anomaly_score", "prompt_length_chars": "prompt_length_zscore"}
     )

@@ -226,6 +226,16 @@ def gbt_driver_ranking(spark, sf):
     return E.driver_ranking(A.with_attributions(ready, model), "contributions", MODEL_COLUMNS)
 
 
+@query("gbt_search")
+def gbt_search(spark, sf):
+    """Settings found by a short random search, and their validation area."""
+    ready, train = boosted_rows(spark, sf)
+    validation = Mo.pos_weight(ready.filter(F.col("split") == "val"))
+    settings, area = Mo.search_boosted(train, validation, trials=2, rounds=4)
+    rows = [(name, str(value)) for name, value in {**settings, "validation_area": round(area, 6)}.items()]
+    return spark.createDataFrame(rows, "setting string, value string")
+
+
 @query("gbt_test_metrics")
 def gbt_test_metrics(spark, sf):
     """Quality on the held-out split at 0.5, and at the threshold tuned on high-revenue accounts."""

@@ -9,6 +9,7 @@ from tidewatch.functions import text as X
 from tidewatch.operators import corpus as C
 from tidewatch.operators import metrics as M
 from tidewatch.plans.registry import bound, query, spread, table
+from tidewatch.session import stored
 
 # The role-play lexicon and the keyword lists hit no row of the test tables, so these queries pass
 # lists with words that occur there.
@@ -64,7 +65,8 @@ def text_features(spark, sf):
         X.lexicon_score(text, LEXICON).alias("roleplay_lexicon_score"),
         X.text_length(text).cast("long").alias("prompt_length_chars"),
     )
-    done = M.corpus_zscore(raw, {"prompt_length_chars": "prompt_length_zscore"})
+    # numbers only, so that the texts are read once
+    done = M.corpus_zscore(stored(raw, "text-features"), {"prompt_length_chars": "prompt_length_zscore"})
     return done.withColumn("prompt_length_zscore", F.round("prompt_length_zscore", 6))
 
 
@@ -77,7 +79,8 @@ FROM entropy""",
 )
 def char_entropy_z(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    done = M.corpus_zscore(X.char_entropy(docs, "doc_id", "text"), {"char_entropy": "char_entropy_anomaly_score"})
+    entropy = stored(X.char_entropy(docs, "doc_id", "text"), "entropy")
+    done = M.corpus_zscore(entropy, {"char_entropy": "char_entropy_anomaly_score"})
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("char_entropy", "char_entropy_anomaly_score")])
 
 

@@ -368,7 +368,7 @@ SANITIZER_RAW = """'{"prompt_id":"p' || event_id || '","original_prompt":"do it
 
 
 def raw_sql(raw):
-    return f"raw AS (SELECT event_id, {raw} AS raw FROM (SELECT event_id, user_id, value, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"
+    return f"raw AS (SELECT event_id, {raw} AS raw FROM (SELECT event_id, event_type, user_id, value, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events))"
 
 
 def listed(*marks):
@@ -488,6 +488,81 @@ def contract_trace(spark, sf):
     return checked.select("event_id", F.array_join("violations", ";").alias("violations"))
 
 
+DECISION_RAW = """'{"thread_id":' || CASE WHEN l_linenumber = 1 THEN l_orderkey || '' ELSE '"t' || l_orderkey || '"' END ||
+ ',"approved":' || CASE WHEN l_returnflag = 'A' THEN 'true' WHEN l_returnflag = 'N' THEN 'false' ELSE '"yes"' END ||
+ CASE WHEN l_linestatus = 'O' THEN '' WHEN l_linenumber = 2 THEN ',"human_feedback":5' WHEN l_linenumber = 3 THEN ',"human_feedback":null' ELSE ',"human_feedback":"ok"' END || '}'"""
+TELEMETRY_RAW = """'{"service_name":"' || event_type || '","timestamp":"' || CASE WHEN k = 3 THEN 'soon' ELSE '2026-07-10T00:00:00' END ||
+ '","cpu_pct":' || CASE WHEN k = 1 THEN '"n/a"' WHEN k = 4 THEN '"12.5"' ELSE '' || value END || ',"memory_pct":' || k || ',"latency_p50_ms":1.5,"latency_p95_ms":2,"latency_p99_ms":' ||
+ CASE WHEN k = 5 THEN 'null' ELSE '3e2' END || ',"error_rate_pct":0.1' || CASE WHEN k = 2 THEN '' ELSE ',"queue_depth":4' END || ',"thread_count":50,"host":"h1"}'"""
+ESCALATION_RAW = """'{"incident_id":"' || CASE WHEN k = 1 THEN 'X-' ELSE 'INC-' END || event_id || '","prompt_id":"' || CASE WHEN k = 2 THEN '' ELSE 'p' END ||
+ '","original_prompt":"x","attack_category":"roleplay","classifier_risk_tier":"low","triage_disposition":' || CASE WHEN k = 3 THEN '"drop"' WHEN k = 4 THEN 'null' ELSE '"allow"' END ||
+ ',"agents_disagreed":' || CASE WHEN k = 5 THEN '"maybe"' WHEN k = 6 THEN '"off"' ELSE 'false' END || ',"escalation_reason":"' || CASE WHEN k = 7 THEN 'short' ELSE 'routine pipeline pass' END ||
+ '","severity":"' || CASE WHEN k = 8 THEN 'huge' ELSE 'low' END || '","recommended_action":"allow"}'"""
+
+
+@query(
+    "contract_decision",
+    f"""WITH raw AS (SELECT l_orderkey, l_linenumber, l_partkey, {DECISION_RAW} AS raw FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, {listed(
+    ("type:thread_id", f"{jt('thread_id')} <> 'VARCHAR'"), ("type:approved", f"{jt('approved')} <> 'BOOLEAN'"),
+    ("type:human_feedback", f"{jt('human_feedback')} NOT IN ('absent', 'NULL', 'VARCHAR')"))} AS violations FROM raw""",
+)
+def contract_decision(spark, sf):
+    lines = spread(table(spark, sf, "lineitem"))
+    rows = lines.select("l_orderkey", "l_linenumber", "l_partkey", F.expr(DECISION_RAW).alias("raw"))
+    checked = K.check(rows, "raw", K.DECISION)
+    return checked.select("l_orderkey", "l_linenumber", "l_partkey", F.array_join("violations", ";").alias("violations"))
+
+
+@query(
+    "contract_telemetry",
+    contract_sql(TELEMETRY_RAW, [
+        ("type:timestamp", f"TRY_CAST({js('timestamp')} AS TIMESTAMP) IS NULL"), ("type:cpu_pct", f"{num('cpu_pct')} IS NULL"),
+        ("type:latency_p99_ms", f"{num('latency_p99_ms')} IS NULL"), ("missing:queue_depth", f"{jt('queue_depth')} = 'absent'"),
+    ]),
+)
+def contract_telemetry(spark, sf):
+    return contract_query(spark, sf, TELEMETRY_RAW, K.TELEMETRY)
+
+
+@query(
+    "contract_escalation",
+    contract_sql(ESCALATION_RAW, [
+        ("short:prompt_id", f"length({js('prompt_id')}) = 0"), ("choice:triage_disposition", f"{js('triage_disposition')} = 'drop'"),
+        ("type:agents_disagreed", f"{js('agents_disagreed')} NOT IN ('true', 'false', 'off')"),
+        ("short:escalation_reason", f"length({js('escalation_reason')}) < 10"), ("choice:severity", f"{js('severity')} NOT IN ('low', 'medium', 'high')"),
+        ("incident_prefix", f"NOT starts_with({js('incident_id')}, 'INC-')"),
+    ]),
+)
+def contract_escalation(spark, sf):
+    return contract_query(spark, sf, ESCALATION_RAW, K.ESCALATION)
+
+
+@query(
+    "contract_prompt",
+    """SELECT doc_id, CASE WHEN length(text) < 1 THEN 'short:text;blank:text' WHEN length(text) > 8000 THEN 'long:text' ELSE '' END AS violations FROM documents""",
+)
+def contract_prompt(spark, sf):
+    """Whole documents as prompts: 1 to 8000 characters, not blank."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    checked = K.check(docs.select("doc_id", F.to_json(F.struct("text")).alias("raw")), "raw", K.PROMPT)
+    return checked.select("doc_id", F.array_join("violations", ";").alias("violations"))
+
+
+@query(
+    "telemetry_casts",
+    """SELECT event_id, CASE WHEN value >= 100 THEN 'type:value;type:at' WHEN event_type = 'view' THEN 'type:at' ELSE '' END AS violations FROM events""",
+)
+def telemetry_casts(spark, sf):
+    """A table of strings: which values do not cast."""
+    text = table(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("value") < 100, F.col("value").cast("string")).otherwise("n/a").alias("value"),
+        F.when((F.col("value") < 100) & (F.col("event_type") != "view"), F.col("ts").cast("string")).alias("at"),
+    )
+    return K.cast_violations(text, {"value": "double", "at": "timestamp"}).select("event_id", F.array_join("violations", ";").alias("violations"))
+
+
 MESSY_RAW = """CASE
  WHEN k < 20 THEN '{"prompt_id":"p","n":' || k || '}'
  WHEN k < 40 THEN '```json
