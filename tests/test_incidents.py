@@ -37,7 +37,7 @@ def test_first_window_within_tolerance(spark, broadcast_rows, kind):
     assert {r["id"]: r["window_no"] for r in hits.collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 6: 1}
     recall = I.window_recall(rows, windows, "service", "ts", "id", broadcast_rows=broadcast_rows).first()
     assert tuple(recall) == (7, 3, 5, 2, 66.67)
-    labels = I.label_by_windows(rows, windows, "service", "ts", broadcast_rows=broadcast_rows)
+    labels = I.label_by_windows(rows, windows, "service", "ts", broadcast_rows=broadcast_rows, cell_micros=700_000_000)
     assert labels.count() == 7
     assert {r["id"] for r in labels.filter("is_anomaly = 1").collect()} == {2, 3, 6}
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
+from tidewatch.operators.ordered import MAX_GROUP_ROWS, running_sums
 
 
 def rank_of(value: Column, order: Sequence[str]) -> Column:
@@ -224,10 +225,11 @@ def latest_states(audit: DataFrame, key: str, order: Sequence[str], state: str)
     )
 
 
-def transitions(audit: DataFrame, key: str, order: Sequence[str], node: str) -> DataFrame:
-    """Ordered list of transitions per thread. A thread has a handful of nodes by construction."""
-    steps = F.array_sort(F.collect_list(F.struct(*order, node)))
-    return audit.groupBy(key).agg(F.transform(steps, lambda s: s[node]).alias("nodes"))
+def transitions(
+    audit: DataFrame, key: str, order: Sequence[str], limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
+) -> DataFrame:
+    """Transitions numbered per thread, as rows: a thread's history is never gathered in one value."""
+    return running_sums(audit, [key], list(order), {"step": F.lit(1)}, limit, group_rows)
 
 
 # --- grounding -----------------------------------------------------------------------------------

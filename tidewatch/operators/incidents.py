@@ -72,7 +72,6 @@ def interval_pairs(
     high: str,
     cell: int,
     broadcast_rows: int = BROADCAST_ROWS,
-    how: str = "inner",
 ) -> DataFrame:
     """Pairs of equal ``key`` with ``low <= at <= high``; all three are whole numbers.
 
@@ -82,11 +81,11 @@ def interval_pairs(
     spans = spans.withColumnRenamed(key, "_k")
     inside = (rows[key] == F.col("_k")) & (F.col(at) >= F.col(low)) & (F.col(at) <= F.col(high))
     if spans.count() <= broadcast_rows:
-        return rows.join(F.broadcast(spans), inside, how).drop("_k")
+        return rows.join(F.broadcast(spans), inside).drop("_k")
     touched = F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
     listed = spans.withColumn("_span_cell", F.explode(touched))
     placed = rows.withColumn("_cell", F.floor(F.col(at) / cell))
-    return placed.join(listed, (F.col("_cell") == F.col("_span_cell")) & inside, how).drop(
+    return placed.join(listed, (F.col("_cell") == F.col("_span_cell")) & inside).drop(
         "_k", "_cell", "_span_cell"
     )
 
@@ -118,13 +117,14 @@ def match_windows(
     return pairs.groupBy(row_id).agg(F.min(rank).alias(rank))
 
 
-def merged_windows(windows: DataFrame, key: str, start: str = "start_ts", end: str = "end_ts") -> DataFrame:
-    """The windows of each key with overlapping ones joined into one."""
-    order = Window.partitionBy(key).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0)
-    numbered = windows.withColumn("_fresh", fresh).withColumn("_block", F.sum("_fresh").over(order))
-    return numbered.groupBy(key, "_block").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_block")
+def _merged(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spans ``_low.._high`` of each group with overlapping ones joined into one."""
+    order = Window.partitionBy(*keys).orderBy("_low", "_high")
+    reach = F.max("_high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(reach.isNull() | (F.col("_low") > reach), 1).otherwise(0)
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = spans.withColumn("_fresh", fresh).withColumn("_block", F.sum("_fresh").over(running))
+    return numbered.groupBy(*keys, "_block").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")).drop("_block")
 
 
 def label_by_windows(
@@ -138,13 +138,31 @@ def label_by_windows(
     broadcast_rows: int = BROADCAST_ROWS,
     cell_micros: int = 3_600_000_000,
 ) -> DataFrame:
-    """1 for rows inside any window, bounds included, else 0. Merged windows hold a row at most once,
-    so one outer join does it and the rows are not aggregated."""
-    spans = merged_windows(windows, key, start, end)
-    spans = spans.select(key, epoch_micros(spans, start).alias("_low"), epoch_micros(spans, end).alias("_high"))
+    """1 for rows inside any window, bounds included, else 0.
+
+    Merged windows hold a row at most once, so one outer join does it and the rows are neither
+    aggregated nor, with few windows, shuffled. Many windows are cut at time cells and merged within
+    (key, cell), so that the windows of a hot key are never in one group.
+    """
+    spans = windows.select(key, epoch_micros(windows, start).alias("_low"), epoch_micros(windows, end).alias("_high"))
     timed = rows.withColumn("_at", epoch_micros(rows, ts))
-    held = interval_pairs(timed, spans, key, "_at", "_low", "_high", cell_micros, broadcast_rows, "left")
-    return held.withColumn(name, F.when(F.col("_low").isNotNull(), 1).otherwise(0)).drop("_at", "_low", "_high")
+    inside = (F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high"))
+    if windows.count() <= broadcast_rows:
+        merged = _merged(spans, [key]).withColumnRenamed(key, "_k")
+        held = timed.join(F.broadcast(merged), (timed[key] == F.col("_k")) & inside, "left")
+    else:
+        first, last = F.floor(F.col("_low") / cell_micros), F.floor(F.col("_high") / cell_micros)
+        listed = spans.distinct().withColumn("_span_cell", F.explode(F.sequence(first, last)))
+        begins = F.col("_span_cell") * cell_micros
+        clipped = listed.withColumns(
+            {"_low": F.greatest("_low", begins), "_high": F.least("_high", begins + cell_micros - 1)}
+        )
+        merged = _merged(clipped, [key, "_span_cell"]).withColumnRenamed(key, "_k")
+        placed = timed.withColumn("_cell", F.floor(F.col("_at") / cell_micros))
+        same = (placed[key] == F.col("_k")) & (F.col("_cell") == F.col("_span_cell"))
+        held = placed.join(merged, same & inside, "left").drop("_cell", "_span_cell")
+    labelled = held.withColumn(name, F.when(F.col("_low").isNotNull(), 1).otherwise(0))
+    return labelled.drop("_k", "_at", "_low", "_high")
 
 
 def window_recall(

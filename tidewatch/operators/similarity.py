@@ -18,7 +18,6 @@ from tidewatch.functions.vectors import as_matrix, nearest_rows
 from tidewatch.operators import decisions as D
 
 BLOCK_BYTES = 64 * 1024 * 1024
-QUERY_ROWS = 100_000
 BATCH_ROWS = 2048
 BROADCAST_ROWS = 100_000
 
@@ -34,13 +33,13 @@ def nearest(
     metric: str = "cosine",
     skip_same: bool = False,
     block_bytes: int = BLOCK_BYTES,
-    query_rows: int = QUERY_ROWS,
+    query_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, known_id, distance, rank)`` of the ``k`` nearest known vectors, exactly.
 
     A known set whose counted size stays under ``block_bytes`` is broadcast. A larger one is cut by
-    id hash into blocks of that size and the queries into slices of ``query_rows``; every (block,
-    slice) pair is one group with bounded inputs that returns its ``k`` best per query, and those
+    id hash into blocks of that size and the queries into slices of it (or ``query_rows``); every
+    (block, slice) pair is one group with bounded inputs that returns its ``k`` best per query, and those
     are merged. No pair that is not among a block's best leaves its task.
     """
     q = queries.select(F.col(query_id).alias("_q"), F.col(query_vector).alias("_qv")).filter("_qv IS NOT NULL")
@@ -54,7 +53,8 @@ def nearest(
         found = _against_broadcast(q, i, k, metric, skip_same, schema)
     else:
         blocks = math.ceil(size.n * size.dim * 8 / block_bytes)
-        each = _against_blocks(q, i, k, metric, skip_same, schema, blocks, query_rows)
+        slice_rows = query_rows or max(1, block_bytes // (size.dim * 8))
+        each = _against_blocks(q, i, k, metric, skip_same, schema, blocks, slice_rows)
         best = Window.partitionBy("q").orderBy(F.round("distance", 9), "id")
         found = each.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     name = query_id if query_id != known_id else f"query_{query_id}"
@@ -75,8 +75,8 @@ def _against_broadcast(q, i, k, metric, skip_same, schema):
     return q.mapInPandas(search, schema)
 
 
-def _against_blocks(q, i, k, metric, skip_same, schema, blocks, query_rows):
-    slices = max(1, math.ceil(q.count() / query_rows))
+def _against_blocks(q, i, k, metric, skip_same, schema, blocks, slice_rows):
+    slices = max(1, math.ceil(q.count() / slice_rows))
     place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = q.withColumn("_slice", place("_q", slices)).withColumn("_block", every(blocks))

@@ -185,14 +185,20 @@ def refused_decisions(spark, sf):
 
 @query(
     "thread_states",
-    """SELECT conv_id, max_by(role, turn) AS last_state, count(*) AS n_transitions, string_agg(role, '>' ORDER BY turn) AS nodes
-FROM conversations GROUP BY conv_id""",
+    "SELECT conv_id, max_by(role, turn) AS last_state, count(*) AS n_transitions FROM conversations GROUP BY conv_id",
 )
 def thread_states(spark, sf):
     talk = table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    last = D.latest_states(talk, "conv_id", ["turn"], "role")
-    path = D.transitions(talk, "conv_id", ["turn"], "role")
-    return last.join(path, "conv_id").withColumn("nodes", F.array_join("nodes", ">"))
+    return D.latest_states(talk, "conv_id", ["turn"], "role")
+
+
+@query(
+    "thread_transitions",
+    "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS step, role FROM conversations",
+)
+def thread_transitions(spark, sf):
+    talk = table(spark, sf, "conversations").select("conv_id", "turn", "role")
+    return D.transitions(talk, "conv_id", ["turn"], group_rows=bound(spark, sf, "conversations")).drop("turn")
 
 
 # --- boosted trees -------------------------------------------------------------------------------

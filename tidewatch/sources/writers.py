@@ -45,7 +45,7 @@ def as_report(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("report"))
 
 
-def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or an empty one of the same schema before the first write."""
     try:
         return spark.read.schema(like.schema).parquet(path)
@@ -55,10 +55,12 @@ def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return spark.createDataFrame([], like.schema)
 
 
-def append_new(batch: DataFrame, path: str, key: str, *order: str) -> None:
+def append_new(batch: DataFrame, path: str, key: str, *order: str, partition_by: Sequence[str] = ()) -> None:
     """Insert-if-absent: rows of the batch whose key the table does not hold are appended, the first
-    per key. Stored rows are never changed, so a rerun adds nothing."""
-    R.new_rows(batch, stored(batch.sparkSession, path, batch), key, *order).write.mode("append").parquet(path)
+    per key. Stored rows are never changed, so a rerun adds nothing. Of the table only the key column
+    is read."""
+    new = R.new_rows(batch, existing(batch.sparkSession, path, batch), key, *order)
+    new.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def replace_dates(rollup: DataFrame, path: str, partition: str = "rollup_date") -> None:
@@ -76,13 +78,20 @@ def sync_traces(flat: DataFrame, facts_path: str, rollup_path: str) -> None:
     """Flat traces to facts and to the rollup of the dates they touch.
 
     The rollup covers every date in the batch, also of rows that an earlier, broken-off run has
-    already appended: recomputing a date from all its facts is repeatable.
+    already appended: recomputing a date from all its facts is repeatable. Facts are stored by date,
+    so the rollup reads the touched dates' folders only.
     """
     good, _ = R.split_facts(flat)
-    good = good.drop("timestamp_fallback")
-    append_new(good, facts_path, "prompt_id", "event_timestamp")
-    facts = flat.sparkSession.read.schema(good.schema).parquet(facts_path)
-    replace_dates(R.rollup_of_dates(facts, R.touched_dates(good)), rollup_path)
+    good = good.drop("timestamp_fallback").withColumn("event_date", R.event_date()).persist()
+    try:
+        append_new(good, facts_path, "prompt_id", "event_timestamp", partition_by=["event_date"])
+        facts = flat.sparkSession.read.schema(good.schema).parquet(facts_path)
+        # one value per calendar day
+        days = [r[0] for r in good.select("event_date").distinct().collect()]
+        if days:
+            replace_dates(R.daily_rollup(facts.filter(F.col("event_date").isin(days))), rollup_path)
+    finally:
+        good.unpersist()
 
 
 def append_audit(df: DataFrame, path: str, account: str, node: str, details: Sequence[str]) -> None:

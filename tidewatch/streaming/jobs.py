@@ -178,11 +178,7 @@ def ingest_traces(traces: DataFrame, facts_path: str, rollup_path: str) -> None:
     """Trace documents to facts and daily rollup, micro-batch by micro-batch."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        flat = R.flatten_traces(batch).persist()
-        try:
-            writers.sync_traces(flat, facts_path, rollup_path)
-        finally:
-            flat.unpersist()
+        writers.sync_traces(R.flatten_traces(batch), facts_path, rollup_path)
 
     run_batches(traces, "ingest", each)
 
