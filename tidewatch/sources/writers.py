@@ -60,6 +60,10 @@ def append_new(batch: DataFrame, path: str, key: str, *order: str, partition_by:
     per key. Stored rows are never changed, so a rerun adds nothing. Of the table only the key column
     is read."""
     new = R.new_rows(batch, existing(batch.sparkSession, path, batch), key, *order)
+    if partition_by:
+        # few files per folder; a hot folder is still written by several tasks
+        columns = ", ".join(f"`{c}`" for c in partition_by)
+        new = batch.sparkSession.sql(f"SELECT /*+ REBALANCE({columns}) */ * FROM {{new}}", new=new)
     new.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
