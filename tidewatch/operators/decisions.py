@@ -214,7 +214,7 @@ def refused_decisions(
         key, F.struct(*order).alias("_first")
     )
     judged = marked.join(first, key, "left")
-    reason = F.when(~F.col("_known"), "unknown_thread").when(F.struct(*order) != F.col("_first"), "inactive_thread")
+    reason = F.when(~F.col("_known"), "unknown_thread").when(~F.struct(*order).eqNullSafe(F.col("_first")), "inactive_thread")
     return judged.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_known", "_first")
 
 

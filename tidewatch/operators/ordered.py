@@ -31,10 +31,10 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 def fits(df: DataFrame, keys: Sequence[str], limit: int, group_rows: int | None = None) -> bool:
     """Whether every group is small enough for one task. ``group_rows`` is an upper bound the caller
-    knows, such as the row count in the footers of the base table; it saves the counting pass as
-    long as it is within the limit."""
-    if group_rows is not None and group_rows <= limit:
-        return True
+    knows, such as the largest group of the base table; it decides without another counting pass,
+    which for a derived frame would compute it twice. The chunked form is right either way."""
+    if group_rows is not None:
+        return group_rows <= limit
     return largest_group(df, keys) <= limit
 
 

@@ -198,7 +198,7 @@ def thread_states(spark, sf):
 )
 def thread_transitions(spark, sf):
     talk = table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    return D.transitions(talk, "conv_id", ["turn"], group_rows=bound(spark, sf, "conversations")).drop("turn")
+    return D.transitions(talk, "conv_id", ["turn"], group_rows=bound(spark, sf, "conversations", "conv_id")).drop("turn")
 
 
 # --- boosted trees -------------------------------------------------------------------------------
@@ -225,6 +225,16 @@ def gbt_high_risk(spark, sf):
     return D.high_risk(scored, "churn_probability", "arr", "account_id", drivers, above=0.5)
 
 
+@query("attribution_sums", f"WITH {ACCOUNT_SQL} SELECT account_id, 1 AS adds_up FROM acc")
+def attribution_sums(spark, sf):
+    """Contributions and base value add up to the model's margin for every account."""
+    ready, train = boosted_rows(spark, sf)
+    model = Mo.boosted(depth=3, rounds=5).fit(train)
+    rows = A.with_attributions(Mo.scored(model, ready), model)
+    total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c) + F.col("base_value")
+    return rows.select("account_id", (F.abs(total - F.col("margin")) < 1e-9).cast("int").alias("adds_up"))
+
+
 @query("gbt_driver_ranking")
 def gbt_driver_ranking(spark, sf):
     ready, train = boosted_rows(spark, sf)

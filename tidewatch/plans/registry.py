@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.operators.ordered import MAX_GROUP_ROWS, largest_group
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -24,9 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Rows of a table, read from its footers: an upper bound on any group of its rows."""
-    return table(spark, sf_dir, name).count()
+def bound(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> int | None:
+    """Upper bound on the groups of a table. A table that fits one task is bounded by the row count in
+    its footers; of a larger one the key columns are counted, or, without keys, nothing is known."""
+    rows = table(spark, sf_dir, name).count()
+    if rows <= MAX_GROUP_ROWS:
+        return rows
+    return largest_group(table(spark, sf_dir, name), keys) if keys else None
 
 
 def spread(df: DataFrame) -> DataFrame:

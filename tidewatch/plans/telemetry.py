@@ -22,7 +22,7 @@ def metric_events(spark, sf):
 def scored(spark, sf, key="event_type"):
     """Events with their rolling z-score, and a bound on the rows of a key."""
     events = table(spark, sf, "events").select("event_id", "ts", key, "value")
-    rows = bound(spark, sf, "events")
+    rows = bound(spark, sf, "events", key)
     done = M.rolling_features(events, [key], ORDER, [M.Rolled("value", "value", "value")], group_rows=rows)
     return done, rows
 
@@ -106,7 +106,7 @@ def rounded(df, ids, columns, places=6):
 @query("rolling_features", f"WITH base AS ({BASE_SQL})" + ROLL_SQL.format(keys="event_type"))
 def rolling_features(spark, sf):
     done = M.rolling_features(
-        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events"), **EXTRA
+        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events", "event_type"), **EXTRA
     )
     return rounded(M.fill_gaps(done), ["event_id", "event_type", "value_per_k"], FEATURES)
 
@@ -244,7 +244,7 @@ def inject_spike_drift_flat(spark, sf):
     from tidewatch.operators.ordered import running_sums
 
     numbered = running_sums(
-        metric_events(spark, sf), ["event_type"], ORDER, {"i": F.lit(1)}, group_rows=bound(spark, sf, "events")
+        metric_events(spark, sf), ["event_type"], ORDER, {"i": F.lit(1)}, group_rows=bound(spark, sf, "events", "event_type")
     )
     rows = numbered.select("event_id", "event_type", "value", "k", F.col("value").alias("v2"), (F.col("i") - 1).alias("i"))
     kind = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("event_type")]

@@ -262,7 +262,7 @@ split AS (SELECT *, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - test THEN
 
 def split_documents(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
-    return C.stratified_split(docs, "lang", "doc_id", group_rows=bound(spark, sf, "documents"))
+    return C.stratified_split(docs, "lang", "doc_id", group_rows=bound(spark, sf, "documents", "lang"))
 
 
 @query("stratified_split", f"WITH {SPLIT_SQL} SELECT doc_id, lang, split FROM split")

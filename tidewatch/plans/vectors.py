@@ -195,7 +195,7 @@ def labelled_features(spark, sf):
     from tidewatch.operators import incidents as I
 
     done = M.fill_gaps(M.rolling_features(
-        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events"), **EXTRA
+        metric_events(spark, sf), ["event_type"], ORDER, ROLLED, group_rows=bound(spark, sf, "events", "event_type"), **EXTRA
     ))
     return I.label_by_windows(done, truth_windows(spark, sf), "event_type", "ts")
 
@@ -212,6 +212,35 @@ def ensemble_scores(spark, sf):
     return stored_scores(spark, sf)
 
 
+def model_inputs(spark, sf):
+    """Scaled inputs as columns and as one array, stored because the fits pass over them many times."""
+    rows = labelled_features(spark, sf).select("event_id", "is_anomaly", *INPUTS)
+    names = [f"s{i}" for i in range(len(INPUTS))]
+    scaled = M.standard_scaled(rows, rows, dict(zip(INPUTS, names))).withColumn("x", F.array(*names))
+    return stored(scaled.select("event_id", "is_anomaly", "x", *names), "inputs"), names
+
+
+@query("isolation_scores")
+def isolation_scores(spark, sf):
+    rows, _ = model_inputs(spark, sf)
+    forest = Mo.fit_isolation_forest(rows, "x", "event_id", trees=100)
+    return Mo.isolation_scores(rows, forest, "x").select("event_id", "iso_score")
+
+
+@query("one_class_scores")
+def one_class_scores(spark, sf):
+    rows, _ = model_inputs(spark, sf)
+    rate = rows.agg(F.avg("is_anomaly")).first()[0]
+    return Mo.one_class_scores(rows, Mo.fit_one_class(rows, "x", "event_id", rate, steps=10), "x").select("event_id", "svm_score")
+
+
+@query("reconstruction_error")
+def reconstruction_error(spark, sf):
+    rows, names = model_inputs(spark, sf)
+    fitted = Mo.fit_reconstruction(rows, names, F.col("is_anomaly") == 0)
+    return Mo.reconstruction_error(rows, names, fitted).select("event_id", "ae_rmse")
+
+
 @query("ensemble_metrics")
 def ensemble_metrics(spark, sf):
     """Calibrated threshold and metrics per model, and of the agreement rule."""
@@ -233,7 +262,7 @@ def ensemble_metrics(spark, sf):
 
 def labelled_vectors(spark, sf):
     rows = table(spark, sf, "embeddings").withColumn("category", F.concat(F.lit("label-"), "label"))
-    split = C.stratified_split(rows, "category", "vec_id", group_rows=bound(spark, sf, "embeddings"))
+    split = C.stratified_split(rows, "category", "vec_id", group_rows=bound(spark, sf, "embeddings", "label"))
     columns = [f"x{i}" for i in range(64)]
     flat = split.select("vec_id", "category", "split", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(columns)])
     scaled = M.standard_scaled(flat, flat.filter(F.col("split") == "train"), {c: f"{c}_s" for c in columns})
