@@ -43,38 +43,54 @@ def in_event_order(
 ) -> DataFrame:
     """Runs ``handle`` per key over the columns ``_at``, ``tie`` and ``values`` of its rows, released
     in (ts, tie) order. ``output`` is the schema of what it returns, without keys and time; each
-    output row belongs to the input row at its place."""
+    output row belongs to the input row at its place.
+
+    Rows go in and out as one JSON column: a group's cost in Python is per column, and most keys
+    have a row or two in a micro-batch.
+    """
     names = [AT, *tie, *values]
     types = dict(stream.dtypes)
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"{AT} long", output])
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["_row string"])
     ranked = 1 + len(tie)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting, carry = state.get if state.exists else ("[]", "{}")
         rows = json.loads(waiting)
         for batch in batches:
-            rows.extend(zip(*[batch[n].tolist() for n in names]))
-        rows.sort(key=lambda r: tuple(r[:ranked]))
+            for text in batch["_row"]:
+                row = json.loads(text)
+                rows.append([row[n] for n in names])
+        rows.sort(key=lambda r: r[:ranked])
         mark = state.getCurrentWatermarkMs()
         passed = bisect_right(rows, mark * 1000, key=lambda r: r[0])
         if passed:
             columns = dict(zip(names, map(list, zip(*rows[:passed]))))
             out, carried = handle(key, columns, json.loads(carry))
             carry = json.dumps(carried)
-            fixed = {k: [v] * passed for k, v in zip(keys, key)}
-            yield pd.DataFrame({**fixed, AT: columns[AT], **out})
+            made = [AT, *out]
+            lines = zip(columns[AT], *[_plain(c) for c in out.values()])
+            told = [json.dumps(dict(zip(made, line))) for line in lines]
+            yield pd.DataFrame({**{k: [v] * passed for k, v in zip(keys, key)}, "_row": told})
         kept = rows[passed:]
         state.update((json.dumps(kept), carry))
         if kept:
             state.setTimeoutTimestamp(max(kept[0][0] // 1000, mark) + 1)
 
     timed = zoned(stream, ts).withWatermark(ts, delay).withColumn(AT, F.unix_micros(ts))
+    packed = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
     done = (
-        timed.select(ts, *dict.fromkeys([*keys, *names]))
+        timed.select(ts, *keys, packed.alias("_row"))
         .groupBy(*keys)
         .applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )
-    return done.withColumn(ts, F.timestamp_micros(AT)).drop(AT)
+    unpacked = done.withColumn("_r", F.from_json("_row", f"{AT} long, {output}"))
+    return unpacked.select(*keys, "_r.*").withColumn(ts, F.timestamp_micros(AT)).drop(AT)
+
+
+def _plain(values: Sequence) -> list:
+    """Python values of a list or array, NaN as None."""
+    plain = values.tolist() if hasattr(values, "tolist") else values
+    return [None if isinstance(v, float) and v != v else v for v in plain]
 
 
 def mark_late(stream: DataFrame, keys: Sequence[str], ts: str, delay_seconds: int = 600) -> DataFrame:
