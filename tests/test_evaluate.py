@@ -42,6 +42,12 @@ def test_segment_sweep_takes_largest_tied_threshold(spark):
     assert E.best_segment_threshold(E.segment_sweep(none, "y", "score")).first()["threshold"] == pytest.approx(0.9)
 
 
+def test_missing_scores_are_never_predicted(spark):
+    rows = spark.createDataFrame([(float("nan"), 1), (None, 1), (0.9, 1), (0.2, 0)], "score double, y int")
+    got = {r["threshold"]: (r["tp"], r["fp"], r["fn"]) for r in E.counts_at(rows, "y", "score", [0.1, 0.5]).collect()}
+    assert got == {0.1: (1, 1, 2), 0.5: (1, 0, 2)}
+
+
 def test_percentile_sweep_takes_smallest_tied_percentile(spark):
     rows = [(float(i), int(i >= 90)) for i in range(100)]
     swept = E.percentile_sweep(frame(spark, rows), "y", "score")

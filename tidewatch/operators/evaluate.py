@@ -117,8 +117,11 @@ def counts_at(df: DataFrame, y: str, score: str, thresholds: Sequence[float]) ->
     """
     cuts = sorted(set(thresholds))
     splits = [float("-inf"), *cuts, float("inf")]
+    value = F.col(score).cast("double")
+    # a missing score is over no threshold
+    reached = F.when(value.isNull() | F.isnan(value), F.lit(float("-inf"))).otherwise(value)
     placed = Bucketizer(splits=splits, inputCol=score, outputCol="_level").transform(
-        df.select(F.col(score).cast("double").alias(score), F.col(y).cast("int").alias(y))
+        df.select(reached.alias(score), F.col(y).cast("int").alias(y))
     )
     gaps = placed.groupBy("_level").agg(
         F.count("*").alias("n"), F.sum(y).cast("long").alias("pos")

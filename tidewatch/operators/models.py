@@ -244,24 +244,25 @@ def fit_one_class(
             def gradient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 weights, shifts = held.value
                 maker = OneClassBoundary(weights, shifts, normal, offset)
-                grad, inside, rows = np.zeros(width), 0, 0
+                # the last entry counts the rows outside
+                grad = np.zeros(width + 1)
                 for batch in batches:
                     if not len(batch):
                         continue
                     z = maker.features(np.stack(batch[features].to_numpy()))
                     outside = z @ normal < offset
-                    grad += z[outside].sum(axis=0)
-                    inside += int(outside.sum())
-                    rows += len(z)
-                yield pd.DataFrame({"grad": [grad], "outside": [inside], "rows": [rows]})
+                    grad[:width] += z[outside].sum(axis=0)
+                    grad[width] += outside.sum()
+                yield pd.DataFrame({"grad": [grad]})
 
-            return sample.mapInPandas(gradient, "grad array<double>, outside long, rows long")
+            return sample.mapInPandas(gradient, "grad array<double>")
 
         mean = partial(np.zeros(width), 1.0)
-        model.normal = _summed(mean, width)[0] / shape.n
+        model.normal = _summed(mean)[:width] / shape.n
         model.offset = float(model.normal @ model.normal)
         for step in range(1, steps + 1):
-            grad, outside = _summed(partial(model.normal, model.offset), width)
+            total_grad = _summed(partial(model.normal, model.offset))
+            grad, outside = total_grad[:width], total_grad[width]
             rate_now = 1.0 / math.sqrt(step)
             model.normal = model.normal - rate_now * (model.normal - grad / (nu * shape.n))
             model.offset = model.offset + rate_now * (1.0 - outside / (nu * shape.n)) * 0.1
@@ -270,9 +271,10 @@ def fit_one_class(
         sample.unpersist()
 
 
-def _summed(parts: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    sums = parts.agg(*[F.sum(F.get("grad", F.lit(i))).alias(f"g{i}") for i in range(width)], F.sum("outside").alias("o")).first()
-    return np.array([sums[i] for i in range(width)], dtype=np.float64), int(sums["o"])
+def _summed(parts: DataFrame) -> np.ndarray:
+    """Entry-wise sum of the partitions' vectors."""
+    entries = parts.select(F.posexplode("grad").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+    return np.array([r["value"] for r in entries.orderBy("at").collect()], dtype=np.float64)
 
 
 def one_class_scores(df: DataFrame, model: OneClassBoundary, features: str, output: str = "svm_score") -> DataFrame:

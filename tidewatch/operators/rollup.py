@@ -66,7 +66,7 @@ def flatten_traces(traces: DataFrame, sla_ms: float = V.SLA_LATENCY_MS) -> DataF
         flag("escalation.agents_disagreed").alias("agents_disagreed"),
         F.col("escalation.severity").alias("escalation_severity"),
         flag("escalation.notify_slack").alias("notify_slack"),
-        F.col("total_latency_ms").cast("decimal(12,2)").alias("total_latency_ms"),
+        F.col("total_latency_ms").try_cast("decimal(12,2)").alias("total_latency_ms"),
         sla_breached(F.col("total_latency_ms"), sla_ms).alias("sla_breached"),
         when.alias("event_timestamp"),
         fell_back.alias("timestamp_fallback"),
