@@ -20,12 +20,12 @@ def _re2(pattern: str) -> str:
 
 
 _STRIP = "translate({}, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')"
-_FAULT = f"""CASE WHEN length({_STRIP.format("l")}) = 0 THEN NULL
-  WHEN regexp_matches(l, {q(_re2(L.BOILERPLATE))}) THEN 'boilerplate'
+_SAID = " OR ".join(f"contains(low, '{p}')" for p in L.BOILERPLATE)
+_LOUD = " + ".join(f"(length(l) - length(replace(l, '{m}', ''))) / {len(m)}" for m in L.LOUD)
+_FAULT = f"""CASE WHEN n = 0 THEN NULL WHEN {_SAID} THEN 'boilerplate'
   WHEN regexp_matches(l, {q(_re2(L.NAVIGATION))}) OR length(l) - length(translate(l, {q(L.SEPARATORS)}, '')) >= 3
-    OR (len(regexp_extract_all(l, '{_WORDS}')) <= 3 AND NOT regexp_matches(l, {q(_re2(L.SENTENCE_END))})) THEN 'navigation'
-  WHEN length(l) - length(translate(l, '{L.SYMBOLS}', '')) > {L.MAX_SYMBOLS} * length({_STRIP.format("l")})
-    OR len(regexp_extract_all(l, '{L.LOUD}')) > {L.MAX_LOUD} * len(regexp_extract_all(l, '{_WORDS}')) THEN 'punctuation' END"""
+    OR (n <= 3 AND NOT regexp_matches(l, {q(_re2(L.SENTENCE_END))})) THEN 'navigation'
+  WHEN length(l) - length(translate(l, '{L.SYMBOLS}', '')) > {L.MAX_SYMBOLS} * length(l) OR {_LOUD} > {L.MAX_LOUD} * n THEN 'punctuation' END"""
 
 #: rows of the line rules over a table expression with doc_id and text; documents are told apart by r
 LINE_RULES_CTES = f"""
@@ -35,7 +35,8 @@ g AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELE
 gg AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g),
 rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM gg WHERE c > 1) GROUP BY r),
 ln AS (SELECT r, unnest(range(1, len(a) + 1)) AS k, unnest(a) AS l FROM (SELECT r, string_split(x, chr(10)) AS a FROM t)),
-lf AS (SELECT r, k, l, {_FAULT} AS f FROM ln),
+lf AS (SELECT r, k, l, {_FAULT} AS f FROM (SELECT *, translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+  len(regexp_extract_all(l, '{_WORDS}')) AS n FROM ln)),
 la AS (SELECT r, count(*) FILTER (length({_STRIP.format("l")}) > 0) AS n_lines,
   count(DISTINCT l) FILTER (length({_STRIP.format("l")}) > 0) AS n_distinct,
   count(*) FILTER (f = 'boilerplate') AS n_boilerplate, count(*) FILTER (f = 'navigation') AS n_navigation,

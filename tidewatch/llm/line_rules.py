@@ -8,27 +8,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import BLANKS, words
+from tidewatch.llm.common import ascii_lower, words
 
 #: Characters that running text has few of.
 SYMBOLS = "#*$%&|<>"
-WORD = r"[^ \t\n\x0B\f\r]"
 #: Ends of a sentence, closing quotes and brackets allowed after them.
 SENTENCE_END = r"[.!?;:…][\"'”’»)\]]*[ \t\r]*$"
-#: Runs of marks as in "now!!", which prose has rarely.
-LOUD = r"[!?]{2,}"
+#: Doubled marks as in "now!!", which prose has rarely.
+LOUD = ("!!", "??")
 SEPARATORS = "|»›•·"
 NAVIGATION = (
     r"(?i)^[ \t]*(home|menu|log ?in|log ?out|sign (in|up)|next|previous|back( to top)?|read more|share|search"
     r"|subscribe|contact( us)?|about( us)?|sitemap|skip to (main )?content)[ \t\r.:>]*$"
 )
 BOILERPLATE = (
-    r"(?i)(all rights reserved|(use|uses|accept|enable) (all )?cookies|enable javascript|terms of (use|service)"
-    r"|privacy policy|(licensed|released) under|copyright [0-9(©]|lorem ipsum)"
+    "all rights reserved", "use cookies", "uses cookies", "accept cookies", "accept all cookies", "enable cookies",
+    "enable javascript", "terms of use", "terms of service", "privacy policy", "licensed under", "released under",
+    "copyright ©", "copyright (c)", "lorem ipsum",
 )
+#: A text without any of these has no line that fails for its marks.
+MARKS = r"[#*$%&|<>»›•·]|!!|\?\?"
 
-#: Most share of symbols (or of loud runs among words) in a line, and of a document's word characters that may go.
-MAX_SYMBOLS, MAX_LOUD, MAX_LOST = 0.1, 0.3, 0.3
+#: Most share of symbols among a line's characters, of doubled marks by its words, and of a document's word characters that may go.
+MAX_SYMBOLS, MAX_LOUD, MAX_LOST = 0.08, 0.3, 0.3
 RULES = ("boilerplate", "navigation", "punctuation")
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Low bits of a window's key that hold its position: texts of up to 268 million words.
@@ -39,21 +41,28 @@ def _count(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
-def _word_chars(text: Column) -> Column:
-    return F.char_length(F.translate(text, BLANKS, ""))
+def _joined(w: Column) -> Column:
+    return F.char_length(F.array_join(w, "")).cast("long")
 
 
-def line_fault(line: Column) -> Column:
-    """The rule a line fails, else null: ``boilerplate`` phrases; ``navigation`` labels, lists cut by three
-    separators, or one to three words without a sentence end; ``punctuation`` where symbols or loud marks
-    prevail. Lines without a word pass."""
-    chars, loud = _word_chars(line), F.size(F.regexp_extract_all(line, F.lit(LOUD), F.lit(0)))
-    n = F.size(words(line))
+def _held(text: Column, part: str) -> Column:
+    return (F.char_length(text) - F.char_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
+def line_fault(line: Column, low: Column, n: Column, marked: Column) -> Column:
+    """The rule a line of ``n`` words fails, else null: ``boilerplate`` phrases; ``navigation`` labels, lists
+    cut by three separators, or one to three words without a sentence end; ``punctuation`` where symbols or
+    doubled marks prevail. Lines without a word pass. ``low``: the line lowered; ``marked``: whether the text
+    holds any of MARKS at all."""
+    said = F.contains(low, F.lit(BOILERPLATE[0]))
+    for phrase in BOILERPLATE[1:]:
+        said = said | F.contains(low, F.lit(phrase))
+    loud = sum((_held(line, m) for m in LOUD[1:]), _held(line, LOUD[0]))
     return (
-        F.when(chars == 0, F.lit(None).cast("string"))
-        .when(line.rlike(BOILERPLATE), "boilerplate")
-        .when(line.rlike(NAVIGATION) | (_count(line, SEPARATORS) >= 3) | ((n <= 3) & ~line.rlike(SENTENCE_END)), "navigation")
-        .when((_count(line, SYMBOLS) > MAX_SYMBOLS * chars) | (loud > MAX_LOUD * n), "punctuation")
+        F.when(n == 0, F.lit(None).cast("string"))
+        .when(said, "boilerplate")
+        .when(((n <= 3) & ~line.rlike(SENTENCE_END)) | line.rlike(NAVIGATION) | (marked & (_count(line, SEPARATORS) >= 3)), "navigation")
+        .when(marked & ((_count(line, SYMBOLS) > MAX_SYMBOLS * F.char_length(line)) | (loud > MAX_LOUD * n)), "punctuation")
     )
 
 
@@ -92,12 +101,15 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     A null or empty text has no words and fails; repeated rows each get the same result.
     """
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    out = docs.withColumns({"__w": words(t), "__lines": F.split(t, "\n", -1)})
+    out = docs.withColumns({
+        "__w": words(t), "__marked": t.rlike(MARKS), "__lines": F.split(t, "\n", -1), "__low": F.split(ascii_lower(t), "\n", -1),
+    })
+    out = out.withColumn("__lines", F.zip_with("__lines", "__low", lambda x, low: F.struct(x.alias("x"), low.alias("low"), F.size(words(x)).alias("n"))))
     out = out.withColumn("__keys", window_keys(F.col("__w")))
     out = out.withColumns({
         "__near": F.when(F.size("__keys") > 1, alike(F.col("__keys"))),
-        "__faults": F.transform("__lines", line_fault),
-        "__real": F.filter("__lines", lambda x: x.rlike(WORD)),
+        "__faults": F.transform("__lines", lambda e: line_fault(e["x"], e["low"], e["n"], F.col("__marked"))),
+        "__real": F.transform(F.filter("__lines", lambda e: e["n"] > 0), lambda e: e["x"]),
     })
     # the same hash is not yet the same window: those few are sorted again by their words
     gram = lambda p: F.concat_ws(" ", F.get("__w", p), F.get("__w", p + 1), F.get("__w", p + 2))
@@ -107,7 +119,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.flatten(F.transform(twice, lambda i: F.array(start(i), start(i) + 1, start(i) + 2)))
     out = out.withColumns({
         "n_words": F.size("__w").cast("long"),
-        "word_chars": _word_chars(t).cast("long"),
+        "word_chars": _joined(F.col("__w")),
         "n_symbols": _count(t, SYMBOLS).cast("long"),
         "n_dup_lines": (F.size("__real") - F.size(F.array_distinct("__real"))).cast("long"),
         "n_repeat_words": F.when(F.size("__exact") > 1, F.size(F.array_distinct(covered))).otherwise(0).cast("long"),
@@ -115,15 +127,15 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "line_faults": F.map_from_arrays(
             F.array(*map(F.lit, RULES)), F.array(*[F.size(F.filter("__faults", _is(r))) for r in RULES])
         ),
-        "clean_text": F.array_join(F.filter("__lines", lambda x, i: F.get("__faults", i).isNull()), "\n"),
+        "clean_text": F.array_join(F.transform(F.filter("__lines", lambda e, i: F.get("__faults", i).isNull()), lambda e: e["x"]), "\n"),
     })
-    lost = F.when(F.col("word_chars") > 0, 1 - _word_chars(F.col("clean_text")) / F.col("word_chars")).otherwise(0.0)
+    lost = F.when(F.col("word_chars") > 0, 1 - _joined(words(F.col("clean_text"))) / F.col("word_chars")).otherwise(0.0)
     out = out.withColumns({
         "lost_share": lost,
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
     })
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST))
-    return out.drop("__w", "__lines", "__keys", "__near", "__faults", "__real", "__exact")
+    return out.drop("__w", "__lines", "__keys", "__near", "__faults", "__real", "__marked", "__exact")
 
 
 def cleaned(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
