@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, line_rules
+from tidewatch.llm import checks, line_rules, pivots
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -35,3 +35,8 @@ def op8(spark, sf_dir):
         "n_lines", F.sha2("clean_text", 256).alias("clean_sha256"),
         *[F.col("line_faults")[r].cast("long").alias(f"n_{r}") for r in line_rules.RULES],
     )
+
+
+@query("op4_pivot_distances")
+def op4(spark, sf_dir):
+    return pivots.near_duplicates(table(spark, sf_dir, "documents"))
