@@ -53,3 +53,24 @@ LINE_RULES = f"""WITH {LINE_RULES_CTES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND lost <= {L.MAX_LOST} AS kept, n_lines, sha256(clean) AS clean_sha256,
   n_boilerplate, n_navigation, n_punctuation FROM judged"""
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _window_texts(length: str) -> str:
+    return f"array_to_string(ws[i:i + {length} - 1], ' ')"
+
+
+WINNOWING = f"""WITH
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_ALNUM}') AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, ws, least(10, len(ws)) AS n
+  FROM (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '{_ALNUM}') AS ws FROM benchmark) WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item, n, {_window_texts("n")} AS g FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM b)),
+dw AS (SELECT r, i, n, {_window_texts("n")} AS g FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+hits AS (SELECT r, i, n, item FROM dw JOIN bw USING (n, g)),
+nh AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+ni AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN nh USING (r) LEFT JOIN ni USING (r)"""

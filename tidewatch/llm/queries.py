@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, line_rules, pivots
+from tidewatch.llm import checks, line_rules, pivots, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -40,3 +40,15 @@ def op8(spark, sf_dir):
 @query("op4_pivot_distances")
 def op4(spark, sf_dir):
     return pivots.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_winnowing", checks.WINNOWING)
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = winnowing.shared_spans(docs, table(spark, sf_dir, "benchmark"))
+    n_hit = winnowing.hit_words(F.col("found"))
+    return found.select("doc_id", "found", n_hit.alias("n_hit")).select(
+        "doc_id", F.col("found.n_words").alias("n_words"), "n_hit", F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
