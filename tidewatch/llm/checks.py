@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tidewatch.llm import line_rules as L
+from tidewatch.llm import mixing as M
+from tidewatch.llm import sharding as S
 
 _WORDS = r"[^ \t\n\x0B\f\r]+"
 
@@ -74,3 +76,40 @@ ni AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN nh USING (r) LEFT JOIN ni USING (r)"""
+
+
+def _round(r: int) -> str:
+    """A round of filling: documents behind the last cut that fit the rest, up to the cut that the rest allows."""
+    return f"""p{r} AS (SELECT s.none, s.name, h, size, sum(size) OVER (PARTITION BY s.none, s.name ORDER BY h) AS run
+  FROM s JOIN k{r - 1} k USING (none, name) WHERE k.room >= 1 AND h > k.cut AND size <= k.room),
+c{r} AS (SELECT none, name, max(h) AS cut, max(run) AS run FROM p{r} JOIN k{r - 1} k USING (none, name) WHERE run <= k.room GROUP BY ALL),
+k{r} AS (SELECT none, name, source_size, target, epochs, k.cut AS cut0, k.room AS room0, coalesce(greatest(c.cut, k.cut), k.cut) AS cut,
+  k.room - coalesce(c.run, 0) AS room FROM k{r - 1} k LEFT JOIN c{r} c USING (none, name))"""
+
+
+MIXING_CTES = f"""s AS (SELECT row_number() OVER () AS r, doc_id, source IS NULL AS none, coalesce(source, '') AS name,
+  len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size,
+  ('0x' || substr(md5('{M.SEED}' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+z AS (SELECT none, name, sum(size)::BIGINT AS source_size FROM s GROUP BY ALL),
+w AS (SELECT *, [{", ".join(map(str, M.WEIGHTS))}][(row_number() OVER (ORDER BY none, name) - 1) % {len(M.WEIGHTS)} + 1] AS weight, {M.MAX_EPOCHS} * source_size AS cap FROM z),
+o AS (SELECT *, row_number() OVER (ORDER BY cap / weight, none, name) AS place FROM w),
+l AS (SELECT a.place, a.weight, a.cap, ((SELECT sum(source_size) FROM z) - coalesce((SELECT sum(cap) FROM o b WHERE b.place < a.place), 0))::DOUBLE
+  / (SELECT sum(weight) FROM o b WHERE b.place >= a.place) AS level FROM o a),
+v AS (SELECT coalesce((SELECT level FROM l WHERE level * weight <= cap ORDER BY place LIMIT 1), 0) AS level),
+t AS (SELECT none, name, source_size, least(cap::DOUBLE, level * weight) AS target FROM o, v),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN least({M.MAX_EPOCHS}, floor((target + 0.5) / source_size))::BIGINT ELSE 0 END AS epochs FROM t),
+k0 AS (SELECT *, (-1)::BIGINT AS cut, CASE WHEN epochs < {M.MAX_EPOCHS} THEN greatest(0, target - epochs * source_size) ELSE 0 END AS room FROM e),
+{", ".join(_round(r) for r in range(1, M.ROUNDS + 1))},
+again AS ({" UNION ALL ".join(f"SELECT s.r FROM s JOIN k{r} k USING (none, name) WHERE k.room0 >= 1 AND s.h > k.cut0 AND s.h <= k.cut AND s.size <= k.room0" for r in range(1, M.ROUNDS + 1))}),
+mixed AS (SELECT s.r, doc_id, size, source_size, target, epochs + (s.r IN (SELECT r FROM again))::BIGINT AS copies FROM s JOIN e USING (none, name))"""
+MIXING = f"WITH {MIXING_CTES} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed"
+
+SHARDING_CTES = """sk AS (SELECT doc_id, text, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
+sd AS (SELECT d::INTEGER AS depth, h >> (60 - d) AS prefix, sum(n_bytes)::BIGINT AS bytes, min(h) = max(h) AS alone
+  FROM sk, (SELECT unnest(range(0, 41)) AS d) GROUP BY ALL),
+leaf AS (SELECT * FROM sd a WHERE (bytes <= {limit} OR alone) AND (depth = 0
+  OR EXISTS (SELECT 1 FROM sd b WHERE b.depth = a.depth - 1 AND b.prefix = a.prefix >> 1 AND b.bytes > {limit} AND NOT b.alone)))"""
+_BITS = "CASE WHEN depth = 0 THEN 's' ELSE 's' || lpad(bin(prefix), depth, '0') END"
+SHARDING = f"""WITH {SHARDING_CTES.format(limit=S.LIMIT_BYTES)}
+SELECT doc_id, {_BITS} AS shard, depth, n_bytes, bytes AS shard_bytes FROM sk JOIN leaf ON sk.h >> (60 - depth) = prefix"""

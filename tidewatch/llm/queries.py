@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, line_rules, pivots, winnowing
+from tidewatch.llm import checks, line_rules, mixing, pivots, sharding, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -52,3 +52,19 @@ def op6(spark, sf_dir):
         F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op10_splitting_tree", checks.MIXING)
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mix = F.col("mix")
+    in_shards = F.size(F.filter(mix["copies"], lambda c: c["shard"] >= 0)).cast("long")
+    return mixing.mixed(docs).select("doc_id", "mix").select(
+        "doc_id", mix["size"].alias("size"), mix["source_size"].alias("source_size"), mix["target"].alias("target"),
+        (mix["size"] * in_shards).alias("taken"),
+    )
+
+
+@query("op1_extendible_hashing", checks.SHARDING)
+def op1(spark, sf_dir):
+    return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.col("shard.name").alias("shard"), "shard.depth", "shard.n_bytes", "shard.shard_bytes")
