@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tidewatch.llm import derivatives as D
 from tidewatch.llm import line_rules as L
 from tidewatch.llm import mixing as M
+from tidewatch.llm import redirects as R
 from tidewatch.llm import sharding as S
 
 _WORDS = r"[^ \t\n\x0B\f\r]+"
@@ -113,3 +115,52 @@ leaf AS (SELECT * FROM sd a WHERE (bytes <= {limit} OR alone) AND (depth = 0
 _BITS = "CASE WHEN depth = 0 THEN 's' ELSE 's' || lpad(bin(prefix), depth, '0') END"
 SHARDING = f"""WITH {SHARDING_CTES.format(limit=S.LIMIT_BYTES)}
 SELECT doc_id, {_BITS} AS shard, depth, n_bytes, bytes AS shard_bytes FROM sk JOIN leaf ON sk.h >> (60 - depth) = prefix"""
+
+
+def _fit(rule: str) -> str:
+    name, _, tail = rule.partition("/")
+    return f"((host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{tail}'))"
+
+
+#: The tables hold no canonical link, refresh or redirect, so here only rules decide; tests cover the aliases.
+URL_RULES = f"""WITH u AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE {" ".join(f"WHEN {_fit(rule)} THEN '{rule}'" for _, rule in sorted(R.RULES, key=lambda x: (-len(x[1]), x[0])))} END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE {" ".join(f"WHEN rule = '{rule}' THEN '{v}'" for v, rule in R.RULES)} ELSE 'allow' END AS verdict FROM r"""
+
+
+def _plain(x: str) -> str:
+    text = f"regexp_replace({x}, {q(D._DROPPED)}, '', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, {q(D._BREAKS)}, chr(10), 'g'), '{D._TAGS}', '', 'g')"
+    for entity, char in D._ENTITIES:
+        text = f"replace({text}, '{entity}', {q(char)})"
+    text = f"regexp_replace(regexp_replace({text}, '[ \\t\\r\\x0B\\f\u00a0]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({text}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+_CRLF = "chr(13) || chr(10)"
+_URN = "'urn:uuid:' || regexp_replace(md5({}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
+
+
+def _head(name: str, value: str) -> str:
+    return f"coalesce('{name}: ' || regexp_replace({value}, '[\\r\\n]+', ' ', 'g') || {_CRLF}, '')"
+
+
+DERIVATIVES = f"""WITH r AS (SELECT page_id, coalesce(html, '') AS x, url AS target_uri, '1970-01-01T00:00:00Z' AS date,
+  {_URN.format("'response|' || coalesce(page_id::VARCHAR, '') || '|' || coalesce(url, '')")} AS refers_to FROM pages),
+s AS (SELECT *, 'sha256:' || sha256(x) AS payload_digest, 'HTTP/1.1 200 OK' || {_CRLF} || 'Content-Type: text/html; charset=utf-8' || {_CRLF}
+  || 'Content-Length: ' || octet_length(encode(x)) || {_CRLF} AS source_headers FROM r),
+b AS (SELECT *, {_plain("x")} AS t, replace({_plain("regexp_extract(x, '(?is)<title" + chr(92) + "b[^>]*>(.*?)</title" + chr(92) + "s*>', 1)")}, chr(10), ' ') AS title,
+  regexp_extract(x, {q(r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([a-zA-Z-]+)""")}, 1) AS lang,
+  len(regexp_extract_all(x, '(?i)<a\\b[^>]*\\bhref\\s*=')) AS links FROM s),
+k AS (SELECT page_id, refers_to, target_uri, date, source_headers, payload_digest, 'conversion' AS record_type, 'text/plain' AS content_type, t AS block FROM b
+  UNION ALL SELECT page_id, refers_to, target_uri, date, source_headers, payload_digest, 'metadata', 'application/warc-fields',
+  {_head("title", "title")} || {_head("language", "lang")} || {_head("outlinks", "links::VARCHAR")} || {_head("payload-digest", "payload_digest")}
+  || 'source-header: ' || replace(source_headers[:-3], {_CRLF}, {_CRLF} || 'source-header: ') || {_CRLF} FROM b),
+d AS (SELECT *, {_URN.format("record_type || '|' || refers_to")} AS record_id, 'sha256:' || sha256(block) AS block_digest,
+  octet_length(encode(block))::BIGINT AS content_length FROM k)
+SELECT *, '{D.VERSION}' || {_CRLF} || {_head("WARC-Type", "record_type")} || {_head("WARC-Record-ID", "'<' || record_id || '>'")}
+  || {_head("WARC-Refers-To", "'<' || refers_to || '>'")} || {_head("WARC-Refers-To-Target-URI", "target_uri")} || {_head("WARC-Refers-To-Date", "date")}
+  || {_head("WARC-Target-URI", "target_uri")} || {_head("WARC-Date", "date")} || {_head("WARC-Block-Digest", "block_digest")}
+  || {_head("Content-Type", "content_type")} || {_head("Content-Length", "content_length::VARCHAR")} AS warc_header FROM d"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, line_rules, mixing, pivots, sharding, winnowing
+from tidewatch.llm import checks, derivatives, line_rules, mixing, pivots, redirects, sharding, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -68,3 +68,13 @@ def op10(spark, sf_dir):
 @query("op1_extendible_hashing", checks.SHARDING)
 def op1(spark, sf_dir):
     return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.col("shard.name").alias("shard"), "shard.depth", "shard.n_bytes", "shard.shard_bytes")
+
+
+@query("op2_redirect_equivalence", checks.URL_RULES)
+def op2(spark, sf_dir):
+    return redirects.judged(table(spark, sf_dir, "pages")).select("page_id", "judgement.*")
+
+
+@query("op3_warc_derivatives", checks.DERIVATIVES)
+def op3(spark, sf_dir):
+    return derivatives.derivatives(derivatives.responses(table(spark, sf_dir, "pages")))
