@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, derivatives, line_rules, mixing, pivots, redirects, sharding, winnowing
+from tidewatch.llm import checks, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op2(spark, sf_dir):
 @query("op3_warc_derivatives", checks.DERIVATIVES)
 def op3(spark, sf_dir):
     return derivatives.derivatives(derivatives.responses(table(spark, sf_dir, "pages")))
+
+
+@query("op9_surrogates")
+def op9(spark, sf_dir):
+    return surrogates.replaced(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
