@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
+from tidewatch.llm import checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -83,3 +83,17 @@ def op3(spark, sf_dir):
 @query("op9_surrogates")
 def op9(spark, sf_dir):
     return surrogates.replaced(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+@query("op5_crf_language")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    model = crf.fitted(docs.filter(~held_out), "doc_id", "text", "lang")
+    return crf.predicted(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_cross_entropy_difference")
+def op7(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+    return cross_entropy.scored(table(spark, sf_dir, "documents"), good)
