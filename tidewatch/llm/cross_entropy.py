@@ -106,7 +106,8 @@ def scored(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text:
     """
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     chosen = target_ids.select(F.col("doc_id"), F.lit(True).alias("__target")).filter("doc_id IS NOT NULL").distinct()
-    marked = narrow.join(chosen, "doc_id", "left").withColumn("__target", F.coalesce("__target", F.lit(False)))
+    # one plan at every size: ids that a broadcast could hold today are many tomorrow
+    marked = narrow.join(chosen.hint("merge"), "doc_id", "left").withColumn("__target", F.coalesce("__target", F.lit(False)))
     table = loss_differences(gram_counts(marked, "text", "__target"), smoothing)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
