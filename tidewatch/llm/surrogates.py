@@ -19,7 +19,7 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Го
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")
 EITHER = ("Dr", "Prof")
 _TITLES = "|".join(sorted(FEMALE + MALE + EITHER, key=lambda t: (-len(t), t)))
-_NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]*\p{Ll}"
+_NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 SECRET = r"AKIA[0-9A-Z]{16}|(?<=(?i:password|passwd|secret|token|api_key|apikey) ?[=:] ?\"?)[A-Za-z0-9_+/=-]{8,}|(?<![0-9A-Za-z])[0-9a-f]{32,}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
