@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.frames import SCHEMA, clashing, odd, odd_rows, prose
 from tests.llm.test_cleaning import classes
+from tidewatch.session import stored
 from tidewatch.llm import crf, cross_entropy, line_rules, mixing, pivots, queries, surrogates, winnowing
 
 SF = "/root/testdata/sf0.001"
@@ -178,7 +179,7 @@ def test_pipeline_stages_decide_as_their_operators(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
-        kept[name] = (docs, stage(spark, docs, SF).cache())
+        kept[name] = (docs, stored(stage(spark, docs, SF)))
         docs = kept[name][1]
         assert name == "shards" or docs.columns == kept[name][0].columns
     ids = lambda df: Counter(r[0] for r in df.select("doc_id").collect())
@@ -199,6 +200,6 @@ def test_pipeline_stages_decide_as_their_operators(spark):
 def test_pipeline_passes_an_empty_table_and_odd_rows(spark):
     for docs in (spark.createDataFrame([], SCHEMA), odd(spark)):
         for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, SF)
+            docs = stored(stage(spark, docs, SF))
         docs.count()
     assert len(odd_rows()) and pivots.MAX_BITS == 4

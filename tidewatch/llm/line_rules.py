@@ -134,7 +134,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "lost_share": lost,
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")),
     })
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST))
+    # a row number keeps filters on the verdict above the measures: pushed below, they would be computed all once more
+    here = F.monotonically_increasing_id() >= 0
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST) & here)
     return out.drop("__w", "__lines", "__keys", "__near", "__faults", "__real", "__marked", "__exact")
 
 
@@ -143,6 +145,4 @@ def cleaned(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Da
     is a column ``n_chars`` it holds the code points of the cleaned text."""
     bare = measured(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{text}`").alias("text")))
     row = lambda c: F.col("clean_text") if c == text else F.char_length("clean_text").cast("long") if c == n_chars else F.col("__row")[c]
-    # a row number keeps the filter above the measures: pushed below, it would compute them all once more
-    bare = bare.withColumn("__at", F.monotonically_increasing_id()).filter("kept AND __at >= 0")
-    return bare.select(*[row(c).alias(c) for c in docs.columns])
+    return bare.filter("kept").select(*[row(c).alias(c) for c in docs.columns])
