@@ -7,11 +7,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidewatch.session import build_session
 
     session = build_session(
-        "local[8]", app="tests", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"}
+        "local[8]", app="tests", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"},
+        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -137,6 +137,14 @@ def test_forest_is_bounded_and_repeatable(planted):
     assert len(first) <= 5 * 2 * 64
 
 
+def test_scores_do_not_depend_on_a_fixed_depth(planted):
+    df, columns = planted
+    rows = df.withColumn("x", F.array(*columns))
+    mean = lambda n: Mo.isolation_scores(rows, Mo.fit_isolation_forest(rows, "x", "id", trees=10, tree_rows=n), "x").agg(F.avg("iso_score")).first()[0]
+    # leaves are reached however deep the trees are
+    assert abs(mean(64) - mean(1000)) < 0.15
+
+
 def test_reconstruction_matches_svd(planted):
     df, columns = planted
     fitted = Mo.fit_reconstruction(df, columns, F.col("y") == 0, k=2)

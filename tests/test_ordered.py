@@ -76,6 +76,13 @@ def test_quantiles(skewed, limit):
     assert whole == pytest.approx(np.percentile([r["value"] for r in rows], 90))
 
 
+def test_both_forms_of_quantiles_agree_in_every_digit(spark):
+    rows = spark.range(5000).selectExpr("id % 3 AS key", "sin(id) * 1e3 AS value")
+    shares = [p / 200 for p in range(160, 199)] + [0.0, 1.0]
+    read = lambda limit: sorted(map(tuple, O.exact_quantiles(rows, ["key"], "value", shares, limit).collect()))
+    assert read(100) == read(10_000)
+
+
 @pytest.mark.parametrize("rows", [8, 9, 10, 11, 3])
 def test_ntile(spark, rows):
     df = spark.range(rows).withColumn("arr", F.lit(1.0))

@@ -76,6 +76,8 @@ class Field:
     min_length: int | None = None
     max_length: int | None = None
     stripped_min: int | None = None
+    #: the record holds the text without blanks around it
+    stripped: bool = False
     choices: Sequence[str] | None = None
     record: "Contract | None" = None
 
@@ -204,7 +206,7 @@ def typed(doc: Column, contract: Contract, defaults: Mapping[str, Column] | None
     defaults = defaults or {}
     fields = []
     for f in contract.fields:
-        value = read_field(doc, f)
+        value = strip(read_field(doc, f)) if f.stripped else read_field(doc, f)
         if f.name in defaults:
             value = F.coalesce(value, defaults[f.name])
         fields.append(value.alias(f.name))
@@ -260,7 +262,7 @@ TRIAGE = Contract(
         Field("attack_category", "string", choices=V.CATEGORIES),
         Field("classifier_risk_tier", "string", choices=V.RISK_TIERS),
         Field("disposition", **_DISPOSITION),
-        _text("justification", 10, 1000, stripped_min=10),
+        _text("justification", 10, 1000, stripped_min=10, stripped=True),
         _share("triage_confidence"),
         Field("requires_sanitization", "boolean", lax=True),
         Field("requires_judge_review", "boolean", lax=True),

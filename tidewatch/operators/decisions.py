@@ -99,10 +99,6 @@ def incident_id(key: Column) -> Column:
     return F.concat(F.lit("INC-"), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
 
 
-def prompt_id(key: Column) -> Column:
-    return F.concat(F.lit("PROMPT-"), F.substring(F.md5(key.cast("string")), 1, 12))
-
-
 def escalation(
     key: Column,
     tier: Column,

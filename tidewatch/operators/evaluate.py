@@ -162,7 +162,9 @@ def percentile_sweep(
     keeps with the model, so they are read to the driver."""
     percentiles = percentile_grid()
     values = exact_quantiles(df, [], score, [p / 100 for p in percentiles], limit, group_rows).first()
-    swept = counts_at(df, y, score, [float(v) for v in values])
+    none = values is None or values[0] is None  # no scored row: an empty sweep
+    swept = counts_at(df, y, score, [0.0 if none else float(v) for v in values or percentiles])
+    swept = swept.filter(F.lit(not none))
     names = F.array(*[F.lit(p) for p in percentiles])
     return swept.withColumn("percentile", F.get(names, F.col("step"))).drop("step")
 
@@ -295,10 +297,6 @@ def table_profile(df: DataFrame, key: str, label: str | None = None) -> DataFram
     return df.agg(*fields)
 
 
-def table_schema(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(df.dtypes, "column string, type string")
-
-
 def driver_ranking(df: DataFrame, contributions: str, names: Sequence[str]) -> DataFrame:
     """Mean size of each feature's contribution over all rows."""
     labels = F.array(*[F.lit(n) for n in names])

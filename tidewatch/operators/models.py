@@ -111,7 +111,7 @@ def scored(model: Model, df: DataFrame, name: str = "churn_probability") -> Data
 
 # --- isolation forest ----------------------------------------------------------------------------
 
-TREES, TREE_ROWS, POOL_FACTOR = 200, 256, 4
+TREES, TREE_ROWS = 200, 256
 
 
 def _average_path(n):
@@ -144,15 +144,12 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, height: int) -> list[tuple
 
 
 def fit_isolation_forest(df: DataFrame, features: str, key: str, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 42) -> DataFrame:
-    """Node table of the forest. Each tree sees up to ``tree_rows`` rows, drawn by a hash of the key
-    from a pool whose size does not grow with the table; each tree is one bounded group."""
+    """Node table of the forest. Each tree sees up to ``tree_rows`` rows, drawn from the whole table by
+    a hash of the tree and the key; each tree is one bounded group."""
     total = df.count()
-    pool_rows = POOL_FACTOR * trees * tree_rows
     drawn = lambda *parts: F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 30)) / float(1 << 30)
     pool = df.select(F.col(features).alias("x"), F.col(key).alias("k"))
-    if total > pool_rows:
-        pool = pool.filter(drawn("k") < pool_rows / total)
-    share = min(1.0, 1.25 * tree_rows / max(1, min(total, pool_rows)))
+    share = min(1.0, 1.25 * tree_rows / max(1, total))
     members = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_d", drawn("tree", "k"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
@@ -177,7 +174,6 @@ def isolation_scores(df: DataFrame, forest: DataFrame, features: str, output: st
     for _, part in nodes.groupby("tree"):
         part = part.sort_values("node")
         trees.append(tuple(part[c].to_numpy() for c in ("feature", "cut", "left", "right", "path")))
-    depth = math.ceil(math.log2(max(2, TREE_ROWS))) + 1
     normal = float(_average_path(nodes["rows"].max()))
     held = df.sparkSession.sparkContext.broadcast(trees)
 
@@ -190,11 +186,8 @@ def isolation_scores(df: DataFrame, forest: DataFrame, features: str, output: st
         total = np.zeros(len(x))
         for feature, cut, left, right, path in held.value:
             at = np.zeros(len(x), dtype=np.int64)
-            for _ in range(depth):
-                split = feature[at]
-                inner = split >= 0
-                if not inner.any():
-                    break
+            # down to the leaves, however deep the forest was grown
+            while (inner := (split := feature[at]) >= 0).any():
                 below = x[rows, np.where(inner, split, 0)] < cut[at]
                 at = np.where(inner, np.where(below, left[at], right[at]), at)
             total += path[at]
@@ -221,54 +214,49 @@ class OneClassBoundary:
 
 
 def fit_one_class(
-    df: DataFrame, features: str, key: str, rate: float, sample_rows: int = 5000, width: int = 128, steps: int = 40, seed: int = 42
+    df: DataFrame, features: str, rate: float, width: int = 128, steps: int = 40, seed: int = 42
 ) -> OneClassBoundary:
-    """Gradient steps on a sample of at most ``sample_rows`` rows, drawn by a hash of the key. Every
-    step sums per-partition gradients; only sums of ``width`` numbers reach the driver."""
+    """Gradient steps on all rows, which are stored once. Every step sums per-partition gradients; only
+    sums of ``width`` numbers reach the driver."""
     nu = min(1.5 * rate, 0.3) or 0.01
-    total = df.count()
-    keep = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / float(1 << 30) < sample_rows / max(1, total)
-    sample = df.filter(keep).select(features).persist()
-    try:
-        shape = sample.agg(F.count("*").alias("n"), F.max(F.size(features)).alias("d")).first()
-        rng = np.random.default_rng(seed)
-        # the kernel width that unit-variance inputs call for
-        model = OneClassBoundary(
-            rng.normal(0.0, math.sqrt(2.0 / shape.d), (shape.d, width)),
-            rng.uniform(0.0, 2 * math.pi, width),
-            np.zeros(width), 0.0,
-        )
-        held = df.sparkSession.sparkContext.broadcast((model.weights, model.shifts))
-
-        def partial(normal, offset):
-            def gradient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                weights, shifts = held.value
-                maker = OneClassBoundary(weights, shifts, normal, offset)
-                # the last entry counts the rows outside
-                grad = np.zeros(width + 1)
-                for batch in batches:
-                    if not len(batch):
-                        continue
-                    z = maker.features(np.stack(batch[features].to_numpy()))
-                    outside = z @ normal < offset
-                    grad[:width] += z[outside].sum(axis=0)
-                    grad[width] += outside.sum()
-                yield pd.DataFrame({"grad": [grad]})
-
-            return sample.mapInPandas(gradient, "grad array<double>")
-
-        mean = partial(np.zeros(width), 1.0)
-        model.normal = _summed(mean)[:width] / shape.n
-        model.offset = float(model.normal @ model.normal)
-        for step in range(1, steps + 1):
-            total_grad = _summed(partial(model.normal, model.offset))
-            grad, outside = total_grad[:width], total_grad[width]
-            rate_now = 1.0 / math.sqrt(step)
-            model.normal = model.normal - rate_now * (model.normal - grad / (nu * shape.n))
-            model.offset = model.offset + rate_now * (1.0 - outside / (nu * shape.n)) * 0.1
-        return model
-    finally:
-        sample.unpersist()
+    rows = stored(df.select(features), "boundary")
+    shape = rows.agg(F.count("*").alias("n"), F.max(F.size(features)).alias("d")).first()
+    rng = np.random.default_rng(seed)
+    # the kernel width that unit-variance inputs call for
+    model = OneClassBoundary(
+        rng.normal(0.0, math.sqrt(2.0 / shape.d), (shape.d, width)),
+        rng.uniform(0.0, 2 * math.pi, width),
+        np.zeros(width), 0.0,
+    )
+    held = df.sparkSession.sparkContext.broadcast((model.weights, model.shifts))
+
+    def partial(normal, offset):
+        def gradient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            weights, shifts = held.value
+            maker = OneClassBoundary(weights, shifts, normal, offset)
+            # the last entry counts the rows outside
+            grad = np.zeros(width + 1)
+            for batch in batches:
+                if not len(batch):
+                    continue
+                z = maker.features(np.stack(batch[features].to_numpy()))
+                outside = z @ normal < offset
+                grad[:width] += z[outside].sum(axis=0)
+                grad[width] += outside.sum()
+            yield pd.DataFrame({"grad": [grad]})
+
+        return rows.mapInPandas(gradient, "grad array<double>")
+
+    mean = partial(np.zeros(width), 1.0)
+    model.normal = _summed(mean)[:width] / shape.n
+    model.offset = float(model.normal @ model.normal)
+    for step in range(1, steps + 1):
+        total_grad = _summed(partial(model.normal, model.offset))
+        grad, outside = total_grad[:width], total_grad[width]
+        rate_now = 1.0 / math.sqrt(step)
+        model.normal = model.normal - rate_now * (model.normal - grad / (nu * shape.n))
+        model.offset = model.offset + rate_now * (1.0 - outside / (nu * shape.n)) * 0.1
+    return model
 
 
 def _summed(parts: DataFrame) -> np.ndarray:
@@ -328,7 +316,7 @@ def ensemble_scores(df: DataFrame, columns: Sequence[str], key: str, label: str,
     rows = stored(M.standard_scaled(filled, filled, dict(zip(columns, names))).withColumn("_x", F.array(*names)), "inputs")
     rate = float(rows.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0)
     forest = fit_isolation_forest(rows, "_x", key, trees=trees, seed=seed)
-    boundary = fit_one_class(rows, "_x", key, rate, steps=steps, seed=seed)
+    boundary = fit_one_class(rows, "_x", rate, steps=steps, seed=seed)
     plane = fit_reconstruction(rows, names, F.col(label) == 0)
     scored = reconstruction_error(one_class_scores(isolation_scores(rows, forest, "_x"), boundary, "_x"), names, plane)
     return scored.drop("_x", *names)

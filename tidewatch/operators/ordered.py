@@ -204,11 +204,10 @@ def exact_quantiles(
             here = (position >= F.col("_upto") - F.col("_c")) & (position < F.col("_upto"))
             picks.append(F.max(F.when(here, F.col(value))).alias(f"_{side}{i}"))
         picks.append(F.max(at - F.floor(at)).alias(f"_f{i}"))
+        picks.append(F.max(F.ceil(at) - at).alias(f"_g{i}"))
     read = placed.groupBy(*keys).agg(*picks)
-    return read.select(
-        *keys,
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
-            for i in range(len(fractions))
-        ],
+    # the formula of ``percentile``, so that both forms agree in every digit
+    between = lambda i: F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}").cast("double")).otherwise(
+        F.col(f"_g{i}") * F.col(f"_lo{i}") + F.col(f"_f{i}") * F.col(f"_hi{i}")
     )
+    return read.select(*keys, *[between(i).alias(f"q{i}") for i in range(len(fractions))])

@@ -134,7 +134,7 @@ def stream_approvals(spark, sf):
 def stream_ingest(spark, sf):
     """Trace documents streamed into facts and rollup; equals the batch rollup."""
     docs, facts, rolled = (new_table_path(spark, n) for n in ("docs", "facts", "rollup"))
-    writers.write_json(documents(spark, sf).coalesce(1), docs)
+    writers.write_json(documents(spark, sf), docs)
     J.ingest_traces(J.trace_stream(spark, docs), facts, rolled)
     return rollup_output(spark.read.parquet(rolled))
 

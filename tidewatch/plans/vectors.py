@@ -72,6 +72,9 @@ def gated(spark, sf):
     files = table(spark, sf, "embeddings").select(
         "vec_id", F.concat(F.lit("label-"), "label").alias("file_name"), F.concat(F.lit("vector "), "vec_id").alias("text")
     )
+    # one section may be the nearest of a third of the queries
+    if files.count() <= S.BROADCAST_ROWS:
+        files = F.broadcast(files)
     hits = neighbours(spark, sf, 3).withColumn("score", 1 - F.col("distance")).join(files, "vec_id")
     found = S.retrieve(hits, "query_vec_id").withColumnRenamed("query_vec_id", "vec_id")
     return S.grounding_gate(vectors(spark, sf).select("vec_id"), found, "vec_id")
@@ -200,9 +203,9 @@ def labelled_features(spark, sf):
     return I.label_by_windows(done, truth_windows(spark, sf), "event_type", "ts")
 
 
-def stored_scores(spark, sf, trees=100):
+def stored_scores(spark, sf):
     """The ensemble's score table, written once."""
-    rows = Mo.ensemble_scores(labelled_features(spark, sf), INPUTS, "event_id", "is_anomaly", trees=trees, steps=10)
+    rows = Mo.ensemble_scores(labelled_features(spark, sf), INPUTS, "event_id", "is_anomaly")
     columns = ["event_id", "event_type", "ts", "is_anomaly", "iso_score", "svm_score", "ae_rmse"]
     return stored(rows.select(*columns), "scores")
 
@@ -223,7 +226,7 @@ def model_inputs(spark, sf):
 @query("isolation_scores")
 def isolation_scores(spark, sf):
     rows, _ = model_inputs(spark, sf)
-    forest = Mo.fit_isolation_forest(rows, "x", "event_id", trees=100)
+    forest = Mo.fit_isolation_forest(rows, "x", "event_id")
     return Mo.isolation_scores(rows, forest, "x").select("event_id", "iso_score")
 
 
@@ -231,7 +234,7 @@ def isolation_scores(spark, sf):
 def one_class_scores(spark, sf):
     rows, _ = model_inputs(spark, sf)
     rate = rows.agg(F.avg("is_anomaly")).first()[0]
-    return Mo.one_class_scores(rows, Mo.fit_one_class(rows, "x", "event_id", rate, steps=10), "x").select("event_id", "svm_score")
+    return Mo.one_class_scores(rows, Mo.fit_one_class(rows, "x", rate), "x").select("event_id", "svm_score")
 
 
 @query("reconstruction_error")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,24 @@ def build_session(master: str | None = None, app: str = "tidewatch", **conf: str
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the session's Python workers this package, once a session, wherever the job was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewatch_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # the driver serves the archive to its executors
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidewatch-"), "tidewatch.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._tidewatch_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session. Where none is set, a local run gets a scratch folder;
     a cluster has to name one, since a machine-local folder would be lost with its executor."""
@@ -40,7 +60,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_CONF, folder)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder

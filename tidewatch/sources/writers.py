@@ -40,11 +40,6 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def as_report(df: DataFrame) -> DataFrame:
-    """Each row as one JSON text."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("report"))
-
-
 def existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path``, or an empty one of the same schema before the first write."""
     try:
