@@ -135,8 +135,8 @@ def _plain(x: str) -> str:
     text = f"regexp_replace(regexp_replace({text}, {q(D._BREAKS)}, chr(10), 'g'), '{D._TAGS}', '', 'g')"
     for entity, char in D._ENTITIES:
         text = f"replace({text}, '{entity}', {q(char)})"
-    text = f"regexp_replace(regexp_replace({text}, '[ \\t\\r\\x0B\\f\u00a0]+', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
-    return f"regexp_replace({text}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{D._BLANKS}', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"trim({text}, ' ' || chr(10))"
 
 
 _CRLF = "chr(13) || chr(10)"

@@ -18,6 +18,7 @@ _BREAKS = (
 _TAGS = r"<[a-zA-Z/!?][^>]*>"
 #: Decoded in this order, the ampersand last so that no text is decoded twice.
 _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+_BLANKS = "[ \\t\\r\\x0B\\f\u00a0]{2,}|[\\t\\r\\x0B\\f\u00a0]"
 VERSION = "WARC/1.1"
 
 
@@ -44,8 +45,9 @@ def plain_text(html: Column) -> Column:
     text = _numeric(text)
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(F.regexp_replace(text, "[ \\t\\r\\x0B\\f ]+", " "), r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
+    # a single blank needs no replacement
+    text = F.regexp_replace(F.regexp_replace(text, _BLANKS, " "), r" ?\n[ \n]*", "\n")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def urn(*parts: Column) -> Column:
