@@ -38,11 +38,15 @@ def _numeric(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
 
-def plain_text(html: Column) -> Column:
-    """The text of a page, a line per block, blanks collapsed; empty for null."""
+def without_tags(html: Column) -> Column:
+    """A page without scripts, styles, comments and tags, a line per block; empty for null."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), _DROPPED, "")
-    text = F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), _TAGS, "")
-    text = _numeric(text)
+    return F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), _TAGS, "")
+
+
+def decoded(bare: Column) -> Column:
+    """Text without tags, its entities decoded and its blanks collapsed."""
+    text = _numeric(bare)
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     # a single blank needs no replacement
@@ -94,10 +98,11 @@ def derivatives(records: DataFrame) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in records.columns if c not in made]
     payload = F.coalesce("payload", F.lit(""))
     html = records.withColumns({
-        "__payload": payload, "__text": plain_text(payload), "__digest": F.coalesce("payload_digest", digest(payload)),
+        "__payload": payload, "__bare": without_tags(payload), "__digest": F.coalesce("payload_digest", digest(payload)),
         "__head": F.coalesce("http_headers", F.lit("")),
     })
-    title = F.regexp_replace(plain_text(F.regexp_extract("__payload", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)), r"\n", " ")
+    html = html.withColumn("__text", decoded(F.col("__bare")))
+    title = F.regexp_replace(decoded(without_tags(F.regexp_extract("__payload", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))), r"\n", " ")
     lang = F.regexp_extract("__payload", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-zA-Z-]+)", 1)
     links = F.size(F.regexp_extract_all("__payload", F.lit(r"(?i)<a\b[^>]*\bhref\s*="), F.lit(0)))
     source = F.regexp_replace(F.regexp_replace("__head", r"\r?\n\z", ""), r"\r?\n", "\r\nsource-header: ")
