@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import fixed_values as V
 from tidewatch.operators.ordered import MAX_GROUP_ROWS, over_rows_then_sums
+from tidewatch.session import stored
 
 BROADCAST_ROWS = 10_000
 
@@ -223,6 +224,8 @@ def inject(
         F.max(F.when(F.col("kind") == "flatline", F.struct("window_no", "start_idx"))).alias("_flat"),
         F.lit(1).alias("_hit"),
     )
+    # only rows in a window, read for their starts, for flatlines and for the rest
+    effects = stored(effects, "effects")
     starts = (
         rows.join(
             effects.select(key, F.col("_flat.start_idx").alias(index)).filter(F.col(index).isNotNull()).distinct(),
@@ -234,12 +237,12 @@ def inject(
     sigma = rows.groupBy(key).agg(*[F.stddev_pop(c).alias(f"_sd_{c}") for c in sorted({*spike, *drift})])
     if rows.select(key).distinct().count() <= broadcast_rows:
         sigma = F.broadcast(sigma)
-    joined = (
-        rows.join(effects, [key, index], "left")
-        .withColumn("_start", F.col("_flat.start_idx"))
-        .join(starts, [key, "_start"], "left")
-        .join(sigma, key, "left")
+    # rows outside a flatline have no start: kept out of the join on it, they can not gather in one task
+    level = effects.filter("_flat IS NOT NULL").withColumn("_start", F.col("_flat.start_idx"))
+    effects = level.join(starts, [key, "_start"], "left").unionByName(
+        effects.filter("_flat IS NULL"), allowMissingColumns=True
     )
+    joined = rows.join(effects, [key, index], "left").join(sigma, key, "left")
     values = {}
     for c in sorted({*spike, *drift, *flat}):
         value = F.col(c)

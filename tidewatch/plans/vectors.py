@@ -101,7 +101,8 @@ def grounding_report(spark, sf):
     f"WITH {GATE_SQL} SELECT grounding_confidence, count(*) AS n, round(count(*) / (SELECT count(*) FROM gate), 6) AS share FROM gate GROUP BY 1",
 )
 def grounding_labels(spark, sf):
-    return C.category_shares(gated(spark, sf), "grounding_confidence")
+    # the total and the groups both read it
+    return C.category_shares(stored(gated(spark, sf).select("grounding_confidence"), "gated"), "grounding_confidence")
 
 
 @query(
