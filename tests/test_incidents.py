@@ -42,6 +42,30 @@ def test_first_window_within_tolerance(spark, broadcast_rows, kind):
     assert {r["id"] for r in labels.filter("is_anomaly = 1").collect()} == {2, 3, 6}
 
 
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_overlapping_windows_meet_a_row_once(spark, broadcast_rows):
+    rng = np.random.default_rng(5)
+    key = lambda: "hot" if rng.random() < 0.5 else f"k{rng.integers(4)}"
+    spans = [(key(), int(n), int(lo), int(lo + rng.integers(0, 4000))) for n, lo in zip(rng.permutation(120), rng.integers(0, 20_000, 120))]
+    spans += [("hot", 500, 0, 30_000), ("hot", 501, -10_000_000, 10_000_000)]
+    times = [(i, key(), int(s)) for i, s in enumerate(rng.integers(0, 25_000, 600))]
+    windows = spark.createDataFrame([(k, n, at(lo), at(hi)) for k, n, lo, hi in spans], "service string, window_no int, start_ts timestamp, end_ts timestamp")
+    rows = spark.createDataFrame([(i, k, at(s)) for i, k, s in times], "id int, service string, ts timestamp")
+    want = {}
+    for i, k, s in times:
+        if fits := [n for key, n, lo, hi in spans if key == k and lo - 300 <= s <= hi + 300]:
+            want[i] = min(fits)
+    hits = I.match_windows(rows, windows, "service", "ts", "id", broadcast_rows=broadcast_rows, cell_seconds=100).collect()
+    assert len(hits) == len(want) and {r["id"]: r["window_no"] for r in hits} == want
+    labels = I.label_by_windows(rows, windows, "service", "ts", broadcast_rows=broadcast_rows, cell_micros=100_000_000)
+    inside = {i for i, k, s in times if any(key == k and lo <= s <= hi for key, _, lo, hi in spans)}
+    assert {r["id"] for r in labels.filter("is_anomaly = 1").collect()} == inside
+    # a window of years does not become a row per hour
+    spans = windows.select("service", I.epoch_micros(windows, "start_ts").alias("_low"), I.epoch_micros(windows, "end_ts").alias("_high"))
+    cell = I.cell_length(spans, 100_000_000)
+    assert I._clipped(spans, cell).count() <= 3 * windows.count()
+
+
 def test_recall_without_windows(spark):
     none = spark.createDataFrame([], "service string, window_no int, start_ts timestamp, end_ts timestamp")
     rows = spark.createDataFrame([(0, "a", at(0))], "id int, service string, ts timestamp")

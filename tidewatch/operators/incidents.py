@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,17 +108,72 @@ def match_windows(
     cell_seconds: int = 3600,
 ) -> DataFrame:
     """``(row_id, window_no)`` of the first window, by ``window_no``, whose interval, padded by the
-    tolerance on both sides and closed, holds the row's time. Other rows are left out."""
+    tolerance on both sides and closed, holds the row's time. Other rows are left out, and a row meets at most one
+    piece of the windows, so what the join returns never exceeds the rows, however many windows overlap."""
     pad = tolerance * 1_000_000
     spans = windows.select(
-        key,
+        F.col(key).alias("_k"),
         F.col(rank),
         (epoch_micros(windows, start) - pad).alias("_low"),
         (epoch_micros(windows, end) + pad).alias("_high"),
+    ).filter(f"_k IS NOT NULL AND _low <= _high AND `{rank}` IS NOT NULL")
+    timed = rows.select(F.col(row_id), F.col(key).alias("_k"), epoch_micros(rows, ts).alias("_at"))
+    if windows.count() <= broadcast_rows:
+        pieces = first_pieces(spans, ["_k"], rank).withColumnRenamed("_k", "_key")
+        held = (F.col("_k") == F.col("_key")) & (F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high"))
+        return timed.join(F.broadcast(pieces), held).select(row_id, rank)
+    cell = cell_length(spans, cell_seconds * 1_000_000)
+    pieces = first_pieces(_clipped(spans, cell), ["_k", "_cell"], rank)
+    # in time order within a cell, a row meets the last piece that begins at or before it
+    placed = timed.filter("_k IS NOT NULL AND _at IS NOT NULL").withColumn("_cell", F.floor(F.col("_at") / cell))
+    piece = F.struct("_high", rank)
+    none = F.lit(None).cast(pieces.select(piece.alias("p")).schema["p"].dataType)
+    begins = pieces.select("_k", "_cell", F.col("_low").alias("_at"), F.lit(0).alias("_kind"), piece.alias("_piece"), F.lit(None).cast(timed.schema[row_id].dataType).alias(row_id))
+    asked = placed.select("_k", "_cell", "_at", F.lit(1).alias("_kind"), none.alias("_piece"), F.col(row_id))
+    upto = Window.partitionBy("_k", "_cell").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = begins.unionByName(asked).withColumn("_piece", F.last("_piece", True).over(upto))
+    return met.filter("_kind = 1 AND _piece._high >= _at").select(row_id, F.col("_piece")[rank].alias(rank))
+
+
+def cell_length(spans: DataFrame, least: int) -> int:
+    """A cell so long that the spans ``_low.._high`` touch at most about two cells each on average, however long one is."""
+    mean = spans.agg(F.avg(F.col("_high") - F.col("_low"))).first()[0]
+    return max(least, math.ceil(mean or 0))
+
+
+def _clipped(spans: DataFrame, cell: int) -> DataFrame:
+    """``spans`` cut at the borders of cells, each piece with the number of its ``_cell``."""
+    touched = F.sequence(F.floor(F.col("_low") / cell), F.floor(F.col("_high") / cell))
+    begins = F.col("_cell") * cell
+    return spans.withColumn("_cell", F.explode(touched)).withColumns(
+        {"_low": F.greatest("_low", begins), "_high": F.least("_high", begins + cell - 1)}
     )
-    slim = rows.select(row_id, key, epoch_micros(rows, ts).alias("_at"))
-    pairs = interval_pairs(slim, spans, key, "_at", "_low", "_high", cell_seconds * 1_000_000, broadcast_rows)
-    return pairs.groupBy(row_id).agg(F.min(rank).alias(rank))
+
+
+def first_pieces(spans: DataFrame, keys: Sequence[str], rank: str) -> DataFrame:
+    """Disjoint pieces ``_low.._high`` of each group's spans, each with the smallest ``rank`` among the spans that hold
+    it: a sweep over a group's window bounds, so a group is as large as the windows of one key and cell."""
+    slim = spans.select(*keys, "_low", "_high", rank)
+
+    def sweep(group: pd.DataFrame) -> pd.DataFrame:
+        ordered = group.sort_values("_low", kind="stable")
+        low, high, ranks = (ordered[c].tolist() for c in ("_low", "_high", rank))
+        bounds = sorted({*low, *(h + 1 for h in high)})
+        held, out, nxt = [], [], 0
+        for begin, stop in zip(bounds, bounds[1:]):
+            while nxt < len(low) and low[nxt] <= begin:
+                heapq.heappush(held, (ranks[nxt], high[nxt]))
+                nxt += 1
+            while held and held[0][1] < begin:
+                heapq.heappop(held)
+            if held and out and out[-1][2] == held[0][0] and out[-1][1] == begin - 1:
+                out[-1][1] = stop - 1
+            elif held:
+                out.append([begin, stop - 1, held[0][0]])
+        pieces = pd.DataFrame(out, columns=["_low", "_high", rank])
+        return pieces.assign(**{k: group[k].iloc[0] for k in keys})[[*keys, "_low", "_high", rank]]
+
+    return slim.groupBy(*keys).applyInPandas(sweep, slim.schema)
 
 
 def _merged(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -146,20 +204,16 @@ def label_by_windows(
     (key, cell), so that the windows of a hot key are never in one group.
     """
     spans = windows.select(key, epoch_micros(windows, start).alias("_low"), epoch_micros(windows, end).alias("_high"))
+    spans = spans.filter("_low <= _high")
     timed = rows.withColumn("_at", epoch_micros(rows, ts))
     inside = (F.col("_at") >= F.col("_low")) & (F.col("_at") <= F.col("_high"))
     if windows.count() <= broadcast_rows:
         merged = _merged(spans, [key]).withColumnRenamed(key, "_k")
         held = timed.join(F.broadcast(merged), (timed[key] == F.col("_k")) & inside, "left")
     else:
-        first, last = F.floor(F.col("_low") / cell_micros), F.floor(F.col("_high") / cell_micros)
-        listed = spans.distinct().withColumn("_span_cell", F.explode(F.sequence(first, last)))
-        begins = F.col("_span_cell") * cell_micros
-        clipped = listed.withColumns(
-            {"_low": F.greatest("_low", begins), "_high": F.least("_high", begins + cell_micros - 1)}
-        )
-        merged = _merged(clipped, [key, "_span_cell"]).withColumnRenamed(key, "_k")
-        placed = timed.withColumn("_cell", F.floor(F.col("_at") / cell_micros))
+        cell = cell_length(spans, cell_micros)
+        merged = _merged(_clipped(spans.distinct(), cell), [key, "_cell"]).withColumnsRenamed({key: "_k", "_cell": "_span_cell"})
+        placed = timed.withColumn("_cell", F.floor(F.col("_at") / cell))
         same = (placed[key] == F.col("_k")) & (F.col("_cell") == F.col("_span_cell"))
         held = placed.join(merged, same & inside, "left").drop("_cell", "_span_cell")
     labelled = held.withColumn(name, F.when(F.col("_low").isNotNull(), 1).otherwise(0))
