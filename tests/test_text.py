@@ -47,7 +47,7 @@ def test_lexicon(texts):
 
 
 def test_entropy(texts):
-    got = {r["id"]: r["char_entropy"] for r in X.char_entropy(texts, "id", "text").collect()}
+    got = dict(enumerate(column(texts, X.char_entropy(F.col("text")))))
     for i, t in enumerate(TEXTS):
         want = -sum(c / len(t) * math.log2(c / len(t)) for c in Counter(t).values()) if t else 0.0
         assert got[i] == pytest.approx(want, abs=1e-12)
@@ -126,10 +126,12 @@ def test_keep_first_and_top_up(spark):
 
 def test_template_grid(spark):
     first = spark.createDataFrame([("Please",), ("Can you",)], "p string")
-    grid = C.template_grid({"prefix": first, "verb": ["list", "draft"], "what": ["this"]}, F.lit("{prefix} {verb} {what}?"))
+    template = F.lit("{prefix} {verb} {what}?")
+    grid = C.template_grid({"prefix": first, "verb": ["list", "draft"], "what": ["this"]}, template)
     assert {r["text"] for r in grid.collect()} == {"Please list this?", "Please draft this?", "Can you list this?", "Can you draft this?"}
-    with pytest.raises(ValueError):
-        C.short_list(first, "p", rows=1)
+    # a second part beyond what is sent to every task
+    many = spark.range(C.LIST_ROWS + 5).selectExpr("concat('do', id) AS v")
+    assert C.template_grid({"prefix": first.union(first), "verb": many, "what": ["this"]}, template).count() == 2 * (C.LIST_ROWS + 5)
 
 
 def test_training_features(spark):

@@ -15,6 +15,8 @@ from tidewatch.functions import fixed_values as V
 # word and blank classes of the detectors, spelled out because engines differ on \\w and \\s
 WORD = r"[\p{L}\p{N}_]"
 BLANK = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+# the same blanks as characters
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BASE64_RUN = r"[A-Za-z0-9+/]{30,}={0,2}"
 DIGIT_LETTER_DIGIT = r"[0-9][a-zA-Z][0-9]"
 SPACED_LETTERS = f"({WORD}{BLANK}){{10,}}"
@@ -23,7 +25,7 @@ NON_ASCII_SHARE = 0.15
 
 def strip(text: Column) -> Column:
     """Leading and trailing blanks of any kind removed (``trim`` only removes spaces)."""
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def occurrences(text: Column, token: str) -> Column:
@@ -61,19 +63,15 @@ def text_length(text: Column) -> Column:
     return F.length(text)
 
 
-def char_entropy(df: DataFrame, key: str, text: str, name: str = "char_entropy") -> DataFrame:
-    """Shannon entropy in bits of the characters of each text, as ``(key, name)``.
+def char_entropy(text: Column) -> Column:
+    """Shannon entropy in bits of the characters of a text, 0 for an empty or absent one.
 
-    Characters are counted per text before anything is shuffled, so what moves is one row per
-    distinct character of a text, not the texts.
-    """
-    chars = df.select(key, F.explode_outer(F.split(text, "")).alias("_ch"))
-    counted = chars.groupBy(key, "_ch").agg(F.count("*").alias("_c"))
-    # an empty or absent text has one row without a character
-    real = F.when(F.col("_ch") != "", F.col("_c"))
-    per_text = counted.groupBy(key).agg(F.sum(real).alias("_n"), F.sum(real * F.log2(real)).alias("_s"))
-    bits = F.log2("_n") - F.col("_s") / F.col("_n")
-    return per_text.select(key, F.coalesce(bits, F.lit(0.0)).alias(name))
+    Characters are counted within the row, as what the text loses without each, so nothing is shuffled."""
+    chars = F.filter(F.array_distinct(F.split(text, "")), lambda c: c != "")
+    n = F.length(text).cast("double")
+    share = lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n
+    bits = F.aggregate(chars, F.lit(0.0), lambda total, c: total - share(c) * F.log2(share(c)))
+    return F.coalesce(bits, F.lit(0.0))
 
 
 @F.pandas_udf(T.StringType())
@@ -145,8 +143,7 @@ def rule_category(
 
 
 def admitted(text: Column, longer_than: int = 3) -> Column:
-    stripped = strip(text)
-    return (stripped != "") & (F.length(stripped) > longer_than)
+    return F.length(strip(text)) > longer_than
 
 
 # --- obfuscated variants -------------------------------------------------------------------------

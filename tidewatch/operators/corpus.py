@@ -123,23 +123,23 @@ def variants(df: DataFrame, text: str, key: str, techniques: Sequence[str], seed
     return exploded.select(*df.columns, "_made.technique", "_made.variant")
 
 
-def short_list(df: DataFrame, column: str, rows: int = LIST_ROWS) -> list:
-    """Distinct values of a template part; refuses a list that is not short."""
-    found = [r[0] for r in df.select(column).distinct().limit(rows + 1).collect()]
-    if len(found) > rows:
-        raise ValueError(f"{column}: more than {rows} values, not a list of template parts")
-    return sorted(found)
-
-
 def template_grid(parts: Mapping[str, Sequence[str] | DataFrame], template: Column) -> DataFrame:
     """Every combination of the parts put into the template, distinct texts.
 
-    The first part may be a table of any size; the others are short lists and are exploded per row.
+    A part is a list or a table of any size, of which the distinct values count. The grid is a product by
+    definition: the largest table stays where it is and meets the others, which go to every task where a count
+    shows that they are short.
     """
-    (name, first), *rest = parts.items()
-    grid = first.select(F.col(first.columns[0]).alias(name))
-    for part, values in rest:
-        grid = grid.withColumn(part, F.explode(F.array(*[F.lit(v) for v in values])))
+    spark = next(p for p in parts.values() if isinstance(p, DataFrame)).sparkSession
+    tables = []
+    for name, values in parts.items():
+        values = values if isinstance(values, DataFrame) else spark.createDataFrame([(v,) for v in values], "v string")
+        distinct = stored(values.select(F.col(f"`{values.columns[0]}`").alias(name)).distinct(), "part")
+        tables.append((distinct.count(), distinct))
+    tables.sort(key=lambda t: -t[0])
+    grid = tables[0][1]
+    for n, other in tables[1:]:
+        grid = grid.crossJoin(F.broadcast(other) if n <= LIST_ROWS else other)
     filled = X.fill_template(template, **{part: F.col(part) for part in parts})
     return grid.select(filled.alias("text")).distinct()
 
@@ -227,14 +227,14 @@ def match_counts(
 def numeric_text_features(df: DataFrame, key: str, text: str, lexicon: Sequence[str] = V.ROLEPLAY_LEXICON) -> DataFrame:
     """The five raw text features by key, as served for a single text."""
     column = F.col(text)
-    simple = df.select(
+    return df.select(
         key,
         X.special_token_count(column).alias("special_token_count"),
         X.imperative_density(column).alias("imperative_verb_density"),
         X.lexicon_score(column, lexicon).alias("roleplay_lexicon_score"),
         X.text_length(column).alias("prompt_length_chars"),
+        X.char_entropy(column).alias("char_entropy"),
     )
-    return simple.join(X.char_entropy(df, key, text), key)
 
 
 def training_text_features(df: DataFrame, key: str, text: str, lexicon: Sequence[str] = V.ROLEPLAY_LEXICON) -> DataFrame:

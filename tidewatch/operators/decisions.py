@@ -49,6 +49,18 @@ def upgraded_tier(tier: Column, near_duplicate: Column, implied: str = "medium")
     return F.when(lifted, implied).otherwise(tier), lifted
 
 
+def prompt_decisions(rows: DataFrame, probabilities: str, labels: Sequence[str], near_duplicate: str = "is_near_duplicate") -> DataFrame:
+    """From class probabilities and a near-duplicate mark to the decision: label, confidence, tier, the tier after
+    the upgrade, whether it was upgraded, and whether the prompt goes to quarantine."""
+    p = F.col(probabilities)
+    label, top = argmax_label(p, labels)
+    marked = rows.withColumns({"label": label, "confidence": top, "risk_tier": risk_tier(attack_confidence(p, labels))})
+    upgraded, lifted = upgraded_tier(F.col("risk_tier"), F.col(near_duplicate))
+    return marked.withColumns(
+        {"final_tier": upgraded, "risk_tier_upgraded": lifted, "quarantine_triggered": upgraded != "low"}
+    )
+
+
 def policy_passed(arr: Column, minimum: float = V.POLICY_MIN_ARR) -> Column:
     return arr >= minimum
 

@@ -235,6 +235,20 @@ def standard_scaled(df: DataFrame, fit_on: DataFrame, columns: Mapping[str, str]
     return df.withColumns(scaled)
 
 
+def standard_scaled_array(df: DataFrame, fit_on: DataFrame, column: str, name: str) -> DataFrame:
+    """As ``standard_scaled`` for an array column of any width; entries the fit never saw stay as they are."""
+    entries = fit_on.select(F.posexplode(F.col(column).cast("array<double>")).alias("pos", "x"))
+    stats = entries.groupBy("pos").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    # one entry per position of the array, in order
+    fitted = stats.agg(F.array_sort(F.collect_list(F.struct("pos", "mean", "std")))).scalar()
+    scaled = F.transform(
+        F.col(column).cast("array<double>"),
+        lambda x, i: (x - F.coalesce(F.get(F.col("_fitted"), i)["mean"], F.lit(0.0)))
+        / F.coalesce(F.nullif(F.get(F.col("_fitted"), i)["std"], F.lit(0.0)), F.lit(1.0)),
+    )
+    return df.withColumn("_fitted", fitted).withColumn(name, scaled).drop("_fitted")
+
+
 def top_share_cutoff(
     df: DataFrame, column: str, share: float = 0.9, limit: int = MAX_GROUP_ROWS, group_rows: int | None = None
 ) -> Column:

@@ -79,7 +79,7 @@ FROM entropy""",
 )
 def char_entropy_z(spark, sf):
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    entropy = stored(X.char_entropy(docs, "doc_id", "text"), "entropy")
+    entropy = stored(docs.select("doc_id", X.char_entropy(F.col("text")).alias("char_entropy")), "entropy")
     done = M.corpus_zscore(entropy, {"char_entropy": "char_entropy_anomaly_score"})
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("char_entropy", "char_entropy_anomaly_score")])
 
@@ -245,9 +245,9 @@ FROM part CROSS JOIN nation CROSS JOIN region""",
 )
 def template_grid(spark, sf):
     parts = {
-        "item": table(spark, sf, "part").select("p_name").distinct(),
-        "nation": C.short_list(table(spark, sf, "nation"), "n_name"),
-        "region": C.short_list(table(spark, sf, "region"), "r_name"),
+        "item": table(spark, sf, "part").select("p_name"),
+        "nation": table(spark, sf, "nation").select("n_name"),
+        "region": table(spark, sf, "region").select("r_name"),
     }
     return C.template_grid(parts, F.lit("Summarize {item} sales in {nation} ({region})."))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidewatch.operators import corpus as C
@@ -122,20 +123,51 @@ def aligned_matrix(spark, sf):
 
 
 CLASSES = ["benign", "direct_injection", "instruction_override", "obfuscation", "roleplay"]
+# a customer's orders by priority stand in for a classifier's output: five shares that add up to one
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+SHARES_SQL = f"""shares AS (
+  SELECT o_custkey, [{', '.join(f"count(*) FILTER (o_orderpriority = '{p}') / count(*)" for p in PRIORITIES)}] AS p
+  FROM orders GROUP BY o_custkey)"""
+LABEL_SQL = f"{CLASSES}[list_position(p, list_max(p))]"
+
+
+def class_shares(spark, sf):
+    shares = [F.count_if(F.col("o_orderpriority") == p) / F.count("*") for p in PRIORITIES]
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.array(*shares).alias("p"))
 
 
 @query(
     "argmax_label",
-    """WITH p AS (SELECT vec_id, embedding[1:5]::DOUBLE[] AS p FROM embeddings)
-SELECT vec_id, ['benign', 'direct_injection', 'instruction_override', 'obfuscation', 'roleplay'][list_position(p, list_max(p))] AS label,
-       list_max(p) AS confidence, 1.0 - p[1] AS attack_confidence FROM p""",
+    f"""WITH {SHARES_SQL} SELECT o_custkey, {LABEL_SQL} AS label, list_max(p) AS confidence, 1.0::DOUBLE - p[1] AS attack_confidence FROM shares""",
 )
 def argmax_label(spark, sf):
-    p = F.slice(F.col("embedding").cast("array<double>"), 1, 5)
-    label, top = D.argmax_label(p, CLASSES)
-    return table(spark, sf, "embeddings").select(
-        "vec_id", label.alias("label"), top.alias("confidence"), D.attack_confidence(p, CLASSES).alias("attack_confidence")
+    label, top = D.argmax_label(F.col("p"), CLASSES)
+    return class_shares(spark, sf).select(
+        "o_custkey", label.alias("label"), top.alias("confidence"), D.attack_confidence(F.col("p"), CLASSES).alias("attack_confidence")
+    )
+
+
+@query(
+    "prompt_decisions",
+    f"""WITH {RANKED_SQL}, {SHARES_SQL},
+near AS (SELECT query_vec_id AS vec_id, label AS nearest_category, distance <= 0.35 AS near FROM ranked WHERE rank = 1),
+tiered AS (
+  SELECT n.*, s.p, CASE WHEN 1.0::DOUBLE - p[1] >= 0.8::DOUBLE THEN 'high' WHEN 1.0::DOUBLE - p[1] >= 0.5::DOUBLE THEN 'medium' ELSE 'low' END AS risk_tier
+  FROM near n JOIN shares s ON n.vec_id = s.o_custkey)
+SELECT vec_id, {LABEL_SQL} AS label, list_max(p) AS confidence, risk_tier, nearest_category, near::INT AS is_near_duplicate,
+       CASE WHEN near AND risk_tier = 'low' THEN 'medium' ELSE risk_tier END AS final_tier, (near AND risk_tier = 'low')::INT AS risk_tier_upgraded,
+       (near OR risk_tier <> 'low')::INT AS quarantine_triggered FROM tiered""",
+)
+def prompt_decisions(spark, sf):
+    """Class probabilities, tier, nearest known text, upgrade and quarantine in one job."""
+    known = table(spark, sf, "embeddings").select("vec_id", "embedding", F.col("label").alias("category"))
+    near = S.near_duplicates(vectors(spark, sf), known, "vec_id", "vec_id", skip_same=True)
+    rows = near.select("vec_id", "nearest_category", "is_near_duplicate").join(
+        class_shares(spark, sf).withColumnRenamed("o_custkey", "vec_id"), "vec_id"
     )
+    done = D.prompt_decisions(rows, "p", CLASSES)
+    marks = ["is_near_duplicate", "risk_tier_upgraded", "quarantine_triggered"]
+    return done.select("vec_id", "label", "confidence", "risk_tier", "nearest_category", "final_tier", *[F.col(c).cast("int").alias(c) for c in marks])
 
 
 # --- sections and text index ---------------------------------------------------------------------
@@ -267,10 +299,8 @@ def ensemble_metrics(spark, sf):
 def labelled_vectors(spark, sf):
     rows = table(spark, sf, "embeddings").withColumn("category", F.concat(F.lit("label-"), "label"))
     split = C.stratified_split(rows, "category", "vec_id", group_rows=bound(spark, sf, "embeddings", "label"))
-    columns = [f"x{i}" for i in range(64)]
-    flat = split.select("vec_id", "category", "split", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(columns)])
-    scaled = M.standard_scaled(flat, flat.filter(F.col("split") == "train"), {c: f"{c}_s" for c in columns})
-    ready = Mo.with_vector(scaled, [f"{c}_s" for c in columns])
+    scaled = M.standard_scaled_array(split, split.filter(F.col("split") == "train"), "embedding", "scaled")
+    ready = scaled.select("vec_id", "category", "split", array_to_vector("scaled").alias("features"))
     # the fits pass over these rows many times
     return stored(Mo.label_index(ready, "category").select("vec_id", "category", "split", "label", "features"))
 
