@@ -131,6 +131,15 @@ def test_min_max_of_constant(spark):
     assert [r["s"] for r in scaled.collect()] == [0.0, 0.0]
 
 
+def test_arrays_scale_like_columns(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i * i), 3.0) for i in range(40)], "i int, a double, b double, c double")
+    fit = df.filter("i < 25")
+    columns = M.standard_scaled(df, fit, {c: f"{c}_s" for c in "abc"}).withColumn("want", F.array("a_s", "b_s", "c_s"))
+    both = M.standard_scaled_array(columns.withColumn("x", F.array("a", "b", "c")), fit.withColumn("x", F.array("a", "b", "c")), "x", "got")
+    for r in both.collect():
+        assert r["got"] == pytest.approx(r["want"], abs=1e-12)
+
+
 def test_targets(spark):
     df = spark.createDataFrame([(1, 2.0, 0, "x")], "account_id long, arr double, Churned int, name string")
     assert M.resolve_target(df).columns == ["account_id", "arr", "churn_label", "name"]

@@ -37,6 +37,14 @@ def test_attributions_sum_to_margin(accounts, model):
         assert sum(r["contributions"]) + r["base_value"] == pytest.approx(r["margin"], abs=1e-9)
 
 
+def test_saved_model_scores_alike(spark, accounts, model, tmp_path):
+    Mo.save_boosted(model, str(tmp_path), ["a", "b", "c"], 0.25)
+    loaded, columns, threshold = Mo.load_boosted(spark, str(tmp_path))
+    assert (columns, threshold) == (["a", "b", "c"], 0.25)
+    margins = lambda m: {r["id"]: r["margin"] for r in Mo.scored(m, accounts).select("id", "margin").collect()}
+    assert margins(loaded) == margins(model)
+
+
 def expected_margin(tree, x, known):
     """Margin of one tree when only the ``known`` features are looked at."""
     def walk(node):

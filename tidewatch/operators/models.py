@@ -15,11 +15,11 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import metrics as M
@@ -109,6 +109,19 @@ def scored(model: Model, df: DataFrame, name: str = "churn_probability") -> Data
     )
 
 
+def save_boosted(model: GBTClassificationModel, path: str, columns: Sequence[str], threshold: float) -> None:
+    """The model with the order of its inputs and its tuned threshold, for jobs that score later."""
+    spark = SparkSession.active()
+    model.write().overwrite().save(f"{path}/model")
+    settings = spark.createDataFrame([(list(columns), float(threshold))], "columns array<string>, threshold double")
+    settings.coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+
+
+def load_boosted(spark: SparkSession, path: str) -> tuple[GBTClassificationModel, list[str], float]:
+    settings = spark.read.schema("columns array<string>, threshold double").json(f"{path}/settings").first()
+    return GBTClassificationModel.load(f"{path}/model"), list(settings["columns"]), settings["threshold"]
+
+
 # --- isolation forest ----------------------------------------------------------------------------
 
 TREES, TREE_ROWS = 200, 256

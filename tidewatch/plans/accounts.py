@@ -11,7 +11,7 @@ from tidewatch.operators import evaluate as E
 from tidewatch.operators import metrics as M
 from tidewatch.operators import models as Mo
 from tidewatch.plans.registry import bound, query, spread, table
-from tidewatch.session import stored
+from tidewatch.session import new_table_path, stored
 
 # Customers as accounts: revenue from orders, usage and support signals from line items.
 ACCOUNT_SQL = """
@@ -215,21 +215,54 @@ def boosted_rows(spark, sf):
     return ready, train
 
 
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def trained(spark, sf):
+    """Folder of the model fitted on these accounts at the library's settings: trained once a session, then loaded."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _TRAINED:
+        ready, train = boosted_rows(spark, sf)
+        model = Mo.boosted().fit(train)
+        held = stored(Mo.scored(model, ready.filter(F.col("split") == "val")).select("churn", "arr", "churn_probability"))
+        best = tuned_threshold(held)
+        path = new_table_path(spark, "boosted")
+        Mo.save_boosted(model, path, MODEL_COLUMNS, 0.5 if best is None else best)
+        _TRAINED[at] = path
+    return _TRAINED[at]
+
+
+def tuned_threshold(rows):
+    """Threshold tuned on the high-revenue accounts."""
+    segment = rows.filter(F.col("arr") >= M.top_share_cutoff(rows, "arr"))
+    found = E.best_segment_threshold(E.segment_sweep(segment, "churn", "churn_probability")).first()
+    return None if found is None else found["threshold"]
+
+
 @query("gbt_high_risk")
 def gbt_high_risk(spark, sf):
-    """Fit on the training split, score every account, payload of the high-risk ones."""
-    ready, train = boosted_rows(spark, sf)
-    model = Mo.boosted(depth=3, rounds=10).fit(train)
+    """The trained model scores every account; payload of the high-risk ones."""
+    ready, _ = boosted_rows(spark, sf)
+    model, columns, _ = Mo.load_boosted(spark, trained(spark, sf))
     scored = A.with_attributions(Mo.scored(model, ready), model)
-    drivers = D.top_drivers(MODEL_COLUMNS, F.col("contributions"))
+    drivers = D.top_drivers(columns, F.col("contributions"))
     return D.high_risk(scored, "churn_probability", "arr", "account_id", drivers, above=0.5)
 
 
+@query("scored_from_disk")
+def scored_from_disk(spark, sf):
+    """A table of accounts scored by a saved model, its inputs in the saved order, held against the saved threshold."""
+    model, columns, threshold = Mo.load_boosted(spark, trained(spark, sf))
+    features = M.account_features(accounts(spark, sf), group_rows=bound(spark, sf, "customer"))
+    rows = Mo.scored(model, Mo.with_vector(features, columns))
+    return rows.select("account_id", "arr", "churn_probability", (F.col("churn_probability") >= threshold).alias("at_risk"))
+
+
 @query("attribution_sums", f"WITH {ACCOUNT_SQL} SELECT account_id, 1 AS adds_up FROM acc")
 def attribution_sums(spark, sf):
     """Contributions and base value add up to the model's margin for every account."""
-    ready, train = boosted_rows(spark, sf)
-    model = Mo.boosted(depth=3, rounds=5).fit(train)
+    ready, _ = boosted_rows(spark, sf)
+    model, _, _ = Mo.load_boosted(spark, trained(spark, sf))
     rows = A.with_attributions(Mo.scored(model, ready), model)
     total = F.aggregate("contributions", F.lit(0.0), lambda acc, c: acc + c) + F.col("base_value")
     return rows.select("account_id", (F.abs(total - F.col("margin")) < 1e-9).cast("int").alias("adds_up"))
@@ -237,9 +270,9 @@ def attribution_sums(spark, sf):
 
 @query("gbt_driver_ranking")
 def gbt_driver_ranking(spark, sf):
-    ready, train = boosted_rows(spark, sf)
-    model = Mo.boosted(depth=3, rounds=10).fit(train)
-    return E.driver_ranking(A.with_attributions(ready, model), "contributions", MODEL_COLUMNS)
+    ready, _ = boosted_rows(spark, sf)
+    model, columns, _ = Mo.load_boosted(spark, trained(spark, sf))
+    return E.driver_ranking(A.with_attributions(ready, model), "contributions", columns)
 
 
 @query("gbt_search")
@@ -255,12 +288,11 @@ def gbt_search(spark, sf):
 @query("gbt_test_metrics")
 def gbt_test_metrics(spark, sf):
     """Quality on the held-out split at 0.5, and at the threshold tuned on high-revenue accounts."""
-    ready, train = boosted_rows(spark, sf)
-    model = Mo.boosted(depth=3, rounds=10).fit(train)
+    ready, _ = boosted_rows(spark, sf)
+    model, _, _ = Mo.load_boosted(spark, trained(spark, sf))
     # scored once, read by every metric
     test = stored(Mo.scored(model, ready.filter(F.col("split") == "test")).select("churn", "arr", "churn_probability"))
-    segment = test.filter(F.col("arr") >= M.top_share_cutoff(test, "arr"))
-    tuned = E.best_segment_threshold(E.segment_sweep(segment, "churn", "churn_probability")).first()["threshold"]
+    tuned = tuned_threshold(test)
     default = E.binary_metrics(test, "churn", F.col("churn_probability") >= 0.5).withColumn("rule", F.lit("default"))
     own = E.binary_metrics(test, "churn", F.col("churn_probability") >= tuned).withColumn("rule", F.lit("tuned"))
     area = E.areas(test, "churn", "churn_probability").select("roc_auc").scalar()
