@@ -84,6 +84,36 @@ def char_entropy_z(spark, sf):
     return done.select("doc_id", *[F.round(c, 6).alias(c) for c in ("char_entropy", "char_entropy_anomaly_score")])
 
 
+PHRASES = [*V.SPECIAL_TOKENS, *V.ROLEPLAY_LEXICON, *V.ROLEPLAY_KEYWORDS, *V.OVERRIDE_KEYWORDS, *V.DIRECT_KEYWORDS]
+PLANTED_SQL = f"planted AS (SELECT doc_id, lang <> 'en' AS is_attack, text || ' ' || [{', '.join(lit(p) for p in PHRASES)}][doc_id % {len(PHRASES)} + 1] AS text FROM documents)"
+
+
+def any_sql(words):
+    return "(" + " OR ".join(f"contains(lower(text), {lit(w)})" for w in words) + ")"
+
+
+@query(
+    "default_word_lists",
+    f"""WITH {PLANTED_SQL} SELECT doc_id, CAST({hits_sql('lower(text)', V.SPECIAL_TOKENS)} AS BIGINT) AS special_token_count,
+       round({DENSITY_SQL}, 9) AS imperative_verb_density,
+       round(({hits_sql('lower(text)', V.ROLEPLAY_LEXICON)}) / greatest(length(text) / 100.0::DOUBLE, 1.0::DOUBLE), 9) AS roleplay_lexicon_score,
+       CASE WHEN NOT is_attack THEN 'benign' WHEN {any_sql(V.ROLEPLAY_KEYWORDS)} THEN 'roleplay' WHEN {any_sql(V.OVERRIDE_KEYWORDS)} THEN 'instruction_override'
+         ELSE 'direct_injection' END AS category FROM planted""",
+)
+def default_word_lists(spark, sf):
+    """The library's own lists on the documents, each with one of their phrases added."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    phrase = F.element_at(F.array(*map(F.lit, PHRASES)), (F.col("doc_id") % len(PHRASES) + 1).cast("int"))
+    text = F.col("text")
+    return docs.withColumn("text", F.concat(text, F.lit(" "), phrase)).select(
+        "doc_id",
+        X.special_token_count(text).cast("long").alias("special_token_count"),
+        F.round(X.imperative_density(text), 9).alias("imperative_verb_density"),
+        F.round(X.lexicon_score(text), 9).alias("roleplay_lexicon_score"),
+        X.rule_category(text, F.col("lang") != "en", F.lit(False)).alias("category"),
+    )
+
+
 def four(expr):
     """Decimal rounding, so that a tie is a tie on both sides."""
     return f"CAST(round(CAST({expr} AS DECIMAL(30, 12)), 4) AS DOUBLE)"
@@ -160,10 +190,6 @@ def corpus_ingest(spark, sf):
     return corpus(spark, sf).select("source", "rid", F.col("is_attack").cast("int").alias("is_attack"), F.md5("text").alias("text_md5"))
 
 
-def any_sql(words):
-    return "(" + " OR ".join(f"contains(lower(text), {lit(w)})" for w in words) + ")"
-
-
 CATEGORY_SQL = f"""CASE WHEN NOT is_attack THEN 'benign' WHEN {OBFUSCATED_SQL} THEN 'obfuscation'
   WHEN {any_sql(ROLEPLAY)} THEN 'roleplay' WHEN {any_sql(OVERRIDE)} THEN 'instruction_override'
   ELSE 'direct_injection' END"""

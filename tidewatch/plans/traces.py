@@ -614,3 +614,48 @@ def failclosed_fill(spark, sf):
         "event_id", "t.agent_status", "t.classifier_risk_tier", "t.disposition", "t.triage_confidence",
         F.col("t.requires_judge_review").cast("int").alias("requires_judge_review"),
     )
+
+
+JUDGE_BAD = f"({js('judge_disposition')} = {js('triage_disposition_reviewed')}) <> ({js('agrees_with_triage')} = 'true')"
+
+
+@query(
+    "failclosed_judge",
+    f"""WITH {raw_sql(JUDGE_RAW)}, seen AS (SELECT event_id, raw, {JUDGE_BAD} AS bad FROM raw)
+SELECT event_id, CASE WHEN bad THEN 'validation_failed' ELSE 'success' END AS agent_status,
+       CASE WHEN bad THEN 'escalate' ELSE {js('judge_disposition')} END AS judge_disposition,
+       (CASE WHEN bad THEN {js('triage_disposition_reviewed')} = 'escalate' ELSE {js('agrees_with_triage')} = 'true' END)::INT AS agrees_with_triage,
+       CASE WHEN bad THEN 0.0 ELSE {num('judge_confidence')} END::DOUBLE AS judge_confidence FROM seen""",
+)
+def failclosed_judge(spark, sf):
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(JUDGE_RAW).alias("raw"))
+    checked = K.check(rows, "raw", K.JUDGE, repair=True)
+    judge = K.typed(F.col("doc"), K.JUDGE, {"agent_status": F.lit("success")})
+    safe = K.judge_or_escalation(
+        judge, F.size("violations") == 0, F.concat(F.lit("p"), "event_id"), F.get_json_object("raw", "$.triage_disposition_reviewed"),
+        F.array_join("violations", ", "), "rules",
+    )
+    done = checked.select("event_id", safe.alias("j"))
+    return done.select(
+        "event_id", "j.agent_status", "j.judge_disposition", F.col("j.agrees_with_triage").cast("int").alias("agrees_with_triage"), "j.judge_confidence"
+    )
+
+
+@query(
+    "failclosed_sanitizer",
+    f"""WITH {raw_sql(SANITIZER_RAW)}, seen AS (
+  SELECT event_id, raw, coalesce(length({js('sanitized_prompt')}) < 1 OR json_type(raw, '$.tokens_removed[0]') <> 'VARCHAR', false)
+         OR (trim({js('sanitized_prompt')}) = {js('original_prompt')} AND {js('residual_risk_detected')} = 'false') AS bad FROM raw)
+SELECT event_id, CASE WHEN bad THEN 'validation_failed' ELSE 'success' END AS agent_status,
+       CASE WHEN bad THEN {js('original_prompt')} ELSE {js('sanitized_prompt')} END AS sanitized_prompt,
+       CASE WHEN bad THEN 1 ELSE ({js('residual_risk_detected')} = 'true')::INT END AS residual_risk_detected FROM seen""",
+)
+def failclosed_sanitizer(spark, sf):
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(SANITIZER_RAW).alias("raw"))
+    checked = K.check(rows, "raw", K.SANITIZER, repair=True)
+    sanitizer = K.typed(F.col("doc"), K.SANITIZER, {"agent_status": F.lit("success")})
+    safe = K.sanitizer_or_unchanged(
+        sanitizer, F.size("violations") == 0, F.concat(F.lit("p"), "event_id"), F.get_json_object("raw", "$.original_prompt")
+    )
+    done = checked.select("event_id", safe.alias("s"))
+    return done.select("event_id", "s.agent_status", "s.sanitized_prompt", F.col("s.residual_risk_detected").cast("int").alias("residual_risk_detected"))
