@@ -69,8 +69,8 @@ def char_entropy(text: Column) -> Column:
     Characters are counted within the row, as what the text loses without each, so nothing is shuffled."""
     chars = F.filter(F.array_distinct(F.split(text, "")), lambda c: c != "")
     n = F.length(text).cast("double")
-    share = lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n
-    bits = F.aggregate(chars, F.lit(0.0), lambda total, c: total - share(c) * F.log2(share(c)))
+    shares = F.transform(chars, lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n)
+    bits = F.aggregate(shares, F.lit(0.0), lambda total, p: total - p * F.log2(p))
     return F.coalesce(bits, F.lit(0.0))
 
 
