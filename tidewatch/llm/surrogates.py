@@ -21,15 +21,17 @@ EITHER = ("Dr", "Prof")
 _TITLES = "|".join(sorted(FEMALE + MALE + EITHER, key=lambda t: (-len(t), t)))
 _NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-SECRET = r"AKIA[0-9A-Z]{16}|(?<=(?i:password|passwd|secret|token|api_key|apikey) ?[=:] ?\"?)[A-Za-z0-9_+/=-]{8,}|(?<![0-9A-Za-z])[0-9a-f]{32,}(?![0-9A-Za-z])"
+_SECRET_KEY = "(?i:password|passwd|secret|token|api_key|apikey) ?[=:]"
+SECRET = rf"AKIA[0-9A-Z]{{16}}|(?<={_SECRET_KEY} ?\"?)[A-Za-z0-9_+/=-]{{8,}}|(?<![0-9A-Za-z])[0-9a-f]{{32,}}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9])"
 NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAME_WORD}(?: {_NAME_WORD})?"
 #: In this order at each place.
 ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IPV4, CARD, PHONE, NAME))
-#: A text without a match of this has no entity.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}"
+#: A text without a match of this has no entity: numbers need a digit, mails an @, names a title, and secrets of letters only a
+#: key before them, AKIA or a run of hex letters.
+HINT = rf"[0-9@]|[=:](?<={_SECRET_KEY})|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}"
 MAX_ATTEMPTS = 64
 
 _VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειοω"}
