@@ -170,6 +170,27 @@ def test_secrets_of_letters_only_are_replaced(spark, text, secret):
     assert got["n_entities"] == 1 and secret not in got["text"] and len(got["text"]) == len(text)
 
 
+def test_spellings_of_an_entity_share_its_surrogate(spark):
+    rows = [
+        (1, "Mr. Smith"), (2, "Dr. Smith"), (3, "Prof SMITH"), (4, "+1 743-555-3824"), (5, "+17435553824"), (6, "+1(743)555-3824"), (7, "+49 30 123456"), (8, "+4930123456"),
+        (9, "Mrs Jones"), (9, "Mr Jones"), (None, "Dr Jones"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in surrogates.replaced(df).collect():
+        got.setdefault(r["doc_id"], []).append(r["text"])
+    last = lambda i: got[i][0].split(" ")[-1]
+    assert last(1) == last(2) == last(3).capitalize() and last(1).endswith("on") and last(3).isupper()
+    digits = lambda i: "".join(c for c in got[i][0] if c.isdigit())
+    assert digits(4) == digits(5) == digits(6) != "17435553824" and digits(4)[0] == "1"
+    assert digits(7) == digits(8) != "4930123456" and digits(7)[:2] == "49"
+    assert len({t.split(" ")[-1] for i in (9, None) for t in got[i]}) == 1
+    # a surrogate is no entity of the corpus, whichever spelling it is in
+    again = spark.createDataFrame([*rows, (20, got[1][0].replace("Mr.", "Mrs")), (21, got[5][0])], "doc_id long, text string")
+    moved = {r["doc_id"]: r["text"] for r in surrogates.replaced(again).collect()}
+    assert moved[1].split(" ")[-1] != last(1) and moved[1].split(" ")[-1] == moved[2].split(" ")[-1] and moved[4] != got[4][0]
+
+
 def test_collisions_move_on(spark):
     first = [(i, f"a{i}@x.org") for i in range(50)]
     plain = {r[0]: r[1] for r in surrogates.replaced(spark.createDataFrame(first, "doc_id long, text string")).collect()}

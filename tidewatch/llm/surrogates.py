@@ -2,8 +2,8 @@
 
 Emails, IPv4 addresses, phone numbers, card numbers, secrets and titled person names are found by one pattern. An
 entity's surrogate comes from a keyed digest of its type and normal form, so every mention of it, in whatever spelling
-or punctuation, gets the same one (coreference), rendered in the mention's own format: case, script, digit groups, title
-gender. Collision checks over the whole corpus keep it distinct: where two entities would get one surrogate, or a
+or punctuation, gets the same one (coreference), rendered in the mention's own format: case, script, digit groups. A name's
+gender is the entity's, told by the titles of all its mentions. Collision checks over the whole corpus keep it distinct: where two entities would get one surrogate, or a
 surrogate is itself an entity of the corpus, the later one is rendered from its next digest until none is left.
 """
 
@@ -32,7 +32,11 @@ ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IPV4, CARD, PHONE, NAME))
 #: A text without a match of this has no entity: numbers need a digit, mails an @, names a title, and secrets of letters only a
 #: key before them, AKIA or a run of hex letters.
 HINT = rf"[0-9@]|[=:](?<={_SECRET_KEY})|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}"
-MAX_ATTEMPTS = 64
+MAX_ATTEMPTS, _LONGER_FROM = 64, 4
+#: The country code after a +, by its digits alone, whatever stands between them: no code is the start of another.
+COUNTRY = r"^\+(?:[17]|" + "|".join(
+    f"{a}[^0-9]*[{b}]" for a, b in ((2, "07"), (3, "0-469"), (4, "013-9"), (5, "1-8"), (6, "0-6"), (8, "1246"), (9, "0-58"))
+) + r"|[0-9](?:[^0-9]*[0-9]){2})"
 
 _VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειοω"}
 _CONSONANTS = {"latin": "bdfglmnrstv", "cyrillic": "бдглмнрств", "greek": "βδγλμνρστ"}
@@ -52,20 +56,21 @@ def entity_type(mention: Column) -> Column:
 
 
 def normal_form(kind: Column, mention: Column) -> Column:
-    """What all spellings of an entity have in common: digits of numbers, lowered mails and names without title."""
+    """What all spellings of an entity have in common: digits of numbers (with a phone's +), lowered mails and names without title."""
     bare = F.regexp_replace(mention, rf"^(?:{_TITLES})\.? ", "")
     return (
-        F.when(kind.isin("card", "phone"), F.regexp_replace(mention, "[^0-9]", ""))
+        F.when(kind == "card", F.regexp_replace(mention, "[^0-9]", ""))
+        .when(kind == "phone", F.regexp_replace(mention, "[^0-9+]", ""))
         .when(kind == "email", F.lower(mention))
         .when(kind == "name", F.lower(bare))
         .otherwise(mention)
     )
 
 
-def _gender(mention: Column) -> Column:
-    """0 female, 1 male, 2 not told by the title."""
+def _gender(kind: Column, mention: Column) -> Column:
+    """0 female, 1 male, 2 not told by the title, or no name."""
     title = F.regexp_extract(mention, rf"^({_TITLES})\.? ", 1)
-    return F.when(title.isin(*FEMALE), 0).when(title.isin(*MALE), 1).otherwise(2)
+    return F.when(kind != "name", 2).when(title.isin(*FEMALE), 0).when(title.isin(*MALE), 1).otherwise(2)
 
 
 def _script(text: Column) -> Column:
@@ -102,11 +107,12 @@ def _shaped(text: Column, digest: Column, keep: str = "") -> Column:
     return F.concat(head, F.array_join(F.transform(chars, one), ""))
 
 
-def _name(mention: Column, digest: Column) -> Column:
-    """A name in the mention's script with an ending of its gender, as many words and the same case, after its title."""
+def _name(mention: Column, digest: Column, gender: Column, attempt: Column) -> Column:
+    """A name in the mention's script with an ending of the gender, as many words and the same case, after its title. Late
+    attempts have a syllable more, so that short names are not used up."""
     title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
     bare = F.substr(mention, F.char_length(title) + 1)
-    script, gender = _script(bare), _gender(mention)
+    script = _script(bare)
     parts = F.split(bare, " ")
 
     def word(w, k):
@@ -116,7 +122,7 @@ def _name(mention: Column, digest: Column) -> Column:
                 _pick(_CONSONANTS[s], _number(digest, k * 8 + 2 * j, len(_CONSONANTS[s]))), _pick(_VOWELS[s], _number(digest, k * 8 + 2 * j + 1, len(_VOWELS[s])))
             )
             ending = F.when(gender == 0, _ENDINGS[s][0]).when(gender == 1, _ENDINGS[s][1]).otherwise(_ENDINGS[s][2])
-            text = F.concat(syllable(0), syllable(1), syllable(2), ending)
+            text = F.concat(syllable(0), syllable(1), syllable(2), F.when(attempt >= _LONGER_FROM, syllable(3)).otherwise(""), ending)
             made = F.when(script == s, text) if made is None else made.when(script == s, text)
         capital = F.concat(F.upper(F.substr(made, F.lit(1), F.lit(1))), F.substr(made, F.lit(2)))
         return F.when(F.upper(w) == w, F.upper(made)).otherwise(capital)
@@ -124,17 +130,21 @@ def _name(mention: Column, digest: Column) -> Column:
     return F.concat(title, F.array_join(F.transform(parts, word), " "))
 
 
-def surrogate(kind: Column, mention: Column, attempt: Column, key: str = KEY) -> Column:
-    """The mention's replacement: a function of the key, the entity and the attempt, in the mention's format."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, normal_form(kind, mention), attempt.cast("string")), 256)
+def entity_digest(kind: Column, mention: Column, attempt: Column, key: str = KEY) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, normal_form(kind, mention), attempt.cast("string")), 256)
+
+
+def surrogate(kind: Column, mention: Column, attempt: Column, gender: Column, digest: Column) -> Column:
+    """The mention's replacement: a function of the entity (its digest and gender) and the attempt, in the mention's format.
+    Its normal form is the same for every spelling of the entity."""
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: _number(digest, i, 256).cast("string"))
     local, domain = F.substring_index(mention, "@", 1), F.substring_index(mention, "@", -1)
     host, suffix = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2)
     return (
         F.when(kind == "email", F.concat(_shaped(F.concat(local, F.lit("@"), host), digest), suffix))
         .when(kind == "ipv4", F.array_join(octets, "."))
-        .when(kind == "name", _name(mention, digest))
-        .when(kind == "phone", _shaped(mention, digest, r"^\+[0-9]{1,3}[ .-]"))
+        .when(kind == "name", _name(mention, digest, gender, attempt))
+        .when(kind == "phone", _shaped(mention, digest, COUNTRY))
         .otherwise(_shaped(mention, digest))
     )
 
@@ -146,24 +156,28 @@ def _mentions(text: Column) -> Column:
 
 
 def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """(kind, normal, attempt) of the entities that may not use their first surrogate.
+    """(kind, normal, attempt, gender) of the entities that may not use their first surrogate, or whose mentions' titles do
+    not all tell the entity's gender.
 
-    ``entities``: distinct (kind, normal, like), like being one of the entity's spellings. An entity moves on while a
-    surrogate of its type has an earlier entity, by attempt and name, or equals an entity of the corpus."""
+    ``entities``: distinct (kind, normal, like, gender, varied), like being any of the entity's spellings: all are rendered to
+    one normal form. An entity moves on while a surrogate of its type has an earlier entity, by attempt and name, or equals
+    an entity of the corpus."""
+    own = ("kind", "normal", "like", "gender", "varied")
     state = stored(entities.withColumn("attempt", F.lit(0)), "entities")
     for _ in range(MAX_ATTEMPTS):
-        made = state.withColumn("to", normal_form(F.col("kind"), surrogate(F.col("kind"), F.col("like"), F.col("attempt"), key)))
+        kind, like, attempt = F.col("kind"), F.col("like"), F.col("attempt")
+        made = state.withColumn("to", normal_form(kind, surrogate(kind, like, attempt, F.col("gender"), entity_digest(kind, like, attempt, key))))
         first = Window.partitionBy("kind", "to").orderBy(F.desc("attempt"), "normal")
         real = state.select("kind", F.col("normal").alias("to"), F.lit(True).alias("real"))
         checked = made.withColumn("rank", F.row_number().over(first)).join(real, ["kind", "to"], "left")
-        moved = checked.select("kind", "normal", "like", "attempt", ((F.col("rank") > 1) | F.coalesce("real", F.lit(False))).alias("again"))
+        moved = checked.select(*own, "attempt", ((F.col("rank") > 1) | F.coalesce("real", F.lit(False))).alias("again"))
         moved = stored(moved, "checked")
         if moved.filter("again").isEmpty():
             break
-        state = stored(moved.select("kind", "normal", "like", (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), "entities")
+        state = stored(moved.select(*own, (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), "entities")
     else:
         raise ValueError("the surrogates of a type are used up")
-    return state.filter("attempt > 0").select("kind", "normal", "attempt")
+    return state.filter("attempt > 0 OR varied").select("kind", "normal", "attempt", "gender")
 
 
 def replaced(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
@@ -171,25 +185,37 @@ def replaced(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: s
 
     Null texts stay null, empty ones empty. Repeated rows and copies get the same surrogates, since these depend on the
     entity alone. One entity may stand in any share of the rows: entities are made distinct in the map tasks first.
-    Only rows with an entity whose surrogate collided are looked up by id; a null id is looked up like any other.
+    A name's gender is what its titles tell in the whole corpus; where they tell both or none it has the neutral ending. Only
+    rows with an entity whose surrogate collided, or with a title that does not tell its entity's gender, are looked up by
+    id; a null id is looked up like any other.
     """
     found = docs.select(F.col(f"`{doc_id}`").alias("id"), F.explode(_mentions(F.col(f"`{text}`"))).alias("m")).select("id", "m.*")
-    found = stored(found.withColumn("normal", normal_form(F.col("kind"), F.col("mention"))), "mentions")
-    entities = found.groupBy("kind", "normal").agg(F.min("mention").alias("like"))
+    found = found.withColumns({"normal": normal_form(F.col("kind"), F.col("mention")), "told": _gender(F.col("kind"), F.col("mention"))})
+    found = stored(found, "mentions")
+    lowest, male = F.min("told"), F.max((F.col("told") == 1).cast("int")) == 1
+    gender = F.when((lowest == 0) & male, 2).when(lowest == 0, 0).when(male, 1).otherwise(2)
+    entities = found.groupBy("kind", "normal").agg(F.min("mention").alias("like"), gender.alias("gender"), (lowest != F.max("told")).alias("varied"))
     moved = stored(exceptions(entities, key), "exceptions")
     out = docs.withColumn("__found", _mentions(F.col(f"`{text}`")))
-    attempt = lambda m: F.lit(0)
+    nothing = F.lit(None).cast("struct<attempt: int, gender: int>")
+    entry = lambda m: nothing
     if not moved.isEmpty():
         name = lambda kind, normal: F.concat_ws("|", kind, normal)
-        used = found.join(moved, ["kind", "normal"]).select("id", name(F.col("kind"), F.col("normal")).alias("n"), "attempt").distinct()
+        used = found.join(moved, ["kind", "normal"]).filter("attempt > 0 OR told != gender")
+        used = used.select("id", name(F.col("kind"), F.col("normal")).alias("n"), F.struct("attempt", "gender").alias("e")).distinct()
         # by id and bounded by the distinct entities of that id's texts
-        maps = used.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("n", "attempt"))).alias("__moved"))
+        maps = used.groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("n", "e"))).alias("__moved"))
         out = out.join(maps, out[doc_id].eqNullSafe(maps["id"]), "left").drop(maps["id"])
-        attempt = lambda m: F.coalesce(F.col("__moved")[name(m["kind"], normal_form(m["kind"], m["mention"]))], F.lit(0))
+        entry = lambda m: F.col("__moved")[name(m["kind"], normal_form(m["kind"], m["mention"]))]
+    known = F.transform("__found", lambda m: F.struct(m["kind"].alias("kind"), m["mention"].alias("mention"), entry(m).alias("e")))
+    known = F.transform(known, lambda m: F.struct(
+        m["kind"].alias("kind"), m["mention"].alias("mention"), F.coalesce(m["e"]["attempt"], F.lit(0)).alias("attempt"),
+        F.coalesce(m["e"]["gender"], _gender(m["kind"], m["mention"])).alias("gender"),
+    ))
+    keyed = F.transform(known, lambda m: F.struct(m.alias("m"), entity_digest(m["kind"], m["mention"], m["attempt"], key).alias("digest")))
+    made = F.transform(keyed, lambda x: surrogate(x["m"]["kind"], x["m"]["mention"], x["m"]["attempt"], x["m"]["gender"], x["digest"]))
     pieces = F.split(F.col(f"`{text}`"), ENTITY, -1)
-    filled = F.zip_with(
-        pieces, F.transform("__found", lambda m: surrogate(m["kind"], m["mention"], attempt(m), key)), lambda p, s: F.concat(p, F.coalesce(s, F.lit("")))
-    )
+    filled = F.zip_with(pieces, made, lambda p, s: F.concat(p, F.coalesce(s, F.lit(""))))
     n = F.coalesce(F.size("__found"), F.lit(0))
     changed = F.when(F.size("__found") > 0, F.array_join(filled, "")).otherwise(F.col(f"`{text}`"))
     return out.withColumns({text: changed, "n_entities": n}).drop("__found", "__moved")
