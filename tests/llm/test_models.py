@@ -191,6 +191,27 @@ def test_spellings_of_an_entity_share_its_surrogate(spark):
     assert moved[1].split(" ")[-1] != last(1) and moved[1].split(" ")[-1] == moved[2].split(" ")[-1] and moved[4] != got[4][0]
 
 
+def test_names_of_any_length_are_replaced_whole(spark):
+    import re
+
+    many = "Dr " + " ".join(f"Xy{c}{d}" for c in "abcdefghijklmnopqrst" for d in "abcdefghijklmnopqrst" * 10)
+    rows = [
+        (1, "from Ms Ana Maria Lopez here"), (2, "to Mr. J. R. Smith, who"), (3, "Herr von Goethe kam"), (4, "Frau Dr. Eva van der Berg ging"), (5, "Mr J.R. Ewing Q. left"),
+        (6, "Ms Da Silva"), (7, "Dr da Silva"), (8, "Mr Di"), (9, many),
+    ]
+    found = surrogates.replaced(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["n_entities"] == 1 for r in found)
+    got = {r["doc_id"]: r["text"] for r in found}
+    word = "[A-Z][a-z]+"
+    shapes = [rf"from Ms {word} {word} {word} here", rf"to Mr\. [A-Z]\. [A-Z]\. {word}, who", rf"Herr [a-z]+ {word} kam", rf"Frau Dr\. {word} [a-z]+ [a-z]+ {word} ging", rf"Mr [A-Z]\.[A-Z]\. {word} [A-Z]\. left"]
+    for i, shape in enumerate(shapes, 1):
+        assert re.fullmatch(shape, got[i])
+    for name in ("Ana", "Maria", "Lopez", "Smith", "Goethe", "Eva", "Berg", "Ewing", "Silva", "Di"):
+        assert not any(re.search(rf"\b{name}\b", got[i]) for i in range(1, 9))
+    assert got[6].split(" ")[1:] == [w.capitalize() for w in got[7].split(" ")[1:]] and got[4].split(" ")[2].endswith("a")
+    assert "Xy" not in got[9] and len(got[9].split(" ")) == 4_001
+
+
 def test_collisions_move_on(spark):
     first = [(i, f"a{i}@x.org") for i in range(50)]
     plain = {r[0]: r[1] for r in surrogates.replaced(spark.createDataFrame(first, "doc_id long, text string")).collect()}

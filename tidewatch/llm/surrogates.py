@@ -1,6 +1,7 @@
 """Personal data replaced by keyed, type-consistent surrogates.
 
-Emails, IPv4 addresses, phone numbers, card numbers, secrets and titled person names are found by one pattern. An
+Emails, IPv4 addresses, phone numbers, card numbers, secrets and titled person names, of any number of words with initials
+and particles, are found by one pattern. An
 entity's surrogate comes from a keyed digest of its type and normal form, so every mention of it, in whatever spelling
 or punctuation, gets the same one (coreference), rendered in the mention's own format: case, script, digit groups. A name's
 gender is the entity's, told by the titles of all its mentions. Collision checks over the whole corpus keep it distinct: where two entities would get one surrogate, or a
@@ -19,19 +20,26 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Го
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")
 EITHER = ("Dr", "Prof")
 _TITLES = "|".join(sorted(FEMALE + MALE + EITHER, key=lambda t: (-len(t), t)))
-_NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
+_PARTICLES = (
+    "von", "van", "de", "da", "di", "del", "della", "der", "den", "dem", "do", "dos", "das", "du", "la", "las", "los", "le", "zu",
+    "zum", "zur", "ter", "ten", "bin", "ibn", "al", "af", "av",
+)
+_NAME_WORD, _INITIAL, _PARTICLE = r"\p{Lu}[\p{L}\p{M}'’-]+", r"(?:\p{Lu}\.)++", f"(?:{'|'.join(_PARTICLES)})"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _SECRET_KEY = "(?i:password|passwd|secret|token|api_key|apikey) ?[=:]"
 SECRET = rf"AKIA[0-9A-Z]{{16}}|(?<={_SECRET_KEY} ?\"?)[A-Za-z0-9_+/=-]{{8,}}|(?<![0-9A-Za-z])[0-9a-f]{{32,}}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9])"
-NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAME_WORD}(?: {_NAME_WORD})?"
+_TITLED = rf"(?:(?:{_TITLES})\.? )+"
+#: Titles, then any number of capitalised words, initials and particles before them, a capitalised word among them. Possessive,
+#: so that names of any length take no stack.
+NAME = rf"(?<!\p{{L}}){_TITLED}(?:(?:{_PARTICLE}|{_INITIAL}) )*+{_NAME_WORD}(?: (?:{_PARTICLE} )*+(?:{_INITIAL}|{_NAME_WORD}))*+"
 #: In this order at each place.
 ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IPV4, CARD, PHONE, NAME))
 #: A text without a match of this has no entity: numbers need a digit, mails an @, names a title, and secrets of letters only a
 #: key before them, AKIA or a run of hex letters.
-HINT = rf"[0-9@]|[=:](?<={_SECRET_KEY})|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|[=:](?<={_SECRET_KEY})|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{_TITLES})\.? \p{{L}}"
 MAX_ATTEMPTS, _LONGER_FROM = 64, 4
 #: The country code after a +, by its digits alone, whatever stands between them: no code is the start of another.
 COUNTRY = r"^\+(?:[17]|" + "|".join(
@@ -57,7 +65,7 @@ def entity_type(mention: Column) -> Column:
 
 def normal_form(kind: Column, mention: Column) -> Column:
     """What all spellings of an entity have in common: digits of numbers (with a phone's +), lowered mails and names without title."""
-    bare = F.regexp_replace(mention, rf"^(?:{_TITLES})\.? ", "")
+    bare = F.regexp_replace(mention, f"^{_TITLED}", "")
     return (
         F.when(kind == "card", F.regexp_replace(mention, "[^0-9]", ""))
         .when(kind == "phone", F.regexp_replace(mention, "[^0-9+]", ""))
@@ -69,8 +77,9 @@ def normal_form(kind: Column, mention: Column) -> Column:
 
 def _gender(kind: Column, mention: Column) -> Column:
     """0 female, 1 male, 2 not told by the title, or no name."""
-    title = F.regexp_extract(mention, rf"^({_TITLES})\.? ", 1)
-    return F.when(kind != "name", 2).when(title.isin(*FEMALE), 0).when(title.isin(*MALE), 1).otherwise(2)
+    titles = F.regexp_extract(mention, f"^{_TITLED}", 0)
+    has = lambda words: titles.rlike(rf"(?<!\p{{L}})(?:{'|'.join(words)})(?!\p{{L}})")
+    return F.when(kind != "name", 2).when(has(FEMALE), 0).when(has(MALE), 1).otherwise(2)
 
 
 def _script(text: Column) -> Column:
@@ -108,12 +117,23 @@ def _shaped(text: Column, digest: Column, keep: str = "") -> Column:
 
 
 def _name(mention: Column, digest: Column, gender: Column, attempt: Column) -> Column:
-    """A name in the mention's script with an ending of the gender, as many words and the same case, after its title. Late
-    attempts have a syllable more, so that short names are not used up."""
-    title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
+    """A name in the mention's script with an ending of the gender, as many words and the same case, after its titles; initials for
+    initials, particles for particles. Late attempts have a syllable more, so that short names are not used up."""
+    title = F.regexp_extract(mention, f"^{_TITLED}", 0)
     bare = F.substr(mention, F.char_length(title) + 1)
-    script = _script(bare)
-    parts = F.split(bare, " ")
+    # bound once: found anew for each word, a name of many words would take the square of its length
+    once = F.struct(_script(bare).alias("script"), F.split(bare, " ").alias("parts"), digest.alias("digest"), gender.alias("gender"), attempt.alias("attempt"))
+    made = F.transform(F.array(once), lambda e: _words(e["parts"], e["script"], e["digest"], e["gender"], e["attempt"]))
+    return F.concat(title, F.get(made, F.lit(0)))
+
+
+def _words(parts: Column, script: Column, digest: Column, gender: Column, attempt: Column) -> Column:
+    """The words of a name replaced one by one."""
+
+    def initials(w, k):
+        letter = lambda s, i: F.upper(_pick(_CONSONANTS[s], _number(digest, k * 8 + i, len(_CONSONANTS[s]))))
+        of = lambda i: F.when(script == "cyrillic", letter("cyrillic", i)).when(script == "greek", letter("greek", i)).otherwise(letter("latin", i))
+        return F.array_join(F.transform(F.filter(F.split(w, ""), lambda c: c != ""), lambda c, i: F.when(c == ".", c).otherwise(of(i))), "")
 
     def word(w, k):
         made = None
@@ -124,10 +144,14 @@ def _name(mention: Column, digest: Column, gender: Column, attempt: Column) -> C
             ending = F.when(gender == 0, _ENDINGS[s][0]).when(gender == 1, _ENDINGS[s][1]).otherwise(_ENDINGS[s][2])
             text = F.concat(syllable(0), syllable(1), syllable(2), F.when(attempt >= _LONGER_FROM, syllable(3)).otherwise(""), ending)
             made = F.when(script == s, text) if made is None else made.when(script == s, text)
+        # a particle in whatever case, as spellings differ in it; the last word is a name
+        particle = F.lower(w).isin(*_PARTICLES) & (k < F.size(parts) - 1)
+        made = F.when(particle, F.get(F.array(*map(F.lit, _PARTICLES)), _number(digest, k * 8, len(_PARTICLES)))).otherwise(made)
         capital = F.concat(F.upper(F.substr(made, F.lit(1), F.lit(1))), F.substr(made, F.lit(2)))
-        return F.when(F.upper(w) == w, F.upper(made)).otherwise(capital)
+        cased = F.when(F.upper(w) == w, F.upper(made)).when(F.lower(w) == w, made).otherwise(capital)
+        return F.when(F.contains(w, F.lit(".")), initials(w, k)).otherwise(cased)
 
-    return F.concat(title, F.array_join(F.transform(parts, word), " "))
+    return F.array_join(F.transform(parts, word), " ")
 
 
 def entity_digest(kind: Column, mention: Column, attempt: Column, key: str = KEY) -> Column:
