@@ -51,6 +51,20 @@ def test_cleaned_drops_lines_and_keeps_columns(spark):
     assert line_rules.cleaned(odd(spark)).columns == odd(spark).columns
 
 
+def test_long_lines_survive_single_marks(spark):
+    marks = [
+        ("our privacy policy and the terms of use", True), ("il dit «oui», puis «non», enfin «peut-être»", True), ("er sagt »ja«, dann »nein«, dann »doch«", True),
+        ("col·lecció il·lustra intel·ligent", True), ("| a | b | c", True), ("| " * 60, False),
+    ]
+    short = ["See our privacy policy for all that we do with what you send.", "Home » News » Sports » Weather", "Un · dos · tres · quatre i cinc", "« a » b » c » d » e"]
+    long = [" ".join(f"word{i}" for i in range(30)) + f", {m}, " + " ".join(f"more{i}" for i in range(30)) + "." for m, _ in marks]
+    rows = line_rules.measured(spark.createDataFrame(list(enumerate(long + short)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: r for r in rows}
+    for i, (_, kept) in enumerate(marks):
+        assert got[i]["kept"] == kept and (got[i]["clean_text"] == long[i]) == kept
+    assert all(sum(got[len(long) + i]["line_faults"].values()) == 1 for i in range(len(short)))
+
+
 def fingerprint(text):
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(BLANK, lowered)

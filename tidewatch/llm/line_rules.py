@@ -31,6 +31,9 @@ MARKS = r"[#*$%&|<>»›•·]|!!|\?\?"
 
 #: Most share of symbols among a line's characters, of doubled marks by its words, and of a document's word characters that may go.
 MAX_SYMBOLS, MAX_LOUD, MAX_LOST = 0.08, 0.3, 0.3
+#: Most words of a line that a boilerplate phrase takes out, and least separators a word of a list: running text that mentions a
+#: phrase or holds some separators stays.
+MAX_BOILERPLATE_WORDS, MIN_SEPARATORS, LIST_SHARE = 30, 3, 0.1
 RULES = ("boilerplate", "navigation", "punctuation")
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Low bits of a window's key that hold its position: texts of up to 268 million words.
@@ -49,19 +52,26 @@ def _held(text: Column, part: str) -> Column:
     return (F.char_length(text) - F.char_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
 
 
+def _separators(line: Column, low: Column) -> Column:
+    """Separators of a list: neither a » that closes a « (or, in »so«, opens one) nor the dot of l·l."""
+    quoted = F.least(_count(line, "«"), _count(line, "»"))
+    return _count(line, SEPARATORS) - quoted - _held(low, "l·l")
+
+
 def line_fault(line: Column, low: Column, n: Column, marked: Column) -> Column:
-    """The rule a line of ``n`` words fails, else null: ``boilerplate`` phrases; ``navigation`` labels, lists
-    cut by three separators, or one to three words without a sentence end; ``punctuation`` where symbols or
+    """The rule a line of ``n`` words fails, else null: ``boilerplate`` phrases in lines of up to 30 words; ``navigation`` labels,
+    lists cut by three separators and one for ten words, or one to three words without a sentence end; ``punctuation`` where symbols or
     doubled marks prevail. Lines without a word pass. ``low``: the line lowered; ``marked``: whether the text
     holds any of MARKS at all."""
     said = F.contains(low, F.lit(BOILERPLATE[0]))
     for phrase in BOILERPLATE[1:]:
         said = said | F.contains(low, F.lit(phrase))
+    cuts = _separators(line, low)
     loud = sum((_held(line, m) for m in LOUD[1:]), _held(line, LOUD[0]))
     return (
         F.when(n == 0, F.lit(None).cast("string"))
-        .when(said, "boilerplate")
-        .when(((n <= 3) & ~line.rlike(SENTENCE_END)) | line.rlike(NAVIGATION) | (marked & (_count(line, SEPARATORS) >= 3)), "navigation")
+        .when((n <= MAX_BOILERPLATE_WORDS) & said, "boilerplate")
+        .when(((n <= 3) & ~line.rlike(SENTENCE_END)) | line.rlike(NAVIGATION) | (marked & (cuts >= MIN_SEPARATORS) & (cuts >= LIST_SHARE * n)), "navigation")
         .when(marked & ((_count(line, SYMBOLS) > MAX_SYMBOLS * F.char_length(line)) | (loud > MAX_LOUD * n)), "punctuation")
     )
 
