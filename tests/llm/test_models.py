@@ -81,6 +81,26 @@ def test_switched_text_is_labelled_word_by_word(spark):
     assert all(0 <= s <= 1 for _, _, s in got)
 
 
+def test_runs_of_labels_are_those_of_the_words(spark):
+    rng = random.Random(3)
+    a, b = [x + y for x in ("th", "sh", "wh") for y in ("ing", "er", "and")], [x + y for x in ("qu", "ç", "eau") for y in ("ez", "oir", "elle")]
+    model = crf.fit([prose(rng, 40, a) for _ in range(30)] + [prose(rng, 40, b) for _ in range(30)], ["aa"] * 30 + ["bb"] * 30)
+    texts = {1: prose(rng, 30, a) + " " + prose(rng, 10, b), 2: None, 3: "12 34", 4: "", 5: prose(rng, 9, b) + ", 7: " + prose(rng, 20, a)}
+    df = clashing(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1), "runs", "score")
+    runs = {r["doc_id"]: r["runs"] for r in crf.labelled(df, model).collect()}
+    assert runs[2] == runs[3] == runs[4] == []
+    for i, n, want in ((1, 40, ["aa"] * 30 + ["bb"] * 10), (5, 29, ["bb"] * 9 + ["aa"] * 20)):
+        assert [r["start"] for r in runs[i]] == [0] + [r["stop"] for r in runs[i]][:-1] and runs[i][-1]["stop"] == n
+        said = [r["lang"] for r in runs[i] for _ in range(r["start"], r["stop"])]
+        assert np.mean([x == y for x, y in zip(said, want, strict=True)]) > 0.95
+        assert all(x["lang"] != y["lang"] for x, y in zip(runs[i], runs[i][1:])) and all(0 <= r["score"] <= 1 for r in runs[i])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in crf.predicted(df, model).collect()}
+    for i in (1, 5):
+        mass = np.sum([r["mass"] for r in runs[i]], axis=0)
+        assert got[i] == (model.labels[int(mass.argmax())], pytest.approx(mass.max() / mass.sum()))
+    assert [r["runs"] for r in crf.labelled(df, None).collect()] == [[]] * 5
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([(1, None, "en"), (2, "abc", None)], "doc_id long, text string, lang string")
     assert crf.fitted(none, "doc_id", "text", "lang") is None

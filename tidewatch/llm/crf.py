@@ -3,7 +3,8 @@
 Every word is labelled: its features are prefixes and suffixes (affixes), inner byte n-grams and the word itself
 (lexicon), hashed into one weight table; learned transitions tie a word's label to the one before. Word posteriors come
 from an exact forward-backward pass and are summed over a text. Training texts are spliced in pairs, so that
-sequences switch language and the transitions are learned from switches.
+sequences switch language and the transitions are learned from switches. ``labelled`` returns the words' labels as runs,
+``predicted`` what they add up to.
 """
 
 from __future__ import annotations
@@ -205,34 +206,67 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int
     return Model(list(row[0]), np.frombuffer(row[1], np.float32).reshape(-1, k), np.frombuffer(row[2], np.float64).reshape(k, k))
 
 
-def predicted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (replaced if there are such): the label of the greatest posterior over the
-    whole text, each word weighing its bytes, and its share, from 0 to 1.
+def labelled(docs: DataFrame, model: Model | None, text: str = "text", runs: str = "runs") -> DataFrame:
+    """``docs`` with ``runs`` (replaced if there is one): the text's words in order as runs of one label, each (start, stop, lang,
+    score, mass).
 
-    A null text, or one without a letter, is "und" with score 0, as is every text if nothing was learned. Ties go to the
-    first label by name. Repeated rows are predicted alike; an empty table gives no row.
+    Words are those of ``letters``, numbered from 0; a run holds the words from start up to, without, stop. A word's label is the
+    one of its greatest posterior, ties going to the first label by name; score is the mean of that posterior over the
+    run's words. mass has, in the labels' order by name, the posteriors of the run's words, each word weighing its bytes. A null text, or one without a letter, has no run, as has every text if nothing was learned.
     """
+    fields = "array<struct<start: int, stop: int, lang: string, score: double, mass: array<double>>>"
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumn(runs, F.array().cast(fields))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
+    kind = pa.list_(pa.struct([
+        ("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string()), ("score", pa.float64()), ("mass", pa.list_(pa.float64())),
+    ]))
 
     def run(column: pa.Array) -> pa.Array:
         m = shared.value
         k = len(m.labels)
-        lang, score = [], []
+        labels = pa.array(m.labels, pa.string())
+        made = []
         for w in words_of(column, _SPACES):
             counts = np.bincount(w.doc, minlength=w.count)
             post, _ = posteriors(emissions(w, m.table), m.transitions, counts[counts > 0])
-            mass = np.stack([np.bincount(w.doc, weights=post[:, j] * w.length, minlength=w.count) for j in range(k)], axis=1)
-            best, total = mass.argmax(axis=1), mass.sum(axis=1)
-            lang += [m.labels[b] if s > 0 else UNKNOWN for b, s in zip(best, total, strict=True)]
-            score += (mass.max(axis=1) / np.where(total > 0, total, 1)).clip(0, 1).tolist()
-        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], fields=list(kind))
+            best = post.argmax(axis=1)
+            changes = np.ones(len(best), bool)
+            changes[1:] = (best[1:] != best[:-1]) | (w.doc[1:] != w.doc[:-1])
+            first = np.flatnonzero(changes)
+            stop, of, doc = np.r_[first[1:], len(best)][: len(first)], np.cumsum(changes) - 1, w.doc[first]
+            total = lambda x, of=of, n=len(first): np.bincount(of, weights=x, minlength=n)
+            before = (np.cumsum(counts) - counts)[doc]
+            score = total(post[np.arange(len(best)), best]) / np.maximum(stop - first, 1)
+            mass = np.stack([total(post[:, j] * w.length) for j in range(k)], axis=1)
+            spans = pa.StructArray.from_arrays([
+                pa.array((first - before).astype(np.int32)), pa.array((stop - before).astype(np.int32)), labels.take(pa.array(best[first])),
+                pa.array(score.clip(0, 1)), pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * k), pa.array(mass.reshape(-1))),
+            ], names=["start", "stop", "lang", "score", "mass"])
+            offsets = np.r_[0, np.cumsum(np.bincount(doc, minlength=w.count))].astype(np.int32)
+            made.append(pa.ListArray.from_arrays(pa.array(offsets), spans))
+        return pa.concat_arrays(made) if made else pa.array([], kind)
 
-    found = F.arrow_udf(run, "struct<lang: string, score: double>")(letters(F.col(f"`{text}`")))
     some = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    out = docs.withColumn("__found", found)
+    found = F.arrow_udf(run, fields)(letters(F.col(f"`{text}`")))
+    return docs.withColumn(runs, F.when(some, found).otherwise(F.array().cast(fields)))
+
+
+def predicted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (replaced if there are such): the label of the greatest posterior over the
+    whole text, each word weighing its bytes, and its share, from 0 to 1: what the runs of ``labelled`` add up to.
+
+    A null text, or one without a letter, is "und" with score 0, as is every text if nothing was learned. Ties go to the
+    first label by name. Repeated rows are predicted alike; an empty table gives no row.
+    """
+    if model is None:
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+    out = labelled(docs, model, text, "__runs")
+    label = lambda j: F.aggregate("__runs", F.lit(0.0), lambda total, r: total + F.get(r["mass"], F.lit(j)))
+    out = out.withColumn("__mass", F.array(*[label(j) for j in range(len(model.labels))]))
+    most, total = F.array_max("__mass"), F.aggregate("__mass", F.lit(0.0), lambda a, b: a + b)
+    name = F.element_at(F.array(*map(F.lit, model.labels)), F.array_position("__mass", most).cast("int"))
+    some = F.size("__runs") > 0
     return out.withColumns({
-        "lang_pred": F.when(some, F.col("__found.lang")).otherwise(UNKNOWN), "score": F.when(some, F.col("__found.score")).otherwise(0.0),
-    }).drop("__found")
+        "lang_pred": F.when(some, name).otherwise(UNKNOWN), "score": F.when(some, F.least(most / total, F.lit(1.0))).otherwise(0.0),
+    }).drop("__runs", "__mass")
