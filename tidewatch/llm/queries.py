@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
+from tidewatch.llm import bpe, checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -97,3 +97,15 @@ def op5(spark, sf_dir):
 def op7(spark, sf_dir):
     good = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
     return cross_entropy.scored(table(spark, sf_dir, "documents"), good)
+
+
+@query("op12_rank_queue_bpe")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), vocab).alias("ids"))
+    return docs.select(
+        "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), vocab), 256).alias("decoded_sha256"),
+    )
