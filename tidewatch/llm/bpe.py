@@ -28,9 +28,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of pre-tokens that a worker remembers between batches; a full memory starts anew.
-REMEMBERED = 3 << 22
-#: Bytes of pre-tokens merged in one queue.
-TOGETHER = 1 << 24
+REMEMBERED = 1 << 22
+#: Bytes of pre-tokens merged in one queue, chunks of texts put together at a time.
+TOGETHER, GROUP = 1 << 21, 1 << 19
 
 
 def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -110,7 +110,7 @@ class Codec:
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens, -1 where they make none."""
-        key = left * (self.size + 1) + right
+        key = left.astype(np.int64) * (self.size + 1) + right
         at = self.pairs.searchsorted(key)
         return np.where(self.pairs[at] == key, self.made[at], -1)
 
@@ -120,13 +120,13 @@ class Codec:
         # a place that pairs with nothing stands before, between and after the pre-tokens
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(lengths + 1)
-        token = np.full(1 + ends[-1], none, np.int64)
+        token = np.full(1 + ends[-1], none, np.int32)
         inside = np.ones(len(token), bool)
         inside[0] = False
         inside[ends] = False
         token[inside] = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
-        after, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
-        waiting = np.full(len(token), -1)
+        after, before = np.arange(1, len(token) + 1, dtype=np.int32), np.arange(-1, len(token) - 1, dtype=np.int32)
+        waiting = np.full(len(token), -1, np.int32)
         waiting[:-1] = self.pair_ranks(token[:-1], token[1:])
         uncovered: set[int] = set()
 
@@ -236,18 +236,23 @@ class Codec:
             self.forget()
         numbers = [self._numbers(text.as_py() or "") for text in texts]
         rows = self._learn()
-        every = rows[np.concatenate(numbers)] if numbers else rows[:0]
-        counts = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        ids, length = self.chunk_ids.read(every)
-        of_text = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum(counts)]]
-        packed = ids.astype("<u4", copy=False)
-        offsets = pa.py_buffer((of_text * 4).astype(np.int32))
-        return pa.Array.from_buffers(pa.binary(), len(numbers), [None, offsets, pa.py_buffer(packed)])
+        done, start = [pa.array([], pa.binary())], 0
+        while start < len(numbers):
+            stop, held = start, 0
+            while stop < len(numbers) and (stop == start or held + len(numbers[stop]) <= GROUP):
+                held += len(numbers[stop])
+                stop += 1
+            group, start = numbers[start:stop], stop
+            ids, length = self.chunk_ids.read(rows[np.concatenate(group)])
+            of_text = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum([len(g) for g in group])]]
+            packed, offsets = ids.astype("<u4", copy=False), (of_text * 4).astype(np.int32)
+            done.append(pa.Array.from_buffers(pa.binary(), len(group), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]))
+        return pa.concat_arrays(done)
 
     def _numbers(self, text: str) -> np.ndarray:
         """The chunks of a text: twice a chunk's number, plus one for the chunk that has no space before it."""
         parts = text.split(" ")
-        later = np.fromiter(map(self.chunks[True].__getitem__, parts[1:]), np.int64, len(parts) - 1)
+        later = np.fromiter(map(self.chunks[True].__getitem__, parts[1:]), np.int32, len(parts) - 1)
         if (later < 0).any() or parts[0][-1:].isspace() or not parts[0]:
             # blanks beside blanks: chunks end only where the space has none beside it
             cuts, at = [0], len(parts[0])
@@ -258,8 +263,8 @@ class Codec:
             cuts.append(len(text))
             parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
             own = self.chunks[False]
-            return np.fromiter(map(own.__getitem__, parts), np.int64, len(parts)) * 2 + 1
-        return np.r_[self.chunks[False][parts[0]] * 2 + 1, later * 2]
+            return np.fromiter(map(own.__getitem__, parts), np.int32, len(parts)) * 2 + 1
+        return np.concatenate((np.array([self.chunks[False][parts[0]] * 2 + 1], np.int32), later * 2))
 
     def _learn(self) -> np.ndarray:
         """Splits and merges the chunks that are new; the place in ``chunk_ids`` by the numbers of ``_numbers``."""
