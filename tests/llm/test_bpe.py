@@ -20,7 +20,13 @@ PATH = P.path("byte_bpe_multi_50k.tiktoken")
 @pytest.fixture(scope="module")
 def codec():
     with open(PATH, "rb") as file:
-        return bpe.Codec(file.read(), P.PATTERN)
+        return bpe.Encoder(file.read(), P.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def decoder():
+    with open(PATH, "rb") as file:
+        return bpe.Decoder(file.read())
 
 
 @pytest.fixture(scope="module")
@@ -60,19 +66,19 @@ def test_queue_gives_the_lowest_rank():
     assert not queue.buckets and not any(map(any, queue.levels))
 
 
-def test_ids_are_the_librarys(codec, library):
+def test_ids_are_the_librarys(codec, decoder, library):
     rng = random.Random(2)
     draw = lambda n: "".join(rng.choice("aab bcé  \n\t'sß漢字123٣😀.,!-—tionthe\x00\x1c ") for _ in range(n))
     texts = [draw(rng.randrange(60)) for _ in range(3000)] + ["", " ", "  a", "a  ", "a \n b", "\n", " 's", "x  y"]
     got = codec.encode(pa.array(texts)).to_pylist()
     assert got == [packed(library.encode_ordinary(t)) for t in texts]
-    assert [codec.decode(g).decode() for g in got] == texts
+    assert [t.decode() for t in decoder.decode(pa.array(got)).to_pylist()] == texts
 
 
 @pytest.mark.parametrize("text", ["a" * 300_000, "ab" * 200_000, " " * 200_001 + "x", "漢" * 100_000, "the" * 100_000], ids=lambda t: t[:3])
-def test_very_long_pretokens(codec, library, text):
+def test_very_long_pretokens(codec, decoder, library, text):
     got = codec.encode(pa.array([text]))[0].as_py()
-    assert got == packed(library.encode_ordinary(text)) and codec.decode(got).decode() == text
+    assert got == packed(library.encode_ordinary(text)) and decoder.decode(pa.array([got, None])).to_pylist() == [text.encode(), b""]
 
 
 def test_any_rank_file():
@@ -84,7 +90,7 @@ def test_any_rank_file():
         rng.shuffle(tokens)
         ranks = {t: i for i, t in enumerate(tokens)}
         lines = b"\n".join(base64.b64encode(t) + b" %d" % i for t, i in ranks.items())
-        own = bpe.Codec(lines, r"\S+|\s+")
+        own = bpe.Encoder(lines, r"\S+|\s+")
         pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 30))) for _ in range(40)] + [b"a" * 17, b"ab" * 9]
         want = [by_definition(ranks, p) for p in pieces]
         ids, length = own.merged(pieces)
@@ -92,6 +98,18 @@ def test_any_rank_file():
         assert [own.merged_by_place(p) for p in pieces] == want
 
 
+def test_small_batches_and_unknown_ids(codec, decoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH", 50)
+    monkeypatch.setattr(bpe, "GROUP", 3)
+    monkeypatch.setattr(bpe, "TOGETHER", 9)
+    texts = ["", "a b c d e f", None, "wörter und Sätze " * 9, "x" * 99, "  ", "was it  there?"]
+    got = codec.encode(pa.array(texts)).to_pylist()
+    assert got == [packed(library.encode_ordinary(t or "")) for t in texts]
+    assert [t.decode() for t in decoder.decode(pa.array(got)).to_pylist()] == [t or "" for t in texts]
+    with pytest.raises(ValueError):
+        decoder.decode(pa.array([packed([2**31])]))
+
+
 def test_a_full_memory_starts_anew(codec, library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 100)
     rng = random.Random(7)

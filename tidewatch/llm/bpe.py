@@ -22,6 +22,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 #: Characters of pre-tokens that a worker remembers between batches; a full memory starts anew.
 REMEMBERED = 1 << 22
-#: Bytes of pre-tokens merged in one queue, chunks of texts put together at a time.
-TOGETHER, GROUP = 1 << 21, 1 << 19
+#: Bytes of texts split together, bytes of pre-tokens merged in one queue, parts of texts put together at a time.
+BATCH, TOGETHER, GROUP = 1 << 22, 1 << 20, 1 << 18
 
 
 def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -40,6 +41,10 @@ def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
         return spark.sparkContext.broadcast((file.read(), pattern))
 
 
+def read_ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, lines.splitlines()))}
+
+
 class RankQueue:
     """Buckets of whatever waits, by rank; the lowest rank in use is found through the bitmaps."""
 
@@ -83,15 +88,12 @@ class RankQueue:
         return found
 
 
-class Codec:
-    """Encoder and decoder of one vocabulary."""
+class Encoder:
+    """Ids by the ranks of one vocabulary."""
 
     def __init__(self, lines: bytes, pattern: str):
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, lines.splitlines()))}
+        self.ranks = read_ranks(lines)
         self.size = max(self.ranks.values()) + 1
-        self.tokens = [b""] * self.size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks.get(bytes([b]), self.size) for b in range(256)], np.int64)
         # pairs of tokens that together are a token, as left * (size + 1) + right
@@ -104,9 +106,7 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.chunks = {True: _Numbers(edges=False), False: _Numbers()}
-        self.pieces = _Numbers()
-        self.piece_ids, self.chunk_ids = _Lists(), _Lists()
+        self.pieces, self.piece_ids = _Numbers(), _Lists()
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens, -1 where they make none."""
@@ -228,54 +228,57 @@ class Codec:
         return ids
 
     def encode(self, texts: pa.Array) -> pa.Array:
-        """The packed ids of texts.
-
-        No pre-token reaches over a space between two characters that are no blanks, so a text is cut there, and what the
-        pattern and the merges make of a chunk is looked up from the second time on."""
-        if self.pieces.chars + sum(c.chars for c in self.chunks.values()) > REMEMBERED:
-            self.forget()
-        numbers = [self._numbers(text.as_py() or "") for text in texts]
-        rows = self._learn()
+        """The packed ids of texts."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        upto = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]
         done, start = [pa.array([], pa.binary())], 0
-        while start < len(numbers):
-            stop, held = start, 0
-            while stop < len(numbers) and (stop == start or held + len(numbers[stop]) <= GROUP):
-                held += len(numbers[stop])
-                stop += 1
-            group, start = numbers[start:stop], stop
-            ids, length = self.chunk_ids.read(rows[np.concatenate(group)])
-            of_text = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum([len(g) for g in group])]]
-            packed, offsets = ids.astype("<u4", copy=False), (of_text * 4).astype(np.int32)
-            done.append(pa.Array.from_buffers(pa.binary(), len(group), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]))
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] + BATCH, "right")) - 1)
+            done += self._encode(texts.slice(start, stop - start))
+            start = stop
         return pa.concat_arrays(done)
 
-    def _numbers(self, text: str) -> np.ndarray:
-        """The chunks of a text: twice a chunk's number, plus one for the chunk that has no space before it."""
-        parts = text.split(" ")
-        later = np.fromiter(map(self.chunks[True].__getitem__, parts[1:]), np.int32, len(parts) - 1)
-        if (later < 0).any() or parts[0][-1:].isspace() or not parts[0]:
-            # blanks beside blanks: chunks end only where the space has none beside it
-            cuts, at = [0], len(parts[0])
-            for one, two in zip(parts, parts[1:]):
-                if one and two and not one[-1].isspace() and not two[0].isspace():
-                    cuts.append(at)
-                at += 1 + len(two)
-            cuts.append(len(text))
-            parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-            own = self.chunks[False]
-            return np.fromiter(map(own.__getitem__, parts), np.int32, len(parts)) * 2 + 1
-        return np.concatenate((np.array([self.chunks[False][parts[0]] * 2 + 1], np.int32), later * 2))
-
-    def _learn(self) -> np.ndarray:
-        """Splits and merges the chunks that are new; the place in ``chunk_ids`` by the numbers of ``_numbers``."""
-        counts, found, number, split = [], [], self.pieces.__getitem__, self.pattern.findall
-        for spaced, chunks in self.chunks.items():
-            chunks.rows += range(len(self.chunk_ids.length) + len(counts), len(self.chunk_ids.length) + len(counts) + len(chunks.new))
-            for chunk in chunks.new:
-                parts = split(" " + chunk if spaced else chunk)
-                counts.append(len(parts))
-                found += map(number, parts)
-            chunks.new.clear()
+    def _encode(self, texts: pa.Array) -> list[pa.Array]:
+        """The packed ids of some texts.
+
+        No pre-token reaches over a space between two characters that are no blanks. Texts are cut at their spaces and what follows
+        a space is split by the pattern once a batch; a text with a space beside another blank is split whole."""
+        if self.pieces.chars > REMEMBERED:
+            self.forget()
+        parts = pc.split_pattern(texts, " ")
+        bounds = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        unit, spaced = coded.indices.to_numpy(zero_copy_only=False).copy(), coded.dictionary.to_pylist()
+        first, counts = bounds[:-1], np.diff(bounds)
+        starts = [spaced[i] for i in unit[first].tolist()]
+        edge = np.array([not c or c[0].isspace() or c[-1].isspace() for c in spaced], bool)[unit]
+        edge[first] = [not c or c[-1].isspace() for c in starts]
+        whole = np.flatnonzero(np.logical_or.reduceat(edge, first) & (counts > 1)) if len(first) else first
+        # a text's first unit is its own: what stands before its first space, or all of it
+        unit[first] = len(spaced) + np.arange(len(first))
+        for i in whole.tolist():
+            starts[i] = texts[i].as_py()
+            unit[first[i] + 1 : bounds[i + 1]] = -1
+        counts[whole] = 1
+        units = self._split([" " + c for c in spaced] + starts)
+        unit = unit[unit >= 0]
+        cuts, done, start = np.r_[0, np.cumsum(counts)], [], 0
+        while start < len(counts):
+            stop = max(start + 1, int(np.searchsorted(cuts, cuts[start] + GROUP, "right")) - 1)
+            ids, length = units.read(unit[cuts[start] : cuts[stop]])
+            offsets = np.r_[0, np.cumsum(length)][cuts[start : stop + 1] - cuts[start]] * 4
+            packed = ids.astype("<u4", copy=False)
+            done.append(pa.Array.from_buffers(pa.binary(), stop - start, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(packed)]))
+            start = stop
+        return done
+
+    def _split(self, units: list[str]) -> _Lists:
+        """The ids of each unit: its matches of the pattern, the new ones of them merged."""
+        counts, found, number = [], [], self.pieces.__getitem__
+        for unit in units:
+            matches = self.pattern.findall(unit)
+            counts.append(len(matches))
+            found += map(number, matches)
         new = [piece.encode() for piece in self.pieces.new]
         self.pieces.new.clear()
         start = 0
@@ -286,27 +289,45 @@ class Codec:
                 stop += 1
             self.piece_ids.add(*self.merged(new[start:stop]))
             start = stop
-        if counts:
-            ids, length = self.piece_ids.read(np.array(found, np.int64))
-            upto = np.r_[0, np.cumsum(length)][np.cumsum(counts)]
-            self.chunk_ids.add(ids, np.diff(upto, prepend=0))
-        rows = np.zeros(2 * max(map(len, (c.rows for c in self.chunks.values()))) + 2, np.int64)
-        for spaced, chunks in self.chunks.items():
-            rows[not spaced : 2 * len(chunks.rows) : 2] = chunks.rows
-        return rows
-
-    def decode(self, ids: bytes | None) -> bytes:
-        """The bytes of packed ids; an id without a token is an error."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+        ids, length = self.piece_ids.read(np.array(found, np.int32))
+        lists = _Lists()
+        lists.add(ids, np.diff(np.r_[0, np.cumsum(length)][np.cumsum(counts, dtype=np.int64)], prepend=0))
+        return lists
+
+
+class Decoder:
+    """Bytes of the ids of one vocabulary."""
+
+    def __init__(self, lines: bytes):
+        ranks = read_ranks(lines)
+        tokens = dict(zip(ranks.values(), ranks))
+        self.known = np.array([i in tokens for i in range(max(tokens) + 1)])
+        tokens = [tokens.get(i, b"") for i in range(len(self.known))]
+        self.tokens = _Lists(np.uint8)
+        self.tokens.add(np.frombuffer(b"".join(tokens), np.uint8), np.fromiter(map(len, tokens), np.int64, len(tokens)))
+
+    def decode(self, packed: pa.Array) -> pa.Array:
+        """The texts' bytes; an id without a token is an error."""
+        packed, done, start = packed.cast(pa.large_binary()).fill_null(b""), [pa.array([], pa.binary())], 0
+        upto = np.r_[0, np.cumsum(pc.binary_length(packed).to_numpy(zero_copy_only=False))]
+        while start < len(packed):
+            stop = max(start + 1, int(np.searchsorted(upto, upto[start] + 4 * GROUP, "right")) - 1)
+            ids = np.frombuffer(b"".join(packed.slice(start, stop - start).to_pylist()), "<u4")
+            if len(ids) and (ids.max() >= len(self.known) or not self.known[ids].all()):
+                raise ValueError("an id that no token has")
+            text, length = self.tokens.read(ids)
+            offsets = np.r_[0, np.cumsum(length)][(upto[start : stop + 1] - upto[start]) // 4]
+            done.append(pa.Array.from_buffers(pa.binary(), stop - start, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)]))
+            start = stop
+        return pa.concat_arrays(done)
 
 
 class _Lists:
     """Lists of ids, all in one array."""
 
-    def __init__(self):
+    def __init__(self, kind: type = np.uint32):
         self.first = self.length = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.ids = np.zeros(0, kind)
 
     def add(self, ids: np.ndarray, length: np.ndarray) -> None:
         self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(length) - length))
@@ -322,34 +343,28 @@ class _Lists:
 
 
 class _Numbers(dict):
-    """Text to a running number. Blanks at an end (or nothing at all) get -1 and none, where ``edges`` says so."""
+    """Text to a running number."""
 
-    def __init__(self, edges: bool = True):
+    def __init__(self):
         super().__init__()
-        self.edges = edges
         self.new: list[str] = []
-        self.rows: list[int] = []
-        self.chars = self.next = 0
+        self.chars = 0
 
     def __missing__(self, part: str) -> int:
-        self.chars += len(part) + 1
-        if not self.edges and (not part or part[0].isspace() or part[-1].isspace()):
-            self[part] = -1
-            return -1
-        number = self[part] = self.next
-        self.next += 1
+        number = self[part] = len(self)
         self.new.append(part)
+        self.chars += len(part) + 1
         return number
 
 
-#: The codecs of this worker.
-_CODECS: dict[int, Codec] = {}
+#: The encoders and decoders of this worker.
+_CODECS: dict[tuple[type, int], Encoder | Decoder] = {}
 
 
-def _codec(vocab: Broadcast) -> Codec:
-    key = hash(vocab.value)
+def _codec(kind: type, vocab: Broadcast, *more: str) -> Encoder | Decoder:
+    key = (kind, hash(vocab.value))
     if key not in _CODECS:
-        _CODECS[key] = Codec(*vocab.value)
+        _CODECS[key] = kind(vocab.value[0], *more)
     return _CODECS[key]
 
 
@@ -358,7 +373,7 @@ def encoded(text: Column, vocab: Broadcast) -> Column:
 
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        return _codec(vocab).encode(texts)
+        return _codec(Encoder, vocab, vocab.value[1]).encode(texts)
 
     # else every later use of the column would encode again
     return ids.asNondeterministic()(text)
@@ -369,8 +384,7 @@ def decoded(ids: Column, vocab: Broadcast) -> Column:
 
     @F.arrow_udf("binary")
     def texts(packed: pa.Array) -> pa.Array:
-        codec = _codec(vocab)
-        return pa.array([codec.decode(p.as_py()) for p in packed], pa.binary())
+        return _codec(Decoder, vocab).decode(packed)
 
     return texts(ids)
 
