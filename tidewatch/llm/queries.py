@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, redirects, sharding, surrogates, winnowing
+from tidewatch.llm import bpe, checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, prefix_trie, redirects, sharding, surrogates, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -109,3 +109,8 @@ def op12(spark, sf_dir):
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(bpe.decoded(F.col("ids"), vocab), 256).alias("decoded_sha256"),
     )
+
+
+@query("op13_prefix_trie")
+def op13(spark, sf_dir):
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
