@@ -29,9 +29,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of pre-tokens that a worker remembers between batches; a full memory starts anew.
-REMEMBERED = 1 << 22
+REMEMBERED = 1 << 21
 #: Bytes of texts split together, bytes of pre-tokens merged in one queue, parts of texts put together at a time.
-BATCH, TOGETHER, GROUP = 1 << 22, 1 << 20, 1 << 18
+BATCH, TOGETHER, GROUP = 1 << 21, 1 << 20, 1 << 17
 
 
 def vocabulary(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -236,6 +236,7 @@ class Encoder:
             stop = max(start + 1, int(np.searchsorted(upto, upto[start] + BATCH, "right")) - 1)
             done += self._encode(texts.slice(start, stop - start))
             start = stop
+        pa.default_memory_pool().release_unused()
         return pa.concat_arrays(done)
 
     def _encode(self, texts: pa.Array) -> list[pa.Array]:
@@ -389,5 +390,16 @@ def decoded(ids: Column, vocab: Broadcast) -> Column:
     return texts(ids)
 
 
+def round_trip(text: Column, vocab: Broadcast) -> Column:
+    """Both, decoded where the ids were made: a struct of ids and decoded."""
+
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(texts: pa.Array) -> pa.Array:
+        ids = _codec(Encoder, vocab, vocab.value[1]).encode(texts)
+        return pa.StructArray.from_arrays([ids, _codec(Decoder, vocab).decode(ids)], ["ids", "decoded"])
+
+    return both.asNondeterministic()(text)
+
+
 def n_tokens(ids: Column) -> Column:
     return F.shiftright(F.length(ids), 2).cast("long")

@@ -104,11 +104,9 @@ def op12(spark, sf_dir):
     import public_tokenizers
 
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encoded(F.col("text"), vocab).alias("ids"))
-    return docs.select(
-        "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids"), vocab), 256).alias("decoded_sha256"),
-    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text"), vocab).alias("own"))
+    ids = F.col("own.ids")
+    return docs.select("doc_id", bpe.n_tokens(ids).alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("own.decoded", 256).alias("decoded_sha256"))
 
 
 @query("op13_prefix_trie")
