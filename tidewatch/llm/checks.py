@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewatch.llm import collocations as P
 from tidewatch.llm import derivatives as D
 from tidewatch.llm import line_rules as L
 from tidewatch.llm import mixing as M
@@ -164,3 +165,21 @@ SELECT *, '{D.VERSION}' || {_CRLF} || {_head("WARC-Type", "record_type")} || {_h
   || {_head("WARC-Refers-To", "'<' || refers_to || '>'")} || {_head("WARC-Refers-To-Target-URI", "target_uri")} || {_head("WARC-Refers-To-Date", "date")}
   || {_head("WARC-Target-URI", "target_uri")} || {_head("WARC-Date", "date")} || {_head("WARC-Block-Digest", "block_digest")}
   || {_head("Content-Type", "content_type")} || {_head("Content-Length", "content_length::VARCHAR")} AS warc_header FROM d"""
+
+
+_PARTS = "[.,;:!?" + "".join(map(chr, (10, 11, 12, 13))) + "]"
+COLLOCATIONS = f"""WITH p AS (SELECT coalesce(lang, '{P.NO_LANGUAGE}') AS lang, unnest(string_split_regex({_LOWER.format("text")}, '{_PARTS}')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, {P.LONGEST + 1})) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= {P.LEAST}),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.k, c.phrase, c.a, l.a AS l, r.a AS r, n, j, (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM c JOIN n USING (lang) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[j + 1:], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+held AS (SELECT DISTINCT a.lang, a.phrase FROM low a JOIN low b ON a.lang = b.lang AND a.k < b.k AND b.a >= a.a
+  AND contains(' ' || b.phrase || ' ', ' ' || a.phrase || ' '))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM low ANTI JOIN held USING (lang, phrase) QUALIFY rank <= {P.TOP}"""

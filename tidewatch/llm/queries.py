@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, checks, crf, cross_entropy, derivatives, line_rules, mixing, pivots, prefix_trie, redirects, sharding, surrogates, winnowing
+from tidewatch.llm import bpe, checks, collocations, crf, cross_entropy, derivatives, line_rules, mixing, pivots, prefix_trie, redirects, sharding, surrogates, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -99,6 +99,11 @@ def op7(spark, sf_dir):
     return cross_entropy.scored(table(spark, sf_dir, "documents"), good)
 
 
+@query("op11_weighted_automata", checks.COLLOCATIONS)
+def op11(spark, sf_dir):
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 @query("op12_rank_queue_bpe")
 def op12(spark, sf_dir):
     import public_tokenizers
