@@ -1,6 +1,6 @@
 """Stream jobs run over the stored tables, checked against the SQL of their batch twins.
 
-A stream gives out what its watermark has passed: rows up to ten minutes before the newest one.
+A stream gives out what its watermark has passed: rows up to ten minutes before the newest one. The others wait in its state.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from tidewatch.session import new_table_path
 from tidewatch.sources import writers
 from tidewatch.streaming import jobs as J
 
-PASSED = "ts <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '10 minutes' FROM {})"
+PASSED = "ts <= (SELECT max(ts) - INTERVAL '10 minutes' FROM {})"
 TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -46,7 +46,8 @@ def stream_replay(spark, sf):
   WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 12 PRECEDING AND CURRENT ROW))""",
 )
 def stream_rolling(spark, sf):
-    path = J.run_to_table(J.rolling_stream(event_stream(spark, sf), "event_type", "ts", "event_id", ["value"]), "rolled")
+    path = new_table_path(spark, "rolled")
+    J.rolling_job(event_stream(spark, sf), "event_type", "ts", "event_id", ["value"], path, new_table_path(spark, "rolling"))
     done = spark.read.parquet(path)
     return done.select("event_id", "event_type", *[F.round(c, 6).alias(c) for c in done.columns if c.startswith("value_")])
 
@@ -66,8 +67,9 @@ def high_stream(spark, sf):
 
 @query("stream_incidents", f"WITH {HIGH_SQL.format('seen')} SELECT event_id, event_type, opens, incident_no FROM marked")
 def stream_incidents(spark, sf):
-    marked = J.incident_stream(high_stream(spark, sf), "event_type", "ts", "event_id", GAP)
-    return spark.read.parquet(J.run_to_table(marked, "incidents")).drop("ts")
+    path = new_table_path(spark, "incidents")
+    J.incident_job(high_stream(spark, sf), "event_type", "ts", "event_id", path, new_table_path(spark, "incident-job"), GAP)
+    return spark.read.parquet(path).select("event_id", "event_type", "opens", "incident_no")
 
 
 @query(
@@ -92,7 +94,8 @@ def stream_actions(spark, sf):
     """Run twice into one table: the second run must add nothing."""
     path = new_table_path(spark, "actions")
     for _ in range(2):
-        J.open_actions(J.incident_stream(high_stream(spark, sf), "event_type", "ts", "event_id", GAP), "event_type", path)
+        out, folder = new_table_path(spark, "incidents"), new_table_path(spark, "incident-job")
+        J.incident_job(high_stream(spark, sf), "event_type", "ts", "event_id", out, folder, GAP, actions=path)
     return spark.read.parquet(path).select("event_id", "incident_id")
 
 
@@ -122,8 +125,9 @@ def stream_approvals(spark, sf):
     every = opened.unionByName(decisions.withColumnRenamed("l_shipdate", "ts"))
     path = new_table_path(spark, "approval-events")
     writers.write_table(every, path)
-    stream = J.approval_stream(J.replay(spark, path, every.schema), "thread_id", "ts", numbers)
-    done = spark.read.parquet(J.run_to_table(stream, "approvals"))
+    out = new_table_path(spark, "approvals")
+    J.approval_job(J.replay(spark, path, every.schema), "thread_id", "ts", numbers, out, new_table_path(spark, "approval-job"))
+    done = spark.read.parquet(out)
     return done.select("thread_id", "l_linenumber", "l_partkey", "status")
 
 
@@ -139,10 +143,21 @@ def stream_ingest(spark, sf):
     return rollup_output(spark.read.parquet(rolled))
 
 
-@query("stream_late", "SELECT event_id, 0 AS is_late FROM events")
+@query(
+    "stream_late",
+    """WITH cut AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half FROM events),
+early AS (SELECT *, event_id % 5 <> 0 OR ts > half AS early FROM events, cut),
+newest AS (SELECT event_type, max(ts) AS newest FROM early WHERE early GROUP BY event_type)
+SELECT event_id, (NOT early AND coalesce(ts < newest - INTERVAL '10 minutes', false))::INT AS is_late FROM early LEFT JOIN newest USING (event_type)""",
+)
 def stream_late(spark, sf):
-    """A table replayed at once has no late rows and loses none; late ones are tested on two files."""
-    late, on_time = new_table_path(spark, "late"), new_table_path(spark, "on-time")
-    J.split_late(event_stream(spark, sf), ["event_type"], "ts", late, on_time)
+    """A fifth of the first half's events arrives a run after all others: those far behind their type's newest event go aside."""
+    events = table(spark, sf, "events")
+    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("half"))
+    early = events.crossJoin(bounds).withColumn("early", (F.col("event_id") % 5 != 0) | (F.col("ts") > F.col("half"))).drop("half")
+    arriving, late, on_time, folder = (new_table_path(spark, n) for n in ("arriving", "late", "on-time", "late-job"))
+    for first in (True, False):
+        early.filter(F.col("early") == first).drop("early").write.mode("append").parquet(arriving)
+        J.split_late(J.replay(spark, arriving, events.schema), ["event_type"], "ts", late, on_time, folder)
     read = lambda path, flag: spark.read.parquet(path).select("event_id", F.lit(flag).alias("is_late"))
     return read(late, 1).unionByName(read(on_time, 0))

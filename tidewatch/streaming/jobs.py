@@ -1,20 +1,26 @@
-"""Stream jobs: replay, rolling features, incidents, approvals, trace ingest, late rows."""
+"""Stream jobs: replay, rolling features, incidents, actions, approvals, trace ingest, late rows.
+
+A job runs over what is there (``availableNow``) and may be started again on the same folder: it goes on with its state. Results are
+appended to a table, a part per micro-batch; late rows lie in ``late`` in the job's folder unless another place is named.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch.functions import fixed_values as V
 from tidewatch.operators import decisions as D
+from tidewatch.operators import incidents as I
+from tidewatch.operators import metrics as M
 from tidewatch.operators import rollup as R
+from tidewatch.operators.ordered import MAX_GROUP_ROWS
 from tidewatch.session import new_table_path
 from tidewatch.sources import writers
-from tidewatch.streaming.event_order import AT, DELAY, in_event_order, mark_late, zoned
+from tidewatch.streaming.state import DELAY_SECONDS, Kept, in_event_order, micros, put, run_batches
 
 # --- replay --------------------------------------------------------------------------------------
 
@@ -41,76 +47,71 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> str:
     return path
 
 
-def run_batches(stream: DataFrame, name: str, each) -> None:
-    """Runs the stream over what is there, ``each(batch, batch_id)`` per micro-batch."""
-    progress = new_table_path(stream.sparkSession, f"{name}-progress")
-    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", progress).trigger(availableNow=True).start()
-    query.awaitTermination()
-
-
 # --- rolling features ----------------------------------------------------------------------------
 
 
-def rolling_stream(
-    stream: DataFrame, key: str, ts: str, row_id: str, metrics: Sequence[str], before: int = V.ROLLING_ROWS_BEFORE, delay: str = DELAY
-) -> DataFrame:
-    """Rolling mean, sample deviation, z-score and change of each metric; the last ``before`` rows
-    per key are carried across micro-batches, so windows do not break at their edges."""
-    made = [f"{m}_{n} double" for m in metrics for n in ("roll_mean", "roll_std", "zscore", "change")]
-    output = ", ".join([f"{row_id} {dict(stream.dtypes)[row_id]}", *made])
-
-    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
-        out, kept = {row_id: rows[row_id]}, {}
-        for m in metrics:
-            past = carry.get(m, [])
-            values = np.array([*past, *rows[m]], dtype=np.float64)
-            padded = np.concatenate([np.full(before, np.nan), values])
-            frames = np.lib.stride_tricks.sliding_window_view(padded, before + 1)[len(past) :]
-            there = ~np.isnan(frames)
-            n = there.sum(axis=1)
-            missing = np.full(len(n), np.nan)
-            mean = np.divide(np.where(there, frames, 0.0).sum(axis=1), n, out=missing.copy(), where=n > 0)
-            spread = np.where(there, frames - mean[:, None], 0.0)
-            std = np.sqrt(np.divide((spread**2).sum(axis=1), n - 1, out=missing.copy(), where=n > 1))
-            now = values[len(past) :]
-            previous = np.concatenate([[np.nan], values])[len(past) : len(values)]
-            out[f"{m}_roll_mean"] = mean
-            out[f"{m}_roll_std"] = std
-            out[f"{m}_zscore"] = np.divide(now - mean, std, out=missing.copy(), where=std > 0)
-            out[f"{m}_change"] = now - previous
-            kept[m] = [None if np.isnan(v) else float(v) for v in values[-before:]]
-        return out, kept
-
-    return in_event_order(stream, [key], ts, [row_id], metrics, handle, output, delay)
-
-
-# --- incidents -----------------------------------------------------------------------------------
+def rolling_job(
+    stream: DataFrame, key: str, ts: str, row_id: str, metrics: Sequence[str], out: str, folder: str,
+    before: int = V.ROLLING_ROWS_BEFORE, delay_seconds: int = DELAY_SECONDS, limit: int = MAX_GROUP_ROWS,
+) -> None:
+    """Rolling mean, sample deviation, z-score and change of each metric into the table ``out``. The last ``before`` rows
+    per key are carried from batch to batch, so windows do not break at their edges."""
+    names = [key, ts, row_id, *metrics]
+    tail = Kept(f"{folder}/tail", StructType([stream.schema[n] for n in names]))
+    rolled = [M.Rolled(m, m, m) for m in metrics]
 
+    def each(due: DataFrame, batch_id: int) -> None:
+        old = tail.before(due.sparkSession, batch_id).withColumn("_new", F.lit(False))
+        both = due.select(*names).withColumn("_new", F.lit(True)).unionByName(old)
+        done = M.rolling_features(both, [key], [ts, row_id], rolled, {m: (f"{m}_previous", f"{m}_change") for m in metrics}, before=before, limit=limit)
+        made = [f"{m}_{n}" for m in metrics for n in ("roll_mean", "roll_std", "zscore", "change")]
+        put(done.filter("_new").select(key, ts, row_id, *made), out, batch_id)
+        # of a hot key each task keeps its last rows before they are shuffled
+        newest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts), F.desc(row_id)))
+        tail.leave(both.withColumn("_rank", newest).filter(F.col("_rank") <= before).select(*names), batch_id)
 
-def incident_stream(
-    anomalies: DataFrame, key: str, ts: str, row_id: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS, delay: str = DELAY
-) -> DataFrame:
-    """Anomalous rows with ``opens`` and ``incident_no``; the last time per key is carried on."""
-    output = f"{row_id} {dict(anomalies.dtypes)[row_id]}, opens int, incident_no long"
+    in_event_order(stream, ts, folder, each, delay_seconds=delay_seconds)
 
-    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
-        last, number = carry.get("last"), carry.get("incidents", 0)
-        opens, numbers = [], []
-        for at in rows[AT]:
-            fresh = last is None or at - last > gap_seconds * 1_000_000
-            last, number = at, number + fresh
-            opens.append(int(fresh))
-            numbers.append(number)
-        return {row_id: rows[row_id], "opens": opens, "incident_no": numbers}, {"last": last, "incidents": number}
 
-    return in_event_order(anomalies, [key], ts, [row_id], [], handle, output, delay)
+# --- incidents -----------------------------------------------------------------------------------
 
 
-def closed_incidents(anomalies: DataFrame, key: str, ts: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS, delay: str = DELAY) -> DataFrame:
+def incident_job(
+    anomalies: DataFrame, key: str, ts: str, row_id: str, out: str, folder: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS,
+    delay_seconds: int = DELAY_SECONDS, actions: str | None = None, limit: int = MAX_GROUP_ROWS,
+) -> None:
+    """Anomalous rows with ``opens`` and ``incident_no`` into the table ``out``. Per key the last row and its incident's
+    number are carried on. With ``actions``, a table that gets one row per opened incident, however often a batch or the job is run."""
+    names = [key, ts, row_id]
+    schema = StructType([anomalies.schema[n] for n in names]).add("_number", "long")
+    last = Kept(f"{folder}/last", schema)
+
+    def each(due: DataFrame, batch_id: int) -> None:
+        old = last.before(due.sparkSession, batch_id)
+        both = due.select(*names).withColumn("_new", F.lit(True)).unionByName(old.select(*names, F.lit(False).alias("_new")))
+        marked = I.mark_incidents(both, key, ts, [row_id], gap_seconds, limit)
+        # the carried row counts as the first incident of its key here; one row per key
+        numbers = old.select(F.col(key).alias("_key"), "_number")
+        marked = marked.join(numbers, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+        number = F.col("incident_no") + F.coalesce(F.col("_number") - 1, F.lit(0))
+        marked = marked.withColumn("incident_no", number.cast("long")).select(*names, "_new", F.col("opens").cast("int").alias("opens"), "incident_no")
+        put(marked.filter("_new").drop("_new"), out, batch_id)
+        newest = marked.groupBy(key).agg(F.max(F.struct(ts, row_id, "incident_no")).alias("_l"))
+        last.leave(newest.select(key, f"_l.{ts}", f"_l.{row_id}", F.col("_l.incident_no").alias("_number")), batch_id)
+        if actions:
+            opened = due.sparkSession.read.parquet(f"{out}/batch={batch_id}").filter("opens = 1")
+            named = opened.withColumn("incident_id", D.incident_id(F.concat_ws(":", key, "incident_no")))
+            writers.append_new(named, actions, "incident_id")
+
+    in_event_order(anomalies, ts, folder, each, delay_seconds=delay_seconds)
+
+
+def closed_incidents(anomalies: DataFrame, key: str, ts: str, gap_seconds: int = V.INCIDENT_GAP_SECONDS, delay: str = f"{DELAY_SECONDS} seconds") -> DataFrame:
     """One row per incident, once the watermark has passed its end; no Python."""
     session = F.session_window(ts, f"{gap_seconds} seconds")
     return (
-        zoned(anomalies, ts)
+        # watermarks need a zoned timestamp
+        anomalies.withColumn(ts, F.col(ts).cast("timestamp"))
         .withWatermark(ts, delay)
         .groupBy(key, session.alias("_s"))
         .agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"), F.count("*").alias("n_rows"))
@@ -118,50 +119,56 @@ def closed_incidents(anomalies: DataFrame, key: str, ts: str, gap_seconds: int =
     )
 
 
-def open_actions(marked: DataFrame, key: str, path: str) -> None:
-    """One stored action per opened incident, however often a micro-batch is run."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        opened = batch.filter("opens = 1").withColumn("incident_id", D.incident_id(F.concat_ws(":", key, "incident_no")))
-        writers.append_new(opened, path, "incident_id")
-
-    run_batches(marked, "actions", each)
-
-
 # --- approvals -----------------------------------------------------------------------------------
 
 
-def approval_stream(events: DataFrame, key: str, ts: str, tie: Sequence[str], expire_seconds: int | None = None, delay: str = DELAY) -> DataFrame:
-    """Requests wait for their first decision and complete once.
+def approval_job(
+    events: DataFrame, key: str, ts: str, tie: Sequence[str], out: str, folder: str, expire_seconds: int | None = None,
+    delay_seconds: int = DELAY_SECONDS,
+) -> None:
+    """Requests wait for their first decision and complete once; each event with its status into the table ``out``.
+
+    ``events`` is the union of requests (``approved`` null) and decisions. A request is ``pending_human_approval``, or, when it
+    is repeated, whatever its thread is by then; the decision that completes a thread is ``approved`` or ``rejected``, any
+    other one ``unknown_thread`` or ``inactive_thread``. With ``expire_seconds`` a decision that comes later than that
+    after the request is refused as inactive, too. Of the same instant, a request comes first; of equal events, the first completes.
 
-    ``events`` is the union of requests (``approved`` null) and decisions. Each row comes out with a
-    status: ``pending_human_approval`` for a request, ``approved`` or ``rejected`` for the decision
-    that completes it, ``unknown_thread`` or ``inactive_thread`` for a refused one. With
-    ``expire_seconds`` a decision that comes later than that is refused as inactive, too.
+    A thread's state is when it was asked for and what completed it: both are the least of its events in event order, so
+    a batch needs no ordered pass and a thread may have any number of events.
     """
-    types = dict(events.dtypes)
-    output = "".join(f"{c} {types[c]}, " for c in tie) + "status string"
-
-    def handle(group: tuple, rows: dict, carry: dict) -> tuple[dict, dict]:
-        status, since = carry.get("status"), carry.get("since")
-        told = []
-        for at, approved in zip(rows[AT], rows["approved"]):
-            if approved is None:
-                if status is None:
-                    status, since = "pending_human_approval", at
-                told.append(status)
-            elif status is None:
-                told.append("unknown_thread")
-            elif status != "pending_human_approval" or (expire_seconds and at - since > expire_seconds * 1_000_000):
-                told.append("inactive_thread")
-            else:
-                status = "approved" if approved else "rejected"
-                told.append(status)
-        return {**{c: rows[c] for c in tie}, "status": told}, {"status": status, "since": since}
-
-    # of the same instant, a request comes first
-    ranked = events.withColumn("_rank", F.when(F.col("approved").isNull(), 0).otherwise(1))
-    return in_event_order(ranked, [key], ts, ["_rank", *tie], ["approved"], handle, output, delay)
+    order = StructType([StructField("at", LongType()), *[events.schema[c] for c in tie]])
+    threads = Kept(f"{folder}/threads", StructType([events.schema[key]]).add("since", "long").add("done", order).add("final", "string"))
+
+    def each(due: DataFrame, batch_id: int) -> None:
+        # equal events once, with their number
+        rows = due.groupBy(key, ts, "approved", *tie).agg(F.count("*").alias("_n")).withColumn("_order", F.struct(micros(ts).alias("at"), *tie))
+        old = threads.before(due.sparkSession, batch_id)
+        asked = rows.groupBy(key).agg(F.min(F.when(F.col("approved").isNull(), F.col("_order.at"))).alias("_asked"))
+        known = old.join(asked, key, "full").select(key, F.coalesce("since", "_asked").alias("since"), "done", "final")
+        told = rows.join(known, key)
+        known_by = F.col("since").isNotNull() & (F.col("_order.at") >= F.col("since"))
+        in_time = F.lit(True) if expire_seconds is None else F.col("_order.at") - F.col("since") <= expire_seconds * 1_000_000
+        completes = F.col("approved").isNotNull() & F.col("done").isNull() & known_by & in_time
+        # equal in order, an approval and a rejection: the rejection
+        first = told.filter(completes).groupBy(key).agg(F.min(F.struct("_order", "approved")).alias("_first"))
+        state = known.join(first, key, "left").select(
+            key, "since", F.coalesce("done", "_first._order").alias("done"),
+            F.coalesce("final", F.when(F.col("_first.approved"), "approved").when(~F.col("_first.approved"), "rejected")).alias("final"),
+            F.col("_first").alias("_first"),
+        )
+        judged = rows.join(state, key)
+        is_first = F.struct("_order", "approved").eqNullSafe(F.col("_first"))
+        status = (
+            F.when(F.col("approved").isNull(), F.when(F.col("done.at") < F.col("_order.at"), F.col("final")).otherwise("pending_human_approval"))
+            .when(~known_by, "unknown_thread").when(is_first, F.col("final")).otherwise("inactive_thread")
+        )
+        rest = F.when(is_first & F.col("approved").isNotNull(), F.lit("inactive_thread")).otherwise(status)
+        copies = F.transform(F.sequence(F.lit(1).cast("long"), F.col("_n")), lambda i: F.when(i == 1, F.col("_status")).otherwise(F.col("_rest")))
+        out_rows = judged.withColumn("_status", status).withColumn("_rest", rest).withColumn("status", F.explode(copies))
+        put(out_rows.select(key, ts, *tie, "status"), out, batch_id)
+        threads.leave(state.drop("_first"), batch_id)
+
+    in_event_order(events, ts, folder, each, delay_seconds=delay_seconds)
 
 
 # --- trace ingest and late rows ------------------------------------------------------------------
@@ -180,15 +187,26 @@ def ingest_traces(traces: DataFrame, facts_path: str, rollup_path: str) -> None:
     def each(batch: DataFrame, batch_id: int) -> None:
         writers.sync_traces(R.flatten_traces(batch), facts_path, rollup_path)
 
-    run_batches(traces, "ingest", each)
+    run_batches(traces, new_table_path(traces.sparkSession, "ingest"), each)
 
 
-def split_late(stream: DataFrame, keys: Sequence[str], ts: str, late_path: str, on_time_path: str, delay_seconds: int = 600) -> None:
-    """Late rows to a side table, the others to the main one. Each micro-batch has its own folder,
-    so that one which is run again replaces what it wrote before."""
+def split_late(
+    stream: DataFrame, keys: Sequence[str], ts: str, late_path: str, on_time_path: str, folder: str, delay_seconds: int = DELAY_SECONDS
+) -> None:
+    """Rows more than the delay behind the newest row that their key had in earlier micro-batches go to a side table, the
+    others, also those without a time, to the main one. Per key the newest time is kept."""
+    newest = Kept(f"{folder}/newest", StructType([stream.schema[k] for k in keys]).add("_newest", "long"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        old = newest.before(batch.sparkSession, batch_id)
+        seen = old.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], "_newest")
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+        marked = batch.join(seen, same, "left").withColumn("is_late", F.coalesce(micros(ts) < F.col("_newest") - delay_seconds * 1_000_000, F.lit(False)))
         part = f"batch={batch_id}"
-        writers.route(batch, F.col("is_late"), f"{late_path}/{part}", f"{on_time_path}/{part}", mode="overwrite")
+        writers.route(marked.select(*batch.columns, "is_late"), F.col("is_late"), f"{late_path}/{part}", f"{on_time_path}/{part}", mode="overwrite")
+        every = batch.select(*keys, micros(ts).alias("_newest")).unionByName(old)
+        newest.leave(every.groupBy(*keys).agg(F.max("_newest").alias("_newest")), batch_id)
 
-    run_batches(mark_late(stream, keys, ts, delay_seconds), "late", each)
+    run_batches(stream, folder, each)
