@@ -107,8 +107,8 @@ def test_multiclass(spark):
     rng = np.random.default_rng(2)
     rows = [(float(c), [float(v) for v in rng.normal(size=2) + 4 * np.array([c == 1, c == 2])]) for c in (0, 1, 2) for _ in range(60)]
     df = spark.createDataFrame(rows, "label double, x array<double>").withColumn("features", array_to_vector("x")).cache()
-    for fitted in (Mo.multinomial(len(rows), iterations=100).fit(df), Mo.multiclass_boosted(rounds=2, depth=2).fit(df)):
-        assert fitted.transform(df).filter("prediction = label").count() > 160
+    for done in (Mo.multinomial(len(rows), iterations=100).fit(df).transform(df), Mo.classified(df, Mo.multiclass_boosted(df, 3, rounds=2, depth=2))):
+        assert done.filter("prediction = label").count() > 160
 
 
 @pytest.fixture(scope="module")

@@ -37,6 +37,36 @@ def test_nearest(vectors, metric, block_bytes, query_rows):
     assert {q: [f[1], f[2], f[3]] for q, f in found.items()} == brute(rows, 3, metric, True)
 
 
+@pytest.mark.parametrize("metric", ["cosine", "squared_l2"])
+def test_balls_give_the_same_with_ties_zeros_and_copies(spark, metric):
+    rng = np.random.default_rng(7)
+    rows = np.round(rng.normal(size=(80, 3)), 1)
+    rows[20:50] = rows[20]  # one ball of copies, larger than a part
+    rows[60:64] = 0.0
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, embedding array<float>")
+    got = lambda **options: sorted(map(tuple, S.nearest(df, df, "id", "id", k=4, metric=metric, skip_same=True, **options).select("query_id", "rank", "id").collect()))
+    assert got(block_bytes=8 * 3 * 9, query_rows=11) == got()
+
+
+def test_excluded_balls_are_not_visited(spark):
+    """Eight far clusters: a query meets its own, and only queries and rows of it."""
+    from tidewatch.operators import metric_index as X
+
+    rng = np.random.default_rng(9)
+    spots = rng.normal(size=(8, 5)) * 100
+    rows = np.vstack([s + rng.normal(size=(40, 5)) for s in spots])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, embedding array<double>")
+    q, i = df.select(F.col("id").alias("_q"), F.col("embedding").alias("_qv")), df.select(F.col("id").alias("_i"), F.col("embedding").alias("_iv"))
+    held, balls = X.indexed(i, "squared_l2", 320, 10)
+    assert len(balls.value.centers) == 32 and balls.value.count.sum() == 320
+    met, found = X.visits(q, balls, held, 3, "squared_l2", True, "q long, id long, distance double, rank int", 10, 50)
+    assert met.count() == met.distinct().count() < 320 * 8
+    best = {}
+    for r in sorted(found.collect(), key=lambda r: (r["q"], round(r["distance"], 9), r["id"])):
+        best.setdefault(r["q"], []).append(r["id"])
+    assert {a: b[:3] for a, b in best.items()} == brute(rows, 3, "squared_l2", True)
+
+
 def test_near_duplicates(spark, vectors):
     _, df = vectors
     empty = df.filter("id < 0")

@@ -15,13 +15,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.operators import boosting as B
 from tidewatch.operators import metrics as M
 from tidewatch.session import stored
 
@@ -64,33 +64,35 @@ def boosted(depth: int = 6, rounds: int = 150, step: float = 0.1, rows: float =
     )
 
 
-def search_boosted(train: DataFrame, validation: DataFrame, trials: int = 20, rounds: int = 100, seed: int = 42) -> tuple[dict, float]:
-    """Best settings of a random search by validation ROC area: depth 3 to 9, log-uniform step, row
-    and column shares of 0.6 to 1. Boosting stops early on the validation rows."""
+def search_boosted(train: DataFrame, validation: DataFrame, trials: int = 20, rounds: int = 100, patience: int = 10, seed: int = 42) -> tuple[dict, float]:
+    """Best settings of a random search by validation ROC area: depth 3 to 9, log-uniform step, row and column shares of 0.6
+    to 1. All trials are fitted together; a trial keeps the rounds up to its best area, stopping after ``patience`` rounds without a
+    better one."""
     draw = random.Random(seed)
-    both = train.withColumn("_val", F.lit(False)).unionByName(validation.withColumn("_val", F.lit(True))).persist()
-    area = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    best: tuple[dict, float] = ({}, -1.0)
-    try:
-        for _ in range(trials):
-            settings = {
-                "depth": draw.randint(3, 9),
-                "step": math.exp(draw.uniform(math.log(0.01), math.log(0.3))),
-                "rows": draw.uniform(0.6, 1.0),
-                "columns": f"{draw.uniform(0.6, 1.0):.3f}",
-            }
-            model = boosted(rounds=rounds, seed=seed, validationIndicatorCol="_val", **settings).fit(both)
-            score = area.evaluate(model.transform(both.filter("_val")))
-            if score > best[1]:
-                best = (settings, score)
-    finally:
-        both.unpersist()
-    return best
-
-
-def multiclass_boosted(rounds: int = 200, step: float = 0.05, depth: int = 4, seed: int = 42) -> OneVsRest:
-    one = GBTClassifier(maxIter=rounds, stepSize=step, maxDepth=depth, seed=seed)
-    return OneVsRest(classifier=one, featuresCol="features", labelCol="label")
+    chosen = []
+    for _ in range(trials):
+        depth, step = draw.randint(3, 9), math.exp(draw.uniform(math.log(0.01), math.log(0.3)))
+        chosen.append(B.Settings(depth=depth, rounds=rounds, step=step, rows=draw.uniform(0.6, 1.0), columns=draw.uniform(0.6, 1.0)))
+    array = lambda df: df.withColumn("_x", vector_to_array("features"))
+    models = B.fit(array(train), chosen, "_x", "label", weight="weight", seed=seed)
+    areas = B.areas_by_round(array(validation), models, "_x", "label")
+    kept = [B.stopped(a, patience) for a in areas]
+    best = max(range(trials), key=lambda t: areas[t][kept[t] - 1])
+    s = chosen[best]
+    settings = {"depth": s.depth, "step": s.step, "rows": s.rows, "columns": s.columns, "rounds": kept[best]}
+    return settings, float(areas[best][kept[best] - 1])
+
+
+def multiclass_boosted(train: DataFrame, classes: int, rounds: int = 200, step: float = 0.05, depth: int = 4, seed: int = 42) -> B.Model:
+    """Softmax boosting: a tree per class and round."""
+    rows = train.withColumn("_x", vector_to_array("features"))
+    return B.fit(rows, [B.Settings(depth=depth, rounds=rounds, step=step)], "_x", "label", classes, seed=seed)[0]
+
+
+def classified(df: DataFrame, model: B.Model, output: str = "prediction") -> DataFrame:
+    """Rows with the class of the largest margin."""
+    done = B.with_margins(df.withColumn("_x", vector_to_array("features")), model, "_x", "_margins")
+    return done.withColumn(output, B.predicted_class("_margins", output)).drop("_x", "_margins")
 
 
 def multinomial(train_rows: int, c: float = 1.0, iterations: int = 2000) -> LogisticRegression:
@@ -163,7 +165,16 @@ def fit_isolation_forest(df: DataFrame, features: str, key: str, trees: int = TR
     drawn = lambda *parts: F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(1 << 30)) / float(1 << 30)
     pool = df.select(F.col(features).alias("x"), F.col(key).alias("k"))
     share = min(1.0, 1.25 * tree_rows / max(1, total))
-    members = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_d", drawn("tree", "k"))
+    # how many trees a row belongs to is one draw, so that the many rows of none go before any is repeated
+    upto, reached = [], 0.0
+    for n in range(trees + 1):
+        upto.append(reached)
+        reached += math.comb(trees, n) * share**n * (1 - share) ** (trees - n)
+    number = F.size(F.filter(F.array(*map(F.lit, upto)), lambda edge: drawn("k") >= edge)) - 1
+    belonging = pool.withColumn("_n", number).filter("_n > 0")
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed), F.lit("tree"), t, "k").alias("h"), t.alias("t"))))
+    members = belonging.withColumn("tree", F.explode(F.transform(F.slice(ranked, F.lit(1), F.col("_n")), lambda r: r["t"])))
+    members = members.drop("_n").withColumn("_d", drawn("tree", "k"))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["_d", "k"]).head(tree_rows)
@@ -176,7 +187,7 @@ def fit_isolation_forest(df: DataFrame, features: str, key: str, trees: int = TR
         return out.assign(rows=len(rows))
 
     schema = "tree int, node int, feature int, cut double, left int, right int, path double, rows int"
-    return members.filter(F.col("_d") < share).groupBy("tree").applyInPandas(build, schema)
+    return members.groupBy("tree").applyInPandas(build, schema)
 
 
 def isolation_scores(df: DataFrame, forest: DataFrame, features: str, output: str = "iso_score") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from tidewatch.functions import fixed_values as V
 from tidewatch.functions.vectors import as_matrix, nearest_rows
 from tidewatch.operators import decisions as D
+from tidewatch.operators import metric_index
 
 BLOCK_BYTES = 64 * 1024 * 1024
 BATCH_ROWS = 2048
@@ -37,10 +37,9 @@ def nearest(
 ) -> DataFrame:
     """``(query_id, known_id, distance, rank)`` of the ``k`` nearest known vectors, exactly.
 
-    A known set whose counted size stays under ``block_bytes`` is broadcast. A larger one is cut by
-    id hash into blocks of that size and the queries into slices of it (or ``query_rows``); every
-    (block, slice) pair is one group with bounded inputs that returns its ``k`` best per query, and those
-    are merged. No pair that is not among a block's best leaves its task.
+    A known set whose counted size stays under ``block_bytes`` is broadcast. A larger one is cut into balls
+    (``metric_index``) of about that size; a query meets only the balls that its bounds do not exclude, in groups of at
+    most a ball's part and ``query_rows`` queries, which return their ``k`` best. Query ids are distinct.
     """
     q = queries.select(F.col(query_id).alias("_q"), F.col(query_vector).alias("_qv")).filter("_qv IS NOT NULL")
     i = known.select(F.col(known_id).alias("_i"), F.col(known_vector).alias("_iv")).filter("_iv IS NOT NULL")
@@ -52,9 +51,9 @@ def nearest(
     elif size.n * size.dim * 8 <= block_bytes:
         found = _against_broadcast(q, i, k, metric, skip_same, schema)
     else:
-        blocks = math.ceil(size.n * size.dim * 8 / block_bytes)
-        slice_rows = query_rows or max(1, block_bytes // (size.dim * 8))
-        each = _against_blocks(q, i, k, metric, skip_same, schema, blocks, slice_rows)
+        block_rows = max(1, block_bytes // (size.dim * 8))
+        held, balls = metric_index.indexed(i, metric, size.n, block_rows)
+        _, each = metric_index.visits(q, balls, held, k, metric, skip_same, schema, block_rows, query_rows or block_rows)
         best = Window.partitionBy("q").orderBy(F.round("distance", 9), "id")
         found = each.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     name = query_id if query_id != known_id else f"query_{query_id}"
@@ -75,31 +74,6 @@ def _against_broadcast(q, i, k, metric, skip_same, schema):
     return q.mapInPandas(search, schema)
 
 
-def _against_blocks(q, i, k, metric, skip_same, schema, blocks, slice_rows):
-    slices = max(1, math.ceil(q.count() / slice_rows))
-    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = q.withColumn("_slice", place("_q", slices)).withColumn("_block", every(blocks))
-    right = i.withColumn("_block", place("_i", blocks)).withColumn("_slice", every(slices))
-
-    def search(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        known = known.sort_values("_i", ignore_index=True)
-        ids, matrix = known["_i"].to_numpy(), as_matrix(known["_iv"])
-        found = [
-            nearest_rows(p["_q"].to_numpy(), as_matrix(p["_qv"]), ids, matrix, k, metric, skip_same)
-            for p in (part.iloc[at : at + BATCH_ROWS] for at in range(0, len(part), BATCH_ROWS))
-        ]
-        if not found:
-            return pd.DataFrame({"q": [], "id": [], "distance": [], "rank": []})
-        return pd.concat(found, ignore_index=True)
-
-    return (
-        left.groupBy("_block", "_slice")
-        .cogroup(right.groupBy("_block", "_slice"))
-        .applyInPandas(search, schema)
-    )
-
-
 def near_duplicates(
     queries: DataFrame,
     known: DataFrame,

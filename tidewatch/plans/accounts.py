@@ -277,10 +277,10 @@ def gbt_driver_ranking(spark, sf):
 
 @query("gbt_search")
 def gbt_search(spark, sf):
-    """Settings found by a short random search, and their validation area."""
+    """Settings found by the random search at its stated size, and their validation area."""
     ready, train = boosted_rows(spark, sf)
     validation = Mo.pos_weight(ready.filter(F.col("split") == "val"))
-    settings, area = Mo.search_boosted(train, validation, trials=2, rounds=4)
+    settings, area = Mo.search_boosted(train, validation)
     rows = [(name, str(value)) for name, value in {**settings, "validation_area": round(area, 6)}.items()]
     return spark.createDataFrame(rows, "setting string, value string")
 

@@ -56,6 +56,16 @@ def topk_sections(spark, sf):
     return neighbours(spark, sf, 3).select("query_vec_id", "vec_id", "rank", F.round(1 - F.col("distance"), 6).alias("score"))
 
 
+@query(
+    "topk_in_balls",
+    f"WITH {RANKED_SQL} SELECT query_vec_id, vec_id, rank, round(distance, 6) AS distance FROM ranked WHERE rank <= 2",
+)
+def topk_in_balls(spark, sf):
+    """Through the ball partition, with balls of about 250 vectors."""
+    found = neighbours(spark, sf, 2, block_bytes=1 << 17)
+    return found.select("query_vec_id", "vec_id", "rank", F.round("distance", 6).alias("distance"))
+
+
 GATE_SQL = f"""{RANKED_SQL},
 hit AS (SELECT query_vec_id, rank, 1 - distance AS score, 'label-' || label AS file, 'vector ' || vec_id AS text FROM ranked WHERE rank <= 3),
 top AS (
@@ -316,9 +326,11 @@ def logistic_report(spark, sf):
 
 @query("multiclass_boosting_report")
 def multiclass_boosting_report(spark, sf):
+    """Softmax boosting at its stated size, report on the test split."""
     rows = labelled_vectors(spark, sf)
-    model = Mo.multiclass_boosted(rounds=2, depth=2).fit(rows.filter(F.col("split") == "train"))
-    return E.class_report(model.transform(rows.filter(F.col("split") == "test")), "label", "prediction")
+    classes = rows.agg(F.max("label")).first()[0]
+    model = Mo.multiclass_boosted(rows.filter(F.col("split") == "train"), int(classes) + 1)
+    return E.class_report(Mo.classified(rows.filter(F.col("split") == "test"), model), "label", "prediction")
 
 
 @query("label_index", "SELECT vec_id, dense_rank() OVER (ORDER BY 'label-' || label) - 1.0 AS label FROM embeddings")
