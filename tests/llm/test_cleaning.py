@@ -110,10 +110,23 @@ def test_one_document_of_a_component_stays(spark):
     kept = pivots.one_per_component(spark.createDataFrame(rows, SCHEMA)).collect()
     want = {c for _, _, c in classes(rows) if c is not None}
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(want)
-    assert sum(r["doc_id"] is None for r in kept) == sum(r[0] is None for r in rows)
+    # rows without an id stay only where their component has none with one
+    alone = [c for _, _, c in classes(rows) if c is None]
+    assert sum(r["doc_id"] is None for r in kept) == len(set(map(str, alone)))
     assert pivots.one_per_component(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_one_text_of_a_component_stays_whatever_the_ids(spark, doc_id):
+    """All ids null, or all equal: unrelated texts stay, copies and near copies leave one."""
+    rng = random.Random(9)
+    apart = [prose(rng, 60, [f"w{i}" for i in range(500)]) for _ in range(6)]
+    rows = [(doc_id, t, "en", "a", None) for t in apart + apart[:3] + [apart[0] + " " + apart[0], None, ""]]
+    kept = pivots.one_per_component(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    found = {r["text"] for r in kept}
+    assert len(kept) == len(found) == 7 and set(apart[1:]) < found and len(found & {None, ""}) == 1
+
+
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

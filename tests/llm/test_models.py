@@ -274,3 +274,17 @@ def test_pipeline_passes_an_empty_table_and_odd_rows(spark):
             docs = stored(stage(spark, docs, SF))
         docs.count()
     assert len(odd_rows()) and pivots.MAX_BITS == 4
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_every_language_is_learned_whatever_the_ids(spark, doc_id):
+    """All ids null, or all equal: the sample is drawn by text as well; a language of copies alone is bounded."""
+    rng = random.Random(17)
+    words = {"aa": "ba be bi bo".split(), "bb": "xu xo xe xi".split(), "cc": "mmm nnn".split()}
+    rows = [(doc_id, " ".join(rng.choice(w) for _ in range(20)), lang) for lang, w in words.items() for _ in range(60)]
+    rows += [(doc_id, "mmm nnn mmm", "cc")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = crf.fitted(df, "doc_id", "text", "lang", sample_docs=30)
+    assert model.labels == ["aa", "bb", "cc"]
+    got = crf.predicted(df, model).select("lang", "lang_pred").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in got) > 0.98 * len(rows)

@@ -14,12 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.tokens import Words, byte_table, mixed, words_of
 
-#: Documents per language that the model is fitted on (about as many, by a hash of the id): the bound of the fit.
+#: Documents per language that the model is fitted on: the bound of the fit.
 SAMPLE_DOCS = 150
 TABLE_BITS, AFFIX, NGRAMS = 16, 4, (2, 3)
 EPOCHS, BATCHES, RATE, DECAY = 6, 8, 0.2, 1e-6
@@ -183,13 +183,15 @@ def fit(texts: list[str], langs: list[str]) -> Model:
 
 
 def fitted(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """The model of a sample of about ``sample_docs`` documents per language, chosen by a hash of the id; null languages
-    and texts without a letter teach nothing. None if there is nothing to learn from."""
-    named = docs.select(F.col(f"`{doc_id}`").alias("id"), letters(F.col(f"`{text}`")).alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
-    named = named.filter("lang IS NOT NULL")
-    counts = docs.filter(F.col(f"`{lang}`").isNotNull()).groupBy(F.col(f"`{lang}`").cast("string").alias("lang")).count()
-    unit = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("fit")), 11) / float(1 << 53)
-    chosen = named.join(F.broadcast(counts), "lang").filter((unit * F.col("count") < sample_docs) & F.col("text").rlike(r"\p{L}"))
+    """The model of ``sample_docs`` documents per language (all, if it has fewer): those of the smallest hashes of id and text, copies
+    once. Null languages and texts without a letter teach nothing. None if there is nothing to learn from."""
+    h = F.xxhash64(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), F.col(f"`{text}`"), F.lit("fit"))
+    named = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"), h.alias("h"))
+    named = named.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # a task hands on at most so many hashes of a language
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    first = named.select("lang", "h").distinct().withColumn("n", place).filter(F.col("n") <= sample_docs)
+    chosen = named.join(first, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["h"], r["text"], r["lang"]) for batch in batches for r in batch.to_pylist())
@@ -198,7 +200,7 @@ def fitted(docs: DataFrame, doc_id: str, text: str, lang: str, sample_docs: int
             yield pa.RecordBatch.from_pylist([{"labels": m.labels, "weights": m.table.tobytes(), "transitions": m.transitions.tobytes()}])
 
     # the sample is bounded, so one task fits the model
-    one = chosen.select(F.xxhash64("id", "text").alias("h"), "text", "lang").repartition(1)
+    one = chosen.select("h", letters(F.col("text")).alias("text"), "lang").repartition(1)
     row = one.mapInArrow(run, "labels array<string>, weights binary, transitions binary").first()
     if row is None:
         return None

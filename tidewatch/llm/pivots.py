@@ -185,12 +185,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id is their component's smallest, in the columns of ``docs``; of repeated rows with
-    that id one stays, the one whose other columns sort first. Rows without an id name no document and stay."""
-    found = near_duplicates(docs, **options).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    one = kept.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("__row")).select(
-        *[F.col("doc_id") if c == "doc_id" else F.col("__row")[c].alias(c) for c in docs.columns]
-    )
-    return one.unionByName(docs.filter("doc_id IS NULL"))
+    """One row of each component, in the columns of ``docs``: the one of the smallest id, a row without an id only if its
+    component has no other; of rows with equal ids the one whose digest comes first. Equal rows are one."""
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    digest = F.unhex(F.md5(F.to_json(F.struct(*every), {"ignoreNullFields": "false"})))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    found = near_duplicates(docs.select(row.alias("doc_id"), "text"), **options)
+    chosen = found.filter("doc_id <=> component_id").select(F.col("doc_id.digest").alias("__digest")).distinct()
+    kept = docs.select(F.struct(*every).alias("__row"), digest.alias("__digest")).join(chosen, "__digest", "left_semi")
+    return kept.groupBy("__digest").agg(F.first("__row").alias("__row")).select(*[F.col("__row")[c].alias(c) for c in docs.columns])
