@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -288,3 +289,24 @@ def test_every_language_is_learned_whatever_the_ids(spark, doc_id):
     assert model.labels == ["aa", "bb", "cc"]
     got = crf.predicted(df, model).select("lang", "lang_pred").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in got) > 0.98 * len(rows)
+
+
+def test_short_addresses_are_never_used_up(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.c" for a in letters for b in letters]
+    rows = [(i, f"to {m} now") for i, m in enumerate(mails)]
+    got = [r[1].split()[1] for r in surrogates.replaced(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(set(got)) == len(mails) and not set(got) & set(mails)
+    assert all(g.count("@") == 1 and g.endswith(".c") for g in got)
+
+
+def test_long_runs_take_linear_time(spark):
+    run = "Ab1" * 350_000
+    rows = [(1, run), (2, f"password: {run}"), (3, f"{run}@{run}"), (4, "x@" + "a." * 400_000 + "b"), (5, "a@b.com_x@c.org 1.2.3.4y@z.org")]
+    began = time.time()
+    got = {r[0]: (r[1], r[2]) for r in surrogates.replaced(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert got[1] == (run, 0) and got[2][1] == got[4][1] == 1 and got[3][1] == 0
+    assert got[2][0].startswith("password: ") and len(got[2][0]) == len(run) + 10 and run not in got[2][0]
+    # an address that stands right behind another entity is found too
+    assert got[5][1] == 3 and "x@c.org" not in got[5][0]

@@ -19,6 +19,7 @@ _TAGS = r"<[a-zA-Z/!?][^>]*>"
 #: Decoded in this order, the ampersand last so that no text is decoded twice.
 _ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 _BLANKS = "[ \\t\\r\\x0B\\f\u00a0]{2,}|[\\t\\r\\x0B\\f\u00a0]"
+_LANG = r"(?i)\blang\s*+=\s*+[\"']?([a-zA-Z-]+)"
 VERSION = "WARC/1.1"
 
 
@@ -38,10 +39,15 @@ def _numeric(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), F.array_join(F.transform(pieces, piece), "")).otherwise(text)
 
 
+def closed(text: Column) -> Column:
+    """A text up to its last ">": behind it no tag ends, and tags that never end would each be sought to the text's end."""
+    return F.left(text, F.char_length(text) - F.char_length(F.substring_index(text, ">", -1)))
+
+
 def without_tags(html: Column) -> Column:
     """A page without scripts, styles, comments and tags, a line per block; empty for null."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), _DROPPED, "")
-    return F.regexp_replace(F.regexp_replace(text, _BREAKS, "\n"), _TAGS, "")
+    return F.concat(F.regexp_replace(F.regexp_replace(closed(text), _BREAKS, "\n"), _TAGS, ""), F.substring_index(text, ">", -1))
 
 
 def decoded(bare: Column) -> Column:
@@ -102,9 +108,13 @@ def derivatives(records: DataFrame) -> DataFrame:
         "__head": F.coalesce("http_headers", F.lit("")),
     })
     html = html.withColumn("__text", decoded(F.col("__bare")))
-    title = F.regexp_replace(decoded(without_tags(F.regexp_extract("__payload", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))), r"\n", " ")
-    lang = F.regexp_extract("__payload", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-zA-Z-]+)", 1)
-    links = F.size(F.regexp_extract_all("__payload", F.lit(r"(?i)<a\b[^>]*\bhref\s*="), F.lit(0)))
+    # each tag is read once: patterns that seek on from every start take the square of a page without ends
+    after = F.coalesce(F.get(F.split(closed(F.col("__payload")), r"(?i)<title\b[^>]*+>", 2), F.lit(1)), F.lit(""))
+    title = F.regexp_replace(decoded(without_tags(F.regexp_extract(after, r"(?is)\A(.*?)</title\s*+>", 1))), r"\n", " ")
+    tags = lambda name: F.regexp_extract_all("__payload", F.lit(rf"(?i)<{name}\b[^>]*+"), F.lit(0))
+    own = F.filter(tags("html"), lambda t: t.rlike(_LANG))
+    lang = F.coalesce(F.regexp_extract(F.get(own, F.lit(0)), r"(?s)\A.*" + _LANG, 1), F.lit(""))
+    links = F.size(F.filter(tags("a"), lambda t: t.rlike(r"(?i)\bhref\s*+=")))
     source = F.regexp_replace(F.regexp_replace("__head", r"\r?\n\z", ""), r"\r?\n", "\r\nsource-header: ")
     about = _lines(
         _field("title", title), _field("language", lang), _field("outlinks", links.cast("string")), _field("payload-digest", F.col("__digest")),

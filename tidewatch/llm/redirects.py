@@ -20,12 +20,13 @@ from tidewatch.session import stored
 RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 )
-_LINK = r"(?i)<link\b[^>]*>"
-_META = r"(?i)<meta\b[^>]*>"
-_CANONICAL = r"(?i)\brel\s*=\s*[\"']?\s*canonical\b"
-_HREF = r"(?i)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-_REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b"
-_TARGET = r"(?i)\burl\s*=\s*['\"]?([^'\"\s>;]+)"
+#: Tags are read once each, up to their end or the end of the page; possessive, so that blanks are not tried over.
+_LINK = r"(?i)<link\b[^>]*+"
+_META = r"(?i)<meta\b[^>]*+"
+_CANONICAL = r"(?i)\brel\s*+=\s*+[\"']?\s*+canonical\b"
+_HREF = r"(?i)\bhref\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]+))"
+_REFRESH = r"(?i)\bhttp-equiv\s*+=\s*+[\"']?\s*+refresh\b"
+_TARGET = r"(?i)\burl\s*+=\s*+['\"]?([^'\"\s>;]+)"
 
 
 def host(url: Column) -> Column:
@@ -82,7 +83,8 @@ def _first(tags: Column, kind: str) -> Column:
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(source, target) URLs of the pages' first canonical link and first meta refresh."""
     u, body = F.col(f"`{url}`").alias("u"), F.col(f"`{html}`").alias("h")
-    linked = pages.select(u, body).filter(F.col("h").rlike("(?i)canonical|refresh") & F.col("u").isNotNull())
+    body_to_last_tag = F.left(F.col("h"), F.char_length("h") - F.char_length(F.substring_index("h", ">", -1)))
+    linked = pages.select(u, body).filter(F.col("h").rlike("(?i)canonical|refresh") & F.col("u").isNotNull()).withColumn("h", body_to_last_tag)
     canonical = _first(F.regexp_extract_all("h", F.lit(_LINK), F.lit(0)), _CANONICAL)
     refresh = _first(F.regexp_extract_all("h", F.lit(_META), F.lit(0)), _REFRESH)
     href = F.concat(*[F.regexp_extract(canonical, _HREF, i) for i in (1, 2, 3)])

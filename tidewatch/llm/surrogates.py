@@ -25,7 +25,8 @@ _PARTICLES = (
     "zum", "zur", "ter", "ten", "bin", "ibn", "al", "af", "av",
 )
 _NAME_WORD, _INITIAL, _PARTICLE = r"\p{Lu}[\p{L}\p{M}'’-]+", r"(?:\p{Lu}\.)++", f"(?:{'|'.join(_PARTICLES)})"
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Starts where a run of address characters starts, or where the entity before ended: a long run without an @ is read once.
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _SECRET_KEY = "(?i:password|passwd|secret|token|api_key|apikey) ?[=:]"
 SECRET = rf"AKIA[0-9A-Z]{{16}}|(?<={_SECRET_KEY} ?\"?)[A-Za-z0-9_+/=-]{{8,}}|(?<![0-9A-Za-z])[0-9a-f]{{32,}}(?![0-9A-Za-z])"
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
@@ -40,7 +41,8 @@ ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IPV4, CARD, PHONE, NAME))
 #: A text without a match of this has no entity: numbers need a digit, mails an @, names a title, and secrets of letters only a
 #: key before them, AKIA or a run of hex letters.
 HINT = rf"[0-9@]|[=:](?<={_SECRET_KEY})|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{_TITLES})\.? \p{{L}}"
-MAX_ATTEMPTS, _LONGER_FROM = 64, 4
+#: From this attempt on, and at every multiple of it, surrogates are longer, so that those of a type are never used up.
+_LONGER_FROM = 4
 #: The country code after a +, by its digits alone, whatever stands between them: no code is the start of another.
 COUNTRY = r"^\+(?:[17]|" + "|".join(
     f"{a}[^0-9]*[{b}]" for a, b in ((2, "07"), (3, "0-469"), (4, "013-9"), (5, "1-8"), (6, "0-6"), (8, "1246"), (9, "0-58"))
@@ -101,24 +103,28 @@ def _shaped(text: Column, digest: Column, keep: str = "") -> Column:
     and what a leading match of ``keep`` covers, stays."""
     head = F.regexp_extract(text, keep, 0) if keep else F.lit("")
     tail = F.substr(text, F.char_length(head) + 1)
-    chars = F.filter(F.split(tail, ""), lambda c: c != "")
+    sign = r"[\p{L}0-9]"
 
     def one(c, i):
-        place = F.size(F.filter(F.slice(chars, F.lit(1), i), lambda x: x.rlike(r"[\p{L}0-9]")))
-        letter = _pick("abcdefghijklmnopqrstuvwxyz", _number(digest, place, 26))
-        return (
-            F.when(c.rlike("[0-9]"), _number(digest, place, 10).cast("string"))
-            .when(c.rlike(r"\p{Lu}"), F.upper(letter))
-            .when(c.rlike(r"\p{L}"), letter)
-            .otherwise(c)
-        )
+        letter = _pick("abcdefghijklmnopqrstuvwxyz", _number(digest, i, 26))
+        return F.when(c.rlike("[0-9]"), _number(digest, i, 10).cast("string")).when(c.rlike(r"\p{Lu}"), F.upper(letter)).otherwise(letter)
 
-    return F.concat(head, F.array_join(F.transform(chars, one), ""))
+    # what stands between the signs, and a new sign after each but the last
+    made = F.transform(F.regexp_extract_all(tail, F.lit(sign), F.lit(0)), one)
+    filled = F.zip_with(F.split(tail, sign, -1), made, lambda p, s: F.concat(p, F.coalesce(s, F.lit(""))))
+    return F.concat(head, F.array_join(filled, ""))
+
+
+def _longer(made: Column, digest: Column, attempt: Column, letters: str) -> Column:
+    """Late attempts have one of ``letters`` more for each ``_LONGER_FROM`` attempts."""
+    n = F.floor(attempt / _LONGER_FROM).cast("int")
+    extra = F.transform(F.sequence(F.lit(1), n), lambda j: _pick(letters, _number(digest, 31 - j % 16, len(letters))))
+    return F.when(n > 0, F.concat(made, F.array_join(extra, ""))).otherwise(made)
 
 
 def _name(mention: Column, digest: Column, gender: Column, attempt: Column) -> Column:
     """A name in the mention's script with an ending of the gender, as many words and the same case, after its titles; initials for
-    initials, particles for particles. Late attempts have a syllable more, so that short names are not used up."""
+    initials, particles for particles. Late attempts have more syllables, so that short names are not used up."""
     title = F.regexp_extract(mention, f"^{_TITLED}", 0)
     bare = F.substr(mention, F.char_length(title) + 1)
     # bound once: found anew for each word, a name of many words would take the square of its length
@@ -142,7 +148,9 @@ def _words(parts: Column, script: Column, digest: Column, gender: Column, attemp
                 _pick(_CONSONANTS[s], _number(digest, k * 8 + 2 * j, len(_CONSONANTS[s]))), _pick(_VOWELS[s], _number(digest, k * 8 + 2 * j + 1, len(_VOWELS[s])))
             )
             ending = F.when(gender == 0, _ENDINGS[s][0]).when(gender == 1, _ENDINGS[s][1]).otherwise(_ENDINGS[s][2])
-            text = F.concat(syllable(0), syllable(1), syllable(2), F.when(attempt >= _LONGER_FROM, syllable(3)).otherwise(""), ending)
+            late = F.floor(attempt / _LONGER_FROM).cast("int")
+            more = F.when(late > 0, F.array_join(F.transform(F.sequence(F.lit(1), late), lambda j: syllable(j + 2)), "")).otherwise("")
+            text = F.concat(syllable(0), syllable(1), syllable(2), more, ending)
             made = F.when(script == s, text) if made is None else made.when(script == s, text)
         # a particle in whatever case, as spellings differ in it; the last word is a name
         particle = F.lower(w).isin(*_PARTICLES) & (k < F.size(parts) - 1)
@@ -165,11 +173,11 @@ def surrogate(kind: Column, mention: Column, attempt: Column, gender: Column, di
     local, domain = F.substring_index(mention, "@", 1), F.substring_index(mention, "@", -1)
     host, suffix = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1), F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 2)
     return (
-        F.when(kind == "email", F.concat(_shaped(F.concat(local, F.lit("@"), host), digest), suffix))
+        F.when(kind == "email", F.concat(_shaped(F.concat(local, F.lit("@"), _longer(host, digest, attempt, "abcdefghijklmnopqrstuvwxyz")), digest), suffix))
         .when(kind == "ipv4", F.array_join(octets, "."))
         .when(kind == "name", _name(mention, digest, gender, attempt))
-        .when(kind == "phone", _shaped(mention, digest, COUNTRY))
-        .otherwise(_shaped(mention, digest))
+        .when(kind == "phone", _longer(_shaped(mention, digest, COUNTRY), digest, attempt, "0123456789"))
+        .otherwise(_longer(_shaped(mention, digest), digest, attempt, "0123456789"))
     )
 
 
@@ -185,12 +193,16 @@ def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame:
 
     ``entities``: distinct (kind, normal, like, gender, varied), like being any of the entity's spellings: all are rendered to
     one normal form. An entity moves on while a surrogate of its type has an earlier entity, by attempt and name, or equals
-    an entity of the corpus."""
+    an entity of the corpus. Late surrogates are longer, so every entity finds one, however many of a form there are; only
+    IPv4 addresses keep their length, of which four billion exist."""
     own = ("kind", "normal", "like", "gender", "varied")
     state = stored(entities.withColumn("attempt", F.lit(0)), "entities")
-    for _ in range(MAX_ATTEMPTS):
-        kind, like, attempt = F.col("kind"), F.col("like"), F.col("attempt")
-        made = state.withColumn("to", normal_form(kind, surrogate(kind, like, attempt, F.col("gender"), entity_digest(kind, like, attempt, key))))
+    while True:
+        digest = entity_digest(F.col("kind"), F.col("like"), F.col("attempt"), key)
+        # bound once: made anew for each sign, the digest of a long mention would take the square of its length
+        once = F.array(F.struct("kind", "like", "attempt", "gender", digest.alias("digest")))
+        to = F.transform(once, lambda e: normal_form(e["kind"], surrogate(e["kind"], e["like"], e["attempt"], e["gender"], e["digest"])))
+        made = state.withColumn("to", F.get(to, F.lit(0)))
         first = Window.partitionBy("kind", "to").orderBy(F.desc("attempt"), "normal")
         real = state.select("kind", F.col("normal").alias("to"), F.lit(True).alias("real"))
         checked = made.withColumn("rank", F.row_number().over(first)).join(real, ["kind", "to"], "left")
@@ -199,8 +211,6 @@ def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame:
         if moved.filter("again").isEmpty():
             break
         state = stored(moved.select(*own, (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), "entities")
-    else:
-        raise ValueError("the surrogates of a type are used up")
     return state.filter("attempt > 0 OR varied").select("kind", "normal", "attempt", "gender")
 
 
