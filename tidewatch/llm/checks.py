@@ -27,8 +27,11 @@ def _re2(pattern: str) -> str:
 _STRIP = "translate({}, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')"
 _SAID = " OR ".join(f"contains(low, '{p}')" for p in L.BOILERPLATE)
 _LOUD = " + ".join(f"(length(l) - length(replace(l, '{m}', ''))) / {len(m)}" for m in L.LOUD)
-_FAULT = f"""CASE WHEN n = 0 THEN NULL WHEN {_SAID} THEN 'boilerplate'
-  WHEN regexp_matches(l, {q(_re2(L.NAVIGATION))}) OR length(l) - length(translate(l, {q(L.SEPARATORS)}, '')) >= 3
+#: separators but for closing quotes and the dot of l·l
+_CUTS = f"""(length(l) - length(translate(l, {q(L.SEPARATORS)}, '')) - (length(low) - length(replace(low, 'l·l', ''))) / 3
+  - least(length(l) - length(replace(l, '«', '')), length(l) - length(replace(l, '»', ''))))"""
+_FAULT = f"""CASE WHEN n = 0 THEN NULL WHEN n <= {L.MAX_BOILERPLATE_WORDS} AND ({_SAID}) THEN 'boilerplate'
+  WHEN regexp_matches(l, {q(_re2(L.NAVIGATION))}) OR ({_CUTS} >= {L.MIN_SEPARATORS} AND {_CUTS} >= {L.LIST_SHARE} * n)
     OR (n <= 3 AND NOT regexp_matches(l, {q(_re2(L.SENTENCE_END))})) THEN 'navigation'
   WHEN length(l) - length(translate(l, '{L.SYMBOLS}', '')) > {L.MAX_SYMBOLS} * length(l) OR {_LOUD} > {L.MAX_LOUD} * n THEN 'punctuation' END"""
 
@@ -81,10 +84,14 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN nh USING (r) LEFT JOIN ni USING (r)"""
 
 
+#: The operator fills until nothing fits or little is open; the statement has a fixed number of rounds, more than these tables need.
+_ROUNDS = 12
+
+
 def _round(r: int) -> str:
     """A round of filling: documents behind the last cut that fit the rest, up to the cut that the rest allows."""
     return f"""p{r} AS (SELECT s.none, s.name, h, size, sum(size) OVER (PARTITION BY s.none, s.name ORDER BY h) AS run
-  FROM s JOIN k{r - 1} k USING (none, name) WHERE k.room >= 1 AND h > k.cut AND size <= k.room),
+  FROM s JOIN k{r - 1} k USING (none, name) WHERE k.room >= 1 AND k.room >= {M.NEAR} * k.target AND h > k.cut AND size > 0 AND size <= k.room),
 c{r} AS (SELECT none, name, max(h) AS cut, max(run) AS run FROM p{r} JOIN k{r - 1} k USING (none, name) WHERE run <= k.room GROUP BY ALL),
 k{r} AS (SELECT none, name, source_size, target, epochs, k.cut AS cut0, k.room AS room0, coalesce(greatest(c.cut, k.cut), k.cut) AS cut,
   k.room - coalesce(c.run, 0) AS room FROM k{r - 1} k LEFT JOIN c{r} c USING (none, name))"""
@@ -92,7 +99,7 @@ k{r} AS (SELECT none, name, source_size, target, epochs, k.cut AS cut0, k.room A
 
 MIXING_CTES = f"""s AS (SELECT row_number() OVER () AS r, doc_id, source IS NULL AS none, coalesce(source, '') AS name,
   len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size,
-  ('0x' || substr(md5('{M.SEED}' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+  ('0x' || substr(md5('{M.SEED}' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
 z AS (SELECT none, name, sum(size)::BIGINT AS source_size FROM s GROUP BY ALL),
 w AS (SELECT *, [{", ".join(map(str, M.WEIGHTS))}][(row_number() OVER (ORDER BY none, name) - 1) % {len(M.WEIGHTS)} + 1] AS weight, {M.MAX_EPOCHS} * source_size AS cap FROM z),
 o AS (SELECT *, row_number() OVER (ORDER BY cap / weight, none, name) AS place FROM w),
@@ -102,9 +109,13 @@ v AS (SELECT coalesce((SELECT level FROM l WHERE level * weight <= cap ORDER BY
 t AS (SELECT none, name, source_size, least(cap::DOUBLE, level * weight) AS target FROM o, v),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN least({M.MAX_EPOCHS}, floor((target + 0.5) / source_size))::BIGINT ELSE 0 END AS epochs FROM t),
 k0 AS (SELECT *, (-1)::BIGINT AS cut, CASE WHEN epochs < {M.MAX_EPOCHS} THEN greatest(0, target - epochs * source_size) ELSE 0 END AS room FROM e),
-{", ".join(_round(r) for r in range(1, M.ROUNDS + 1))},
-again AS ({" UNION ALL ".join(f"SELECT s.r FROM s JOIN k{r} k USING (none, name) WHERE k.room0 >= 1 AND s.h > k.cut0 AND s.h <= k.cut AND s.size <= k.room0" for r in range(1, M.ROUNDS + 1))}),
-mixed AS (SELECT s.r, doc_id, size, source_size, target, epochs + (s.r IN (SELECT r FROM again))::BIGINT AS copies FROM s JOIN e USING (none, name))"""
+{", ".join(_round(r) for r in range(1, _ROUNDS + 1))},
+again AS ({" UNION ALL ".join(f"SELECT s.r FROM s JOIN k{r} k USING (none, name) WHERE k.room0 >= 1 AND s.h > k.cut0 AND s.h <= k.cut AND s.size <= k.room0" for r in range(1, _ROUNDS + 1))}),
+spare AS (SELECT none, name, h, sum(size) AS size, max(room) AS room FROM s JOIN k{_ROUNDS} k USING (none, name)
+  WHERE room > 0 AND size > 0 AND r NOT IN (SELECT r FROM again) GROUP BY ALL HAVING sum(size) < 2 * max(room)),
+over AS (SELECT none, name, arg_min(h, (abs(size - room), size, h)) AS h FROM spare GROUP BY ALL),
+mixed AS (SELECT s.r, doc_id, size, source_size, target, epochs + (s.r IN (SELECT r FROM again) OR over.h IS NOT NULL)::BIGINT AS copies
+  FROM s JOIN e USING (none, name) LEFT JOIN over ON over.none = s.none AND over.name = s.name AND over.h = s.h)"""
 MIXING = f"WITH {MIXING_CTES} SELECT doc_id, size, source_size, target, size * copies AS taken FROM mixed"
 
 SHARDING_CTES = """sk AS (SELECT doc_id, text, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,

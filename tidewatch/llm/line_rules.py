@@ -147,7 +147,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     # a row number keeps filters on the verdict above the measures: pushed below, they would be computed all once more
     here = F.monotonically_increasing_id() >= 0
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= MAX_LOST) & here)
-    return out.drop("__w", "__lines", "__keys", "__near", "__faults", "__real", "__marked", "__exact")
+    return out.drop("__w", "__lines", "__keys", "__near", "__faults", "__real", "__marked", "__exact", "__low")
 
 
 def cleaned(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:

@@ -3,7 +3,9 @@
 1. Each source's target is its weight's share of all words, at most ``max_epochs`` times its size; what a capped
    source leaves is shared among the others by weight.
 2. A source's documents are permuted by a keyed hash. It gives whole epochs, and of one more epoch a prefix of the
-   permutation that fills the target; where a document would overflow it, smaller later ones fill the rest.
+   permutation that fills the target; where a document would overflow it, smaller later ones fill the rest, until none
+   fits or a thousandth of the target is open. The document left out whose size is nearest to the rest is taken too where
+   that comes nearer to the target.
 3. The copies taken form, per source, a second permuted stream of blocks of about ``block_words`` words. The tree
    starts with the block quotas of all sources and halves the output shards: the left half draws its blocks
    from the quotas without replacement (multivariate hypergeometric), the right half gets the rest, so the quotas
@@ -28,15 +30,18 @@ from tidewatch.session import stored
 
 WEIGHTS, MAX_EPOCHS = (5, 2, 1), 3
 BLOCK_WORDS, SHARD_WORDS, SEED = 1 << 14, 1 << 22, "mix"
-#: Hashes have 60 bits, of which the first 12 name a bucket. Prefixes are filled in this many rounds.
-HASH_BITS, BUCKET_BITS, ROUNDS = 60, 12, 4
+#: Hashes have 60 bits, of which the first 12 name a bucket. A room below this share of the target is filled by one document.
+HASH_BITS, BUCKET_BITS, NEAR = 60, 12, 0.001
 #: The table of sources goes to every task below this many (source, shard) entries, else it is joined by shuffle.
 BROADCAST_ENTRIES = 2_000_000
 
 
-def order_hash(doc_id: Column, seed: str = SEED) -> Column:
-    """60 bits of the MD5 of the seed and the id: a permutation that any engine can repeat."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long")
+def order_hash(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """60 bits of the MD5 of the seed, the id and the text: a permutation that any engine can repeat, and one that tells
+    documents apart whose ids are null or repeated."""
+    empty = F.lit("")
+    named = F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), empty), F.lit(":"), F.coalesce(text, empty))
+    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
 
 
 def _key(source: Column) -> Column:
@@ -100,7 +105,11 @@ def cuts(pool: DataFrame, limits: DataFrame) -> DataFrame:
 
 def _rounds(narrow: DataFrame, plan: DataFrame, max_epochs: int) -> DataFrame:
     """``plan`` (key, source_size, target) with epochs, steps (array of (cut, room): after the previous cut and up
-    to this one, documents of at most ``room`` words are taken once more) and taken (words of the source)."""
+    to this one, documents of at most ``room`` words are taken once more), over (the hash of the one document beyond the
+    room that is taken, or null) and taken (words of the source).
+
+    Each round's cut leaves out a document that the room does not hold, so rooms shrink until no document fits or the
+    room is small."""
     whole = F.when(F.col("source_size") > 0, F.floor((F.col("target") + 0.5) / F.col("source_size"))).otherwise(0)
     plan = plan.withColumn("epochs", F.least(whole, F.lit(max_epochs)).cast("int"))
     rest = F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size"))
@@ -108,23 +117,40 @@ def _rounds(narrow: DataFrame, plan: DataFrame, max_epochs: int) -> DataFrame:
         "limit": F.when(F.col("epochs") < max_epochs, rest).otherwise(0.0), "last": F.lit(-1).cast("long"),
         "steps": F.lit([]).cast("array<struct<cut:bigint,room:double>>"), "taken": F.col("epochs") * F.col("source_size"),
     })
-    for _ in range(ROUNDS):
-        open_ = F.broadcast(plan.filter("limit >= 1").select("key", "limit", "last"))
-        pool = narrow.join(open_, "key").filter("h > last AND size <= limit").select("key", "h", "size")
+    while True:
+        open_ = F.broadcast(plan.filter((F.col("limit") >= 1) & (F.col("limit") >= NEAR * F.col("target"))).select("key", "limit", "last"))
+        pool = narrow.join(open_, "key").filter("h > last AND size > 0 AND size <= limit").select("key", "h", "size")
         found = cuts(pool, plan).withColumn("cut", F.greatest("cut", "last"))
-        plan = found.select(
-            "key", "source_size", "target", "epochs", (F.col("limit") - F.col("reached")).alias("limit"), F.col("cut").alias("last"),
-            F.array_append("steps", F.struct("cut", F.col("limit").alias("room"))).alias("steps"),
-            (F.col("taken") + F.col("reached")).alias("taken"),
+        # nothing reached: the next hash is that of repeated rows which do not fit together, so it is passed over
+        first = pool.groupBy("key").agg(F.min("h").alias("first"))
+        step = F.when(F.col("reached") > 0, F.struct("cut", F.col("limit").alias("room"))).when(
+            F.col("first").isNotNull(), F.struct(F.col("first").alias("cut"), F.lit(-1.0).alias("room"))
+        )
+        plan = found.join(F.broadcast(first), "key", "left").withColumn("step", step).select(
+            "key", "source_size", "target", "epochs", (F.col("limit") - F.col("reached")).alias("limit"),
+            F.coalesce("step.cut", "last").alias("last"),
+            F.when(F.col("step").isNotNull(), F.array_append("steps", F.col("step"))).otherwise(F.col("steps")).alias("steps"),
+            (F.col("taken") + F.col("reached")).alias("taken"), F.col("step").isNotNull().alias("moved"),
         )
         plan = stored(plan, "plan")
-    return plan.drop("limit", "last")
-
-
-def _again(h: Column, size: Column, steps: Column) -> Column:
-    """Whether a document is in the part epoch: the first cut at or after its hash has room for it."""
+        if plan.filter("moved").isEmpty():
+            break
+        plan = plan.drop("moved")
+    # one more of those left out
+    room = F.broadcast(plan.filter("limit > 0").select("key", "limit", "steps"))
+    left = narrow.join(room, "key").filter(~_again(F.col("h"), F.col("size"), F.col("steps")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("limit")))
+    left = left.groupBy("key", "h").agg(F.sum("size").alias("size"), F.max("limit").alias("limit")).filter("size < 2 * limit")
+    over = left.groupBy("key").agg(F.min(F.struct(F.abs(F.col("size") - F.col("limit")).alias("off"), "size", "h")).alias("o"))
+    plan = plan.join(F.broadcast(over), "key", "left").withColumns({"over": F.col("o.h"), "taken": F.col("taken") + F.coalesce("o.size", F.lit(0))})
+    return stored(plan.drop("limit", "last", "moved", "o"), "plan")
+
+
+def _again(h: Column, size: Column, steps: Column, over: Column | None = None) -> Column:
+    """Whether a document is in the part epoch: the first cut at or after its hash has room for it, or it is the one
+    beyond the room."""
     step = F.get(F.filter(steps, lambda s: s["cut"] >= h), F.lit(0))
-    return F.coalesce(size <= step["room"], F.lit(False))
+    fits = F.coalesce(size <= step["room"], F.lit(False))
+    return fits if over is None else fits | F.coalesce(h == over, F.lit(False))
 
 
 def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
@@ -203,8 +229,8 @@ def _lookup(narrow: DataFrame, plan: DataFrame, block_words: int, shard_words: i
     ends = dealt.filter("all > 0").withColumn("end", F.sum("blocks").over(upto)).filter(F.col("shard") < shards - 1)
     limits = ends.select("key", "shard", F.floor(F.col("taken") * (F.col("end") / F.col("all"))).alias("limit"))
     copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-    pool = narrow.join(F.broadcast(plan.select("key", "epochs", "steps")), "key")
-    pool = pool.withColumn("copies", F.col("epochs") + _again(F.col("h"), F.col("size"), F.col("steps")).cast("int"))
+    pool = narrow.join(F.broadcast(plan.select("key", "epochs", "steps", "over")), "key")
+    pool = pool.withColumn("copies", F.col("epochs") + _again(F.col("h"), F.col("size"), F.col("steps"), F.col("over")).cast("int"))
     pool = pool.filter("copies > 0").select("key", "h", "size", copies).select("key", _copy_hash(F.col("h"), F.col("copy")).alias("h"), "size")
     bits = min(BUCKET_BITS, max(1, math.ceil(math.log2(shards)) if shards > 1 else 1))
     if shards == 1:
@@ -229,11 +255,11 @@ def mixed(
     takes, each with its copy number, output shard and place (the order within the shard).
 
     A document's size is its number of words: 0 for a null or empty text, which is in the mix without words. A null
-    source is a source of its own, the last. Documents of one id, repeated rows among them, share a hash and are taken
-    or left together if they have one size. An empty table gives no row. The number of sources has to fit in memory.
+    source is a source of its own, the last. Ids may be null or repeated: only rows of one id and one text share a hash
+    and are taken or left together. An empty table gives no row. The number of sources has to fit in memory.
     """
     size = F.size(words(F.col(f"`{text}`"))).cast("long")
-    h = order_hash(F.col(f"`{doc_id}`"), seed)
+    h = order_hash(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), seed)
     key = _key(F.col(f"`{source}`"))
     narrow = stored(docs.select(key.alias("key"), h.alias("h"), size.alias("size")), "sizes")
     sizes = narrow.groupBy("key").agg(F.sum("size").alias("source_size"))
@@ -241,10 +267,10 @@ def mixed(
     table, bits = _lookup(narrow, plan, block_words, shard_words, seed)
     plan = plan.join(table, "key", "left")
     entries = plan.agg(F.sum(F.coalesce(F.size("table"), F.lit(1)))).first()[0] or 0
-    plan = plan.select(F.col("key").alias("__key"), F.struct("source_size", "target", "epochs", "steps", "table").alias("__plan"))
+    plan = plan.select(F.col("key").alias("__key"), F.struct("source_size", "target", "epochs", "steps", "over", "table").alias("__plan"))
     plan = F.broadcast(plan) if entries <= BROADCAST_ENTRIES else plan
     out = docs.withColumns({"__key": key, "__h": h, "__size": size}).join(plan, "__key")
-    again = _again(F.col("__h"), F.col("__size"), F.col("__plan.steps"))
+    again = _again(F.col("__h"), F.col("__size"), F.col("__plan.steps"), F.col("__plan.over"))
     n = F.col("__plan.epochs") + again.cast("int")
 
     def copy(c):
