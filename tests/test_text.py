@@ -53,6 +53,15 @@ def test_entropy(texts):
         assert got[i] == pytest.approx(want, abs=1e-12)
 
 
+def test_entropy_of_long_texts(spark):
+    """Large alphabets, line ends and astral characters; one repeated character gives no negative zero or error."""
+    alphabet = [chr(0x4E00 + i) for i in range(3000)] + ["\n", "\U0001F600"]
+    rows = ["".join(alphabet[i * i % len(alphabet)] for i in range(60_000)), "a" * 300_001, "ab" * 200_000, "\n\n\r"]
+    got = column(spark.createDataFrame(list(enumerate(rows)), "id int, text string"), X.char_entropy(F.col("text")))
+    want = [-sum(c / len(t) * math.log2(c / len(t)) for c in Counter(t).values()) for t in rows]
+    assert got == pytest.approx(want, abs=1e-9) and min(got) >= 0
+
+
 def is_obfuscated(t):
     share = sum(ord(c) > 127 for c in t) / max(len(t), 1)
     found = (r"[A-Za-z0-9+/]{30,}={0,2}", r"[0-9][a-zA-Z][0-9]", r"(\w\s){10,}")
