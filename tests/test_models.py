@@ -163,3 +163,55 @@ def test_reconstruction_matches_svd(planted):
     v = np.linalg.svd(normal - mean, full_matrices=False)[2][:2].T
     rest = (x - mean) - (x - mean) @ v @ v.T
     assert got == pytest.approx(list(np.sqrt((rest**2).mean(axis=1))))
+
+
+def test_net_follows_what_bends(spark):
+    """On a curve the plane is far off; the net is never worse than it, and the same again for other partitions of equal rows."""
+    rng = np.random.default_rng(4)
+    t = rng.uniform(-2, 2, size=3000)
+    x = np.stack([t, t**2 - 1.3, np.sin(2 * t)], axis=1) + 0.02 * rng.normal(size=(3000, 3))
+    df = spark.createDataFrame([(i, 0, *map(float, r)) for i, r in enumerate(x)], "id long, y int, a double, b double, c double")
+    normal, columns = F.col("y") == 0, ["a", "b", "c"]
+    net = Mo.fit_autoencoder(df, columns, normal, k=1)
+    plane = Mo.reconstruction_error(df, columns, Mo.fit_reconstruction(df, columns, normal, 1), "e").agg(F.avg(F.col("e") ** 2)).first()[0]
+    got = Mo.autoencoder_error(df, columns, net, "e").agg(F.avg(F.col("e") ** 2)).first()[0]
+    assert got == pytest.approx(net.loss, rel=1e-9) and got < 0.5 * plane
+    none = Mo.fit_autoencoder(df, columns, normal, k=1, passes=1)
+    assert none.loss == pytest.approx(plane, rel=1e-6)
+
+
+def test_net_gradients_by_differences():
+    rng = np.random.default_rng(5)
+    weights = [rng.normal(size=s) for s in ((4, 3), 3, (3, 2), (2, 3), 3, (3, 4), 4)]
+    net = Mo.Autoencoder(rng.normal(size=4), rng.normal(size=(2, 4)), weights)
+    x = rng.normal(size=(7, 4))
+    flat, slope = net.flat(), net.gradients(x)
+    for i in range(len(flat)):
+        step = np.zeros_like(flat)
+        step[i] = 1e-6
+        change = net.with_flat(flat + step).errors(x).mean() - net.with_flat(flat - step).errors(x).mean()
+        assert slope[i] == pytest.approx(change / 2e-6, abs=1e-6)
+
+
+def test_boundary_reaches_its_optimum(planted):
+    """The stated gap holds against the exact corner, and the objective against many plain steps."""
+    df, columns = planted
+    rows = df.withColumn("x", F.array(*columns))
+    model = Mo.fit_one_class(rows, "x", 0.05, width=32, tolerance=0.01)
+    z = model.features(np.array([r["x"] for r in rows.collect()]))
+    mass = Mo.outside_share(0.05) * len(z)
+
+    def lowest(normal):
+        order = np.argsort(z @ normal)
+        take = np.clip(mass - np.arange(len(z)), 0, 1)
+        return (z[order] * take[:, None]).sum(axis=0) / mass
+
+    square = float(model.normal @ model.normal)
+    gap = (square - float(model.normal @ lowest(model.normal))) / square
+    assert -1e-9 <= gap <= model.gap + 1e-9 and model.gap <= 0.01 and model.passes < 60
+    plain = z.mean(axis=0)
+    for step in range(3000):
+        plain = plain + 2.0 / (step + 2) * (lowest(plain) - plain)
+    assert square <= float(plain @ plain) * 1.02
+    assert (model.score(np.array([r["x"] for r in rows.collect()])) > 1e-9).sum() <= mass
+    assert Mo.fit_one_class(rows.limit(0), "x", 0.05).score(np.zeros((2, 1))).tolist() == [0.0, 0.0]

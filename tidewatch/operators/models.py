@@ -1,9 +1,9 @@
 """Model jobs: distributed fit, distributed scoring.
 
 Boosted trees, logistic regression and PCA are MLlib's. The isolation forest and the one-class
-boundary have no MLlib version and are built here from bounded samples; the linear reconstruction
-stands in for a small autoencoder and the random-feature boundary for a kernel one, so scores rank
-rows in the same way but are not equal to those models' scores.
+boundary have no MLlib version and are built here, and so is the small autoencoder, which starts from
+the linear reconstruction; the random-feature boundary stands in for a kernel one. Scores rank rows in
+the same way but are not equal to those models' scores.
 """
 
 from __future__ import annotations
@@ -224,10 +224,14 @@ def isolation_scores(df: DataFrame, forest: DataFrame, features: str, output: st
 
 
 class OneClassBoundary:
-    """Linear one-class boundary on random Fourier features of an RBF kernel (Rahimi and Recht)."""
+    """Linear one-class boundary on random Fourier features of an RBF kernel (Rahimi and Recht).
+
+    ``gap`` bounds how far the fit's objective is from its optimum, as a share of the squared normal; ``passes`` says how
+    often the rows were read for it."""
 
     def __init__(self, weights: np.ndarray, shifts: np.ndarray, normal: np.ndarray, offset: float):
         self.weights, self.shifts, self.normal, self.offset = weights, shifts, normal, offset
+        self.gap, self.passes = math.inf, 0
 
     def features(self, x: np.ndarray) -> np.ndarray:
         return math.sqrt(2.0 / len(self.shifts)) * np.cos(x @ self.weights + self.shifts)
@@ -237,56 +241,112 @@ class OneClassBoundary:
         return self.offset - self.features(x) @ self.normal
 
 
+def outside_share(rate: float) -> float:
+    """Share of the rows that the boundary may leave outside, from the share of anomalies."""
+    return min(1.5 * rate, 0.3) or 0.01
+
+
+def _least_norm(points: np.ndarray, shares: np.ndarray, moves: int = 2000) -> np.ndarray:
+    """Shares of the points whose mean of shares lies nearest to zero; mass moves from the worst point to the best."""
+    gram = points @ points.T
+    for _ in range(moves):
+        slope = gram @ shares
+        to, away = int(slope.argmin()), int(np.where(shares > 0, slope, -np.inf).argmax())
+        bend = gram[to, to] - 2 * gram[to, away] + gram[away, away]
+        if slope[away] - slope[to] < 1e-12 or bend <= 0:
+            break
+        move = min(shares[away], (slope[away] - slope[to]) / bend)
+        shares[to] += move
+        shares[away] -= move
+    return shares
+
+
 def fit_one_class(
-    df: DataFrame, features: str, rate: float, width: int = 128, steps: int = 40, seed: int = 42
+    df: DataFrame, features: str, rate: float, width: int = 128, steps: int = 200, seed: int = 42, tolerance: float = 0.02
 ) -> OneClassBoundary:
-    """Gradient steps on all rows, which are stored once. Every step sums per-partition gradients; only
-    sums of ``width`` numbers reach the driver."""
-    nu = min(1.5 * rate, 0.3) or 0.01
+    """The boundary's normal is the shortest mean of rows in which no row weighs more than one of the ``share * n`` that may
+    lie outside. Every pass over the rows, which are stored once, adds the mean of the rows lowest along the normal as a
+    corner and finds the shortest mix of all corners so far. The same pass sums the gap to the optimum; the fit stops where
+    that is at most ``tolerance`` of the squared normal, or after ``steps`` passes (the gap then says so). A partition
+    gives counts and sums of a few intervals of the score, whatever its rows; only those reach the driver. An empty table
+    gives a boundary that scores every row zero."""
+    share = outside_share(rate)
     rows = stored(df.select(features), "boundary")
     shape = rows.agg(F.count("*").alias("n"), F.max(F.size(features)).alias("d")).first()
+    inputs = shape.d or 1
     rng = np.random.default_rng(seed)
     # the kernel width that unit-variance inputs call for
     model = OneClassBoundary(
-        rng.normal(0.0, math.sqrt(2.0 / shape.d), (shape.d, width)),
+        rng.normal(0.0, math.sqrt(2.0 / inputs), (inputs, width)),
         rng.uniform(0.0, 2 * math.pi, width),
         np.zeros(width), 0.0,
     )
+    if not shape.n:
+        return model
     held = df.sparkSession.sparkContext.broadcast((model.weights, model.shifts))
 
-    def partial(normal, offset):
-        def gradient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_interval(normal: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Per interval of the score: rows, and the sum of their features."""
+
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             weights, shifts = held.value
-            maker = OneClassBoundary(weights, shifts, normal, offset)
-            # the last entry counts the rows outside
-            grad = np.zeros(width + 1)
+            maker = OneClassBoundary(weights, shifts, normal, 0.0)
+            total = np.zeros((len(edges) + 1, 1 + width))
             for batch in batches:
                 if not len(batch):
                     continue
                 z = maker.features(np.stack(batch[features].to_numpy()))
-                outside = z @ normal < offset
-                grad[:width] += z[outside].sum(axis=0)
-                grad[width] += outside.sum()
-            yield pd.DataFrame({"grad": [grad]})
-
-        return rows.mapInPandas(gradient, "grad array<double>")
-
-    mean = partial(np.zeros(width), 1.0)
-    model.normal = _summed(mean)[:width] / shape.n
-    model.offset = float(model.normal @ model.normal)
-    for step in range(1, steps + 1):
-        total_grad = _summed(partial(model.normal, model.offset))
-        grad, outside = total_grad[:width], total_grad[width]
-        rate_now = 1.0 / math.sqrt(step)
-        model.normal = model.normal - rate_now * (model.normal - grad / (nu * shape.n))
-        model.offset = model.offset + rate_now * (1.0 - outside / (nu * shape.n)) * 0.1
-    return model
+                one = np.zeros((len(z), len(edges) + 1))
+                one[np.arange(len(z)), np.searchsorted(edges, z @ normal, side="right")] = 1.0
+                total[:, 0] += one.sum(axis=0)
+                total[:, 1:] += one.T @ z
+            yield pd.DataFrame({"grad": [total.ravel()]})
+
+        return _summed(rows.mapInPandas(sums, "grad array<double>")).reshape(-1, 1 + width)
+
+    mass = max(1.0, share * shape.n)
+    corners = [by_interval(np.zeros(width), np.zeros(0))[0, 1:] / shape.n]
+    shares = np.ones(1)
+    model.normal, model.passes = corners[0], 1
+    around, reach = 0.0, 1.0
+    while True:
+        square = float(model.normal @ model.normal)
+        # no feature vector is longer than the square root of two
+        limit = math.sqrt(2.0 * square)
+        edges = np.linspace(around - reach, around + reach, 17) * limit
+        counted = by_interval(model.normal, edges)
+        model.passes += 1
+        left, corner, least = mass, np.zeros(width), 0.0
+        for i, interval in enumerate(counted):
+            count, used = interval[0], min(interval[0], left)
+            if not used:
+                continue
+            part = interval[1:] * (used / count)
+            corner += part
+            # of an interval that is taken in part, the lowest rows could all lie at its lower edge
+            floor = float(part @ model.normal) if used == count else used * (edges[i - 1] if i else -limit)
+            least += floor
+            left -= used
+            if left <= 1e-9 * mass:
+                break
+        model.offset = float(edges[i - 1] if i else -limit)
+        model.gap = max(0.0, square - least / mass) / max(square, 1e-12)
+        if model.gap <= tolerance or model.passes >= steps:
+            return model
+        inside = 0 < i < len(edges)
+        reach = max(0.02, reach * 0.6) if inside else min(1.0, 2.5 * reach)
+        corners.append(corner / mass)
+        shares = _least_norm(np.stack(corners), np.append(shares, 0.0))
+        model.normal = shares @ np.stack(corners)
+        # the next pass looks closely where this one found the quantile
+        around = float(np.clip(model.offset / limit if limit else 0.0, -1.0, 1.0))
 
 
 def _summed(parts: DataFrame) -> np.ndarray:
-    """Entry-wise sum of the partitions' vectors."""
-    entries = parts.select(F.posexplode("grad").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
-    return np.array([r["value"] for r in entries.orderBy("at").collect()], dtype=np.float64)
+    """Entry-wise sum of the partitions' vectors, as decimals: the order in which partitions arrive does not matter."""
+    entries = parts.select(F.posexplode("grad").alias("at", "value")).groupBy("at")
+    sums = entries.agg(F.sum(F.col("value").cast("decimal(38,14)")).cast("double").alias("value"))
+    return np.array([r["value"] for r in sums.orderBy("at").collect()], dtype=np.float64)
 
 
 def one_class_scores(df: DataFrame, model: OneClassBoundary, features: str, output: str = "svm_score") -> DataFrame:
@@ -328,12 +388,127 @@ def reconstruction_error(df: DataFrame, columns: Sequence[str], fitted: tuple[li
     return projected.withColumn(output, F.sqrt(plus(errors) / len(columns))).drop(*made)
 
 
+class Autoencoder:
+    """The principal plane of the normal rows and a small net for what bends away from it: two layers down to the plane's
+    width, two back. With the last layer of each half at zero it is the plane itself."""
+
+    def __init__(self, means: np.ndarray, directions: np.ndarray, weights: Sequence[np.ndarray], loss: float = math.inf):
+        self.means, self.directions, self.weights, self.loss = means, directions, list(weights), loss
+
+    def with_flat(self, flat: np.ndarray, loss: float = math.inf) -> "Autoencoder":
+        """The same plane with other weights, given in one vector."""
+        cuts = np.cumsum([w.size for w in self.weights])[:-1]
+        return Autoencoder(self.means, self.directions, [part.reshape(w.shape) for part, w in zip(np.split(flat, cuts), self.weights)], loss)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([w.ravel() for w in self.weights])
+
+    def layers(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        down, down_shift, code, up, up_shift, back, back_shift = self.weights
+        centred = x - self.means
+        first = np.tanh(centred @ down + down_shift)
+        middle = centred @ self.directions.T + first @ code
+        second = np.tanh(middle @ up + up_shift)
+        return centred, first, middle, second, middle @ self.directions + second @ back + back_shift
+
+    def errors(self, x: np.ndarray) -> np.ndarray:
+        """Mean squared error of each row."""
+        centred, *_, made = self.layers(x)
+        return ((made - centred) ** 2).mean(axis=1)
+
+    def gradients(self, x: np.ndarray) -> np.ndarray:
+        """Mean gradient of the rows' errors, as one vector."""
+        _, _, code, up, _, back, _ = self.weights
+        centred, first, middle, second, made = self.layers(x)
+        off = 2.0 * (made - centred) / made.size
+        at_second = (off @ back.T) * (1.0 - second**2)
+        at_middle = off @ self.directions.T + at_second @ up.T
+        at_first = (at_middle @ code.T) * (1.0 - first**2)
+        parts = [
+            centred.T @ at_first, at_first.sum(axis=0), first.T @ at_middle,
+            middle.T @ at_second, at_second.sum(axis=0), second.T @ off, off.sum(axis=0),
+        ]
+        return np.concatenate([p.ravel() for p in parts])
+
+
+def fit_autoencoder(
+    df: DataFrame, columns: Sequence[str], normal: Column, k: int = 4, hidden: int = 16, passes: int = 25,
+    batch: int = 256, updates: int = 64, rate: float = 0.01, patience: int = 4, seed: int = 42,
+) -> Autoencoder:
+    """A net fitted on the normal rows, which are stored once. In a pass every partition takes the shared weights, sums
+    their error over its rows and trains on by batches, ``updates`` steps for each Arrow batch or once over it; the driver averages the weights by rows. Weights that did worse are
+    taken half the way back to the best ones; the fit ends after ``patience`` passes without a gain of a thousandth.
+    The best weights are kept, and the first ones are the principal plane's, so that the error is never above the plane's.
+    Columns hold no nulls; without normal rows there is no plane, which raises as it does there."""
+    means, directions = fit_reconstruction(df, columns, normal, k)
+    rows = stored(df.filter(normal).select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x")), "normal-rows")
+    plane = np.array(directions)
+    wide, k = len(columns), len(plane)
+    rng = np.random.default_rng(seed)
+    draw = lambda n, m: rng.normal(0.0, 1.0 / math.sqrt(n), (n, m))
+    start = [draw(wide, hidden), np.zeros(hidden), np.zeros((hidden, k)), draw(k, hidden), np.zeros(hidden), np.zeros((hidden, wide)), np.zeros(wide)]
+    current = Autoencoder(np.array(means), plane, start)
+
+    def trained(model: Autoencoder, rate: float) -> np.ndarray:
+        held = df.sparkSession.sparkContext.broadcast(model)
+
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            given = held.value
+            own, loss, n, t = given.flat(), 0.0, 0, 0
+            mean, square = np.zeros_like(own), np.zeros_like(own)
+            for frame in batches:
+                if not len(frame):
+                    continue
+                x = np.stack(frame["x"].to_numpy())
+                loss += float(given.errors(x).sum())
+                n += len(x)
+                starts = range(0, len(x), batch)
+                for at in list(starts) * max(1, updates // len(starts)):
+                    t += 1
+                    slope = given.with_flat(own).gradients(x[at : at + batch])
+                    mean = 0.9 * mean + 0.1 * slope
+                    square = 0.999 * square + 0.001 * slope**2
+                    own = own - rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+            if n:
+                yield pd.DataFrame({"grad": [np.concatenate([[loss, n], n * own])]})
+
+        return _summed(rows.mapInPandas(part, "grad array<double>"))
+
+    best, idle = current, 0
+    for _ in range(passes):
+        total = trained(current, rate)
+        loss, after = total[0] / total[1], total[2:] / total[1]
+        idle = 0 if loss < best.loss * (1 - 1e-3) else idle + 1
+        if loss < best.loss:
+            best = current.with_flat(current.flat(), loss)
+            current = current.with_flat(after)
+        else:
+            rate /= 2
+            current = current.with_flat((best.flat() + current.flat()) / 2)
+        if idle >= patience:
+            break
+    return best
+
+
+def autoencoder_error(df: DataFrame, columns: Sequence[str], model: Autoencoder, output: str = "ae_rmse") -> DataFrame:
+    """Root mean squared distance of a row to what the net makes of it."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype="float64")
+        return pd.Series(np.sqrt(held.value.errors(np.stack(vectors.to_numpy()))))
+
+    return df.withColumn(output, score(F.array(*[F.col(c).cast("double") for c in columns])))
+
+
 # --- the three together --------------------------------------------------------------------------
 
 
-def ensemble_scores(df: DataFrame, columns: Sequence[str], key: str, label: str, trees: int = TREES, steps: int = 40, seed: int = 42) -> DataFrame:
+def ensemble_scores(df: DataFrame, columns: Sequence[str], key: str, label: str, trees: int = TREES, steps: int = 200, seed: int = 42) -> DataFrame:
     """Scaled inputs and the three model scores per row: forest and boundary fitted without labels,
-    the reconstruction on normal rows only."""
+    the net on normal rows only."""
     names = [f"_s{i}" for i in range(len(columns))]
     filled = M.fill_gaps(df, list(columns))
     # the fits pass over the inputs many times
@@ -341,6 +516,6 @@ def ensemble_scores(df: DataFrame, columns: Sequence[str], key: str, label: str,
     rate = float(rows.agg(F.avg(F.col(label).cast("double"))).first()[0] or 0.0)
     forest = fit_isolation_forest(rows, "_x", key, trees=trees, seed=seed)
     boundary = fit_one_class(rows, "_x", rate, steps=steps, seed=seed)
-    plane = fit_reconstruction(rows, names, F.col(label) == 0)
-    scored = reconstruction_error(one_class_scores(isolation_scores(rows, forest, "_x"), boundary, "_x"), names, plane)
+    net = fit_autoencoder(rows, names, F.col(label) == 0, seed=seed)
+    scored = autoencoder_error(one_class_scores(isolation_scores(rows, forest, "_x"), boundary, "_x"), names, net)
     return scored.drop("_x", *names)

@@ -287,6 +287,46 @@ def reconstruction_error(spark, sf):
     return Mo.reconstruction_error(rows, names, fitted).select("event_id", "ae_rmse")
 
 
+@query(
+    "autoencoder_fit",
+    "SELECT count(*) AS scored, true AS beats_plane, true AS all_finite FROM events",
+)
+def autoencoder_fit(spark, sf):
+    """Does the net reconstruct normal rows better than their principal plane, and score every row?"""
+    rows, names = model_inputs(spark, sf)
+    normal = F.col("is_anomaly") == 0
+    net = Mo.fit_autoencoder(rows, names, normal)
+    plane = Mo.reconstruction_error(rows, names, Mo.fit_reconstruction(rows, names, normal), "plane")
+    both = Mo.autoencoder_error(plane, names, net)
+    mean = lambda c: F.avg(F.when(normal, F.col(c) * F.col(c)))
+    return both.agg(
+        F.count("*").alias("scored"), (mean("ae_rmse") < mean("plane")).alias("beats_plane"),
+        F.every(F.col("ae_rmse").isNotNull() & (F.col("ae_rmse") < float("inf"))).alias("all_finite"),
+    )
+
+
+@query("autoencoder_error")
+def autoencoder_error(spark, sf):
+    rows, names = model_inputs(spark, sf)
+    return Mo.autoencoder_error(rows, names, Mo.fit_autoencoder(rows, names, F.col("is_anomaly") == 0)).select("event_id", "ae_rmse")
+
+
+@query(
+    "one_class_fit",
+    "SELECT count(*) AS scored, true AS gap_is_small, true AS outside_is_bounded FROM events",
+)
+def one_class_fit(spark, sf):
+    """Is the boundary near its optimum, and are no more rows outside than it may leave there?"""
+    rows, _ = model_inputs(spark, sf)
+    rate = rows.agg(F.avg("is_anomaly")).first()[0]
+    model = Mo.fit_one_class(rows, "x", rate)
+    outside = F.count_if(F.col("svm_score") > 1e-9)
+    return Mo.one_class_scores(rows, model, "x").agg(
+        F.count("*").alias("scored"), F.lit(model.gap <= 0.02).alias("gap_is_small"),
+        (outside <= F.lit(Mo.outside_share(rate)) * F.count("*")).alias("outside_is_bounded"),
+    )
+
+
 @query("ensemble_metrics")
 def ensemble_metrics(spark, sf):
     """Calibrated threshold and metrics per model, and of the agreement rule."""
