@@ -161,3 +161,28 @@ def test_grounding_counts(spark):
     rows = [("high", ["f"]), ("HIGH", ["f"]), ("low", ["f"]), ("unknown", []), ("high", []), (None, ["f"]), ("medium", None)]
     df = spark.createDataFrame(rows, "grounding_confidence string, retrieved_sources array<string>")
     assert tuple(D.grounding_counts(df).first()) == (7, 3, 4)
+
+
+def test_cut_off_objects_are_closed(spark):
+    """Every prefix of an object from its first value on is closed to an object that holds a part of it."""
+    whole = '{"n": 1, "t": "a \\\\ \\"q\\" \\u00e9 {x", "l": [1, {"y": null}, "z"], "o": {"b": true}}'
+    want = json.loads(whole)
+    cuts = [whole[:i] for i in range(7, len(whole) + 1)]
+    odd = [
+        ('{"a": not sure, "b": [x y, 1', {"a": "not sure", "b": ["x y", 1]}), ("{'a': 'b', 'c", {"a": "b"}), ("{", {}), ("So: {a: 1, b", {"a": 1}),
+        ('{"a": 1} and {"b', {"a": 1}), ('{"a": [1}', None), ('{"a": 1]', None), ("no object", None), ("", None), (None, None),
+        ('{"a": "' + "x" * 200_000, {"a": "x" * 200_000}), ('{"a": "' + '\\\\\\"' * 20_000, {"a": '\\"' * 20_000}), ('{"a": ' + "[" * 50 + "1,", None),
+    ]
+    rows = spark.createDataFrame(list(enumerate([*cuts, *(t for t, _ in odd)])), "i int, raw string")
+    made = [r["d"] for r in rows.select("i", F.to_json(K.extract_object(F.col("raw"), complete=True)).alias("d")).orderBy("i").collect()]
+    assert json.loads(made[len(cuts) - 1]) == want
+    for cut, text in zip(cuts, made):
+        got = json.loads(text)
+        assert set(got) <= set(want) and got["n"] == 1, cut
+        assert "t" not in got or got["t"] is None or want["t"].startswith(got["t"]), cut
+        assert "l" not in got or got["l"] is None or len(got["l"]) <= 3, cut
+    for (text, expected), found in list(zip(odd, made[len(cuts):]))[:-1]:
+        assert (json.loads(found) if found is not None else None) == expected, text and text[:40]
+    assert json.loads(made[-1])["a"] is not None
+    plain = [r["d"] for r in rows.select("i", K.extract_object(F.col("raw")).isNotNull().alias("d")).orderBy("i").collect()]
+    assert sum(plain[: len(cuts)]) == 1

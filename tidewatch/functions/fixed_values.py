@@ -51,6 +51,16 @@ ACTION_TEXT = {
     "block": "Request blocked automatically. Log for weekly pattern review.",
     "escalate": "Route to human security reviewer within 1 hour SLA.",
 }
+FAIL_CLOSED_BEGIN = "Fail-closed escalation triggered: "
+TRIAGE_FAIL_CLOSED_END = ". Triage agent output could not be validated after retries."
+JUDGE_FAIL_CLOSED_END = (
+    ". Judge agent output could not be validated after retries, so "
+    "this request is being escalated for manual review as a safety default."
+)
+ESCALATION_HIGH = "classifier risk_tier is HIGH"
+ESCALATION_DISAGREED = ["Triage/Judge disagreement (triage='", "', judge='", "')"]
+ESCALATION_FAILED = "fail-closed fallback triggered in: "
+ESCALATION_NONE = "routine pipeline pass -- no escalation criteria met"
 
 # --- limits --------------------------------------------------------------------------------------
 ROLLING_ROWS_BEFORE = 12

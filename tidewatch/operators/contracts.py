@@ -51,11 +51,85 @@ def recovered_text(text: Column) -> Column:
     return F.regexp_replace(quotes, r"([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:", '$1"$2":')
 
 
-def extract_object(text: Column) -> Column:
-    """A JSON object out of messy text, or null: as it is, without the prose around it, repaired."""
+# a string, ended or cut off; a mark; anything between
+TOKENS = r'"[^"]*+"?|[{}\[\],:]|[^"{}\[\],:]++'
+LITERAL = r"^(-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)$"
+# two code points that no text may hold stand for an escaped backslash and an escaped quote
+BACKSLASH, QUOTE = "\ufdd0", "\ufdd1"
+
+
+def completed_text(text: Column) -> Column:
+    """An object that was cut off, closed again; null where its brackets do not match.
+
+    Tokens are folded with the open brackets as a stack. Values without quotes get them, a string that was cut off is
+    ended, a key without a value gets null, a key that was cut off goes; prose after the object goes. A number that was
+    cut off cannot be told from a whole one. Texts with the two code points used for escapes give null."""
+    begun = F.regexp_extract(text, r"(?s)\{.*", 0)
+    quoted = F.when(~begun.contains('"'), F.replace(begun, F.lit("'"), F.lit('"'))).otherwise(begun)
+    hidden = F.replace(F.replace(quoted, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
+    # an escape that was cut off, and commas before a closing bracket
+    whole = F.regexp_replace(F.regexp_replace(hidden, r"\\(u[0-9A-Fa-f]{0,3})?\z", ""), r",\s*([}\]])", "$1")
+    tokens = F.regexp_extract_all(whole, F.lit(TOKENS), F.lit(0))
+
+    def step(state: Column, token: Column) -> Column:
+        stack, wants = state["stack"], state["wants"]
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        after = (
+            F.when(opens, F.concat(F.when(token == "{", "}").otherwise("]"), stack))
+            .when(closes, F.substring(stack, F.lit(2), F.length(stack)))
+            .otherwise(stack)
+        )
+        scalar = F.when(strip(token) == "", wants).when(wants == "key", "colon").otherwise("any")
+        next_wanted = (
+            F.when(token == "{", "key")
+            .when(opens | closes, "any")
+            .when(token == ":", F.when(wants == "colon", "value").otherwise(wants))
+            .when(token == ",", F.when(stack.startswith("}"), "key").otherwise("any"))
+            .otherwise(scalar)
+        )
+        moved = F.struct(
+            after.alias("stack"), next_wanted.alias("wants"), (state["taken"] + 1).alias("taken"),
+            (state["bad"] | (closes & ~stack.startswith(token))).alias("bad"),
+        )
+        return F.when((state["taken"] > 0) & (stack == ""), state).otherwise(moved)
+
+    start = F.struct(F.lit("").alias("stack"), F.lit("any").alias("wants"), F.lit(0).alias("taken"), F.lit(False).alias("bad"))
+
+    def written(token: Column) -> Column:
+        bare = strip(token)
+        as_is = token.startswith('"') | token.isin("{", "}", "[", "]", ",", ":") | (bare == "") | F.regexp_like(bare, F.lit(LITERAL))
+        escaped = F.replace(F.regexp_replace(bare, r"[\x00-\x1F]", " "), F.lit("\\"), F.lit("\\\\"))
+        return F.when(as_is, token).otherwise(F.concat(F.lit('"'), escaped, F.lit('"')))
+
+    def closed(state: Column) -> Column:
+        last = F.try_element_at(tokens, state["taken"])
+        # a key that was cut off, and the blanks after it
+        loose = F.when(state["wants"] == "colon", F.when(strip(last) == "", 2).otherwise(1)).otherwise(0)
+        body = F.array_join(F.transform(F.slice(tokens, F.lit(1), state["taken"] - loose), written), "")
+        cut = last.startswith('"') & ((F.length(last) == 1) | ~last.endswith('"'))
+        ended = (
+            F.when(state["wants"] == "colon", body)
+            .when(state["wants"] == "value", F.concat(body, F.lit("null")))
+            .when(cut, F.concat(body, F.lit('"')))
+            .otherwise(body)
+        )
+        whole_again = F.concat(F.regexp_replace(ended, r",\s*\z", ""), state["stack"])
+        shown = F.replace(F.replace(whole_again, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
+        return F.when((state["taken"] > 0) & ~state["bad"], shown)
+
+    hides = text.contains(BACKSLASH) | text.contains(QUOTE)
+    return F.when(~hides, F.aggregate(tokens, start, step, closed))
+
+
+def extract_object(text: Column, complete: bool = False) -> Column:
+    """A JSON object out of messy text, or null: as it is, without the prose around it, repaired, and with ``complete``
+    also closed again where it was cut off."""
     clean = without_fences(text)
     inner = F.regexp_extract(clean, r"(?s)\{.*\}", 0)
-    return F.coalesce(parse_object(clean), parse_object(inner), parse_object(recovered_text(clean)))
+    ways = [parse_object(clean), parse_object(inner), parse_object(recovered_text(clean))]
+    if complete:
+        ways.append(parse_object(completed_text(clean)))
+    return F.coalesce(*ways)
 
 
 # --- rules ---------------------------------------------------------------------------------------
@@ -355,8 +429,7 @@ def cast_violations(df: DataFrame, casts: Mapping[str, str], name: str = "violat
 def triage_or_escalation(triage: Column, is_valid: Column, prompt_id: Column, label: Column, reason: Column) -> Column:
     """A triage record that failed becomes the most conservative one."""
     because = F.concat(
-        F.lit("Fail-closed escalation triggered: "), reason,
-        F.lit(". Triage agent output could not be validated after retries."),
+        F.lit(V.FAIL_CLOSED_BEGIN), reason, F.lit(V.TRIAGE_FAIL_CLOSED_END),
     )
     fallback = F.struct(
         prompt_id.alias("prompt_id"), label.alias("attack_category"), F.lit("high").alias("classifier_risk_tier"),
@@ -383,9 +456,7 @@ def judge_or_escalation(
 ) -> Column:
     """A judge record that failed escalates; its agreement flag is computed, not assumed."""
     because = F.concat(
-        F.lit("Fail-closed escalation triggered: "), reason,
-        F.lit(". Judge agent output could not be validated after retries, so "
-              "this request is being escalated for manual review as a safety default."),
+        F.lit(V.FAIL_CLOSED_BEGIN), reason, F.lit(V.JUDGE_FAIL_CLOSED_END),
     )
     fallback = F.struct(
         prompt_id.alias("prompt_id"), triage_disposition.alias("triage_disposition_reviewed"),

@@ -106,9 +106,18 @@ def action_text(disposition: Column) -> Column:
     return F.try_element_at(lookup, disposition)
 
 
+def _named_by(prefix: str, key: Column) -> Column:
+    return F.concat(F.lit(prefix), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
+
+
 def incident_id(key: Column) -> Column:
     """Same key, same id: a rerun does not open a second incident."""
-    return F.concat(F.lit("INC-"), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
+    return _named_by("INC-", key)
+
+
+def prompt_id(key: Column) -> Column:
+    """The id under which a request's records are kept together; same key, same id."""
+    return _named_by("PROMPT-", key)
 
 
 def escalation(
@@ -135,21 +144,21 @@ def escalation(
     is_high = tier == "high"
     reasons = F.concat_ws(
         "; ",
-        F.when(is_high, F.lit("classifier risk_tier is HIGH")),
+        F.when(is_high, F.lit(V.ESCALATION_HIGH)),
         F.when(
             disagreed,
             F.concat(
-                F.lit("Triage/Judge disagreement (triage='"), triage_disposition,
-                F.lit("', judge='"), judge_disposition, F.lit("')"),
+                F.lit(V.ESCALATION_DISAGREED[0]), triage_disposition,
+                F.lit(V.ESCALATION_DISAGREED[1]), judge_disposition, F.lit(V.ESCALATION_DISAGREED[2]),
             ),
         ),
-        F.when(any_failed, F.concat(F.lit("fail-closed fallback triggered in: "), F.array_join(failed, ", "))),
+        F.when(any_failed, F.concat(F.lit(V.ESCALATION_FAILED), F.array_join(failed, ", "))),
     )
     action = F.when(any_failed, "escalate").otherwise(more_conservative(triage_disposition, judge_disposition))
     return {
         "incident_id": incident_id(key),
         "agents_disagreed": disagreed,
-        "escalation_reason": F.when(reasons == "", "routine pipeline pass -- no escalation criteria met").otherwise(reasons),
+        "escalation_reason": F.when(reasons == "", V.ESCALATION_NONE).otherwise(reasons),
         "severity": tier,
         "recommended_action": action,
         "notify_slack": is_high | disagreed | any_failed,

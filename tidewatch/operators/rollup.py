@@ -86,12 +86,15 @@ def split_facts(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flat.filter(well_formed()), flat.filter(~well_formed())
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, key: str, *order: str) -> DataFrame:
-    """Rows of the batch whose key is not stored yet, the first per key. Copies are cut to one per
-    map task before the shuffle."""
+def first_per_key(batch: DataFrame, key: str, *order: str) -> DataFrame:
+    """Copies are cut to one per map task before the shuffle."""
     window = Window.partitionBy(key).orderBy(*order) if order else Window.partitionBy(key).orderBy(F.lit(0))
-    first = batch.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
-    return first.join(stored.select(key), key, "left_anti")
+    return batch.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def new_rows(batch: DataFrame, stored: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows of the batch whose key is not stored yet, the first per key."""
+    return first_per_key(batch, key, *order).join(stored.select(key), key, "left_anti")
 
 
 def event_date(ts: str = "event_timestamp") -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import text as X
 from tidewatch.operators import corpus as C
 from tidewatch.operators import evaluate as E
+from tidewatch.operators import similarity as S
 from tidewatch.plans.evaluation import score_sql
 from tidewatch.plans.registry import query, table
 from tidewatch.plans.telemetry import MARK_SQL, marked_events
@@ -77,3 +78,24 @@ def corpus_order(spark, sf):
     rows = split_documents(spark, sf)
     parts = [rows.filter(F.col("split") == s) for s in ("train", "val", "test")]
     return C.union_all(parts).select("doc_id", "lang").orderBy("doc_id")
+
+
+@query(
+    "markdown_sections",
+    """WITH counted AS (SELECT n_name, c_mktsegment, count(*) AS n, row_number() OVER (PARTITION BY n_name ORDER BY c_mktsegment) AS section_no
+  FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment)
+SELECT n_name, section_no, c_mktsegment AS title, n || ' customers' AS text FROM counted
+UNION ALL SELECT DISTINCT n_name, 0, '# ' || n_name, '' FROM counted""",
+)
+def markdown_sections(spark, sf):
+    """A markdown file per nation, with a section per market segment, written and read back as sections."""
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    counted = table(spark, sf, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n")).join(nations, "c_nationkey")
+    # a nation has a handful of segments
+    parts = counted.groupBy("n_name").agg(F.array_sort(F.collect_list(F.format_string("## %s\n%d customers", "c_mktsegment", "n"))).alias("parts"))
+    path = new_table_path(spark, "markdown")
+    files = parts.select("n_name", F.concat(F.lit("# "), "n_name", F.lit("\n"), F.array_join("parts", "\n")).alias("content"))
+    files.write.partitionBy("n_name").text(path)
+    read = readers.read_markdown(spark, f"{path}/*").select(F.regexp_extract("content", "^# (.*)", 1).alias("n_name"), "content")
+    cut = S.sections(read, "n_name", "content")
+    return cut.select("n_name", F.col("section_no").cast("long").alias("section_no"), X.strip(F.col("title")).alias("title"), X.strip(F.col("text")).alias("text"))

@@ -111,6 +111,47 @@ def rolling_features(spark, sf):
     return rounded(M.fill_gaps(done), ["event_id", "event_type", "value_per_k"], FEATURES)
 
 
+# a full set of service metrics made of the two that the events hold; times are told apart by the event's number
+METRICS = {
+    "cpu_pct": "value", "memory_pct": "value * 0.5 + k", "latency_p50_ms": "value * 2", "latency_p95_ms": "value * 3 + k",
+    "latency_p99_ms": "value * 4 + k", "error_rate_pct": "k * 0.125", "queue_depth": "k * 2", "thread_count": "k",
+}
+
+
+def telemetry_sql():
+    """The nineteen model inputs, spelled out from the metrics' names."""
+    z = "coalesce(({c} - avg({c}) OVER w) / nullif(stddev_samp({c}) OVER w, 0), 0)"
+    change = "coalesce({c} - lag({c}) OVER o, 0)"
+    terms = {c: c for c in METRICS}
+    for c, name in zip(
+        ("cpu_pct", "memory_pct", "latency_p95_ms", "error_rate_pct", "queue_depth", "thread_count"),
+        ("cpu", "mem", "latency", "error", "queue", "thread"),
+    ):
+        terms[f"{name}_zscore"] = z.format(c=c)
+    for c, name in (("cpu_pct", "cpu"), ("latency_p95_ms", "latency"), ("memory_pct", "memory")):
+        terms[f"{name}_rate_of_change"] = change.format(c=c)
+    terms["latency_per_cpu_ratio"] = "coalesce(latency_p95_ms / nullif(cpu_pct, 0), 0)"
+    terms["queue_per_thread_ratio"] = "coalesce(queue_depth / nullif(thread_count, 0), 0)"
+    return ", ".join(f"round({e}, 6) AS {c}" for c, e in terms.items())
+
+
+@query(
+    "telemetry_features",
+    f"""WITH base AS ({BASE_SQL}), telemetry AS (
+  SELECT event_id, event_type AS service_name, ts + to_microseconds(event_id) AS seen_at, {', '.join(f'{e} AS {c}' for c, e in METRICS.items())} FROM base)
+SELECT event_id, service_name, {telemetry_sql()} FROM telemetry
+WINDOW o AS (PARTITION BY service_name ORDER BY seen_at), w AS (PARTITION BY service_name ORDER BY seen_at ROWS BETWEEN 12 PRECEDING AND CURRENT ROW)""",
+)
+def telemetry_features(spark, sf):
+    """The feature table of a service's telemetry, all nineteen model inputs."""
+    at = F.expr("timestampadd(MICROSECOND, event_id, ts)")
+    metrics = metric_events(spark, sf).select(
+        "event_id", F.col("event_type").alias("service_name"), at.alias("timestamp"), *[F.expr(e).alias(c) for c, e in METRICS.items()]
+    )
+    done = M.telemetry_features(metrics, group_rows=bound(spark, sf, "events", "event_type"))
+    return rounded(done, ["event_id", "service_name"], M.MODEL_INPUTS)
+
+
 @query(
     "batch_local_features",
     f"""WITH numbered AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS i FROM ({BASE_SQL})),

@@ -137,6 +137,23 @@ def served_text_features(spark, sf):
     )
 
 
+@query(
+    "training_text_features",
+    f"""WITH {ENTROPY_SQL}
+SELECT d.doc_id, CAST({hits_sql('lower(text)', V.SPECIAL_TOKENS)} AS BIGINT) AS special_token_count,
+       round({DENSITY_SQL}, 9) AS imperative_verb_density, round({LEXICON_SQL}, 9) AS roleplay_lexicon_score,
+       round((e.h - avg(e.h) OVER ()) / stddev_samp(e.h) OVER (), 6) AS char_entropy_anomaly_score,
+       round((length(text) - avg(length(text)) OVER ()) / stddev_samp(length(text)) OVER (), 6) AS prompt_length_zscore
+FROM documents d JOIN entropy e ON d.doc_id = e.doc_id""",
+)
+def training_text_features(spark, sf):
+    """The feature table that a model is trained on."""
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    done = C.training_text_features(docs, "doc_id", "text", LEXICON)
+    places = {"imperative_verb_density": 9, "roleplay_lexicon_score": 9, "char_entropy_anomaly_score": 6, "prompt_length_zscore": 6}
+    return done.select("doc_id", F.col("special_token_count").cast("long").alias("special_token_count"), *[F.round(c, n).alias(c) for c, n in places.items()])
+
+
 BLANK_SQL = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
 SPACED_SQL = r"([\p{L}\p{N}_]" + BLANK_SQL + r"){10,}"
 SHARE_SQL = r"length(regexp_replace(text, '[\x00-\x7F]', '', 'g')) / greatest(length(text), 1)"

@@ -11,7 +11,7 @@ from tidewatch.operators import metrics as M
 from tidewatch.operators import rollup as R
 from tidewatch.plans.registry import bound, query, spread, table
 from tidewatch.session import new_table_path
-from tidewatch.sources import readers, writers
+from tidewatch.sources import keyed, readers, writers
 
 # Both engines read these expressions; k is the number in props.
 CATEGORY = """CASE event_type WHEN 'click' THEN 'benign' WHEN 'view' THEN 'roleplay' WHEN 'error' THEN 'obfuscation'
@@ -191,6 +191,16 @@ def append_new(spark, sf):
     return new.select("prompt_id", F.date_format("event_timestamp", TIME).alias("event_time"))
 
 
+@query("append_keyed", f"WITH {FACT_SQL} SELECT prompt_id, strftime(min(event_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS event_time FROM fact GROUP BY prompt_id")
+def append_keyed(spark, sf):
+    """Two batches into a table in folders by key with filters; the second holds all of the first again."""
+    every = facts(spark, sf).select("prompt_id", "event_timestamp")
+    path = new_table_path(spark, "keyed")
+    keyed.append_new(every.filter(F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp")), path, "prompt_id", "event_timestamp", buckets=16)
+    keyed.append_new(every, path, "prompt_id", "event_timestamp", buckets=16)
+    return keyed.read(spark, path).select("prompt_id", F.date_format("event_timestamp", TIME).alias("event_time"))
+
+
 def cents(n, d):
     """Half-up quotient of whole numbers to two places, exact."""
     return f"((2 * ({n}) + {d}) // (2 * {d})) / 100.0"
@@ -587,6 +597,37 @@ def messy_json(spark, sf):
     return rows.select("event_id", F.try_variant_get(doc, "$.n", "bigint").alias("n"))
 
 
+CUT_RAW = """CASE event_id % 7
+  WHEN 0 THEN concat('{"n": ', k, ', "tag": "a \\\\"b\\\\""}')
+  WHEN 1 THEN concat('{"n": ', k, ', "tag": "a b')
+  WHEN 2 THEN concat('Sure: {"n": ', k, ', "tag": "t", "list": [1, {"x": 2')
+  WHEN 3 THEN concat('{"n": ', k, ', "tag":')
+  WHEN 4 THEN concat('{"n": ', k, ', "tag": not sure, "x": {"y": [true, {"z": ')
+  WHEN 5 THEN concat('{"n": ', k, ', "ta')
+  ELSE concat('{"n": [', k, '}, "tag": "t"') END"""
+
+
+@query(
+    "completed_json",
+    """SELECT event_id, CASE WHEN event_id % 7 < 6 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS n,
+       CASE event_id % 7 WHEN 0 THEN 'a "b"' WHEN 1 THEN 'a b' WHEN 2 THEN 't' WHEN 4 THEN 'not sure' END AS tag FROM events""",
+)
+def completed_json(spark, sf):
+    """Objects that were cut off anywhere, closed again; brackets that do not match give nothing."""
+    rows = spread(base_events(spark, sf)).select("event_id", F.expr(CUT_RAW).alias("raw"))
+    doc = K.extract_object(F.col("raw"), complete=True)
+    return rows.select("event_id", F.try_variant_get(doc, "$.n", "bigint").alias("n"), F.try_variant_get(doc, "$.tag", "string").alias("tag"))
+
+
+@query(
+    "correlation_ids",
+    "SELECT event_id, 'PROMPT-' || upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 10)) AS prompt_id, 'INC-' || upper(substr(md5(CAST(event_id AS VARCHAR)), 1, 10)) AS incident_id FROM events",
+)
+def correlation_ids(spark, sf):
+    key = F.col("event_id")
+    return table(spark, sf, "events").select("event_id", D.prompt_id(key).alias("prompt_id"), D.incident_id(key).alias("incident_id"))
+
+
 @query(
     "failclosed_fill",
     f"""WITH {raw_sql(TRIAGE_RAW)}, seen AS (
