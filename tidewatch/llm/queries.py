@@ -82,7 +82,7 @@ def op3(spark, sf_dir):
 
 @query("op9_surrogates")
 def op9(spark, sf_dir):
-    return surrogates.replaced(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    return surrogates.replaced(table(spark, sf_dir, "documents"), surrogates.query_key(spark)).select("doc_id", "text", "n_entities")
 
 
 @query("op5_crf_language")

@@ -10,12 +10,15 @@ surrogate is itself an entity of the corpus, the later one is rendered from its
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.session import stored
 
-KEY = "tidewatch"
+#: where a session names the key that the registered query uses
+KEY_CONF = "spark.tidewatch.surrogates.key"
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία")
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος")
 EITHER = ("Dr", "Prof")
@@ -162,8 +165,40 @@ def _words(parts: Column, script: Column, digest: Column, gender: Column, attemp
     return F.array_join(F.transform(parts, word), " ")
 
 
-def entity_digest(kind: Column, mention: Column, attempt: Column, key: str = KEY) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), kind, normal_form(kind, mention), attempt.cast("string")), 256)
+def query_key(spark: SparkSession) -> str:
+    """The session's key. Where none is set, one for the test tables, whose entities are made up: real data need a secret one."""
+    return spark.conf.get(KEY_CONF, None) or "made-up tables only"
+
+
+def entity_digest(kind: Column, mention: Column, attempt: Column, key: str) -> Column:
+    """HMAC with SHA-256 of the entity and the attempt, as hex: without the key no entity can be tried out."""
+    secret = key.encode()
+    if not secret:
+        raise ValueError("surrogates need a key")
+    block = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    entity = F.concat_ws("|", kind, normal_form(kind, mention), attempt.cast("string"))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.encode(entity, "UTF-8")), 256))), 256)
+
+
+def _check_sum(number: Column) -> Column:
+    """The last digit of the sum of a number's digits, every second one from the right doubled and its digits added."""
+    digits = F.reverse(F.transform(F.regexp_extract_all(number, F.lit("[0-9]"), F.lit(0)), lambda d: d.cast("int")))
+    terms = F.transform(digits, lambda d, i: F.when(i % 2 == 0, d).when(d > 4, d * 2 - 9).otherwise(d * 2))
+    return F.aggregate(terms, F.lit(0), lambda total, t: total + t) % 10
+
+
+def _card(mention: Column, digest: Column, attempt: Column) -> Column:
+    """A number with the card's first digit and groups; its check digit fits if the card's does."""
+
+    def checked(e):
+        kept = F.char_length(e["made"]) - 1
+        right = (F.substr(e["made"], kept + 1).cast("int") + 10 - _check_sum(e["made"])) % 10
+        return F.when(e["fits"], F.concat(F.substr(e["made"], F.lit(1), kept), right.cast("string"))).otherwise(e["made"])
+
+    made = _longer(_shaped(mention, digest, "^[0-9]"), digest, attempt, "0123456789")
+    once = F.struct(made.alias("made"), (_check_sum(mention) == 0).alias("fits"))
+    return F.get(F.transform(F.array(once), checked), F.lit(0))
 
 
 def surrogate(kind: Column, mention: Column, attempt: Column, gender: Column, digest: Column) -> Column:
@@ -176,6 +211,7 @@ def surrogate(kind: Column, mention: Column, attempt: Column, gender: Column, di
         F.when(kind == "email", F.concat(_shaped(F.concat(local, F.lit("@"), _longer(host, digest, attempt, "abcdefghijklmnopqrstuvwxyz")), digest), suffix))
         .when(kind == "ipv4", F.array_join(octets, "."))
         .when(kind == "name", _name(mention, digest, gender, attempt))
+        .when(kind == "card", _card(mention, digest, attempt))
         .when(kind == "phone", _longer(_shaped(mention, digest, COUNTRY), digest, attempt, "0123456789"))
         .otherwise(_longer(_shaped(mention, digest), digest, attempt, "0123456789"))
     )
@@ -187,7 +223,7 @@ def _mentions(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.transform(found, lambda m: F.struct(entity_type(m).alias("kind"), m.alias("mention"))))
 
 
-def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame:
+def exceptions(entities: DataFrame, key: str) -> DataFrame:
     """(kind, normal, attempt, gender) of the entities that may not use their first surrogate, or whose mentions' titles do
     not all tell the entity's gender.
 
@@ -214,8 +250,9 @@ def exceptions(entities: DataFrame, key: str = KEY) -> DataFrame:
     return state.filter("attempt > 0 OR varied").select("kind", "normal", "attempt", "gender")
 
 
-def replaced(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with its text replaced and ``n_entities`` (replaced if there is one), the number of mentions.
+def replaced(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with its text replaced and ``n_entities`` (replaced if there is one), the number of mentions. ``key`` is a secret:
+    with it surrogates can be made again, without it not; an empty one is refused.
 
     Null texts stay null, empty ones empty. Repeated rows and copies get the same surrogates, since these depend on the
     entity alone. One entity may stand in any share of the rows: entities are made distinct in the map tasks first.
