@@ -47,7 +47,9 @@ def closed(text: Column) -> Column:
 def without_tags(html: Column) -> Column:
     """A page without scripts, styles, comments and tags, a line per block; empty for null."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), _DROPPED, "")
-    return F.concat(F.regexp_replace(F.regexp_replace(closed(text), _BREAKS, "\n"), _TAGS, ""), F.substring_index(text, ">", -1))
+    untagged = lambda t: F.concat(F.regexp_replace(F.regexp_replace(closed(t), _BREAKS, "\n"), _TAGS, ""), F.substring_index(t, ">", -1))
+    # bound once: each use of the text would drop the scripts anew
+    return F.get(F.transform(F.array(text), untagged), F.lit(0))
 
 
 def decoded(bare: Column) -> Column:
