@@ -67,6 +67,32 @@ def test_excluded_balls_are_not_visited(spark):
     assert {a: b[:3] for a, b in best.items()} == brute(rows, 3, "squared_l2", True)
 
 
+def test_distances_are_held_by_tile(monkeypatch):
+    """Memory does not grow with the known vectors, and ties across tiles go to the smaller id."""
+    import tracemalloc
+
+    from tidewatch.functions import vectors as N
+
+    rng = np.random.default_rng(11)
+    known = rng.normal(size=(20_000, 4))
+    tracemalloc.start()
+    got = N.nearest_rows(np.arange(2048), known[:2048], np.arange(20_000), known, 2, "cosine", True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 4096 and peak < 250e6
+    rows = np.round(rng.normal(size=(70, 3)), 1).astype(np.float32).astype(float)
+    rows[30:60] = rows[5]
+    for metric in ("cosine", "squared_l2"):
+        whole = N.nearest_rows(np.arange(70), rows, np.arange(70), rows, 4, metric, True)
+        with monkeypatch.context() as m:
+            m.setattr(N, "TILE", 7)
+            cut = N.nearest_rows(np.arange(70), rows, np.arange(70), rows, 4, metric, True)
+        for found in (whole, cut):
+            best = {q: list(part.sort_values("rank")["id"]) for q, part in found.groupby("q")}
+            assert best == brute(rows.astype(np.float32), 4, metric, True)
+        assert cut["distance"].to_numpy() == pytest.approx(whole["distance"].to_numpy(), abs=1e-12)
+
+
 def test_near_duplicates(spark, vectors):
     _, df = vectors
     empty = df.filter("id < 0")

@@ -7,6 +7,8 @@ import pandas as pd
 
 # scores that agree to this many places are ties and go to the smaller id
 TIE_PLACES = 9
+# queries and known vectors whose distances are held at once: 32 MB
+TILE = 2048
 
 
 def as_matrix(vectors: pd.Series) -> np.ndarray:
@@ -30,22 +32,50 @@ def distances(queries: np.ndarray, known: np.ndarray, metric: str) -> np.ndarray
 def nearest_rows(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, known: np.ndarray, k: int, metric: str, skip_same: bool
 ) -> pd.DataFrame:
-    """The ``k`` nearest known vectors of each query as ``q, id, distance, rank``; ``ids`` ascend."""
+    """The ``k`` nearest known vectors of each query as ``q, id, distance, rank``; ``ids`` ascend.
+
+    Distances are held for ``TILE`` known vectors and queries at a time, whatever the number of either."""
     if not len(queries) or not len(known):
         return pd.DataFrame({"q": query_ids[:0], "id": ids[:0], "distance": np.zeros(0), "rank": np.zeros(0, dtype=int)})
-    exact = distances(queries, known, metric)
-    left = np.round(exact, TIE_PLACES)
-    if skip_same:
-        left[query_ids[:, None] == ids[None, :]] = np.inf
-    rows = np.arange(len(queries))
+    k = min(k, len(known))
+    parts = [
+        _nearest_tiles(query_ids[at : at + TILE], queries[at : at + TILE], ids, known, k, metric, skip_same)
+        for at in range(0, len(queries), TILE)
+    ]
+    place, exact = (np.concatenate(found) for found in zip(*parts))
     found = []
-    for rank in range(1, min(k, len(known)) + 1):
-        best = left.argmin(axis=1)  # the first of equals, so the smallest id
-        real = np.isfinite(left[rows, best])
+    for rank in range(1, k + 1):
+        real = np.isfinite(exact[:, rank - 1])
         found.append(
-            pd.DataFrame(
-                {"q": query_ids[real], "id": ids[best[real]], "distance": exact[rows[real], best[real]], "rank": rank}
-            )
+            pd.DataFrame({"q": query_ids[real], "id": ids[place[real, rank - 1]], "distance": exact[real, rank - 1], "rank": rank})
         )
-        left[rows, best] = np.inf
     return pd.concat(found, ignore_index=True)
+
+
+def _nearest_tiles(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, known: np.ndarray, k: int, metric: str, skip_same: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places and distances of the ``k`` nearest of each query, in order; an infinite distance where there are fewer."""
+    place, exact = np.zeros((len(queries), k), dtype=np.int64), np.full((len(queries), k), np.inf)
+    for at in range(0, len(known), TILE):
+        own = ids[at : at + TILE]
+        tile = distances(queries, known[at : at + TILE], metric)
+        if skip_same:
+            tile[query_ids[:, None] == own[None, :]] = np.inf
+        # what is no number takes a rank and returns no row
+        tile[np.isnan(tile)] = -np.inf
+        # an equal score of a later tile has a larger id; most queries find nothing nearer in most tiles
+        better = np.flatnonzero(np.round(tile.min(axis=1), TIE_PLACES) < np.round(exact[:, -1], TIE_PLACES))
+        tile = tile[better]
+        left = np.round(tile, TIE_PLACES)
+        rows = np.arange(len(better))
+        places, values = [place[better]], [exact[better]]
+        for _ in range(min(k, len(own))):
+            best = left.argmin(axis=1)  # the first of equals, so the smallest id
+            places.append((at + best)[:, None])
+            values.append(np.where(left[rows, best] == np.inf, np.inf, tile[rows, best])[:, None])
+            left[rows, best] = np.inf
+        places, values = np.hstack(places), np.hstack(values)
+        order = np.argsort(np.round(values, TIE_PLACES), axis=1, kind="stable")[:, :k]
+        place[better], exact[better] = np.take_along_axis(places, order, 1), np.take_along_axis(values, order, 1)
+    return place, exact
