@@ -186,3 +186,25 @@ def test_cut_off_objects_are_closed(spark):
     assert json.loads(made[-1])["a"] is not None
     plain = [r["d"] for r in rows.select("i", K.extract_object(F.col("raw")).isNotNull().alias("d")).orderBy("i").collect()]
     assert sum(plain[: len(cuts)]) == 1
+
+
+def test_each_way_is_worked_out_once(spark):
+    rows = spark.createDataFrame([('{"a": 1',), ('x {"a": 1} y',), ("{'a': 1,}",), ("none",), ("",), (None,)], "raw string")
+    found = rows.withColumn("doc", K.extract_object(F.col("raw"), complete=True))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    # one parse for each way, and one list of tokens
+    assert plan.count("try_parse_json") == 4 and plan.count("regexp_extract_all") == 1
+    assert [r[0] for r in found.select(F.try_variant_get("doc", "$.a", "int")).collect()] == [1, 1, 1, None, None, None]
+
+
+def test_heavy_rows_are_dealt_out_by_number(spark, tmp_path):
+    """File splits do not count: a table of one row group has many, and one of them holds all rows."""
+    from tidewatch.plans.registry import spread
+
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    done = spread(spark.read.parquet(str(tmp_path / "one")), rows=50)
+    assert done.rdd.getNumPartitions() == 20 and done.count() == 1000
+    assert spread(spark.range(0, 1000, 1, 8), rows=50).rdd.getNumPartitions() == 20
+    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert spread(many, rows=500).rdd.getNumPartitions() == many.rdd.getNumPartitions()

@@ -6,7 +6,7 @@ Python. Parsing keeps JSON types apart, so a quoted number is not a number where
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,11 @@ FALSE_WORDS = ["false", "0", "f", "n", "no", "off"]
 # --- text to record ------------------------------------------------------------------------------
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_object(text: Column) -> Column:
     """The text as a VARIANT if it is one JSON object and nothing else, else null.
 
@@ -32,9 +37,13 @@ def parse_object(text: Column) -> Column:
     wrapped = F.try_parse_json(
         F.concat(F.lit('{"doc":'), text, F.lit(',"end":"'), digest, F.lit('"}'))
     )
-    whole = F.try_variant_get(wrapped, "$.end", "string") == digest
-    doc = F.try_variant_get(wrapped, "$.doc", "variant")
-    return F.when(whole & F.schema_of_variant(doc).startswith("OBJECT"), doc)
+
+    def inside(wrapped: Column) -> Column:
+        whole = F.try_variant_get(wrapped, "$.end", "string") == digest
+        is_object = lambda doc: F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc)
+        return F.when(whole, once(F.try_variant_get(wrapped, "$.doc", "variant"), is_object))
+
+    return once(wrapped, inside)
 
 
 def without_fences(text: Column) -> Column:
@@ -47,7 +56,7 @@ def recovered_text(text: Column) -> Column:
     off is not completed."""
     inner = F.regexp_extract(text, r"(?s)\{.*\}", 0)
     commas = F.regexp_replace(inner, r",\s*([}\]])", "$1")
-    quotes = F.when(~commas.contains('"'), F.replace(commas, F.lit("'"), F.lit('"'))).otherwise(commas)
+    quotes = once(commas, lambda c: F.when(~c.contains('"'), F.replace(c, F.lit("'"), F.lit('"'))).otherwise(c))
     return F.regexp_replace(quotes, r"([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:", '$1"$2":')
 
 
@@ -65,12 +74,15 @@ def completed_text(text: Column) -> Column:
     ended, a key without a value gets null, a key that was cut off goes; prose after the object goes. A number that was
     cut off cannot be told from a whole one. Texts with the two code points used for escapes give null."""
     begun = F.regexp_extract(text, r"(?s)\{.*", 0)
-    quoted = F.when(~begun.contains('"'), F.replace(begun, F.lit("'"), F.lit('"'))).otherwise(begun)
+    quoted = once(begun, lambda b: F.when(~b.contains('"'), F.replace(b, F.lit("'"), F.lit('"'))).otherwise(b))
     hidden = F.replace(F.replace(quoted, F.lit("\\\\"), F.lit(BACKSLASH)), F.lit('\\"'), F.lit(QUOTE))
     # an escape that was cut off, and commas before a closing bracket
     whole = F.regexp_replace(F.regexp_replace(hidden, r"\\(u[0-9A-Fa-f]{0,3})?\z", ""), r",\s*([}\]])", "$1")
-    tokens = F.regexp_extract_all(whole, F.lit(TOKENS), F.lit(0))
+    hides = text.contains(BACKSLASH) | text.contains(QUOTE)
+    return F.when(~hides, once(F.regexp_extract_all(whole, F.lit(TOKENS), F.lit(0)), _closed_tokens))
 
+
+def _closed_tokens(tokens: Column) -> Column:
     def step(state: Column, token: Column) -> Column:
         stack, wants = state["stack"], state["wants"]
         opens, closes = token.isin("{", "["), token.isin("}", "]")
@@ -117,19 +129,23 @@ def completed_text(text: Column) -> Column:
         shown = F.replace(F.replace(whole_again, F.lit(QUOTE), F.lit('\\"')), F.lit(BACKSLASH), F.lit("\\\\"))
         return F.when((state["taken"] > 0) & ~state["bad"], shown)
 
-    hides = text.contains(BACKSLASH) | text.contains(QUOTE)
-    return F.when(~hides, F.aggregate(tokens, start, step, closed))
+    return F.aggregate(tokens, start, step, closed)
 
 
 def extract_object(text: Column, complete: bool = False) -> Column:
     """A JSON object out of messy text, or null: as it is, without the prose around it, repaired, and with ``complete``
     also closed again where it was cut off."""
-    clean = without_fences(text)
-    inner = F.regexp_extract(clean, r"(?s)\{.*\}", 0)
-    ways = [parse_object(clean), parse_object(inner), parse_object(recovered_text(clean))]
-    if complete:
-        ways.append(parse_object(completed_text(clean)))
-    return F.coalesce(*ways)
+
+    def ways(clean: Column) -> Column:
+        # a parse that fails is dear: none of an empty text, of one without its braces, or of one that failed already
+        whole = F.when(clean.startswith("{") & clean.endswith("}"), parse_object(clean))
+        inner = F.regexp_extract(clean, r"(?s)\{.*\}", 0)
+        within = once(inner, lambda t: F.when((t != "") & (t != clean), parse_object(t)))
+        repaired = once(recovered_text(clean), lambda t: F.when((t != "") & (t != inner), parse_object(t)))
+        closed = [once(completed_text(clean), parse_object)] if complete else []
+        return F.coalesce(whole, within, repaired, *closed)
+
+    return once(without_fences(text), ways)
 
 
 # --- rules ---------------------------------------------------------------------------------------

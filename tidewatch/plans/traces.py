@@ -615,8 +615,8 @@ CUT_RAW = """CASE event_id % 7
 def completed_json(spark, sf):
     """Objects that were cut off anywhere, closed again; brackets that do not match give nothing."""
     rows = spread(base_events(spark, sf)).select("event_id", F.expr(CUT_RAW).alias("raw"))
-    doc = K.extract_object(F.col("raw"), complete=True)
-    return rows.select("event_id", F.try_variant_get(doc, "$.n", "bigint").alias("n"), F.try_variant_get(doc, "$.tag", "string").alias("tag"))
+    read = rows.withColumn("doc", K.extract_object(F.col("raw"), complete=True))
+    return read.select("event_id", F.try_variant_get("doc", "$.n", "bigint").alias("n"), F.try_variant_get("doc", "$.tag", "string").alias("tag"))
 
 
 @query(
