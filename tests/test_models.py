@@ -4,6 +4,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators import attribution as A
@@ -92,6 +93,29 @@ def test_attributions_by_definition(spark, accounts, model):
         assert r["base_value"] == pytest.approx(margin(x, set()), abs=1e-9)
 
 
+def test_tabled_shares_are_the_same(monkeypatch):
+    rng = np.random.default_rng(8)
+    leaves = [
+        A.Leaf(0.7, [0, 2], [-math.inf, -0.5], [0.2, 0.9], [0.3, 0.5]), A.Leaf(-0.4, [1], [0.1], [math.inf], [0.25]), A.Leaf(0.2, [], [], [], []),
+    ]
+    x = rng.normal(size=(300, 3))
+    x[5, 0] = np.nan
+    tabled = A.attributions_of(leaves, [A.share_table(leaf) for leaf in leaves], x)
+    monkeypatch.setattr(A, "TABLE_FEATURES", 0)
+    found = A.attributions_of(leaves, [A.share_table(leaf) for leaf in leaves], x)
+    assert tabled == pytest.approx(found, abs=0) and tabled[:, 1].any()
+
+
+def test_rows_are_dealt_out_by_key(spark):
+    """After a window over two classes the rows lie in two tasks; passes get them in equal ones."""
+    from tidewatch.plans.registry import dealt
+
+    rows = spark.range(40_000).withColumn("n", F.count("*").over(Window.partitionBy(F.col("id") % 2)))
+    sizes = lambda df: [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    done = dealt(rows, "id", 40_000)
+    assert len(sizes(done)) == 8 and max(sizes(done)) < 6_000 and sum(sizes(done)) == 40_000
+
+
 def test_driver_ranking(accounts, model):
     rows = {r["feature"]: r["mean_abs"] for r in E.driver_ranking(A.with_attributions(accounts, model), "contributions", ["a", "b", "c"]).collect()}
     assert max(rows, key=rows.get) == "a" and len(rows) == 3

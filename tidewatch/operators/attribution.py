@@ -1,8 +1,8 @@
 """Additive per-row attributions of a boosted-tree model in margin space.
 
 Path-dependent Shapley values of tree ensembles (Lundberg et al. 2018). The value of a leaf is
-shared among the features on its path; how depends only on which of them the row satisfies, so each
-batch works out one share per pattern that occurs and looks it up for its rows.
+shared among the features on its path; how depends only on which of them the row satisfies, so the
+shares of all patterns are worked out once and looked up for the rows.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from tidewatch.session import new_table_path
 
 
+#: Path features up to which all patterns are tabled.
+TABLE_FEATURES = 8
+
+
 class Leaf(NamedTuple):
     """A leaf with the distinct features on its path: the interval each must lie in (above ``low``,
     up to ``high``) and the share of training weight that follows the path at its splits."""
@@ -102,18 +106,27 @@ def _shares(leaf: Leaf, followed: np.ndarray) -> np.ndarray:
     return out
 
 
-def attributions_of(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
-    phi = np.zeros_like(x, dtype=np.float64)
-    for leaf in leaves:
-        m = len(leaf.features)
-        if not m:
-            continue
-        part = x[:, leaf.features]
-        inside = (part > np.array(leaf.low)) & (part <= np.array(leaf.high))
-        codes, back = np.unique(inside @ (1 << np.arange(m)), return_inverse=True)
-        patterns = ((codes[:, None] >> np.arange(m)) & 1).astype(np.float64)
-        phi[:, leaf.features] += _shares(leaf, patterns)[back]
-    return phi
+def share_table(leaf: Leaf) -> np.ndarray | None:
+    """Shapley shares of the leaf for all patterns, a column per path feature; none for a path of too many features."""
+    m = len(leaf.features)
+    return _shares(leaf, ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(np.float64)) if m <= TABLE_FEATURES else None
+
+
+def attributions_of(leaves: Sequence[Leaf], tables: Sequence[np.ndarray | None], x: np.ndarray) -> np.ndarray:
+    columns = np.ascontiguousarray(x.T, dtype=np.float64)
+    phi = np.zeros_like(columns)
+    for leaf, table in zip(leaves, tables):
+        code = np.zeros(len(x), dtype=np.int64)
+        for at, (feature, low, high) in enumerate(zip(leaf.features, leaf.low, leaf.high)):
+            inside = columns[feature] > low
+            inside &= columns[feature] <= high
+            code += inside * np.int64(1 << at)
+        if table is None:
+            codes, code = np.unique(code, return_inverse=True)
+            table = _shares(leaf, ((codes[:, None] >> np.arange(len(leaf.features))) & 1).astype(np.float64))
+        for at, feature in enumerate(leaf.features):
+            phi[feature] += table[:, at].take(code)
+    return phi.T
 
 
 def base_value(leaves: Sequence[Leaf]) -> float:
@@ -124,13 +137,13 @@ def base_value(leaves: Sequence[Leaf]) -> float:
 def with_attributions(df: DataFrame, model: GBTClassificationModel, features: str = "features", output: str = "contributions") -> DataFrame:
     """Adds one contribution per feature, and ``base_value``; together they sum to the margin."""
     leaves = model_leaves(model, df)
-    held = df.sparkSession.sparkContext.broadcast(leaves)
+    held = df.sparkSession.sparkContext.broadcast((leaves, [share_table(leaf) for leaf in leaves]))
 
     @F.pandas_udf("array<double>")
     def attribute(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
             return pd.Series([], dtype="object")
-        return pd.Series(list(attributions_of(held.value, np.stack(vectors.to_numpy()))))
+        return pd.Series(list(attributions_of(*held.value, np.stack(vectors.to_numpy()))))
 
     return df.withColumns(
         {output: attribute(vector_to_array(features)), "base_value": F.lit(base_value(leaves))}

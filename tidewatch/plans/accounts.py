@@ -10,7 +10,7 @@ from tidewatch.operators import decisions as D
 from tidewatch.operators import evaluate as E
 from tidewatch.operators import metrics as M
 from tidewatch.operators import models as Mo
-from tidewatch.plans.registry import bound, query, spread, table
+from tidewatch.plans.registry import bound, dealt, query, spread, table
 from tidewatch.session import new_table_path, stored
 
 # Customers as accounts: revenue from orders, usage and support signals from line items.
@@ -210,7 +210,8 @@ def boosted_rows(spark, sf):
         M.account_features(accounts(spark, sf), group_rows=at_most), "churn", "account_id", group_rows=at_most
     )
     # every boosting round passes over these rows
-    ready = stored(Mo.with_vector(rows.withColumn("label", F.col("churn").cast("double")), MODEL_COLUMNS))
+    rows = dealt(rows.withColumn("label", F.col("churn").cast("double")), "account_id", table(spark, sf, "customer").count())
+    ready = stored(Mo.with_vector(rows, MODEL_COLUMNS))
     train = Mo.pos_weight(ready.filter(F.col("split") == "train"))
     return ready, train
 
@@ -254,6 +255,7 @@ def scored_from_disk(spark, sf):
     """A table of accounts scored by a saved model, its inputs in the saved order, held against the saved threshold."""
     model, columns, threshold = Mo.load_boosted(spark, trained(spark, sf))
     features = M.account_features(accounts(spark, sf), group_rows=bound(spark, sf, "customer"))
+    features = dealt(features, "account_id", table(spark, sf, "customer").count())
     rows = Mo.scored(model, Mo.with_vector(features, columns))
     return rows.select("account_id", "arr", "churn_probability", (F.col("churn_probability") >= threshold).alias("at_risk"))
 
