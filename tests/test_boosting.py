@@ -65,6 +65,21 @@ def test_margins_by_definition(spark, monkeypatch, classes, direct):
         assert got == pytest.approx(by_definition(x, y, w, s, classes, model.cuts), abs=1e-8)
 
 
+def test_driver_gets_splits_not_sums(spark, monkeypatch):
+    """Sums above the limit are added and split by tasks: the same trees, and a task's sums never reach the driver."""
+    x, y, w, df = table(spark, np.random.default_rng(6), 150, 3)
+    s = [B.Settings(depth=3, rounds=3, step=0.3)]
+    direct = B.fit(df, s, "x", "y", 3, "w", bins=8)[0]
+    monkeypatch.setattr(B, "DIRECT_BYTES", 0)
+    seen, split = [], B.best_splits
+    monkeypatch.setattr(B, "best_splits", lambda *a: seen.append(a) or split(*a))
+    spread = B.fit(df, s, "x", "y", 3, "w", bins=8)[0]
+    assert not seen
+    got = lambda m: m.margins(B.binned(x.tolist(), m.cuts))
+    assert got(spread) == pytest.approx(got(direct), abs=1e-12)
+    assert got(spread) == pytest.approx(by_definition(x, y, w, s[0], 3, spread.cuts), abs=1e-8)
+
+
 def test_shares_and_odd_rows(spark):
     rng = np.random.default_rng(4)
     x, y, w, df = table(spark, rng, 200, 2)

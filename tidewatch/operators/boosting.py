@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,10 @@ from tidewatch.session import stored
 from tidewatch.streaming.state import remove
 
 BINS, KEEP = 32, 4
-#: Up to so many tasks the driver adds the sums, beyond it tasks do, by model and class.
-DIRECT_TASKS = 16
+#: Up to so many tasks and bytes of a pass the driver adds the sums and splits the nodes, beyond it tasks do, by model and class.
+DIRECT_TASKS, DIRECT_BYTES = 16, 1 << 18
+#: Rows of a task of a pass.
+TASK_ROWS = 100_000
 #: Score classes in which a round's area is measured.
 AREA_BINS = 1000
 ROWS_AT_ONCE = 1 << 15
@@ -57,10 +60,12 @@ class Tree:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The node that each row reaches."""
-        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        for _ in range((len(self.feature) + 1).bit_length() - 2):
-            f = self.feature[node]
-            node = np.where(f >= 0, 2 * node + 1 + (x[rows, f] > self.cut[node]), node)
+        node, flat, first = np.zeros(len(x), np.int64), x.ravel(), np.arange(len(x)) * x.shape[1]
+        split = np.flatnonzero(self.feature >= 0)
+        # down to the deepest split
+        for _ in range(int(split[-1] + 1).bit_length() if len(split) else 0):
+            f = self.feature.take(node)
+            node = np.where(f >= 0, 2 * node + 1 + (flat.take(first + np.maximum(f, 0)) > self.cut.take(node)), node)
         return node
 
 
@@ -149,9 +154,9 @@ class _Rows:
         return weight[:, None] * (p - y), weight[:, None] * p * (1.0 - p)
 
 
-def _sums(rows: DataFrame, fresh: list[list[list[Tree]]], growing: list[list[Tree]], active: list[list[np.ndarray]], settings: Sequence[Settings], number: int, n_features: int, bins: int) -> dict:
-    """(model, class) -> array (active node, feature, bin, 2) of sums over all rows. ``fresh`` are the models' trees that the
-    rows' margins do not hold yet."""
+def _splits(rows: DataFrame, tasks: int, fresh: list[list[list[Tree]]], growing: list[list[Tree]], active: list[list[np.ndarray]], columns: list[np.ndarray], settings: Sequence[Settings], number: int, n_features: int, bins: int) -> dict:
+    """(model, class) -> ``best_splits`` of its active nodes, from the sums over all rows. ``fresh`` are the models' trees that the
+    rows' margins do not hold yet. Sums of all tasks reach the driver only where they are small; else it gets the splits."""
     classes = len(growing[0])
     width = classes * len(settings)
 
@@ -181,23 +186,34 @@ def _sums(rows: DataFrame, fresh: list[list[list[Tree]]], growing: list[list[Tre
                         size = len(nodes) * n_features * bins
                         for side, d in enumerate((g, h)):
                             totals[m, c][side * size : (side + 1) * size] += np.bincount(index, np.repeat(d[inside, c], n_features), size)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[i] for k in totals], pa.int32()) for i in (0, 1)] + [pa.array([t.tobytes() for t in totals.values()], pa.binary())], ["m", "c", "sums"]
-        )
+        if totals:
+            own = [pa.array([k[i] for k in totals], pa.int32()) for i in (0, 1)] + [pa.array([TaskContext.get().partitionId()] * len(totals), pa.int32())]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([t.tobytes() for t in totals.values()], pa.binary())], ["m", "c", "p", "sums"])
 
-    def add(key: tuple, part: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b.as_py()) for b in part.column("sums"))
-        return pa.table({"m": pa.array([key[0].as_py()], pa.int32()), "c": pa.array([key[1].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+    def split(m: int, c: int, parts: list[dict]) -> tuple[np.ndarray, ...]:
+        # in the tasks' order, so that a rerun adds alike
+        total = sum(np.frombuffer(r["sums"]) for r in sorted(parts, key=lambda r: r["p"]))
+        return best_splits(total.reshape(2, len(active[m][c]), n_features, bins), columns[m], settings[m])
 
-    schema = "m int, c int, sums binary"
-    partial = rows.mapInArrow(run, schema)
-    if rows.rdd.getNumPartitions() > DIRECT_TASKS:
-        partial = partial.groupBy("m", "c").applyInArrow(add, schema)
-    found: dict = {}
-    for r in partial.toArrow().to_pylist():
-        own = np.frombuffer(r["sums"])
-        found[r["m"], r["c"]] = found.get((r["m"], r["c"]), 0.0) + own
-    return {(m, c): t.reshape(2, len(active[m][c]), n_features, bins) for (m, c), t in found.items()}
+    def add(key: tuple, part: pa.Table) -> pa.Table:
+        m, c = (k.as_py() for k in key)
+        flat = np.concatenate([np.asarray(a, np.float64).ravel() for a in split(m, c, part.to_pylist())])
+        return pa.table({"m": pa.array([m], pa.int32()), "c": pa.array([c], pa.int32()), "found": pa.array([flat.tobytes()], pa.binary())})
+
+    partial = rows.mapInArrow(run, "m int, c int, p int, sums binary")
+    size = sum(len(nodes) for own in active for nodes in own) * n_features * bins * 16
+    if tasks <= DIRECT_TASKS and tasks * size <= DIRECT_BYTES:
+        parts: dict = {}
+        for r in partial.toArrow().to_pylist():
+            parts.setdefault((r["m"], r["c"]), []).append(r)
+        return {k: split(*k, own) for k, own in parts.items()}
+    found = {}
+    for r in partial.groupBy("m", "c").applyInArrow(add, "m int, c int, found binary").toArrow().to_pylist():
+        flat = np.frombuffer(r["found"])
+        n = len(active[r["m"]][r["c"]])
+        feature, cut = flat[: 2 * n].astype(np.int64).reshape(2, n)
+        found[r["m"], r["c"]] = (feature, cut, *flat[2 * n :].reshape(3, 2, n))
+    return found
 
 
 def best_splits(sums: np.ndarray, columns: np.ndarray, s: Settings) -> tuple[np.ndarray, ...]:
@@ -227,7 +243,11 @@ def fit(df: DataFrame, settings: Sequence[Settings], features: str, label: str,
     if not cuts:
         return models
     n, width = len(cuts), classes * len(settings)
-    rows = stored(_prepared(df, features, label, weight, cuts, width), "boosting")
+    total = df.count()
+    # equal tasks, whatever the files of the rows
+    parts = min(max(df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_ROWS)), max(1, total // 1000))
+    rows = stored(_prepared(df, features, label, weight, cuts, width).repartition(parts), "boosting")
+    tasks = rows.rdd.getNumPartitions()
     draws = [random.Random(f"{seed}-{m}") for m in range(len(settings))]
     kept = 0
     for number in range(max(s.rounds for s in settings)):
@@ -240,22 +260,23 @@ def fit(df: DataFrame, settings: Sequence[Settings], features: str, label: str,
             chosen[draw.sample(range(n), max(1, round(s.columns * n)))] = True
             columns.append(chosen)
         while any(len(nodes) for own in active for nodes in own):
-            sums = _sums(rows, [model.trees[kept:] for model in models], growing, active, settings, number, n, bins)
+            found = _splits(rows, tasks, [model.trees[kept:] for model in models], growing, active, columns, settings, number, n, bins)
             for m, s in enumerate(settings):
                 for c, nodes in enumerate(active[m]):
                     if len(nodes):
-                        active[m][c] = _split(growing[m][c], nodes, sums[m, c], columns[m], s)
+                        active[m][c] = _split(growing[m][c], nodes, found[m, c], s)
         for model, on, trees in zip(models, live, growing):
             if on:
                 model.trees.append(trees)
         if number + 1 - kept >= KEEP and number + 1 < max(s.rounds for s in settings):
             rows, kept = _with_margins(rows, [model.trees[kept:] for model in models], classes, n), number + 1
+            tasks = rows.rdd.getNumPartitions()
     return models
 
 
-def _split(tree: Tree, nodes: np.ndarray, sums: np.ndarray, columns: np.ndarray, s: Settings) -> np.ndarray:
+def _split(tree: Tree, nodes: np.ndarray, found: tuple[np.ndarray, ...], s: Settings) -> np.ndarray:
     """Splits the nodes of a level and sets their values; the nodes of the next level that may be split."""
-    feature, cut, total, left, right = best_splits(sums, columns, s)
+    feature, cut, total, left, right = found
     value = lambda t: -s.step * t[0] / (t[1] + s.l2)
     tree.value[nodes] = value(total)
     at = np.flatnonzero(feature >= 0)
