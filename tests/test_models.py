@@ -110,10 +110,20 @@ def test_rows_are_dealt_out_by_key(spark):
     """After a window over two classes the rows lie in two tasks; passes get them in equal ones."""
     from tidewatch.plans.registry import dealt
 
-    rows = spark.range(40_000).withColumn("n", F.count("*").over(Window.partitionBy(F.col("id") % 2)))
+    rows = spark.range(60_000).withColumn("n", F.count("*").over(Window.partitionBy(F.col("id") % 2)))
     sizes = lambda df: [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    done = dealt(rows, "id", 40_000)
-    assert len(sizes(done)) == 8 and max(sizes(done)) < 6_000 and sum(sizes(done)) == 40_000
+    done = dealt(rows, "id", 60_000)
+    assert len(sizes(done)) == 8 and max(sizes(done)) < 9_000 and sum(sizes(done)) == 60_000
+    assert dealt(rows, "id", 50_000) is rows
+
+
+def test_rows_of_no_tree_are_told_by_one_comparison(spark):
+    rows = spark.range(20_000).withColumn("x", F.array(F.col("id").cast("double")))
+    forest = Mo.fit_isolation_forest(rows, "x", "id", trees=20, tree_rows=16)
+    filters = [line for line in forest._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter (" in line]
+    assert filters and not any("lambda" in line for line in filters)
+    sizes = {r["tree"]: r["rows"] for r in forest.collect()}
+    assert len(sizes) == 20 and all(4 <= n <= 16 for n in sizes.values())
 
 
 def test_driver_ranking(accounts, model):

@@ -171,7 +171,8 @@ def fit_isolation_forest(df: DataFrame, features: str, key: str, trees: int = TR
         upto.append(reached)
         reached += math.comb(trees, n) * share**n * (1 - share) ** (trees - n)
     number = F.size(F.filter(F.array(*map(F.lit, upto)), lambda edge: drawn("k") >= edge)) - 1
-    belonging = pool.withColumn("_n", number).filter("_n > 0")
+    # rows of none are told by one comparison; how many trees the others belong to takes one for each tree
+    belonging = pool.filter(drawn("k") >= upto[1]).withColumn("_n", number)
     ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(F.xxhash64(F.lit(seed), F.lit("tree"), t, "k").alias("h"), t.alias("t"))))
     members = belonging.withColumn("tree", F.explode(F.transform(F.slice(ranked, F.lit(1), F.col("_n")), lambda r: r["t"])))
     members = members.drop("_n").withColumn("_d", drawn("tree", "k"))
