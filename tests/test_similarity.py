@@ -67,6 +67,28 @@ def test_excluded_balls_are_not_visited(spark):
     assert {a: b[:3] for a, b in best.items()} == brute(rows, 3, "squared_l2", True)
 
 
+@pytest.mark.parametrize("group_bytes", [1 << 23, 8 * 3 * 25, 8])
+@pytest.mark.parametrize("metric", ["cosine", "squared_l2"])
+def test_a_query_is_sent_once_to_a_group_of_balls(spark, monkeypatch, metric, group_bytes):
+    """Vectors without clusters, where bounds exclude little: a row per query and group, not per query and ball."""
+    from tidewatch.operators import metric_index as X
+
+    monkeypatch.setattr(X, "GROUP_BYTES", group_bytes)
+    rng = np.random.default_rng(13)
+    rows = np.round(rng.normal(size=(120, 3)), 1)
+    rows[50:90] = rows[50]
+    rows[100:103] = 0.0
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "id long, embedding array<float>")
+    sent, searched = [], X._searched
+    monkeypatch.setattr(X, "_searched", lambda asked, *a: sent.append(asked) or searched(asked, *a))
+    got = lambda **options: sorted(map(tuple, S.nearest(df, df, "id", "id", k=4, metric=metric, skip_same=True, **options).select("query_id", "rank", "id").collect()))
+    assert got(block_bytes=8 * 3 * 6, query_rows=11) == got()
+    near, far = sent
+    assert far.count() == far.select("_q", "_group").distinct().count()
+    if group_bytes == 1 << 23:
+        assert near.count() == 120 and far.count() <= 120
+
+
 def test_distances_are_held_by_tile(monkeypatch):
     """Memory does not grow with the known vectors, and ties across tiles go to the smaller id."""
     import tracemalloc

@@ -22,7 +22,8 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 def distances(queries: np.ndarray, known: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
-        return 1.0 - unit_rows(queries) @ unit_rows(known).T
+        found = unit_rows(queries) @ unit_rows(known).T
+        return np.subtract(1.0, found, out=found)
     if metric == "squared_l2":
         squares = (queries**2).sum(1)[:, None] + (known**2).sum(1)[None, :]
         return np.maximum(squares - 2.0 * queries @ known.T, 0.0)
@@ -32,24 +33,27 @@ def distances(queries: np.ndarray, known: np.ndarray, metric: str) -> np.ndarray
 def nearest_rows(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, known: np.ndarray, k: int, metric: str, skip_same: bool
 ) -> pd.DataFrame:
-    """The ``k`` nearest known vectors of each query as ``q, id, distance, rank``; ``ids`` ascend.
+    """The ``k`` nearest known vectors of each query as ``q, id, distance, rank``; ``ids`` ascend."""
+    query, place, distance, rank = nearest_places(query_ids, queries, ids, known, k, metric, skip_same)
+    return pd.DataFrame({"q": query_ids[query], "id": ids[place], "distance": distance, "rank": rank})
+
+
+def nearest_places(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, known: np.ndarray, k: int, metric: str, skip_same: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the queries and of their ``k`` nearest known vectors, distances and ranks; ``ids`` ascend.
 
     Distances are held for ``TILE`` known vectors and queries at a time, whatever the number of either."""
-    if not len(queries) or not len(known):
-        return pd.DataFrame({"q": query_ids[:0], "id": ids[:0], "distance": np.zeros(0), "rank": np.zeros(0, dtype=int)})
     k = min(k, len(known))
     parts = [
         _nearest_tiles(query_ids[at : at + TILE], queries[at : at + TILE], ids, known, k, metric, skip_same)
-        for at in range(0, len(queries), TILE)
+        for at in range(0, len(queries) if k else 0, TILE)
     ]
+    if not parts:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0, int)
     place, exact = (np.concatenate(found) for found in zip(*parts))
-    found = []
-    for rank in range(1, k + 1):
-        real = np.isfinite(exact[:, rank - 1])
-        found.append(
-            pd.DataFrame({"q": query_ids[real], "id": ids[place[real, rank - 1]], "distance": exact[real, rank - 1], "rank": rank})
-        )
-    return pd.concat(found, ignore_index=True)
+    rank, query = np.nonzero(np.isfinite(exact.T))
+    return query, place[query, rank], exact[query, rank], rank + 1
 
 
 def _nearest_tiles(
@@ -62,10 +66,13 @@ def _nearest_tiles(
         tile = distances(queries, known[at : at + TILE], metric)
         if skip_same:
             tile[query_ids[:, None] == own[None, :]] = np.inf
-        # what is no number takes a rank and returns no row
-        tile[np.isnan(tile)] = -np.inf
+        least = tile.min(axis=1)
+        if np.isnan(least).any():
+            # what is no number takes a rank and returns no row
+            tile[np.isnan(tile)] = -np.inf
+            least = tile.min(axis=1)
         # an equal score of a later tile has a larger id; most queries find nothing nearer in most tiles
-        better = np.flatnonzero(np.round(tile.min(axis=1), TIE_PLACES) < np.round(exact[:, -1], TIE_PLACES))
+        better = np.flatnonzero(np.round(least, TIE_PLACES) < np.round(exact[:, -1], TIE_PLACES))
         tile = tile[better]
         left = np.round(tile, TIE_PLACES)
         rows = np.arange(len(better))
