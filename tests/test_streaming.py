@@ -239,3 +239,19 @@ def test_late_rows_go_aside(spark, tmp_path):
     J.split_late(J.replay(spark, folder, df.schema, files_per_trigger=1), ["k"], "ts", late, on_time, new_table_path(spark, "late-job"))
     assert {r["id"] for r in spark.read.parquet(late).collect()} == {3}
     assert {r["id"] for r in spark.read.parquet(on_time).collect()} == {0, 1, 2, 4, 5}
+
+
+def test_approvals_move_events_once_for_state_and_once_for_status(spark, tmp_path, monkeypatch):
+    """The state is written before the events are judged by it, and is not worked out again for them."""
+    df = spark.createDataFrame([("a", START, None, 0), ("a", START, True, 1), ("end", START + dt.timedelta(days=1), None, 2)], "thread string, ts timestamp, approved boolean, id long")
+    folder = write_files(spark, df, [F.col("id") >= 0], str(tmp_path / "files"))
+    moves = []
+
+    def put(out, path, batch_id, real=J.put):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        if "status" in out.columns:
+            moves.append(plan.count("Exchange hashpartitioning"))
+        real(out, path, batch_id)
+
+    monkeypatch.setattr(J, "put", put)
+    assert approved(spark, df, folder) == [(0, "pending_human_approval"), (1, "approved")] and max(moves) <= 3
