@@ -108,3 +108,44 @@ def test_areas_and_patience(spark):
         pairs = part[y == 1][:, None] - part[y == 0][None, :]
         assert areas[0, n] == pytest.approx((pairs > 0).mean() + (pairs == 0).mean() / 2, abs=0.01)
     assert B.stopped(np.array([0.5, 0.7, 0.6, 0.6, 0.9]), 2) == 2 and B.stopped(np.array([0.5, 0.7, 0.6, 0.8]), 2) == 4
+
+
+def test_trials_as_tasks(spark, monkeypatch):
+    """Trials held by tasks give the areas of models fitted by passes."""
+    x, y, w, df = table(spark, np.random.default_rng(8), 400, 2)
+    odd = df.union(spark.createDataFrame([(None, 1, 1.0), ([1.0, None, float("nan")], 1, None), ([0.0, 0.0, 0.0], None, 1.0)], df.schema))
+    train, held = odd, odd.filter("w < 3 OR w IS NULL")
+    settings = [B.Settings(depth=3, rounds=6, step=0.3), B.Settings(depth=5, rounds=4, step=0.2, rows=0.7, columns=0.67, least_weight=0.5)]
+    got = B.search_areas(train, held, settings, "x", "y", "w", patience=10, bins=16)
+    expected = B.areas_by_round(held, B.fit(train, settings, "x", "y", weight="w", bins=16), "x", "y")
+    assert [len(a) for a in got] == [6, 4]
+    for a, e in zip(got, expected):
+        assert a == pytest.approx(e[: len(a)], abs=1e-12)
+    # rows beyond what a task holds
+    monkeypatch.setattr(B, "HELD_BYTES", 0)
+    assert np.array(B.search_areas(train, held, settings, "x", "y", "w", bins=16)) == pytest.approx(expected, abs=1e-12)
+    monkeypatch.undo()
+    # as far as patience goes
+    short = B.search_areas(train, held, [B.Settings(depth=3, rounds=40, step=0.3, rows=0.6)], "x", "y", "w", patience=2, bins=16)[0]
+    whole = B.areas_by_round(held, B.fit(train, [B.Settings(depth=3, rounds=40, step=0.3, rows=0.6)], "x", "y", weight="w", bins=16), "x", "y")[0]
+    assert len(short) == min(40, B.stopped(whole, 2) + 2)
+    assert short == pytest.approx(whole[: len(short)], abs=1e-12) and B.stopped(short, 2) == B.stopped(whole, 2)
+    assert B.search_areas(df.limit(0), held, settings, "x", "y")[0].size == 0
+
+
+@pytest.mark.parametrize("difference", [1, 1 << 14])
+def test_blocks_by_definition(monkeypatch, difference):
+    """Rows in several blocks, larger children from differences or summed: margins by definition."""
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y, w = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=300) > 0).astype(int), rng.integers(1, 4, 300).astype(float)
+    cuts = [np.unique(np.quantile(x[:, f], np.arange(1, 8) / 8)) for f in range(3)]
+    monkeypatch.setattr(B, "DIFFERENCE_ROWS", difference)
+    s = B.Settings(depth=4, rounds=5, step=0.3)
+    u, cells = np.zeros(300, np.uint64), B.binned(x.tolist(), cuts)
+    blocks = [B._Block(cells[i : i + 70], y[i : i + 70], w[i : i + 70], u[i : i + 70]) for i in range(0, 300, 70)]
+    areas = B._trial(blocks, [B._Block(cells, y, w, u)], s, B.random.Random(1), 3, 8, 10)
+    got = np.concatenate([b.margin for b in blocks])
+    assert got == pytest.approx(by_definition(x, y, w, s, 1, cuts)[:, 0], abs=1e-8)
+    pairs = got[y == 1][:, None] - got[y == 0][None, :]
+    assert len(areas) == 5 and areas[-1] == pytest.approx((pairs > 0).mean() + (pairs == 0).mean() / 2, abs=0.01)

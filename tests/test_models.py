@@ -137,6 +137,17 @@ def test_search(accounts):
     assert 3 <= settings["depth"] <= 9 and 0.01 <= settings["step"] <= 0.3 and area > 0.6
 
 
+def test_search_starts_no_job_per_level(spark, accounts):
+    """Rounds and levels of the trials run inside their tasks."""
+    train, validation = accounts.filter("id % 4 > 0"), accounts.filter("id % 4 = 0")
+    sc = spark.sparkContext
+    sc.setJobGroup("search", "")
+    Mo.search_boosted(train, validation, trials=2, rounds=10)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("search"))
+    sc.setJobGroup("other", "")
+    assert jobs < 30
+
+
 def test_multiclass(spark):
     rng = np.random.default_rng(2)
     rows = [(float(c), [float(v) for v in rng.normal(size=2) + 4 * np.array([c == 1, c == 2])]) for c in (0, 1, 2) for _ in range(60)]

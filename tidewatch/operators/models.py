@@ -66,7 +66,7 @@ def boosted(depth: int = 6, rounds: int = 150, step: float = 0.1, rows: float =
 
 def search_boosted(train: DataFrame, validation: DataFrame, trials: int = 20, rounds: int = 100, patience: int = 10, seed: int = 42) -> tuple[dict, float]:
     """Best settings of a random search by validation ROC area: depth 3 to 9, log-uniform step, row and column shares of 0.6
-    to 1. All trials are fitted together; a trial keeps the rounds up to its best area, stopping after ``patience`` rounds without a
+    to 1. The trials are fitted side by side; a trial keeps the rounds up to its best area, stopping after ``patience`` rounds without a
     better one."""
     draw = random.Random(seed)
     chosen = []
@@ -74,8 +74,7 @@ def search_boosted(train: DataFrame, validation: DataFrame, trials: int = 20, ro
         depth, step = draw.randint(3, 9), math.exp(draw.uniform(math.log(0.01), math.log(0.3)))
         chosen.append(B.Settings(depth=depth, rounds=rounds, step=step, rows=draw.uniform(0.6, 1.0), columns=draw.uniform(0.6, 1.0)))
     array = lambda df: df.withColumn("_x", vector_to_array("features"))
-    models = B.fit(array(train), chosen, "_x", "label", weight="weight", seed=seed)
-    areas = B.areas_by_round(array(validation), models, "_x", "label")
+    areas = B.search_areas(array(train), array(validation), chosen, "_x", "label", "weight", patience, seed=seed)
     kept = [B.stopped(a, patience) for a in areas]
     best = max(range(trials), key=lambda t: areas[t][kept[t] - 1])
     s = chosen[best]
