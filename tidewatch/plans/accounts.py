@@ -206,9 +206,11 @@ def thread_transitions(spark, sf):
 
 def boosted_rows(spark, sf):
     at_most = bound(spark, sf, "customer")
-    rows = C.stratified_split(
-        M.account_features(accounts(spark, sf), group_rows=at_most), "churn", "account_id", group_rows=at_most
-    )
+    known = accounts(spark, sf)
+    if at_most is None:
+        # counted and sampled before it is sorted
+        known = stored(known)
+    rows = C.stratified_split(M.account_features(known, group_rows=at_most), "churn", "account_id", group_rows=at_most)
     # every boosting round passes over these rows
     rows = dealt(rows.withColumn("label", F.col("churn").cast("double")), "account_id", table(spark, sf, "customer").count())
     ready = stored(Mo.with_vector(rows, MODEL_COLUMNS))
